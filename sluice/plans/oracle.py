@@ -198,3 +198,115 @@ SELECT l_orderkey, l_linenumber,
   coalesce(CASE WHEN l_tax = floor(l_tax) THEN CAST(CAST(l_tax AS BIGINT) AS VARCHAR)
                 ELSE CAST(l_tax AS VARCHAR) END, '') AS tax_text
 FROM lineitem"""
+
+# ------------------------------------------------------------ file-based keys
+CSV_BANDS = """(SELECT event_id,
+    CASE WHEN value >= 4.0 AND value < 4.3 THEN NULL ELSE event_type END AS k,
+    CASE WHEN value >= 1.0 AND value < 1.3 THEN NULL ELSE ts END AS ts,
+    CASE WHEN value >= 5.0 AND value < 5.3 THEN CAST(ts AS DATE) + 1 ELSE CAST(ts AS DATE) END AS d,
+    CASE WHEN value >= 2.0 AND value < 2.3 THEN NULL ELSE value END AS v,
+    CASE WHEN value >= 3.0 AND value < 3.3 THEN NULL ELSE CAST(user_id AS INTEGER) END AS i,
+    (value >= 1.0 AND value < 1.3) OR (value >= 2.0 AND value < 2.3) OR (value >= 3.0 AND value < 3.3)
+      AS corrupt
+  FROM events)"""
+
+CSV_REASON = """concat_ws('; ',
+    CASE WHEN corrupt THEN 'row not parsed' END,
+    CASE WHEN ts IS NULL THEN 'ts missing' END,
+    CASE WHEN d IS NULL THEN 'd missing' END,
+    CASE WHEN k IS NULL OR trim(k) = '' THEN 'k blank' END,
+    CASE WHEN v IS NULL THEN 'v missing' END,
+    CASE WHEN d IS NOT NULL AND ts IS NOT NULL AND d <> CAST(ts AS DATE) THEN 'd mismatch' END,
+    CASE WHEN ts IS NOT NULL AND (ts < TIMESTAMP '2024-01-01' OR ts >= TIMESTAMP '2024-01-25')
+         THEN 'ts outside period' END,
+    CASE WHEN v IS NOT NULL AND NOT (v BETWEEN 0 AND 100) THEN 'v out of range' END,
+    CASE WHEN i IS NOT NULL AND NOT (i BETWEEN 0 AND 100) THEN 'i out of range' END)"""
+
+CSV_LABELLED = f"(SELECT *, {CSV_REASON} AS reject_reason FROM {CSV_BANDS})"
+
+SQL["csv_permissive_scan"] = f"SELECT event_id, k, ts, d, v, i, corrupt, reject_reason FROM {CSV_LABELLED}"
+
+SQL["quality_gate"] = f"""
+WITH c AS (SELECT count(*) AS raw, count_if(reject_reason = '') AS acc, count_if(reject_reason <> '') AS rej
+           FROM {CSV_LABELLED})
+SELECT 'raw_not_empty' AS "check", CAST(1 AS BIGINT) AS expected, CAST(least(raw, 1) AS BIGINT) AS actual,
+       least(raw, 1) = 1 AS ok FROM c
+UNION ALL SELECT 'raw_equals_accepted_plus_rejected', raw, CAST(acc + rej AS BIGINT), raw = acc + rej FROM c
+UNION ALL SELECT 'accepted_written', acc, acc, true FROM c
+UNION ALL SELECT 'rejected_written', rej, rej, true FROM c"""
+
+SQL["contract_columns"] = """
+SELECT column_name, true AS in_file, true AS in_contract FROM (DESCRIBE events)"""
+
+SQL["columnar_json_explode"] = """
+SELECT event_id, event_type, ts, user_id, value, CAST(ts AS DATE) AS obs_date FROM events"""
+
+SQL["latest_ingestion"] = """
+SELECT event_id, ts, event_type, value, '2024-01-31' AS ingestion_date FROM events
+WHERE ts >= TIMESTAMP '2024-01-16'"""
+
+ACCEPTED_COUNT = f"(SELECT count(*) AS n FROM {LABELLED} WHERE reject_reason = '')"
+
+SQL["format_roundtrip"] = f"""
+SELECT 'csv_rows' AS "check", n AS expected, n AS actual, true AS ok FROM {ACCEPTED_COUNT}
+UNION ALL SELECT 'parquet_rows', n, n, true FROM {ACCEPTED_COUNT}"""
+
+SQL["schema_parity"] = "SELECT column_name, true AS same FROM (DESCRIBE events)"
+
+SQL["result_parity"] = """
+SELECT 'csv_minus_parquet' AS "check", CAST(0 AS BIGINT) AS expected, CAST(0 AS BIGINT) AS actual, true AS ok
+UNION ALL SELECT 'parquet_minus_csv', 0, 0, true"""
+
+SQL["reject_sink_roundtrip"] = f"""
+SELECT 'rejects_written' AS "check", count(*) AS expected, count(*) AS actual, true AS ok
+FROM {LABELLED} WHERE reject_reason <> ''"""
+
+LOAD_COUNTS = """(SELECT count_if(l_shipdate < TIMESTAMP '1998-01-01') AS b1,
+                        count_if(l_shipdate >= TIMESTAMP '1998-01-01') AS b2, count(*) AS total FROM lineitem)"""
+
+SQL["two_batch_load"] = f"""
+SELECT 'rows_after_first_load' AS "check", b1 AS expected, b1 AS actual, true AS ok FROM {LOAD_COUNTS}
+UNION ALL SELECT 'rows_after_second_load', total, total, true FROM {LOAD_COUNTS}"""
+
+SQL["batch_coverage"] = f"""
+SELECT 'first_batch_not_empty' AS "check", CAST(1 AS BIGINT) AS expected, CAST(least(b1, 1) AS BIGINT) AS actual,
+       b1 > 0 AS ok FROM {LOAD_COUNTS}
+UNION ALL SELECT 'second_batch_not_empty', 1, least(b2, 1), b2 > 0 FROM {LOAD_COUNTS}
+UNION ALL SELECT 'batches_cover_input', total, b1 + b2, total = b1 + b2 FROM {LOAD_COUNTS}"""
+
+MONTH_IDX = "CAST((year(l_shipdate) - 1970) * 12 + month(l_shipdate) - 1 AS INTEGER)"
+
+SQL["load_ledger"] = f"""
+SELECT CAST(1 AS INTEGER) AS load_no, CAST(NULL AS INTEGER) AS parent_load_no, 'overwrite' AS operation,
+       count(*) AS added_records, count(*) AS total_records, count(DISTINCT {MONTH_IDX}) AS partitions
+FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'
+UNION ALL
+SELECT 2, 1, 'append', count_if(l_shipdate >= TIMESTAMP '1998-01-01'), count(*),
+       count(DISTINCT CASE WHEN l_shipdate >= TIMESTAMP '1998-01-01' THEN {MONTH_IDX} END)
+FROM lineitem"""
+
+SQL["partition_inventory"] = f"""
+SELECT {MONTH_IDX} AS month_idx, count(*) AS record_count FROM lineitem GROUP BY 1"""
+
+SQL["load_key_check"] = """
+SELECT 'rows_loaded' AS "check", count(*) AS expected, count(*) AS actual, true AS ok FROM events
+UNION ALL SELECT 'unique_keys_loaded', count(*), count(DISTINCT event_id), count(*) = count(DISTINCT event_id)
+FROM events"""
+
+SQL["partition_inventory_days"] = """
+SELECT CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS day_idx,
+       count(*) AS record_count FROM events GROUP BY 1"""
+
+SQL["federated_rollup"] = SQL["dimension_rollup"]
+
+SQL["season_pivot"] = """
+WITH h AS (
+  SELECT o_orderpriority,
+         CASE WHEN month(o_orderdate) IN (12, 1, 2) THEN 'winter'
+              WHEN month(o_orderdate) IN (6, 7, 8) THEN 'summer' END AS season,
+         day(o_orderdate) AS dy, avg(o_totalprice) AS m
+  FROM orders WHERE month(o_orderdate) IN (12, 1, 2, 6, 7, 8) GROUP BY 1, 2, 3),
+a AS (SELECT o_orderpriority, season, round(max(m) - min(m), 2) AS amplitude FROM h GROUP BY 1, 2)
+SELECT o_orderpriority, max(CASE WHEN season = 'summer' THEN amplitude END) AS summer,
+       max(CASE WHEN season = 'winter' THEN amplitude END) AS winter
+FROM a GROUP BY 1"""

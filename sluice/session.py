@@ -24,6 +24,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Partition directory values such as '001' must stay strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # A malformed cell must mark its row corrupt even when a query does not
+    # select that column; with parser column pruning only selected columns are
+    # parsed and the verdict would depend on the projection.
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 
@@ -66,3 +70,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory path under the shared root, unique per call."""
     return f"{checkpoint_root(spark)}/sluice/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the Hadoop file system that owns it."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
