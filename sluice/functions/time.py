@@ -30,14 +30,18 @@ def column_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
-def half_open(df: DataFrame, ts: str, start: str | None, end: str | None) -> Column:
-    """``start <= ts < end`` with literals typed like ``ts``; either end may be open."""
-    dtype = column_type(df, ts)
+def half_open(df: DataFrame | None, ts: str, start: str | None, end: str | None) -> Column:
+    """``start <= ts < end``; either end may be open.
+
+    The bounds are string literals: Spark coerces them to the column's own
+    type (timestamp or timestamp_ntz), so the predicate stays a plain
+    comparison that Parquet can push down, and no schema lookup is needed.
+    """
     cond = F.lit(True)
     if start is not None:
-        cond = cond & (F.col(ts) >= ts_literal(start, dtype))
+        cond = cond & (F.col(ts) >= F.lit(start))
     if end is not None:
-        cond = cond & (F.col(ts) < ts_literal(end, dtype))
+        cond = cond & (F.col(ts) < F.lit(end))
     return cond
 
 

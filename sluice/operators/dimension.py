@@ -1,8 +1,11 @@
 """Facts against partially covering dimensions: rollups, key checks, join audits.
 
-Broadcast is used only behind a row-count check (``sized_broadcast``); a
-dimension above the bound is joined with an ordinary shuffle join, which AQE
-may still turn into a broadcast at run time from measured sizes.
+No dimension is broadcast on trust.  By default (``broadcast="auto"``) the
+join carries no hint: Catalyst broadcasts a side only when its size estimate
+is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans from the
+sizes measured at run time, so a dimension that grows past the bound falls
+back to a shuffle join by itself.  ``broadcast="checked"`` adds an explicit
+hint only after counting at most ``max_rows + 1`` rows of the dimension.
 """
 
 from __future__ import annotations
@@ -16,14 +19,20 @@ from pyspark.sql import types as T
 UNMATCHED = "Unmatched"
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
+def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000, mode: str = "auto") -> DataFrame:
+    """The dimension side of a join, hinted for broadcast only when checked.
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the answer is no.
+    ``auto``: unchanged (size-based choice by Catalyst and AQE).
+    ``checked``: ``broadcast(df)`` when it has at most ``max_rows`` rows;
+    the count reads at most ``max_rows + 1`` rows.
+    ``never``: unchanged; callers may also lower the threshold.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if mode == "checked":
+        n = df.limit(max_rows + 1).count()
+        return F.broadcast(df) if n <= max_rows else df
+    if mode in ("auto", "never"):
+        return df
+    raise ValueError(f"unknown broadcast mode {mode}")
 
 
 def inline_dimension(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
@@ -65,13 +74,17 @@ def reroll_partials(partials: DataFrame, key: str) -> DataFrame:
 
 
 def dimension_rollup(partials: DataFrame, dim: DataFrame, key: str, dim_key: str, group: str,
-                     unmatched: str = UNMATCHED, digits: int = 2, dim_max_rows: int = 1_000_000) -> DataFrame:
+                     unmatched: str = UNMATCHED, digits: int = 2, dim_max_rows: int = 1_000_000,
+                     broadcast: str = "auto") -> DataFrame:
     """Left join per-key partials to the dimension, roll up by the coalesced group.
 
     Output per group: distinct fact keys, rows, decimal mean, rounded min and
     max.  Facts without a dimension row form the ``unmatched`` group.
+    ``partials`` may hold several rows per key (partials of a finer key with
+    ``key`` attached); they are summed here.
     """
-    d = sized_broadcast(dim.select(F.col(dim_key).alias("_dk"), F.col(group).alias("_grp")), dim_max_rows)
+    d = sized_broadcast(dim.select(F.col(dim_key).alias("_dk"), F.col(group).alias("_grp")), dim_max_rows,
+                        broadcast)
     joined = partials.join(d, partials[key] == d["_dk"], "left")
     rows = F.sum("_rows")
     return (joined.groupBy(F.coalesce(F.col("_grp"), F.lit(unmatched)).alias(group))
@@ -83,7 +96,8 @@ def dimension_rollup(partials: DataFrame, dim: DataFrame, key: str, dim_key: str
             .orderBy(F.desc("observations"), group))
 
 
-def join_audit(fact: DataFrame, dim: DataFrame, key: str, dim_max_rows: int = 1_000_000) -> DataFrame:
+def join_audit(fact: DataFrame, dim: DataFrame, key: str, dim_max_rows: int = 1_000_000,
+               broadcast: str = "auto") -> DataFrame:
     """Rows before and after a left join, unmatched rows and unmatched keys, in one row.
 
     The dimension is first reduced to match counts per key, so the audit sees
@@ -91,7 +105,7 @@ def join_audit(fact: DataFrame, dim: DataFrame, key: str, dim_max_rows: int = 1_
     the fact is scanned once.
     """
     matches = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_matches"))
-    j = fact.select(key).join(sized_broadcast(matches, dim_max_rows), key, "left")
+    j = fact.select(key).join(sized_broadcast(matches, dim_max_rows, broadcast), key, "left")
     miss = F.col("_matches").isNull()
     return j.agg(F.count(F.lit(1)).alias("before_join"),
                  F.sum(F.coalesce(F.col("_matches"), F.lit(1))).cast("bigint").alias("after_join"),

@@ -77,7 +77,7 @@ def distinct_positions(df: DataFrame, entity: str, position: Column, where: Colu
 
 def local_profile(fact: DataFrame, dim: DataFrame, key: str, district: str, offset: str, ts: str,
                   measure: str, season: Column, where: Column | None = None,
-                  digits: int = 2, dim_max_rows: int = 1_000_000) -> DataFrame:
+                  digits: int = 2, dim_max_rows: int = 1_000_000, broadcast: str = "auto") -> DataFrame:
     """Three-level local-time profile over fact JOIN dimension (inner).
 
     1. mean per (district, entity, season, local hour);
@@ -88,16 +88,19 @@ def local_profile(fact: DataFrame, dim: DataFrame, key: str, district: str, offs
     The fact is first reduced to (entity, season, UTC hour) sums and counts;
     the join then touches entities x seasons x 24 rows instead of every fact
     row.  For a fixed entity the UTC to local hour map is one-to-one, so the
-    groups are the same as joining first.
+    groups are the same as joining first.  Levels 2 and 3 share one exchange:
+    the per-hour means are hash-partitioned on (district, season), which
+    satisfies the grouping of both levels.
     """
     rows = fact.where(where) if where is not None else fact
     per_hour = (rows.groupBy(F.col(key), season.alias("season"), F.hour(ts).cast("int").alias("_utc_hour"))
                 .agg(F.sum(measure).alias("_sum"), F.count(measure).alias("_n")))
-    joined = per_hour.join(sized_broadcast(dim.select(key, district, offset), dim_max_rows), key, "inner")
+    joined = per_hour.join(sized_broadcast(dim.select(key, district, offset), dim_max_rows, broadcast),
+                           key, "inner")
     level1 = joined.select(
         district, key, "season",
         F.pmod(F.col("_utc_hour") + F.col(offset), F.lit(24)).cast("int").alias("hour_local"),
-        F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).alias(MEAN))
+        F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).alias(MEAN)).repartition(district, "season")
     level2 = cycle_extremes(level1, [district, key, "season"], "hour_local", digits=None)
     return (level2.groupBy(district, "season")
             .agg(F.count(F.lit(1)).alias("entities"),

@@ -310,3 +310,5 @@ a AS (SELECT o_orderpriority, season, round(max(m) - min(m), 2) AS amplitude FRO
 SELECT o_orderpriority, max(CASE WHEN season = 'summer' THEN amplitude END) AS summer,
        max(CASE WHEN season = 'winter' THEN amplitude END) AS winter
 FROM a GROUP BY 1"""
+
+SQL["stream_gate"] = SQL["accepted_rows"]

@@ -270,3 +270,19 @@ def season_pivot(spark, d):
             .option("header", True).csv(path)
             .withColumn("amplitude", F.col("amplitude").cast("double")))
     return profiles.season_pivot(back, "o_orderpriority", ["summer", "winter"])
+
+
+# ------------------------------------------------------------ streaming gate
+@register("stream_gate")
+def stream_gate(spark, d):
+    """Events landed as CSV files, gated by a file stream into an exactly-once sink."""
+    import dataclasses
+
+    from sluice.streaming.gate_stream import accepted_from_sink, start_gate_stream
+    e = events(spark, d)
+    landing = write_csv(e.repartition(4, "event_type"), scratch_path(spark, "landing"))
+    contract = dataclasses.replace(events_contract(e), corrupt_column="_corrupt_record")
+    sink, ckpt = scratch_path(spark, "stream_sink"), scratch_path(spark, "stream_ckpt")
+    stream = start_gate_stream(spark, landing, contract, sink, ckpt, max_files_per_trigger=2)
+    stream.query.awaitTermination()
+    return accepted_from_sink(spark, sink, contract)

@@ -1,12 +1,32 @@
-"""Access to the Parquet tables of a data directory."""
+"""Access to the Parquet tables of a data directory.
+
+Each table is registered once per session as a temp view, so its schema
+(from the Parquet footers) and its file listing are resolved once, as with
+catalog tables; later reads reuse the resolved relation.  The input tables
+are read-only; call ``refresh`` if files under a path change.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def _view_name(path: str) -> str:
+    return "sluice_t_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+
+
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    view = _view_name(path)
+    if not spark.catalog.tableExists(view):
+        spark.read.parquet(path).createOrReplaceTempView(view)
+    return spark.table(view)
+
+
+def refresh(spark: SparkSession, data_dir: str, name: str) -> None:
+    spark.catalog.dropTempView(_view_name(f"{data_dir.rstrip('/')}/{name}.parquet"))
