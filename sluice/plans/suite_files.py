@@ -286,3 +286,35 @@ def stream_gate(spark, d):
     stream = start_gate_stream(spark, landing, contract, sink, ckpt, max_files_per_trigger=2)
     stream.query.awaitTermination()
     return accepted_from_sink(spark, sink, contract)
+
+
+@register("content_parity")
+def content_parity(spark, d):
+    """Whole CSV copy against whole Parquet copy: row count and content fingerprint."""
+    from sluice.operators.checks import fingerprint_checks
+    _, csv_df, pq_df = _two_formats(spark, d)
+    return fingerprint_checks(pq_df, csv_df, ("parquet", "csv"))
+
+
+@register("hourly_profile_sql")
+def hourly_profile_sql(spark, d):
+    """The hourly profile as Spark SQL text over a file-path relation, grouped by ordinals."""
+    from sluice.sources.tables import path_relation
+    rel = path_relation(spark, f"{d.rstrip('/')}/events.parquet")
+    lo, hi = HOURLY_RANGE
+    return spark.sql(f"""
+        SELECT event_type, CAST(hour(ts) AS INT) AS hour_utc, round(avg(value), 3) AS mean_value,
+               count(*) AS observations
+        FROM {rel}
+        WHERE ts >= '{lo}' AND ts < '{hi}'
+        GROUP BY 1, 2
+        ORDER BY 1, 2""")
+
+
+@register("catalog_table")
+def catalog_table(spark, d):
+    """Two-batch load registered as a catalog table, then summarised through the catalog."""
+    from sluice.sources.tables import register_catalog_table
+    t = _lineitem_load(spark, d)[0]
+    tbl = register_catalog_table(spark, "sluice_lake", "lineitem_loaded", t.path)
+    return profiles.table_summary(tbl, "l_orderkey", "l_shipdate")

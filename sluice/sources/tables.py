@@ -30,3 +30,25 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
 
 def refresh(spark: SparkSession, data_dir: str, name: str) -> None:
     spark.catalog.dropTempView(_view_name(f"{data_dir.rstrip('/')}/{name}.parquet"))
+
+
+def path_relation(spark: SparkSession, path: str, fmt: str = "parquet") -> str:
+    """A file path usable as a relation in SQL text: ``parquet.`/path```."""
+    if "`" in path:
+        raise ValueError("path must not contain backticks")
+    return f"{fmt}.`{path}`"
+
+
+def register_catalog_table(spark: SparkSession, database: str, name: str, path: str,
+                           partitioned: bool = True) -> DataFrame:
+    """Expose a loaded Parquet dataset as ``database.name`` in the session catalog.
+
+    The namespace is created if missing; the table points at the existing
+    files (no copy), and its partitions are recovered from the directories.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+    spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+    if partitioned:
+        spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+    return spark.table(f"{database}.{name}")

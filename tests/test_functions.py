@@ -47,3 +47,12 @@ def test_month_range_adds_partition_predicate(spark, workdir):
     assert sorted(r["v"] for r in q.collect()) == [3, 4]
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month_idx" in plan
+
+
+def test_fingerprint_detects_changed_row(spark):
+    from sluice.operators.checks import fingerprint_checks
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y")], "id int, s string")
+    b = spark.createDataFrame([(2, "y"), (1, "x"), (2, "y")], "s_id int, s string").withColumnRenamed("s_id", "id")
+    c = spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], "id int, s string")
+    assert all(r["ok"] for r in fingerprint_checks(a, b.select("s", "id")).collect())
+    assert [r["ok"] for r in fingerprint_checks(a, c).collect()] == [True, False]
