@@ -71,13 +71,16 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 
 def fingerprint_checks(a: DataFrame, b: DataFrame, names: tuple[str, str] = ("left", "right")) -> DataFrame:
-    """Check rows comparing the row counts and hash sums of two frames (by column name)."""
+    """Check rows comparing the row counts and hash sums of two frames (by column name).
+
+    The two one-row fingerprints are stacked and folded by one aggregate (no join).
+    """
     cols = sorted(a.columns)
-    fa = fingerprint(a.select(*cols)).select(F.lit(1).alias("_k"), F.col("rows").alias("ra"),
-                                             F.col("hash_sum").alias("ha"))
-    fb = fingerprint(b.select(*cols)).select(F.lit(1).alias("_k"), F.col("rows").alias("rb"),
-                                             F.col("hash_sum").alias("hb"))
-    both = fa.join(fb, "_k")
+    both = (fingerprint(a.select(*cols)).withColumn("_side", F.lit("a"))
+            .unionByName(fingerprint(b.select(*cols)).withColumn("_side", F.lit("b"))))
+    side = lambda s, c: F.max(F.when(F.col("_side") == s, F.col(c)))
+    folded = both.agg(side("a", "rows").alias("ra"), side("b", "rows").alias("rb"),
+                      side("a", "hash_sum").alias("ha"), side("b", "hash_sum").alias("hb"))
     same = F.when(F.col("ha").eqNullSafe(F.col("hb")), F.lit(1)).otherwise(F.lit(0))
-    return check_rows(both, [(f"{names[1]}_rows_equal_{names[0]}", F.col("ra"), F.col("rb")),
-                             (f"{names[1]}_content_equals_{names[0]}", F.lit(1), same)])
+    return check_rows(folded, [(f"{names[1]}_rows_equal_{names[0]}", F.col("ra"), F.col("rb")),
+                               (f"{names[1]}_content_equals_{names[0]}", F.lit(1), same)])

@@ -128,9 +128,8 @@ def columnar_json_explode(spark, d):
 def latest_ingestion(spark, d):
     e = events(spark, d)
     root = scratch_path(spark, "raw_zone")
-    stamp = F.when(F.col("ts") < F.lit(SECOND_HALF_START).cast("timestamp_ntz"), F.lit("2024-01-16")) \
-        .otherwise(F.lit("2024-01-31"))
-    write_csv(e.withColumn("ingestion_date", stamp), root, partition_by=["ingestion_date"])
+    ingestion.land(e.where(F.col("ts") < F.lit(SECOND_HALF_START)), root, "2024-01-16")
+    ingestion.land(e.where(F.col("ts") >= F.lit(SECOND_HALF_START)), root, "2024-01-31")
     picked = ingestion.read_latest(spark, root, lambda p: read_failfast(spark, p, e.schema))
     return picked.select("event_id", "ts", "event_type", "value", "ingestion_date")
 

@@ -55,10 +55,17 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
               timestamp_format: str = TIMESTAMP_FORMAT, ntz_format: str = TIMESTAMP_NTZ_FORMAT,
-              date_format: str = DATE_FORMAT, partition_by: list[str] | None = None) -> str:
-    """Headed, uncompressed CSV; NULL is written as an empty cell."""
+              date_format: str = DATE_FORMAT, partition_by: list[str] | None = None,
+              replace_partitions_only: bool = False) -> str:
+    """Headed, uncompressed CSV; NULL is written as an empty cell.
+
+    With ``replace_partitions_only`` an overwrite replaces only the partition
+    directories present in ``df`` (dynamic partition overwrite).
+    """
     writer = _formats(df.write.mode(mode).option("header", True).option("nullValue", ""),
                       timestamp_format, ntz_format, date_format)
+    if replace_partitions_only:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)

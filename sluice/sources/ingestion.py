@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.sources.csv import write_csv
+
 
 class NoIngestion(LookupError):
     pass
@@ -41,3 +43,14 @@ def read_latest(spark: SparkSession, root: str, read: Callable[[str], DataFrame]
     """
     chosen = value or latest_value(spark, root, column)
     return read(root).where(F.col(column) == F.lit(chosen))
+
+
+def land(df: DataFrame, root: str, value: str, column: str = "ingestion_date") -> str:
+    """Write one load as CSV under ``root/<column>=<value>``.
+
+    Only that partition is replaced (dynamic partition overwrite): landing the
+    same load again leaves the raw zone's row count unchanged, and other
+    ingestion dates are untouched.
+    """
+    write_csv(df.withColumn(column, F.lit(value)), root, partition_by=[column], replace_partitions_only=True)
+    return f"{root.rstrip('/')}/{column}={value}"
