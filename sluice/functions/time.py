@@ -98,3 +98,29 @@ def half_of_month(ts, split_day: int = 15, labels: tuple[str, str] = ("first", "
 def local_hour(ts, offset_hours) -> Column:
     """``(hour + offset) mod 24``; ``pmod`` also holds for negative offsets."""
     return F.pmod(F.hour(_col(ts)) + _col(offset_hours), F.lit(24)).cast("int")
+
+
+def month_set_ranges(ts, months, first_year: int, last_year: int) -> Column:
+    """``month(ts) IN months`` for years in ``[first_year, last_year]``, as time ranges.
+
+    ``month()`` hides the column from Parquet pushdown; the same set written
+    as an OR of half-open ranges on ``ts`` (consecutive months merged) can
+    skip row groups by their min/max statistics.  Use it next to the exact
+    ``months_in`` filter, with the years the data may hold.
+    """
+    c = _col(ts)
+    months = sorted(set(months))
+    runs, start = [], None
+    for m in range(1, 14):
+        inside = m in months
+        if inside and start is None:
+            start = m
+        if not inside and start is not None:
+            runs.append((start, m))
+            start = None
+    cond = F.lit(False)
+    for y in range(first_year, last_year + 1):
+        for lo, hi in runs:
+            end = f"{y + 1}-01-01" if hi == 13 else f"{y}-{hi:02d}-01"
+            cond = cond | ((c >= F.lit(f"{y}-{lo:02d}-01")) & (c < F.lit(end)))
+    return cond

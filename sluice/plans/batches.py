@@ -120,18 +120,33 @@ def load_batch(batch: DataFrame, table: PartitionedTable, operation: str) -> dic
     return {"load_no": entry[0][0], "rows": m["rows"], "files": files, "partitions": partitions}
 
 
+def new_entries(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Ledger rows present after but not before (``left_anti`` on the load number).
+
+    ``before`` must be a frame created before the loads: a Parquet read fixes
+    its file listing when it is created, so later appends are not in it.
+    """
+    return after.join(before.select("load_no"), "load_no", "left_anti")
+
+
 def two_batch_load(df: DataFrame, table: PartitionedTable, boundary: str) -> tuple[DataFrame, dict, dict]:
     """First batch as overwrite, second as append; returns checks and both load records."""
     spark = df.sparkSession
     _check_boundary(spark, boundary, table.transform)
+    before = ledger(spark, table)
     first, second = split_batches(df, table.ts, boundary)
     r1 = load_batch(first, table, "overwrite")
     after_first = spark.read.parquet(table.path).count()
     r2 = load_batch(second, table, "append")
     final = spark.read.parquet(table.path).agg(F.count(F.lit(1)).alias("rows"))
-    checks = check_rows(final, [
+    added = new_entries(before, ledger(spark, table)).agg(F.count(F.lit(1)).alias("added"))
+    folded = (final.select("rows", F.lit(None).cast("bigint").alias("added"))
+              .unionByName(added.select(F.lit(None).cast("bigint").alias("rows"), "added"))
+              .agg(F.max("rows").alias("rows"), F.max("added").alias("added")))
+    checks = check_rows(folded, [
         ("rows_after_first_load", F.lit(r1["rows"]), F.lit(after_first)),
         ("rows_after_second_load", F.lit(r1["rows"] + r2["rows"]), F.col("rows")),
+        ("ledger_entries_added", F.lit(2), F.col("added")),
     ])
     return checks, r1, r2
 

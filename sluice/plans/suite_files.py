@@ -150,6 +150,16 @@ def storage_size(spark, d):
             .unionByName(files.storage_size(spark, pq_path, "parquet")))
 
 
+@register("size_ratio")
+def size_ratio(spark, d):
+    """CSV bytes over Parquet bytes for the same accepted rows."""
+    acc = quality.accepted(*labelled_events(spark, d))
+    csv_path, pq_path = scratch_path(spark, "ratio_csv"), scratch_path(spark, "ratio_parquet")
+    formats.write_two_formats(acc, csv_path, pq_path, ["event_type"])
+    sizes = files.storage_size(spark, csv_path, "csv").unionByName(files.storage_size(spark, pq_path, "parquet"))
+    return files.size_ratio(sizes, "csv", "parquet")
+
+
 @register("manifest_diff")
 def manifest_diff(spark, d):
     e = events(spark, d)

@@ -56,3 +56,15 @@ def test_fingerprint_detects_changed_row(spark):
     c = spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], "id int, s string")
     assert all(r["ok"] for r in fingerprint_checks(a, b.select("s", "id")).collect())
     assert [r["ok"] for r in fingerprint_checks(a, c).collect()] == [True, False]
+
+
+def test_month_set_ranges_matches_month_filter_and_pushes(spark, workdir):
+    from sluice.functions.time import month_set_ranges, months_in
+    seasons = {"winter": [12, 1, 2], "summer": [6, 7, 8]}
+    rows = [(dt.datetime(y, m, 15, 3),) for y in (2023, 2024) for m in range(1, 13)]
+    spark.createDataFrame(rows, "ts timestamp").write.parquet(workdir + "/m")
+    t = spark.read.parquet(workdir + "/m")
+    exact = sorted(r["ts"] for r in t.where(months_in("ts", seasons)).collect())
+    ranged = t.where(month_set_ranges("ts", [12, 1, 2, 6, 7, 8], 2023, 2024))
+    assert sorted(r["ts"] for r in ranged.collect()) == exact
+    assert "PushedFilters: [Or(" in ranged._jdf.queryExecution().executedPlan().toString()

@@ -22,7 +22,7 @@ def test_entry_smoke(spark):
 
 def test_every_key_has_oracle_or_is_file_metadata():
     rows_only = set(QUERIES) - set(SQL)
-    assert rows_only <= {"file_manifest", "storage_size", "manifest_diff"}
+    assert rows_only <= {"file_manifest", "storage_size", "manifest_diff", "size_ratio"}
 
 
 @pytest.fixture(scope="module")
