@@ -88,9 +88,9 @@ def local_profile(fact: DataFrame, dim: DataFrame, key: str, district: str, offs
     The fact is first reduced to (entity, season, UTC hour) sums and counts;
     the join then touches entities x seasons x 24 rows instead of every fact
     row.  For a fixed entity the UTC to local hour map is one-to-one, so the
-    groups are the same as joining first.  Levels 2 and 3 share one exchange:
-    the per-hour means are hash-partitioned on (district, season), which
-    satisfies the grouping of both levels.
+    groups are the same as joining first.  Level 2 is hashed on all of
+    (district, entity, season) and level 3 aggregates partially before its
+    shuffle, so a district holding most entities is still spread over tasks.
     """
     rows = fact.where(where) if where is not None else fact
     per_hour = (rows.groupBy(F.col(key), season.alias("season"), F.hour(ts).cast("int").alias("_utc_hour"))
@@ -100,7 +100,7 @@ def local_profile(fact: DataFrame, dim: DataFrame, key: str, district: str, offs
     level1 = joined.select(
         district, key, "season",
         F.pmod(F.col("_utc_hour") + F.col(offset), F.lit(24)).cast("int").alias("hour_local"),
-        F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).alias(MEAN)).repartition(district, "season")
+        F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).alias(MEAN))
     level2 = cycle_extremes(level1, [district, key, "season"], "hour_local", digits=None)
     return (level2.groupBy(district, "season")
             .agg(F.count(F.lit(1)).alias("entities"),
