@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions.sqltext import ident, text
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -37,12 +39,12 @@ def half_open(df: DataFrame | None, ts: str, start: str | None, end: str | None)
     type (timestamp or timestamp_ntz), so the predicate stays a plain
     comparison that Parquet can push down, and no schema lookup is needed.
     """
-    cond = F.lit(True)
+    parts = []
     if start is not None:
-        cond = cond & (F.col(ts) >= F.lit(start))
+        parts.append(f"{ident(ts)} >= {text(start)}")
     if end is not None:
-        cond = cond & (F.col(ts) < F.lit(end))
-    return cond
+        parts.append(f"{ident(ts)} < {text(end)}")
+    return F.expr(" AND ".join(parts) or "true")
 
 
 def month_index(ts) -> Column:
@@ -74,25 +76,27 @@ def month_range(df: DataFrame, ts: str, month_col: str, start: str | None,
     return cond
 
 
-def season_of_month(ts, seasons: Mapping[str, Sequence[int]]) -> Column:
+def _months(ms) -> str:
+    return ", ".join(str(int(m)) for m in ms)
+
+
+def season_of_month(ts: str, seasons: Mapping[str, Sequence[int]]) -> Column:
     """CASE over month numbers; months in no season give NULL."""
-    c = _col(ts)
-    expr = None
-    for label, months in seasons.items():
-        cond = F.month(c).isin(list(months))
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr
+    branches = " ".join(f"WHEN month({ident(ts)}) IN ({_months(ms)}) THEN {text(label)}"
+                        for label, ms in seasons.items())
+    return F.expr(f"CASE {branches} END")
 
 
-def months_in(ts, seasons: Mapping[str, Sequence[int]]) -> Column:
+def months_in(ts: str, seasons: Mapping[str, Sequence[int]]) -> Column:
     """Filter keeping only months that belong to some season."""
     months = sorted({m for ms in seasons.values() for m in ms})
-    return F.month(_col(ts)).isin(months)
+    return F.expr(f"month({ident(ts)}) IN ({_months(months)})")
 
 
-def half_of_month(ts, split_day: int = 15, labels: tuple[str, str] = ("first", "second")) -> Column:
+def half_of_month(ts: str, split_day: int = 15, labels: tuple[str, str] = ("first", "second")) -> Column:
     """Two-way season by day of month, for data that spans a single month."""
-    return F.when(F.dayofmonth(_col(ts)) <= split_day, F.lit(labels[0])).otherwise(F.lit(labels[1]))
+    return F.expr(f"CASE WHEN dayofmonth({ident(ts)}) <= {int(split_day)} THEN {text(labels[0])} "
+                  f"ELSE {text(labels[1])} END")
 
 
 def local_hour(ts, offset_hours) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.contract import Contract
-from sluice.functions.rules import reject_reason, rule_conditions
+from sluice.functions.rules import reject_reason, rule_sql
+from sluice.functions.sqltext import ident, text
 from sluice.functions.time import half_open
 from sluice.operators.checks import check_rows
 
@@ -39,15 +40,15 @@ def rule_hits(df: DataFrame, contract: Contract, rule_prefix: str, keep: Sequenc
     """Rows failing the contract rules whose id starts with ``rule_prefix``.
 
     Output: ``keep`` columns plus ``rule`` (the message).  One row per failing
-    (row, rule) pair, produced by one scan with ``inline`` over the hit list.
+    (row, rule) pair, produced by one scan with ``explode`` over the hit list.
     """
-    rules = [(rid, cond, msg) for rid, cond, msg in rule_conditions(contract, set(df.columns))
+    rules = [(rid, cond, msg) for rid, cond, msg in rule_sql(contract, set(df.columns))
              if rid.startswith(rule_prefix)]
     if not rules:
         raise ValueError(f"contract has no rule starting with {rule_prefix!r}")
-    hits = F.filter(F.array(*[F.when(cond, F.lit(msg)) for _, cond, msg in rules]),
-                    lambda x: x.isNotNull())
-    return (df.select(*keep, hits.alias("_hits")).where(F.size("_hits") > 0)
+    hits = ", ".join(f"CASE WHEN {cond} THEN {text(msg)} END" for _, cond, msg in rules)
+    return (df.select(*keep, F.expr(f"filter(array({hits}), x -> x IS NOT NULL) AS _hits"))
+            .where(F.size("_hits") > 0)
             .select(*keep, F.explode("_hits").alias("rule")))
 
 
@@ -55,17 +56,17 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     """NULL count and share per column, from one aggregate over all columns.
 
     Output rows ``(column_name, nulls, share)``; share is 0 for an empty input.
+    The one-row aggregate is unpivoted with ``stack``.
     """
     columns = list(columns or df.columns)
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"),
-                    *[F.count_if(F.col(c).isNull()).cast("bigint").alias(f"_n{i}")
+    counts = df.agg(F.expr("count(1) AS _rows"),
+                    *[F.expr(f"CAST(count_if({ident(c)} IS NULL) AS BIGINT) AS _n{i}")
                       for i, c in enumerate(columns)])
-    stacked = counts.select(
-        "_rows",
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("nulls"))
-                           for i, c in enumerate(columns)])))
-    share = F.when(F.col("_rows") > 0, F.col("nulls") / F.col("_rows")).otherwise(F.lit(0.0))
-    return stacked.select("column_name", "nulls", F.round(share, 6).alias("share"))
+    pairs = ", ".join(f"{text(c)}, _n{i}" for i, c in enumerate(columns))
+    return counts.selectExpr(
+        f"stack({len(columns)}, {pairs}) AS (column_name, nulls)", "_rows").selectExpr(
+        "column_name", "nulls",
+        "round(CASE WHEN _rows > 0 THEN nulls / _rows ELSE 0.0D END, 6) AS share")
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -117,10 +118,9 @@ def gate_metrics(contract: Contract, present: set[str]) -> list:
     Observing these on the write that splits accepted from rejected rows gives
     the reconciliation numbers without another scan of the raw input.
     """
-    reason = F.col(REASON)
-    metrics = [F.count(F.lit(1)).alias("raw"),
-               F.count_if(reason == "").alias("accepted"),
-               F.count_if(reason != "").alias("rejected")]
-    for rid, cond, _ in rule_conditions(contract, present):
-        metrics.append(F.count_if(cond).alias(f"hits[{rid}]"))
+    r = ident(REASON)
+    metrics = [F.expr("count(1) AS raw"), F.expr(f"count_if({r} = '') AS accepted"),
+               F.expr(f"count_if({r} <> '') AS rejected")]
+    for rid, cond, _ in rule_sql(contract, present):
+        metrics.append(F.expr(f"count_if({cond}) AS {ident(f'hits[{rid}]')}"))
     return metrics

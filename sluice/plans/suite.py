@@ -69,17 +69,15 @@ def dirty_events(df: DataFrame) -> DataFrame:
     """Events with defects injected by value band (same bands in the oracle SQL).
 
     k: blank text in [2, 2.3), NULL in [2.3, 2.5); ts: NULL in [1, 1.3);
-    d: the day after in [3, 3.3); v: NULL in [4, 4.3).
+    d: the day after in [3, 3.3); v: NULL in [4, 4.3).  Every row is kept.
     """
-    v = F.col("value")
-    band = lambda lo, hi: (v >= lo) & (v < hi)
-    return df.select(
+    return df.selectExpr(
         "event_id",
-        F.when(band(2.0, 2.3), F.lit("  ")).when(band(2.3, 2.5), F.lit(None).cast("string"))
-         .otherwise(F.col("event_type")).alias("k"),
-        F.when(band(1.0, 1.3), F.lit(None)).otherwise(F.col("ts")).alias("ts"),
-        F.when(band(3.0, 3.3), F.date_add(F.to_date("ts"), 1)).otherwise(F.to_date("ts")).alias("d"),
-        F.when(band(4.0, 4.3), F.lit(None).cast("double")).otherwise(v).alias("v"),
+        "CASE WHEN value >= 2.0 AND value < 2.3 THEN '  ' "
+        "WHEN value >= 2.3 AND value < 2.5 THEN CAST(NULL AS STRING) ELSE event_type END AS k",
+        "CASE WHEN value >= 1.0 AND value < 1.3 THEN NULL ELSE ts END AS ts",
+        "CASE WHEN value >= 3.0 AND value < 3.3 THEN date_add(to_date(ts), 1) ELSE to_date(ts) END AS d",
+        "CASE WHEN value >= 4.0 AND value < 4.3 THEN CAST(NULL AS DOUBLE) ELSE value END AS v",
     )
 
 

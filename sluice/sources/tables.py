@@ -20,16 +20,27 @@ def _view_name(path: str) -> str:
     return "sluice_t_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
 
+# Resolved table frames per (session, path).  A DataFrame is an immutable plan,
+# so handing out the same object again is safe; it is executed anew each time.
+_RESOLVED: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     path = f"{data_dir.rstrip('/')}/{name}.parquet"
-    view = _view_name(path)
-    if not spark.catalog.tableExists(view):
-        spark.read.parquet(path).createOrReplaceTempView(view)
-    return spark.table(view)
+    key = (id(spark), path)
+    df = _RESOLVED.get(key)
+    if df is None or df.sparkSession is not spark:
+        view = _view_name(path)
+        if not spark.catalog.tableExists(view):
+            spark.read.parquet(path).createOrReplaceTempView(view)
+        df = _RESOLVED[key] = spark.table(view)
+    return df
 
 
 def refresh(spark: SparkSession, data_dir: str, name: str) -> None:
-    spark.catalog.dropTempView(_view_name(f"{data_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    _RESOLVED.pop((id(spark), path), None)
+    spark.catalog.dropTempView(_view_name(path))
 
 
 def path_relation(spark: SparkSession, path: str, fmt: str = "parquet") -> str:
