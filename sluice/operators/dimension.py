@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions.sqltext import ident, text
+
 UNMATCHED = "Unmatched"
 
 
@@ -59,11 +61,12 @@ def measure_partials(df: DataFrame, key: str, measure: str) -> DataFrame:
     Pre-aggregating a fact before it meets a dimension shrinks the join input
     from one row per fact to one row per key; a hot key becomes one row.
     """
+    m = ident(measure)
     return df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(F.col(measure).cast("decimal(18,6)")).cast("decimal(38,6)").alias("_sum"),
-        F.min(measure).alias("_min"),
-        F.max(measure).alias("_max"))
+        F.expr("count(1) AS _rows"),
+        F.expr(f"CAST(sum(CAST({m} AS DECIMAL(18,6))) AS DECIMAL(38,6)) AS _sum"),
+        F.expr(f"min({m}) AS _min"),
+        F.expr(f"max({m}) AS _max"))
 
 
 def reroll_partials(partials: DataFrame, key: str) -> DataFrame:
@@ -86,13 +89,12 @@ def dimension_rollup(partials: DataFrame, dim: DataFrame, key: str, dim_key: str
     d = sized_broadcast(dim.select(F.col(dim_key).alias("_dk"), F.col(group).alias("_grp")), dim_max_rows,
                         broadcast)
     joined = partials.join(d, partials[key] == d["_dk"], "left")
-    rows = F.sum("_rows")
-    return (joined.groupBy(F.coalesce(F.col("_grp"), F.lit(unmatched)).alias(group))
-            .agg(F.count_distinct(key).alias("entities"),
-                 rows.alias("observations"),
-                 F.round(F.sum("_sum") / rows, digits).cast("double").alias("mean_value"),
-                 F.round(F.min("_min"), 1).alias("min_value"),
-                 F.round(F.max("_max"), 1).alias("max_value"))
+    return (joined.groupBy(F.expr(f"coalesce(_grp, {text(unmatched)}) AS {ident(group)}"))
+            .agg(F.expr(f"count(DISTINCT {ident(key)}) AS entities"),
+                 F.expr("sum(_rows) AS observations"),
+                 F.expr(f"CAST(round(sum(_sum) / sum(_rows), {int(digits)}) AS DOUBLE) AS mean_value"),
+                 F.expr("round(min(_min), 1) AS min_value"),
+                 F.expr("round(max(_max), 1) AS max_value"))
             .orderBy(F.desc("observations"), group))
 
 

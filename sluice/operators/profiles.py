@@ -13,34 +13,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.extremes import pos_of_max, pos_of_min
-from sluice.functions.text import distinct_text_list
+from sluice.functions.sqltext import ident
 from sluice.functions.time import half_open, local_hour
 from sluice.operators.dimension import sized_broadcast
 
 MEAN = "_mean"
 
 
+def _round(sql: str, digits: int | None) -> str:
+    return sql if digits is None else f"round({sql}, {int(digits)})"
+
+
 def hourly_profile(df: DataFrame, entity: str, ts: str, measure: str, start: str | None,
                    end: str | None, digits: int = 3) -> DataFrame:
     """Mean and count per entity and UTC hour over ``[start, end)``."""
     return (df.where(half_open(df, ts, start, end))
-            .groupBy(F.col(entity), F.hour(ts).cast("int").alias("hour_utc"))
-            .agg(F.round(F.avg(measure), digits).alias("mean_value"),
-                 F.count(F.lit(1)).alias("observations"))
+            .groupBy(F.col(entity), F.expr(f"CAST(hour({ident(ts)}) AS INT) AS hour_utc"))
+            .agg(F.expr(f"{_round(f'avg({ident(measure)})', digits)} AS mean_value"),
+                 F.expr("count(1) AS observations"))
             .orderBy(entity, "hour_utc"))
 
 
 def cycle_extremes(level1: DataFrame, group: Sequence[str], pos: str, digits: int | None = 2) -> DataFrame:
-    """Second level: min, max, amplitude of the per-position means, and where they occur."""
-    lo, hi = F.min(MEAN), F.max(MEAN)
-    r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    """Second level: min, max, amplitude of the per-position means, and where they occur.
+
+    The positions of the extremes break ties on the earliest position
+    (``min_by``/``max_by`` ordered by ``(mean, pos)`` and ``(mean, -pos)``).
+    """
+    p, m = ident(pos), ident(MEAN)
     return level1.groupBy(*group).agg(
-        r(lo).alias("min_mean"),
-        r(hi).alias("max_mean"),
-        r(hi - lo).alias("amplitude"),
-        pos_of_min(pos, MEAN).alias(f"min_{pos}"),
-        pos_of_max(pos, MEAN).alias(f"max_{pos}"),
+        F.expr(f"{_round(f'min({m})', digits)} AS min_mean"),
+        F.expr(f"{_round(f'max({m})', digits)} AS max_mean"),
+        F.expr(f"{_round(f'max({m}) - min({m})', digits)} AS amplitude"),
+        F.expr(f"min_by({p}, struct({m}, {p})) AS {ident('min_' + pos)}"),
+        F.expr(f"max_by({p}, struct({m}, -{p})) AS {ident('max_' + pos)}"),
     )
 
 
@@ -62,8 +68,10 @@ def value_at_extreme(df: DataFrame, entity: str, measure: str, position: Column,
                      pos: str = "hour") -> DataFrame:
     """Position of the lowest and highest mean per entity (earliest wins a tie)."""
     level1 = df.groupBy(F.col(entity), position.cast("int").alias(pos)).agg(F.avg(measure).alias(MEAN))
+    p, m = ident(pos), ident(MEAN)
     return (level1.groupBy(entity)
-            .agg(pos_of_min(pos, MEAN).alias(f"min_{pos}"), pos_of_max(pos, MEAN).alias(f"max_{pos}"))
+            .agg(F.expr(f"min_by({p}, struct({m}, {p})) AS {ident('min_' + pos)}"),
+                 F.expr(f"max_by({p}, struct({m}, -{p})) AS {ident('max_' + pos)}"))
             .orderBy(entity))
 
 
@@ -71,7 +79,7 @@ def distinct_positions(df: DataFrame, entity: str, position: Column, where: Colu
                        name: str = "hours") -> DataFrame:
     """Per entity, the distinct positions where ``where`` holds, as sorted text."""
     return (df.where(where).groupBy(entity)
-            .agg(distinct_text_list(position.cast("int")).alias(name))
+            .agg(F.array_join(F.array_sort(F.collect_set(position.cast("int").cast("string"))), ",").alias(name))
             .orderBy(entity))
 
 
@@ -93,22 +101,24 @@ def local_profile(fact: DataFrame, dim: DataFrame, key: str, district: str, offs
     shuffle, so a district holding most entities is still spread over tasks.
     """
     rows = fact.where(where) if where is not None else fact
-    per_hour = (rows.groupBy(F.col(key), season.alias("season"), F.hour(ts).cast("int").alias("_utc_hour"))
-                .agg(F.sum(measure).alias("_sum"), F.count(measure).alias("_n")))
+    per_hour = (rows.groupBy(F.col(key), season.alias("season"),
+                             F.expr(f"CAST(hour({ident(ts)}) AS INT) AS _utc_hour"))
+                .agg(F.expr(f"sum({ident(measure)}) AS _sum"), F.expr(f"count({ident(measure)}) AS _n")))
     joined = per_hour.join(sized_broadcast(dim.select(key, district, offset), dim_max_rows, broadcast),
                            key, "inner")
-    level1 = joined.select(
-        district, key, "season",
-        F.pmod(F.col("_utc_hour") + F.col(offset), F.lit(24)).cast("int").alias("hour_local"),
-        F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).alias(MEAN))
+    level1 = joined.selectExpr(
+        ident(district), ident(key), "season",
+        f"CAST(pmod(_utc_hour + {ident(offset)}, 24) AS INT) AS hour_local",
+        f"CASE WHEN _n > 0 THEN _sum / _n END AS {ident(MEAN)}")
     level2 = cycle_extremes(level1, [district, key, "season"], "hour_local", digits=None)
+    text_list = "array_join(array_sort(collect_set(CAST({} AS STRING))), ',')"
     return (level2.groupBy(district, "season")
-            .agg(F.count(F.lit(1)).alias("entities"),
-                 F.round(F.avg("amplitude"), digits).alias("mean_amplitude"),
-                 F.round(F.min("amplitude"), digits).alias("min_amplitude"),
-                 F.round(F.max("amplitude"), digits).alias("max_amplitude"),
-                 distinct_text_list("min_hour_local").alias("coldest_hours"),
-                 distinct_text_list("max_hour_local").alias("warmest_hours"))
+            .agg(F.expr("count(1) AS entities"),
+                 F.expr(f"round(avg(amplitude), {int(digits)}) AS mean_amplitude"),
+                 F.expr(f"round(min(amplitude), {int(digits)}) AS min_amplitude"),
+                 F.expr(f"round(max(amplitude), {int(digits)}) AS max_amplitude"),
+                 F.expr(text_list.format("min_hour_local") + " AS coldest_hours"),
+                 F.expr(text_list.format("max_hour_local") + " AS warmest_hours"))
             .orderBy("season", F.desc("mean_amplitude"), district))
 
 
@@ -125,18 +135,18 @@ def season_pivot(profile: DataFrame, entity: str, seasons: Sequence[str], value:
 
 def control_aggregate(df: DataFrame, entity: str, measure: str) -> DataFrame:
     """Order-independent fingerprint: rows, entities, exact decimal sum and mean."""
-    dec = F.col(measure).cast("decimal(18,6)")
-    return df.agg(F.count(F.lit(1)).alias("observations"),
-                  F.count_distinct(entity).alias("entities"),
-                  F.sum(dec).cast("decimal(38,6)").alias("sum_value"),
-                  F.round(F.avg(dec), 6).cast("double").alias("mean_value"))
+    dec = f"CAST({ident(measure)} AS DECIMAL(18,6))"
+    return df.agg(F.expr("count(1) AS observations"),
+                  F.expr(f"count(DISTINCT {ident(entity)}) AS entities"),
+                  F.expr(f"CAST(sum({dec}) AS DECIMAL(38,6)) AS sum_value"),
+                  F.expr(f"CAST(round(avg({dec}), 6) AS DOUBLE) AS mean_value"))
 
 
 def table_summary(df: DataFrame, entity: str, ts: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("observations"),
-                  F.count_distinct(entity).alias("entities"),
-                  F.min(ts).alias("first_observation"),
-                  F.max(ts).alias("last_observation"))
+    return df.agg(F.expr("count(1) AS observations"),
+                  F.expr(f"count(DISTINCT {ident(entity)}) AS entities"),
+                  F.expr(f"min({ident(ts)}) AS first_observation"),
+                  F.expr(f"max({ident(ts)}) AS last_observation"))
 
 
 def first_rows(df: DataFrame, order: Sequence[str], columns: Sequence[str], n: int = 10) -> DataFrame:
@@ -145,9 +155,9 @@ def first_rows(df: DataFrame, order: Sequence[str], columns: Sequence[str], n: i
 
 
 def filtered_aggregate(df: DataFrame, where: Column, measure: str) -> DataFrame:
-    dec = F.col(measure).cast("decimal(18,6)")
-    return df.where(where).agg(F.count(F.lit(1)).alias("rows"),
-                               F.round(F.avg(dec), 6).cast("double").alias("mean_value"))
+    dec = f"CAST({ident(measure)} AS DECIMAL(18,6))"
+    return df.where(where).agg(F.expr("count(1) AS rows"),
+                               F.expr(f"CAST(round(avg({dec}), 6) AS DOUBLE) AS mean_value"))
 
 
 __all__ = [
