@@ -63,6 +63,9 @@ class Contract:
     ranges: tuple[RangeRule, ...] = ()
     corrupt_column: str | None = "_corrupt_record"
     messages: dict = field(default_factory=dict)
+    # ``trim`` strips spaces only, so a key made of a tab is not blank; set
+    # this to treat any whitespace-only text as blank.
+    blank_whitespace: bool = False
 
     @property
     def names(self) -> list[str]:

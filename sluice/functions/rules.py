@@ -31,7 +31,8 @@ def rule_sql(contract: Contract, present: set[str] | None = None) -> list[tuple[
     for name in contract.required:
         c = ident(name)
         if name in contract.blank:
-            rules.append((f"blank:{name}", f"({c} IS NULL OR trim({c}) = '')", contract.message("blank", name)))
+            empty = f"{c} RLIKE '^\\\\s*$'" if contract.blank_whitespace else f"trim({c}) = ''"
+            rules.append((f"blank:{name}", f"({c} IS NULL OR {empty})", contract.message("blank", name)))
         else:
             rules.append((f"missing:{name}", f"{c} IS NULL", contract.message("missing", name)))
     for rule in contract.same_day:

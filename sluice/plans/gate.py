@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from sluice.contract import Contract
 from sluice.operators import quality
-from sluice.operators.checks import check_rows
+from sluice.operators.checks import assert_checks, check_rows
 
 VERDICT = "verdict"
 
@@ -41,28 +41,46 @@ class GateResult:
     def rejected(self, spark: SparkSession) -> DataFrame:
         return self._read(spark).where(F.col(VERDICT) == "rejected").drop(VERDICT)
 
-    def checks(self, spark: SparkSession) -> DataFrame:
-        """Observed counts against the written dataset, one aggregate over it."""
+    def duplicate_keys(self, spark: SparkSession, contract: Contract) -> DataFrame:
+        """Accepted rows sharing a contract key (must be empty)."""
+        return quality.duplicate_keys(self.accepted(spark, contract), list(contract.key))
+
+    def checks(self, spark: SparkSession, contract: Contract | None = None) -> DataFrame:
+        """Observed counts against the written dataset, plus the key check when a
+        contract with a key is given."""
         m = self.metrics
         written = self._read(spark).agg(
             F.count_if(F.col(VERDICT) == "accepted").alias("acc"),
             F.count_if(F.col(VERDICT) == "rejected").alias("rej"))
-        return check_rows(written, [
+        rows = [
             ("raw_not_empty", F.lit(1), F.lit(min(m["raw"], 1))),
             ("raw_equals_accepted_plus_rejected", F.lit(m["raw"]), F.lit(m["accepted"] + m["rejected"])),
             ("accepted_written", F.lit(m["accepted"]), F.col("acc")),
             ("rejected_written", F.lit(m["rejected"]), F.col("rej")),
-        ])
-
-
-def run_gate(raw: DataFrame, contract: Contract, root: str) -> GateResult:
+        ]
+        if contract is not None and contract.key:
+            dups = self.duplicate_keys(spark, contract).agg(F.count(F.lit(1)).alias("dups"))
+            folded = (written.select("acc", "rej", F.lit(None).cast("bigint").alias("dups"))
+                      .unionByName(dups.select(F.lit(None).cast("bigint").alias("acc"),
+                                               F.lit(None).cast("bigint").alias("rej"), "dups"))
+                      .agg(F.max("acc").alias("acc"), F.max("rej").alias("rej"), F.max("dups").alias("dups")))
+            return check_rows(folded, rows + [("accepted_duplicate_keys", F.lit(0), F.col("dups"))])
+        return check_rows(written, rows)
+
+
+def run_gate(raw: DataFrame, contract: Contract, root: str, strict: bool = False) -> GateResult:
+    """Label, split and write ``raw``; with ``strict`` raise :class:`CheckFailed`
+    when a reconciliation check or the key check fails."""
     labelled = quality.label(raw, contract)
     obs = Observation("gate")
     observed = labelled.observe(obs, *quality.gate_metrics(contract, set(raw.columns)))
     verdict = F.when(F.col(quality.REASON) == "", F.lit("accepted")).otherwise(F.lit("rejected"))
     (observed.withColumn(VERDICT, verdict)
      .write.mode("overwrite").option("compression", "snappy").partitionBy(VERDICT).parquet(root))
-    return GateResult(root, labelled.schema, obs.get)
+    result = GateResult(root, labelled.schema, obs.get)
+    if strict:
+        assert_checks(result.checks(raw.sparkSession, contract))
+    return result
 
 
 def write_rejects(rejected: DataFrame, path: str) -> int:

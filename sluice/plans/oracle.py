@@ -233,7 +233,10 @@ SELECT 'raw_not_empty' AS "check", CAST(1 AS BIGINT) AS expected, CAST(least(raw
        least(raw, 1) = 1 AS ok FROM c
 UNION ALL SELECT 'raw_equals_accepted_plus_rejected', raw, CAST(acc + rej AS BIGINT), raw = acc + rej FROM c
 UNION ALL SELECT 'accepted_written', acc, acc, true FROM c
-UNION ALL SELECT 'rejected_written', rej, rej, true FROM c"""
+UNION ALL SELECT 'rejected_written', rej, rej, true FROM c
+UNION ALL SELECT 'accepted_duplicate_keys', 0, d, d = 0
+FROM (SELECT count(*) AS d FROM (SELECT k, ts FROM {CSV_LABELLED} WHERE reject_reason = ''
+                                 GROUP BY k, ts HAVING count(*) > 1))"""
 
 SQL["contract_columns"] = """
 SELECT column_name, true AS in_file, true AS in_contract FROM (DESCRIBE events)"""

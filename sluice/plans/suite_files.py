@@ -88,7 +88,7 @@ def csv_permissive_scan(spark, d):
 def quality_gate(spark, d):
     path, c = _dirty_csv(spark, d)
     result = gate.run_gate(read_permissive(spark, path, c), c, scratch_path(spark, "gate"))
-    return result.checks(spark)
+    return result.checks(spark, c)
 
 
 @register("contract_columns")
@@ -277,7 +277,7 @@ def season_pivot(spark, d):
     path = write_csv(prof.select("o_orderpriority", "season", "amplitude"), scratch_path(spark, "export"))
     back = (spark.read.schema("o_orderpriority string, season string, amplitude string")
             .option("header", True).csv(path)
-            .withColumn("amplitude", F.col("amplitude").cast("double")))
+            .withColumn("amplitude", F.col("amplitude").try_cast("double")))
     return profiles.season_pivot(back, "o_orderpriority", ["summer", "winter"])
 
 

@@ -107,3 +107,25 @@ def test_empty_reject_set_roundtrip(spark, workdir):
     lab = quality.label(read_permissive(spark, write(workdir, HEADER, LINES[:1]), c), c)
     rows = gate.reject_roundtrip(spark, quality.rejected(lab), os.path.join(workdir, "rej")).collect()
     assert rows[0]["expected"] == 0 and rows[0]["actual"] == 0 and rows[0]["ok"]
+
+
+def test_whitespace_blank_option(spark, workdir):
+    import dataclasses
+    c = dataclasses.replace(fixture_contract(), blank_whitespace=True)
+    lab = quality.label(read_permissive(spark, write(workdir, HEADER, LINES), c), c)
+    got = {r["k"]: r["reject_reason"] for r in lab.select("k", "reject_reason").collect()}
+    assert got[" \t"] == "k blank"
+    assert got["a"] == ""
+
+
+def test_strict_gate_raises_on_duplicate_key(spark, workdir):
+    from sluice.operators.checks import CheckFailed
+    c = fixture_contract()
+    src = os.path.join(workdir, "src")
+    os.makedirs(src)
+    write(src, HEADER, LINES[:1] + LINES[:1])
+    with pytest.raises(CheckFailed):
+        gate.run_gate(read_permissive(spark, src, c), c, os.path.join(workdir, "out"), strict=True)
+    ok = gate.run_gate(read_permissive(spark, src, c), c, os.path.join(workdir, "out2"))
+    rows = {r["check"]: r["actual"] for r in ok.checks(spark, c).collect()}
+    assert rows["accepted_duplicate_keys"] == 1
