@@ -325,5 +325,6 @@ def catalog_table(spark, d):
     """Two-batch load registered as a catalog table, then summarised through the catalog."""
     from sluice.sources.tables import register_catalog_table
     t = _lineitem_load(spark, d)[0]
-    tbl = register_catalog_table(spark, "sluice_lake", "lineitem_loaded", t.path)
+    tbl = register_catalog_table(spark, "sluice_lake", "lineitem_loaded", t.path,
+                                 database_location=scratch_path(spark, "warehouse"))
     return profiles.table_summary(tbl, "l_orderkey", "l_shipdate")

@@ -51,13 +51,15 @@ def path_relation(spark: SparkSession, path: str, fmt: str = "parquet") -> str:
 
 
 def register_catalog_table(spark: SparkSession, database: str, name: str, path: str,
-                           partitioned: bool = True) -> DataFrame:
+                           partitioned: bool = True, database_location: str | None = None) -> DataFrame:
     """Expose a loaded Parquet dataset as ``database.name`` in the session catalog.
 
-    The namespace is created if missing; the table points at the existing
-    files (no copy), and its partitions are recovered from the directories.
+    The namespace is created if missing (at ``database_location`` when given,
+    else in the configured warehouse); the table points at the existing files
+    (no copy), and its partitions are recovered from the directories.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    where = f" LOCATION '{database_location}'" if database_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
     spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
     if partitioned:
