@@ -69,13 +69,6 @@ def measure_partials(df: DataFrame, key: str, measure: str) -> DataFrame:
         F.expr(f"max({m}) AS _max"))
 
 
-def reroll_partials(partials: DataFrame, key: str) -> DataFrame:
-    """Merge partial stats onto a coarser key (after a join adds it)."""
-    return partials.groupBy(key).agg(
-        F.sum("_rows").alias("_rows"), F.sum("_sum").cast("decimal(38,6)").alias("_sum"),
-        F.min("_min").alias("_min"), F.max("_max").alias("_max"))
-
-
 def dimension_rollup(partials: DataFrame, dim: DataFrame, key: str, dim_key: str, group: str,
                      unmatched: str = UNMATCHED, digits: int = 2, dim_max_rows: int = 1_000_000,
                      broadcast: str = "auto") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.sqltext import ident
-from sluice.functions.time import half_open, local_hour
+from sluice.functions.time import half_open
 from sluice.operators.dimension import sized_broadcast
 
 MEAN = "_mean"
@@ -163,5 +163,5 @@ def filtered_aggregate(df: DataFrame, where: Column, measure: str) -> DataFrame:
 __all__ = [
     "hourly_profile", "seasonal_profile", "value_at_extreme", "distinct_positions", "local_profile",
     "season_pivot", "control_aggregate", "table_summary", "first_rows", "filtered_aggregate",
-    "cycle_extremes", "local_hour",
+    "cycle_extremes",
 ]

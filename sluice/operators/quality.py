@@ -101,6 +101,15 @@ def completeness(df: DataFrame, entity: str, ts: str, start: str, end: str) -> D
             .orderBy(entity))
 
 
+def row_counts(labelled: DataFrame, ts: str) -> DataFrame:
+    """One row: raw rows, rows whose time parsed, accepted, rejected (one aggregate)."""
+    r = ident(REASON)
+    return labelled.agg(F.expr("count(1) AS raw"),
+                        F.expr(f"count({ident(ts)}) AS ts_parsed"),
+                        F.expr(f"count_if({r} = '') AS accepted"),
+                        F.expr(f"count_if({r} <> '') AS rejected"))
+
+
 def reconciliation(labelled: DataFrame) -> DataFrame:
     """raw not empty and raw = accepted + rejected, from one aggregate."""
     counts = labelled.agg(F.count(F.lit(1)).alias("raw"),

@@ -327,3 +327,8 @@ SQL["catalog_table"] = """
 SELECT count(*) AS observations, count(DISTINCT l_orderkey) AS entities,
        min(l_shipdate) AS first_observation, max(l_shipdate) AS last_observation
 FROM lineitem"""
+
+SQL["row_counts"] = f"""
+SELECT count(*) AS raw, count(ts) AS ts_parsed, count_if(reject_reason = '') AS accepted,
+       count_if(reject_reason <> '') AS rejected
+FROM {CSV_LABELLED}"""

@@ -84,6 +84,13 @@ def csv_permissive_scan(spark, d):
     return lab.select(*c.names, F.col(c.corrupt_column).isNotNull().alias("corrupt"), quality.REASON)
 
 
+@register("row_counts")
+def row_counts(spark, d):
+    """Raw, time-parsed, accepted and rejected rows of the dirty CSV, in one aggregate."""
+    path, c = _dirty_csv(spark, d)
+    return quality.row_counts(quality.label(read_permissive(spark, path, c), c), "ts")
+
+
 @register("quality_gate")
 def quality_gate(spark, d):
     path, c = _dirty_csv(spark, d)

@@ -73,7 +73,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, asked of the Hadoop file system that owns it."""
-    jvm = spark.sparkContext._jvm
+    """Whether ``path`` exists, asked of the Hadoop file system that owns it.
+
+    Sessions without a JVM gateway (Spark Connect) fall back to listing the
+    path through the ``binaryFile`` source.
+    """
+    try:
+        sc = spark.sparkContext
+        jvm = sc._jvm
+    except Exception:  # noqa: BLE001 - no SparkContext on this client
+        jvm = None
+    if jvm is None:
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath))

@@ -68,3 +68,13 @@ def test_month_set_ranges_matches_month_filter_and_pushes(spark, workdir):
     ranged = t.where(month_set_ranges("ts", [12, 1, 2, 6, 7, 8], 2023, 2024))
     assert sorted(r["ts"] for r in ranged.collect()) == exact
     assert "PushedFilters: [Or(" in ranged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_profile_empty_and_counts(spark):
+    from sluice.operators.quality import null_profile
+    empty = spark.createDataFrame([], "a int, b string")
+    assert {(r["column_name"], r["nulls"], r["share"]) for r in null_profile(empty).collect()} == \
+        {("a", 0, 0.0), ("b", 0, 0.0)}
+    df = spark.createDataFrame([(1, None), (None, None), (3, "x"), (4, "y")], "a int, b string")
+    got = {r["column_name"]: (r["nulls"], r["share"]) for r in null_profile(df).collect()}
+    assert got == {"a": (1, 0.25), "b": (2, 0.5)}
