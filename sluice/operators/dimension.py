@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.sqltext import ident, text
+from sluice.functions.sqltext import ident, number, text
 
 UNMATCHED = "Unmatched"
 
@@ -37,9 +37,33 @@ def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000, mode: str = "auto"
     raise ValueError(f"unknown broadcast mode {mode}")
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, (int, float)):
+        return number(value)
+    return text(str(value))
+
+
 def inline_dimension(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
-    """A small dimension given as literal rows (``VALUES`` in SQL)."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small dimension given as literal rows: a SQL ``VALUES`` relation.
+
+    It is planned as a local relation with exact size statistics (one
+    partition, no RDD behind it), so joins against it broadcast it, and its
+    size is bounded by the literal list itself.
+    """
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    names = [f.name for f in st.fields]
+    if not rows:
+        return spark.createDataFrame([], st)
+    values = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
+    cols = ", ".join(f"CAST(col{i + 1} AS {f.dataType.simpleString()}) AS {ident(f.name)}"
+                     for i, f in enumerate(st.fields))
+    df = spark.sql(f"SELECT {cols} FROM VALUES {values}")
+    assert df.columns == names
+    return df
 
 
 def register_dimension(df: DataFrame, name: str) -> DataFrame:
