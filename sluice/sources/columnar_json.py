@@ -53,8 +53,9 @@ def explode_columnar(objects: DataFrame, time_field: str, values: Sequence[str],
     zipped = F.arrays_zip(F.col(f"{arrays}.{time_field}").alias("_t"),
                           *[F.col(f"{arrays}.{v}").alias(v) for v in values])
     rows = objects.where(ok).select(*keep, F.inline(zipped))
-    to_ts = F.to_timestamp_ntz if ntz else F.to_timestamp
-    rows = rows.select(*keep, to_ts(F.col("_t"), F.lit(time_format)).alias(ts_name), *values)
+    parsed = (F.to_timestamp_ntz(F.col("_t"), F.lit(time_format)) if ntz
+              else F.to_timestamp(F.col("_t"), time_format))
+    rows = rows.select(*keep, parsed.alias(ts_name), *values)
     if date_name:
         rows = rows.withColumn(date_name, F.to_date(ts_name))
     rejected = objects.where(~ok).withColumn("reject_reason", F.lit("value arrays differ in length from time"))
