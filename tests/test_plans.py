@@ -33,3 +33,34 @@ def test_time_bounds_are_pushed(spark):
 def test_column_pruning(spark):
     p = plan(spark, "control_aggregate")
     assert "ReadSchema: struct<event_type:string,value:double>" in p
+
+
+def test_shuffle_joins_take_aggregated_inputs(spark):
+    """With broadcast off, the join audit and the rollup join per-key aggregates."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ["join_audit", "dimension_rollup"]:
+            p = plan(spark, name)
+            assert "SortMergeJoin" in p, name
+            fact_scans = re.findall(r"FileScan parquet \[([^\]]*)\]", p)
+            assert fact_scans, name
+            # the fact side reaches its exchange only through a partial aggregate
+            for m in re.finditer(r"Exchange hashpartitioning\((o_custkey|event_type)[^\n]*\n\s*\+- ([^\n]*)", p):
+                assert "HashAggregate" in m.group(2), (name, m.group(2))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_hot_key_results(spark):
+    """One key holding a third of the rows: audit and profile results stay exact."""
+    from pyspark.sql import functions as F
+    from sluice.operators import dimension
+    base = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 97).cast("string")))
+        .alias("k"), (F.col("id") % 24).alias("h"), (F.col("id") % 11).cast("double").alias("v"))
+    dim = spark.createDataFrame([("hot", "A"), ("k1", "B")], "k string, grp string")
+    a = dimension.join_audit(base, dim, "k").first()
+    assert (a["before_join"], a["after_join"]) == (30000, 30000)
+    assert a["unmatched_rows"] == 30000 - 10000 - base.where("k = 'k1'").count()
