@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sluice.functions.sqltext import ident, text
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -24,10 +26,10 @@ def number_text(c) -> Column:
     )
 
 
-def distinct_text_list(c, sep: str = ",") -> Column:
-    """Aggregate: distinct values as text, sorted as text, joined by ``sep``.
+def distinct_text_list(c: str, sep: str = ",") -> Column:
+    """Aggregate: distinct values of column ``c`` as text, sorted as text, joined by ``sep``.
 
     Text order is deliberate (``19,9``).  The set holds distinct values only,
     so its size is bounded by the value domain, not by the group size.
     """
-    return F.array_join(F.array_sort(F.collect_set(_col(c).cast("string"))), sep)
+    return F.expr(f"array_join(array_sort(collect_set(CAST({ident(c)} AS STRING))), {text(sep)})")

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.extremes import pos_of_max, pos_of_min
 from sluice.functions.sqltext import ident
+from sluice.functions.text import distinct_text_list
 from sluice.functions.time import half_open
 from sluice.operators.dimension import sized_broadcast
 
@@ -40,13 +42,13 @@ def cycle_extremes(level1: DataFrame, group: Sequence[str], pos: str, digits: in
     The positions of the extremes break ties on the earliest position
     (``min_by``/``max_by`` ordered by ``(mean, pos)`` and ``(mean, -pos)``).
     """
-    p, m = ident(pos), ident(MEAN)
+    m = ident(MEAN)
     return level1.groupBy(*group).agg(
         F.expr(f"{_round(f'min({m})', digits)} AS min_mean"),
         F.expr(f"{_round(f'max({m})', digits)} AS max_mean"),
         F.expr(f"{_round(f'max({m}) - min({m})', digits)} AS amplitude"),
-        F.expr(f"min_by({p}, struct({m}, {p})) AS {ident('min_' + pos)}"),
-        F.expr(f"max_by({p}, struct({m}, -{p})) AS {ident('max_' + pos)}"),
+        pos_of_min(pos, MEAN).alias(f"min_{pos}"),
+        pos_of_max(pos, MEAN).alias(f"max_{pos}"),
     )
 
 
@@ -68,18 +70,16 @@ def value_at_extreme(df: DataFrame, entity: str, measure: str, position: Column,
                      pos: str = "hour") -> DataFrame:
     """Position of the lowest and highest mean per entity (earliest wins a tie)."""
     level1 = df.groupBy(F.col(entity), position.cast("int").alias(pos)).agg(F.avg(measure).alias(MEAN))
-    p, m = ident(pos), ident(MEAN)
     return (level1.groupBy(entity)
-            .agg(F.expr(f"min_by({p}, struct({m}, {p})) AS {ident('min_' + pos)}"),
-                 F.expr(f"max_by({p}, struct({m}, -{p})) AS {ident('max_' + pos)}"))
+            .agg(pos_of_min(pos, MEAN).alias(f"min_{pos}"), pos_of_max(pos, MEAN).alias(f"max_{pos}"))
             .orderBy(entity))
 
 
 def distinct_positions(df: DataFrame, entity: str, position: Column, where: Column,
                        name: str = "hours") -> DataFrame:
     """Per entity, the distinct positions where ``where`` holds, as sorted text."""
-    return (df.where(where).groupBy(entity)
-            .agg(F.array_join(F.array_sort(F.collect_set(position.cast("int").cast("string"))), ",").alias(name))
+    return (df.where(where).select(entity, position.cast("int").alias("_pos")).groupBy(entity)
+            .agg(distinct_text_list("_pos").alias(name))
             .orderBy(entity))
 
 
@@ -111,14 +111,13 @@ def local_profile(fact: DataFrame, dim: DataFrame, key: str, district: str, offs
         f"CAST(pmod(_utc_hour + {ident(offset)}, 24) AS INT) AS hour_local",
         f"CASE WHEN _n > 0 THEN _sum / _n END AS {ident(MEAN)}")
     level2 = cycle_extremes(level1, [district, key, "season"], "hour_local", digits=None)
-    text_list = "array_join(array_sort(collect_set(CAST({} AS STRING))), ',')"
     return (level2.groupBy(district, "season")
             .agg(F.expr("count(1) AS entities"),
                  F.expr(f"round(avg(amplitude), {int(digits)}) AS mean_amplitude"),
                  F.expr(f"round(min(amplitude), {int(digits)}) AS min_amplitude"),
                  F.expr(f"round(max(amplitude), {int(digits)}) AS max_amplitude"),
-                 F.expr(text_list.format("min_hour_local") + " AS coldest_hours"),
-                 F.expr(text_list.format("max_hour_local") + " AS warmest_hours"))
+                 distinct_text_list("min_hour_local").alias("coldest_hours"),
+                 distinct_text_list("max_hour_local").alias("warmest_hours"))
             .orderBy("season", F.desc("mean_amplitude"), district))
 
 
