@@ -25,3 +25,22 @@ def test_explode_and_reject_short_arrays(spark, workdir):
     assert got == [("x", "2024-01-01 00:00:00", -3.5, 10, "2024-01-01"),
                    ("x", "2024-01-01 01:00:00", None, 20, "2024-01-01")]
     assert [r["city"] for r in rejected.collect()] == ["y"]
+
+
+def test_writer_bounds_objects_for_a_hot_key(spark, workdir):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from sluice.sources.columnar_json import write_columnar
+    rows = spark.range(5000).select(F.lit("hot").alias("k"),
+                                    (F.lit(dt.datetime(2024, 1, 1)) + F.make_interval(secs=F.col("id"))).alias("ts"),
+                                    F.col("id").cast("double").alias("v"))
+    out = workdir + "/obj"
+    write_columnar(rows, out, ["k"], "ts", ["v"], time_format="yyyy-MM-dd'T'HH:mm:ss", max_elements=512)
+    schema = columnar_schema([T.StructField("k", T.StringType())], "time", [T.StructField("v", T.DoubleType())])
+    objs = read_columnar(spark, out, schema)
+    sizes = [r["n"] for r in objs.select(F.size("hourly.time").alias("n")).collect()]
+    assert max(sizes) <= 512 and sum(sizes) == 5000
+    back, _ = explode_columnar(objs, "time", ["v"], time_format="yyyy-MM-dd'T'HH:mm:ss")
+    assert back.count() == 5000 and back.select("v").distinct().count() == 5000
