@@ -46,3 +46,17 @@ def test_batch_coverage_flags_null_times(spark):
     rows = {r["check"]: r["ok"] for r in batches.batch_coverage(df, "ts", "2024-03-01").collect()}
     assert rows["batches_cover_input"] is False
     assert F is not None
+
+
+def test_failed_load_leaves_no_ledger_row(spark, workdir):
+    t = batches.PartitionedTable(os.path.join(workdir, "t"), "ts", "month")
+    df = make(spark)
+    first, second = batches.split_batches(df, "ts", "2024-03-01")
+    batches.load_batch(first, t, "overwrite")
+    broken = second.withColumn("id", F.when(F.col("id") == 150, F.raise_error(F.lit("bad row")))
+                               .otherwise(F.col("id")))
+    with pytest.raises(Exception):
+        batches.load_batch(broken, t, "append")
+    led = batches.ledger(spark, t).collect()
+    assert [r["load_no"] for r in led] == [1]
+    assert spark.read.parquet(t.path).count() == first.count()
