@@ -47,10 +47,13 @@ def build_session(master: str = "local[*]", app: str = "sluice",
     return spark
 
 
-def apply_conf(spark: SparkSession) -> None:
-    """Apply the runtime settings to a session built elsewhere."""
+def apply_conf(spark: SparkSession, force: bool = False) -> None:
+    """Apply the runtime settings to a session built elsewhere (once per session)."""
+    if getattr(spark, "_sluice_conf_applied", False) and not force:
+        return
     for key, value in BASE_CONF.items():
         spark.conf.set(key, value)
+    spark._sluice_conf_applied = True
 
 
 def checkpoint_root(spark: SparkSession) -> str:
