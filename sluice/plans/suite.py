@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluice.contract import Contract, Period, RangeRule, SameDay
 from sluice.functions.time import half_of_month, half_open, months_in, season_of_month
@@ -277,4 +276,4 @@ def csv_number_text(spark, d):
                      number_text("l_tax").alias("tax_text"))
 
 
-__all__ = ["REGISTRY", "register", "T"]
+__all__ = ["REGISTRY", "register"]
