@@ -28,7 +28,7 @@ from sluice.session import path_exists
 MONTH = "month_idx"
 TRANSFORMS = {"month": month_index, "day": day_index}
 LEDGER_SCHEMA = ("load_no int, parent_load_no int, operation string, added_records bigint, "
-                 "added_files bigint, partitions bigint")
+                 "added_files bigint, partitions bigint, committed_at timestamp, summary map<string,string>")
 
 
 @dataclass(frozen=True)
@@ -72,9 +72,12 @@ def _check_boundary(spark: SparkSession, boundary: str, transform: str) -> None:
 
 
 def ledger(spark: SparkSession, table: PartitionedTable) -> DataFrame:
-    """Ledger rows with ``total_records`` as a running sum over load numbers.
+    """Ledger rows with ``total_records`` as a running sum of added rows.
 
-    The ledger holds one row per load, so the unpartitioned window is tiny.
+    The running sum counts every load since the first; after a later full
+    overwrite the table holds only that load's rows, which the entry's
+    ``summary['total-records']`` records.  The ledger holds one row per
+    load, so the unpartitioned window is tiny.
     """
     if path_exists(spark, table.ledger_path):
         rows = spark.read.schema(LEDGER_SCHEMA).parquet(table.ledger_path)
@@ -114,10 +117,17 @@ def load_batch(batch: DataFrame, table: PartitionedTable, operation: str) -> dic
                         F.count_distinct(table.partition).alias("parts")).first())
         files, partitions = written["files"], written["parts"]
     # History is kept across a full overwrite; the parent is the last load.
-    previous = ledger(spark, table).agg(F.max("load_no").alias("last")).first()["last"]
-    entry = [((previous or 0) + 1, previous, operation, m["rows"], files, partitions)]
-    spark.createDataFrame(entry, LEDGER_SCHEMA).write.mode("append").parquet(table.ledger_path)
-    return {"load_no": entry[0][0], "rows": m["rows"], "files": files, "partitions": partitions}
+    last = ledger(spark, table).agg(F.max("load_no").alias("last"),
+                                    F.max("total_records").alias("total")).first()
+    previous = last["last"]
+    total = (0 if operation == "overwrite" else (last["total"] or 0)) + m["rows"]
+    load_no = (previous or 0) + 1
+    summary = {"added-records": str(m["rows"]), "total-records": str(total),
+               "added-data-files": str(files), "changed-partition-count": str(partitions)}
+    entry = spark.createDataFrame([(load_no, previous, operation, m["rows"], files, partitions, None, summary)],
+                                  LEDGER_SCHEMA).withColumn("committed_at", F.current_timestamp())
+    entry.write.mode("append").parquet(table.ledger_path)
+    return {"load_no": load_no, "rows": m["rows"], "files": files, "partitions": partitions}
 
 
 def new_entries(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -159,15 +169,30 @@ def load_key_check(spark: SparkSession, path: str, key: list[str], expected_rows
                           ("unique_keys_loaded", F.lit(expected_rows), F.col("keys"))])
 
 
+def load_history(spark: SparkSession, table: PartitionedTable) -> DataFrame:
+    """The ledger read like snapshot metadata: map lookups into ``summary``, by commit order."""
+    return ledger(spark, table).select(
+        "load_no", "parent_load_no", "committed_at", "operation",
+        F.col("summary")["added-records"].cast("bigint").alias("added_records"),
+        F.col("summary")["total-records"].cast("bigint").alias("total_records"),
+        F.col("summary")["added-data-files"].cast("bigint").alias("added_files")).orderBy("committed_at", "load_no")
+
+
 def partition_inventory(spark: SparkSession, path: str, partition: str = MONTH,
-                        with_files: bool = True) -> DataFrame:
+                        with_files: bool = True, struct_name: str | None = None) -> DataFrame:
     """Per partition value: record count (and file count).
 
     Only the partition column and the hidden file path are read, so the scan
-    touches Parquet footers, not data pages.
+    touches Parquet footers, not data pages.  With ``struct_name`` the value
+    is returned as ``partition: struct<struct_name int>``, the shape of a
+    table format's partitions metadata.
     """
     df = spark.read.parquet(path)
     aggs = [F.count(F.lit(1)).alias("record_count")]
     if with_files:
         aggs.append(F.count_distinct(F.col("_metadata.file_path")).alias("file_count"))
-    return (df.groupBy(F.col(partition).cast("int").alias(partition)).agg(*aggs).orderBy(partition))
+    out = df.groupBy(F.col(partition).cast("int").alias(partition)).agg(*aggs).orderBy(partition)
+    if struct_name:
+        out = out.select(F.struct(F.col(partition).alias(struct_name)).alias("partition"),
+                         *[c for c in out.columns if c != partition])
+    return out

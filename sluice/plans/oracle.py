@@ -332,3 +332,11 @@ SQL["row_counts"] = f"""
 SELECT count(*) AS raw, count(ts) AS ts_parsed, count_if(reject_reason = '') AS accepted,
        count_if(reject_reason <> '') AS rejected
 FROM {CSV_LABELLED}"""
+
+SQL["load_history"] = """
+SELECT CAST(1 AS INTEGER) AS load_no, CAST(NULL AS INTEGER) AS parent_load_no, 'overwrite' AS operation,
+       count(*) AS added_records, count(*) AS total_records
+FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'
+UNION ALL
+SELECT 2, 1, 'append', count_if(l_shipdate >= TIMESTAMP '1998-01-01'), count(*)
+FROM lineitem"""

@@ -239,6 +239,14 @@ def load_ledger(spark, d):
                                            "total_records", "partitions")
 
 
+@register("load_history")
+def load_history(spark, d):
+    """Ledger entries read through their summary map, like snapshot metadata."""
+    t = _lineitem_load(spark, d)[0]
+    # commit times and file counts depend on the run and on input splits
+    return batches.load_history(spark, t).drop("committed_at", "added_files")
+
+
 @register("partition_inventory")
 def partition_inventory(spark, d):
     t = _lineitem_load(spark, d)[0]

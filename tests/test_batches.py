@@ -60,3 +60,14 @@ def test_failed_load_leaves_no_ledger_row(spark, workdir):
     led = batches.ledger(spark, t).collect()
     assert [r["load_no"] for r in led] == [1]
     assert spark.read.parquet(t.path).count() == first.count()
+
+
+def test_history_and_struct_inventory(spark, workdir):
+    t = batches.PartitionedTable(os.path.join(workdir, "t"), "ts", "month")
+    batches.two_batch_load(make(spark), t, "2024-03-01")
+    hist = batches.load_history(spark, t).collect()
+    assert [(r["operation"], r["added_records"], r["total_records"]) for r in hist] == \
+        [("overwrite", 100, 100), ("append", 100, 200)]
+    assert hist[0]["committed_at"] <= hist[1]["committed_at"]
+    inv = batches.partition_inventory(spark, t.path, struct_name="observed_at_month").collect()
+    assert inv[0]["partition"]["observed_at_month"] == 648 and inv[0]["file_count"] >= 1
