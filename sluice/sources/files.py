@@ -78,3 +78,28 @@ def manifest_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def diff_summary(diff: DataFrame) -> DataFrame:
     return diff.groupBy("status").agg(F.count(F.lit(1)).alias("files")).orderBy("status")
+
+
+def read_manifest(spark: SparkSession, path: str, nested: bool = True, array_field: str = "files") -> DataFrame:
+    """Manifest entries as rows.
+
+    ``nested``: one JSON object per file holding an array of file entries
+    (``{..., "files": [{path, bytes, sha256, ...}]}``), expanded with
+    ``explode``; otherwise one entry per line (JSON lines).
+    """
+    if nested:
+        objs = spark.read.option("multiLine", True).json(path)
+        return objs.select(F.explode(F.col(array_field)).alias("_f")).select("_f.*")
+    return spark.read.json(path)
+
+
+def verify_manifest(entries: DataFrame, actual: DataFrame, path_col: str = "path", bytes_col: str = "bytes",
+                    sha_col: str = "sha256") -> DataFrame:
+    """Per file: does the stored object match its manifest entry (size and sha256)?
+
+    ``actual`` is a :func:`file_manifest` of the copy.  Output as in
+    :func:`manifest_diff`, with the manifest on the left.
+    """
+    expected = entries.select(F.col(path_col).alias("relative_path"), F.col(bytes_col).cast("bigint").alias("length"),
+                              F.lower(F.col(sha_col)).alias("sha256"))
+    return manifest_diff(expected, actual)
