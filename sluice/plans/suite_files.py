@@ -16,8 +16,8 @@ from sluice.operators import dimension as dim_ops
 from sluice.operators import profiles, quality
 from sluice.plans import batches, formats, gate
 from sluice.plans.suite import (EVENT_PERIOD, HOURLY_RANGE, LOAD_BOUNDARY, SEASONS, SECOND_HALF_START,
-                                events, events_contract, labelled_events, nation_dimension,
-                                orders_by_nation, register)
+                                events, events_contract, labelled_events, orders_by_nation, register,
+                                rollup_dimension)
 from sluice.functions.time import months_in, season_of_month
 from sluice.session import scratch_path
 from sluice.sources import columnar_json, files, ingestion
@@ -276,7 +276,7 @@ def partition_inventory_days(spark, d):
 @register("federated_rollup")
 def federated_rollup(spark, d):
     """Parquet facts joined to a dimension kept as CSV, in one query."""
-    dim = nation_dimension(spark, d)
+    dim = rollup_dimension(spark, d)
     path = write_csv(dim, scratch_path(spark, "dimension_csv"))
     dim_csv = read_failfast(spark, path, dim.schema)
     return dim_ops.dimension_rollup(orders_by_nation(spark, d), dim_csv, "c_nationkey", "n_nationkey", "n_name")
