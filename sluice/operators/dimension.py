@@ -44,26 +44,35 @@ def _literal(value) -> str:
         return "true" if value else "false"
     if isinstance(value, (int, float)):
         return number(value)
+    if isinstance(value, dict):
+        if not value:
+            return "map()"
+        return "map(" + ", ".join(f"{_literal(k)}, {_literal(v)}" for k, v in value.items()) + ")"
     return text(str(value))
 
 
-def inline_dimension(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
-    """A small dimension given as literal rows: a SQL ``VALUES`` relation.
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
+    """Literal rows as a SQL ``VALUES`` relation (str, int, float, bool, None, dict values).
 
-    It is planned as a local relation with exact size statistics (one
-    partition, no RDD behind it), so joins against it broadcast it, and its
-    size is bounded by the literal list itself.
+    It is planned as a local relation with exact size statistics: one
+    partition and no RDD behind it.
     """
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    names = [f.name for f in st.fields]
     if not rows:
         return spark.createDataFrame([], st)
     values = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
     cols = ", ".join(f"CAST(col{i + 1} AS {f.dataType.simpleString()}) AS {ident(f.name)}"
                      for i, f in enumerate(st.fields))
-    df = spark.sql(f"SELECT {cols} FROM VALUES {values}")
-    assert df.columns == names
-    return df
+    return spark.sql(f"SELECT {cols} FROM VALUES {values}")
+
+
+def inline_dimension(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
+    """A small dimension given as literal rows (``VALUES`` in SQL).
+
+    Joins against it broadcast it (its size statistics are exact), and its
+    size is bounded by the literal list itself.
+    """
+    return local_rows(spark, rows, schema)
 
 
 def register_dimension(df: DataFrame, name: str) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.time import day_index, month_index, ts_literal
 from sluice.operators.checks import check_rows
+from sluice.operators.dimension import local_rows
 from sluice.session import path_exists
 
 MONTH = "month_idx"
@@ -124,8 +125,8 @@ def load_batch(batch: DataFrame, table: PartitionedTable, operation: str) -> dic
     load_no = (previous or 0) + 1
     summary = {"added-records": str(m["rows"]), "total-records": str(total),
                "added-data-files": str(files), "changed-partition-count": str(partitions)}
-    entry = spark.createDataFrame([(load_no, previous, operation, m["rows"], files, partitions, None, summary)],
-                                  LEDGER_SCHEMA).withColumn("committed_at", F.current_timestamp())
+    entry = local_rows(spark, [(load_no, previous, operation, m["rows"], files, partitions, None, summary)],
+                       LEDGER_SCHEMA).withColumn("committed_at", F.current_timestamp())
     entry.write.mode("append").parquet(table.ledger_path)
     return {"load_no": load_no, "rows": m["rows"], "files": files, "partitions": partitions}
 

@@ -46,8 +46,8 @@ def schema_parity(a: DataFrame, b: DataFrame) -> DataFrame:
     ta = {f.name: f.dataType.simpleString() for f in a.schema.fields}
     tb = {f.name: f.dataType.simpleString() for f in b.schema.fields}
     rows = [(n, ta.get(n), tb.get(n), ta.get(n) == tb.get(n)) for n in sorted(set(ta) | set(tb))]
-    return a.sparkSession.createDataFrame(
-        rows, "column_name string, csv_type string, parquet_type string, same boolean")
+    from sluice.operators.dimension import local_rows
+    return local_rows(a.sparkSession, rows, "column_name string, csv_type string, parquet_type string, same boolean")
 
 
 def count_checks(expected_rows: int, frames: dict[str, DataFrame]) -> DataFrame:
