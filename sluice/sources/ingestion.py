@@ -54,3 +54,17 @@ def land(df: DataFrame, root: str, value: str, column: str = "ingestion_date") -
     """
     write_csv(df.withColumn(column, F.lit(value)), root, partition_by=[column], replace_partitions_only=True)
     return f"{root.rstrip('/')}/{column}={value}"
+
+
+def ingestion_date_from_manifest(spark: SparkSession, manifest_path: str,
+                                 field: str = "downloaded_at_utc") -> str:
+    """The load's ingestion date: the date part of the manifest's download time.
+
+    Taking it from the manifest (not the clock) makes re-landing the same
+    download replace the same ``ingestion_date=`` partition.
+    """
+    row = (spark.read.option("multiLine", True).json(manifest_path)
+           .select(F.substring(F.col(field), 1, 10).alias("d")).first())
+    if row is None or not row["d"]:
+        raise NoIngestion(f"manifest {manifest_path} has no {field}")
+    return row["d"]

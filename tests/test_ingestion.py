@@ -52,3 +52,11 @@ def test_manifest_verification(spark, workdir):
     got = {r["relative_path"]: r["status"] for r in diff.collect()}
     assert got == {"raw_json/a.json": "same", "raw_json/b.json": "changed", "raw_json/c.json": "only_left"}
     assert {r["status"]: r["files"] for r in diff_summary(diff).collect()} == {"same": 1, "changed": 1, "only_left": 1}
+
+
+def test_ingestion_date_from_manifest(spark, workdir):
+    import json
+    p = os.path.join(workdir, "m.json")
+    with open(p, "w") as fh:
+        json.dump({"downloaded_at_utc": "2024-02-03T10:11:12Z", "files": []}, fh, indent=2)
+    assert ingestion.ingestion_date_from_manifest(spark, p) == "2024-02-03"
