@@ -29,3 +29,23 @@ def test_stream_gate_batches_and_restart(spark, workdir):
     s3 = start_gate_stream(spark, landing, c, sink, ckpt)
     s3.query.awaitTermination()
     assert accepted_from_sink(spark, sink, c).count() == 4
+
+
+def test_stream_gate_with_durable_ledger(spark, workdir):
+    from sluice.streaming.gate_stream import stream_ledger
+    landing = os.path.join(workdir, "landing")
+    os.makedirs(landing)
+    write(landing, HEADER, LINES[:6], "a.csv")
+    write(landing, HEADER, LINES[6:], "b.csv")
+    c = fixture_contract()
+    sink, ckpt, led = (os.path.join(workdir, x) for x in ("sink", "ckpt", "ledger"))
+    s = start_gate_stream(spark, landing, c, sink, ckpt, max_files_per_trigger=1, ledger_path=led)
+    s.query.awaitTermination()
+    rows = stream_ledger(spark, led).collect()
+    assert [r["batch_id"] for r in rows] == [0, 1]
+    assert sum(r["raw"] for r in rows) == 11 and sum(r["accepted"] for r in rows) == 3
+    assert accepted_from_sink(spark, sink, c).count() == 3
+    # restart: nothing new, ledger unchanged
+    start_gate_stream(spark, landing, c, sink, ckpt, ledger_path=led).query.awaitTermination()
+    assert stream_ledger(spark, led).count() == 2
+    assert rejected_from_sink(spark, sink).count() == 8
