@@ -340,3 +340,6 @@ FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'
 UNION ALL
 SELECT 2, 1, 'append', count_if(l_shipdate >= TIMESTAMP '1998-01-01'), count(*)
 FROM lineitem"""
+
+SQL["seasonal_profile_sql"] = SQL["seasonal_profile"]
+SQL["local_profile_sql"] = SQL["local_profile"]

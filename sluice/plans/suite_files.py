@@ -343,3 +343,64 @@ def catalog_table(spark, d):
     tbl = register_catalog_table(spark, "sluice_lake", "lineitem_loaded", t.path,
                                  database_location=scratch_path(spark, "warehouse"))
     return profiles.table_summary(tbl, "l_orderkey", "l_shipdate")
+
+
+@register("seasonal_profile_sql")
+def seasonal_profile_sql(spark, d):
+    """The flagship as Spark SQL with CTEs: per-hour means, then their extremes."""
+    from sluice.sources.tables import table_view
+    ev = table_view(spark, d, "events")
+    return spark.sql(f"""
+        WITH by_hour AS (
+            SELECT event_type,
+                   CASE WHEN dayofmonth(ts) <= 15 THEN 'first' ELSE 'second' END AS season,
+                   CAST(hour(ts) AS INT) AS hour,
+                   avg(value) AS mean_value
+            FROM {ev}
+            GROUP BY 1, 2, 3)
+        SELECT event_type, season,
+               round(min(mean_value), 2) AS min_mean,
+               round(max(mean_value), 2) AS max_mean,
+               round(max(mean_value) - min(mean_value), 2) AS amplitude,
+               min_by(hour, struct(mean_value, hour)) AS min_hour,
+               max_by(hour, struct(mean_value, -hour)) AS max_hour
+        FROM by_hour
+        GROUP BY event_type, season
+        ORDER BY season, amplitude DESC, event_type""")
+
+
+@register("local_profile_sql")
+def local_profile_sql(spark, d):
+    """The three-level local-time profile as Spark SQL, the dimension as a VALUES relation."""
+    from sluice.functions.sqltext import number, text
+    from sluice.plans.suite import EVENT_DIMENSION_ROWS
+    from sluice.sources.tables import table_view
+    ev = table_view(spark, d, "events")
+    values = ", ".join(f"({text(k)}, {text(g)}, {number(o)})" for k, g, o in EVENT_DIMENSION_ROWS)
+    return spark.sql(f"""
+        WITH dim AS (
+            SELECT * FROM VALUES {values} AS t(event_type, district, utc_offset_hours)),
+        local_hourly AS (
+            SELECT r.district, e.event_type,
+                   CASE WHEN dayofmonth(e.ts) <= 15 THEN 'first' ELSE 'second' END AS season,
+                   CAST(pmod(hour(e.ts) + r.utc_offset_hours, 24) AS INT) AS hour_local,
+                   avg(e.value) AS mean_value
+            FROM {ev} e JOIN dim r ON e.event_type = r.event_type
+            GROUP BY 1, 2, 3, 4),
+        per_entity AS (
+            SELECT district, event_type, season,
+                   max(mean_value) - min(mean_value) AS amplitude,
+                   min_by(hour_local, struct(mean_value, hour_local)) AS cold_hour,
+                   max_by(hour_local, struct(mean_value, -hour_local)) AS warm_hour
+            FROM local_hourly
+            GROUP BY 1, 2, 3)
+        SELECT district, season,
+               count(*) AS entities,
+               round(avg(amplitude), 2) AS mean_amplitude,
+               round(min(amplitude), 2) AS min_amplitude,
+               round(max(amplitude), 2) AS max_amplitude,
+               array_join(array_sort(collect_set(CAST(cold_hour AS STRING))), ',') AS coldest_hours,
+               array_join(array_sort(collect_set(CAST(warm_hour AS STRING))), ',') AS warmest_hours
+        FROM per_entity
+        GROUP BY district, season
+        ORDER BY season, mean_amplitude DESC, district""")

@@ -37,6 +37,12 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return df
 
 
+def table_view(spark: SparkSession, data_dir: str, name: str) -> str:
+    """Name of the session view holding the table, for use in SQL text."""
+    table(spark, data_dir, name)
+    return _view_name(f"{data_dir.rstrip('/')}/{name}.parquet")
+
+
 def refresh(spark: SparkSession, data_dir: str, name: str) -> None:
     path = f"{data_dir.rstrip('/')}/{name}.parquet"
     _RESOLVED.pop((id(spark), path), None)
