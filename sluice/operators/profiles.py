@@ -27,11 +27,11 @@ def _round(sql: str, digits: int | None) -> str:
 
 
 def hourly_profile(df: DataFrame, entity: str, ts: str, measure: str, start: str | None,
-                   end: str | None, digits: int = 3) -> DataFrame:
+                   end: str | None, digits: int = 3, mean_name: str = "mean_value") -> DataFrame:
     """Mean and count per entity and UTC hour over ``[start, end)``."""
     return (df.where(half_open(df, ts, start, end))
             .groupBy(F.col(entity), F.expr(f"CAST(hour({ident(ts)}) AS INT) AS hour_utc"))
-            .agg(F.expr(f"{_round(f'avg({ident(measure)})', digits)} AS mean_value"),
+            .agg(F.expr(f"{_round(f'avg({ident(measure)})', digits)} AS {ident(mean_name)}"),
                  F.expr("count(1) AS observations"))
             .orderBy(entity, "hour_utc"))
 

@@ -137,15 +137,27 @@ def city_reference(spark: SparkSession) -> DataFrame:
 
 
 def summer_hourly_profile(obs: DataFrame) -> DataFrame:
-    """Mean temperature (3 digits) and count per city and UTC hour, June to August."""
-    return profiles.hourly_profile(obs, "city_id", "observed_at", "temperature_2m_c", *SUMMER_RANGE, digits=3)
+    """Mean temperature (3 digits) and count per city and UTC hour, June to August.
+
+    Columns: city_id, hour_utc, mean_temperature_c, observations.
+    """
+    return profiles.hourly_profile(obs, "city_id", "observed_at", "temperature_2m_c", *SUMMER_RANGE, digits=3,
+                                   mean_name="mean_temperature_c")
 
 
 def seasonal_answer(obs: DataFrame) -> DataFrame:
-    """Daily temperature cycle per city, winter against summer."""
-    return profiles.seasonal_profile(obs, "city_id", "temperature_2m_c",
+    """Daily temperature cycle per city, winter against summer.
+
+    Columns: city_id, season, coldest_hour_mean_c, warmest_hour_mean_c,
+    daily_amplitude_c, coldest_hour_utc, warmest_hour_utc.
+    """
+    prof = profiles.seasonal_profile(obs, "city_id", "temperature_2m_c",
                                      season_of_month("observed_at", SEASONS), F.hour("observed_at"),
                                      where=months_in("observed_at", SEASONS))
+    return prof.select("city_id", "season", F.col("min_mean").alias("coldest_hour_mean_c"),
+                       F.col("max_mean").alias("warmest_hour_mean_c"),
+                       F.col("amplitude").alias("daily_amplitude_c"),
+                       F.col("min_hour").alias("coldest_hour_utc"), F.col("max_hour").alias("warmest_hour_utc"))
 
 
 def district_rollup(spark: SparkSession, obs: DataFrame) -> DataFrame:

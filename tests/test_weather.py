@@ -48,8 +48,10 @@ def test_weather_model(spark, workdir):
     hourly = weather.summer_hourly_profile(obs).collect()
     assert len(hourly) == 48 and all(r["observations"] == 1 for r in hourly)
     ans = {(r["city_id"], r["season"]): r for r in weather.seasonal_answer(obs).collect()}
-    assert ans[("moscow", "winter")]["amplitude"] == 10.0
-    assert (ans[("moscow", "winter")]["max_hour"], ans[("moscow", "winter")]["min_hour"]) == (6, 18)
+    w = ans[("moscow", "winter")]
+    assert w["daily_amplitude_c"] == 10.0
+    assert (w["warmest_hour_utc"], w["coldest_hour_utc"]) == (6, 18)
+    assert "mean_temperature_c" in hourly[0].asDict()
     roll = {r["federal_district"]: r for r in weather.district_rollup(spark, obs).collect()}
     assert roll[weather.UNMATCHED]["observations"] == 48 and roll["Центральный"]["entities"] == 1
     local = {(r["federal_district"], r["season"]): r for r in weather.local_answer(spark, obs).collect()}
