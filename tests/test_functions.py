@@ -78,3 +78,14 @@ def test_null_profile_empty_and_counts(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, "x"), (4, "y")], "a int, b string")
     got = {r["column_name"]: (r["nulls"], r["share"]) for r in null_profile(df).collect()}
     assert got == {"a": (1, 0.25), "b": (2, 0.5)}
+
+
+def test_checked_broadcast_hint_only_within_bound(spark):
+    from sluice.operators.dimension import inline_dimension, sized_broadcast
+    dim = inline_dimension(spark, [("a", 1), ("b", 2), ("c", 3)], "k string, v int")
+    hinted = sized_broadcast(dim, max_rows=3, mode="checked")
+    plain = sized_broadcast(dim, max_rows=2, mode="checked")
+    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString() or \\
+        "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
+    assert sized_broadcast(dim) is dim
