@@ -85,7 +85,7 @@ def test_checked_broadcast_hint_only_within_bound(spark):
     dim = inline_dimension(spark, [("a", 1), ("b", 2), ("c", 3)], "k string, v int")
     hinted = sized_broadcast(dim, max_rows=3, mode="checked")
     plain = sized_broadcast(dim, max_rows=2, mode="checked")
-    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString() or \\
-        "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
+    hinted_plan = hinted._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in hinted_plan or "broadcast" in hinted_plan.lower()
     assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
     assert sized_broadcast(dim) is dim
