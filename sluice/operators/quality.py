@@ -78,26 +78,26 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def entity_coverage(df: DataFrame, group: Sequence[str], ts: str, measure: str,
                     digits: int = 1) -> DataFrame:
     """Per entity: rows, first and last time, rounded min and max of the measure."""
+    t, m = ident(ts), ident(measure)
     return (df.groupBy(*group)
-            .agg(F.count(F.lit(1)).alias("observations"),
-                 F.min(ts).alias("first_observation"),
-                 F.max(ts).alias("last_observation"),
-                 F.round(F.min(measure), digits).alias("min_value"),
-                 F.round(F.max(measure), digits).alias("max_value"))
+            .agg(F.expr("count(1) AS observations"),
+                 F.expr(f"min({t}) AS first_observation"),
+                 F.expr(f"max({t}) AS last_observation"),
+                 F.expr(f"round(min({m}), {int(digits)}) AS min_value"),
+                 F.expr(f"round(max({m}), {int(digits)}) AS max_value"))
             .orderBy(*group))
 
 
 def completeness(df: DataFrame, entity: str, ts: str, start: str, end: str) -> DataFrame:
     """Per entity: hourly slots expected in ``[start, end)``, slots seen, slots missing."""
     # whole hours in the period; constant-folded by Catalyst
-    span = (F.unix_timestamp(F.lit(end).cast("timestamp"))
-            - F.unix_timestamp(F.lit(start).cast("timestamp"))) / 3600
-    expected = F.floor(span).cast("bigint")
+    expected = (f"CAST(floor((unix_timestamp(CAST({text(end)} AS TIMESTAMP)) - "
+                f"unix_timestamp(CAST({text(start)} AS TIMESTAMP))) / 3600) AS BIGINT)")
     seen = (df.where(half_open(df, ts, start, end))
             .groupBy(entity)
-            .agg(F.count_distinct(F.date_trunc("hour", F.col(ts))).cast("bigint").alias("actual")))
-    return (seen.select(entity, expected.alias("expected"), "actual",
-                        (expected - F.col("actual")).alias("missing"))
+            .agg(F.expr(f"CAST(count(DISTINCT date_trunc('hour', {ident(ts)})) AS BIGINT) AS actual")))
+    return (seen.selectExpr(ident(entity), f"{expected} AS expected", "actual",
+                            f"{expected} - actual AS missing")
             .orderBy(entity))
 
 
@@ -112,9 +112,9 @@ def row_counts(labelled: DataFrame, ts: str) -> DataFrame:
 
 def reconciliation(labelled: DataFrame) -> DataFrame:
     """raw not empty and raw = accepted + rejected, from one aggregate."""
-    counts = labelled.agg(F.count(F.lit(1)).alias("raw"),
-                          F.count_if(F.col(REASON) == "").alias("acc"),
-                          F.count_if(F.col(REASON) != "").alias("rej"))
+    r = ident(REASON)
+    counts = labelled.agg(F.expr("count(1) AS raw"), F.expr(f"count_if({r} = '') AS acc"),
+                          F.expr(f"count_if({r} <> '') AS rej"))
     return check_rows(counts, [
         ("raw_not_empty", F.lit(1), F.least(F.col("raw"), F.lit(1))),
         ("raw_equals_accepted_plus_rejected", F.col("raw"), F.col("acc") + F.col("rej")),
