@@ -19,11 +19,19 @@ class CheckFailed(ValueError):
     pass
 
 
-def check_rows(one_row: DataFrame, checks: Sequence[tuple[str, Column, Column]]) -> DataFrame:
+def check_rows(one_row: DataFrame, checks: Sequence[tuple[str, Column | str, Column | str]]) -> DataFrame:
     """Turn a one-row aggregate into one check row per ``(name, expected, actual)``.
 
-    ``ok`` is ``expected = actual`` with NULL-safe equality.
+    ``expected`` and ``actual`` are Columns or SQL expressions over the
+    one-row input; ``ok`` is ``expected = actual`` with NULL-safe equality.
     """
+    if all(isinstance(e, str) and isinstance(a, str) for _, e, a in checks):
+        from sluice.functions.sqltext import text
+        rows = ", ".join(
+            f"named_struct('check', {text(name)}, 'expected', CAST({e} AS BIGINT), "
+            f"'actual', CAST({a} AS BIGINT), 'ok', CAST({e} AS BIGINT) <=> CAST({a} AS BIGINT))"
+            for name, e, a in checks)
+        return one_row.selectExpr(f"inline(array({rows}))")
     structs = [
         F.struct(
             F.lit(name).alias("check"),

@@ -116,8 +116,8 @@ def reconciliation(labelled: DataFrame) -> DataFrame:
     counts = labelled.agg(F.expr("count(1) AS raw"), F.expr(f"count_if({r} = '') AS acc"),
                           F.expr(f"count_if({r} <> '') AS rej"))
     return check_rows(counts, [
-        ("raw_not_empty", F.lit(1), F.least(F.col("raw"), F.lit(1))),
-        ("raw_equals_accepted_plus_rejected", F.col("raw"), F.col("acc") + F.col("rej")),
+        ("raw_not_empty", "1", "least(raw, 1)"),
+        ("raw_equals_accepted_plus_rejected", "raw", "acc + rej"),
     ])
 
 

@@ -57,7 +57,7 @@ def count_checks(expected_rows: int, frames: dict[str, DataFrame]) -> DataFrame:
         c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         counts = c if counts is None else counts.unionByName(c)
     wide = counts.agg(*[F.sum(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in frames])
-    return check_rows(wide, [(f"{n}_rows", F.lit(expected_rows), F.col(n)) for n in frames])
+    return check_rows(wide, [(f"{n}_rows", str(int(expected_rows)), f"`{n}`") for n in frames])
 
 
 def result_parity(query: Callable[[DataFrame], DataFrame], a: DataFrame, b: DataFrame,
@@ -67,6 +67,6 @@ def result_parity(query: Callable[[DataFrame], DataFrame], a: DataFrame, b: Data
     counts = diff.agg(F.sum(F.when(F.col("multiplicity_diff") > 0, F.col("multiplicity_diff"))).alias("ab"),
                       F.sum(F.when(F.col("multiplicity_diff") < 0, -F.col("multiplicity_diff"))).alias("ba"))
     return check_rows(counts, [
-        (f"{names[0]}_minus_{names[1]}", F.lit(0), F.coalesce(F.col("ab"), F.lit(0))),
-        (f"{names[1]}_minus_{names[0]}", F.lit(0), F.coalesce(F.col("ba"), F.lit(0))),
+        (f"{names[0]}_minus_{names[1]}", "0", "coalesce(ab, 0)"),
+        (f"{names[1]}_minus_{names[0]}", "0", "coalesce(ba, 0)"),
     ])
