@@ -28,10 +28,6 @@ def ts_literal(value: str, dtype: T.DataType | None = None) -> Column:
     return F.lit(value).cast(kind)
 
 
-def column_type(df: DataFrame, name: str) -> T.DataType:
-    return df.schema[name].dataType
-
-
 def half_open(df: DataFrame | None, ts: str, start: str | None, end: str | None) -> Column:
     """``start <= ts < end``; either end may be open.
 
