@@ -89,3 +89,18 @@ def test_checked_broadcast_hint_only_within_bound(spark):
     assert "ResolvedHint" in hinted_plan or "broadcast" in hinted_plan.lower()
     assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
     assert sized_broadcast(dim) is dim
+
+
+def test_season_pivot_sorts_missing_as_zero(spark):
+    from sluice.operators.profiles import season_pivot
+    prof = spark.createDataFrame([("a", "summer", 2.0), ("a", "winter", 1.0), ("b", "winter", 5.0),
+                                  ("c", "summer", 3.5)], "city string, season string, amplitude double")
+    rows = [tuple(r) for r in season_pivot(prof, "city", ["summer", "winter"]).collect()]
+    assert rows == [("c", 3.5, None), ("a", 2.0, 1.0), ("b", None, 5.0)]
+
+
+def test_first_rows_is_top_k(spark):
+    from __spark_entry__ import queries
+    df = queries()["first_rows"](spark, "/root/testdata/sf0.001")
+    assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
+    assert df.count() == 10
