@@ -64,3 +64,15 @@ def test_hot_key_results(spark):
     a = dimension.join_audit(base, dim, "k").first()
     assert (a["before_join"], a["after_join"]) == (30000, 30000)
     assert a["unmatched_rows"] == 30000 - 10000 - base.where("k = 'k1'").count()
+
+
+def test_every_query_scans_files(spark):
+    """Each registered query reads the given tables or files Spark wrote from them.
+
+    contract_columns and schema_parity report the header and schemas of files
+    written from the whole table; their plans hold only the resulting rows.
+    """
+    metadata_only = {"contract_columns", "schema_parity"}
+    for name in sorted(set(QS) - metadata_only):
+        p = plan(spark, name)
+        assert "FileScan" in p or "BatchScan" in p or "Scan " in p, name
