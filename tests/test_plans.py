@@ -75,4 +75,4 @@ def test_every_query_scans_files(spark):
     metadata_only = {"contract_columns", "schema_parity"}
     for name in sorted(set(QS) - metadata_only):
         p = plan(spark, name)
-        assert "FileScan" in p or "BatchScan" in p or "Scan " in p, name
+        assert "FileScan" in p, name
