@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, secrets
+from pyspark.sql import functions as F
+
+from . import chat, decontaminate, licenses, packing, secrets, tokens, toxicity
+
+TOKEN_LIMIT = 1024
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact token counts of every document, from its prefix table."""
+    counts = tokens.prefix_counts(_table(spark, sf_dir, "documents"), TOKEN_LIMIT)
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "cut_chars")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents holding windows of ten benchmark words."""
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -26,9 +36,31 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut into sequences of 1024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents")).drop("ids")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a model learnt outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, rendered and read back."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    events = chat.message_events(rows.unionByName(chat.awkward_conversation(spark)))
+    return chat.digest(chat.render(chat.fold_events(events)))
+
+
 REGISTRY = {
+    "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
     "op4_licenses": op4_licenses,
     "op5_secrets": op5_secrets,
+    "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
+    "op8_chat_formatting": op8_chat_formatting,
 }
 SQL: dict[str, str] = {}
