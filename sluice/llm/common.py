@@ -187,3 +187,47 @@ def concat_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total) - np.repeat(ends - lengths - starts, lengths)
+
+
+# --- components ------------------------------------------------------------
+
+def local_components(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the links (a, b) of one block and the smallest node each reaches."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[:len(a)], ends[len(a):]
+    label = np.arange(len(nodes))
+    while True:
+        low = label.copy()
+        np.minimum.at(low, label[x], label[y])
+        np.minimum.at(low, label[y], label[x])
+        low = low[low[label]]
+        if np.array_equal(low, label):
+            return nodes, nodes[label]
+        label = low
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(id, component) of every node of the edges (a, b); component is its smallest id.
+
+    Each round maps every node with a smaller neighbour to the smallest one and
+    contracts the edges, so only local minima are left and the graph at least
+    halves.  Tables of a round are stored; nothing but their sizes reaches the
+    driver.
+    """
+    edges = edges.filter("a != b").select("a", "b")
+    edges = store(edges.union(edges.select("b", "a")).distinct(), "edges")
+    labels = store(edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct(), "labels")
+    while not edges.isEmpty():
+        smaller = edges.groupBy("a").agg(F.min("b").alias("to")).filter("to < a")
+        smaller = store(smaller, "smaller")
+        to_a, to_b = smaller.toDF("a", "to_a"), smaller.toDF("b", "to_b")
+        new_edges = (edges.join(to_a, "a", "left").join(to_b, "b", "left")
+                     .select(F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b"))
+                     .filter("a != b").distinct())
+        new_edges = store(new_edges, "edges")
+        new_labels = store(labels.join(smaller.toDF("component", "to"), "component", "left")
+                           .select("id", F.coalesce("to", "component").alias("component")), "labels")
+        for old in (edges, labels, smaller):
+            drop_stored(old)
+        edges, labels = new_edges, new_labels
+    return labels

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, packing, secrets, tokens, toxicity
+from . import chat, decontaminate, licenses, near_dup, packing, secrets, suffix_dedup, tokens, toxicity, vector_dedup
 
 TOKEN_LIMIT = 1024
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without byte strings that start earlier in the corpus."""
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token counts of every document, from its prefix table."""
     counts = tokens.prefix_counts(_table(spark, sf_dir, "documents"), TOKEN_LIMIT)
@@ -54,7 +59,18 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.render(chat.fold_events(events)))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents."""
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linked embeddings and their components."""
+    return vector_dedup.embedding_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
     "op4_licenses": op4_licenses,
@@ -62,5 +78,7 @@ REGISTRY = {
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_embedding_duplicates": op10_embedding_duplicates,
 }
 SQL: dict[str, str] = {}
