@@ -80,18 +80,23 @@ def test_sets(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "te
         yield TestSet.of([(r["item"], r["words"]) for r in part.collect()], size)
 
 
+def _postings(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First words of a block's documents, its terms, where each one's list starts, positions."""
+    hashes, first, _ = split_words(data, offsets)
+    term = in_sorted(vocabulary, hashes)
+    at = np.flatnonzero(term >= 0)
+    order = np.argsort(term[at], kind="stable")
+    at, term = at[order], term[at][order]
+    terms, start = np.unique(term, return_index=True)
+    return first, terms, np.append(start, len(at)), at
+
+
 def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     """Positional postings of the vocabulary's terms, one row per block of documents."""
 
     def index(batches):
         for rows, data, offsets in blocks(batches):
-            hashes, first, _ = split_words(data, offsets)
-            term = in_sorted(vocabulary, hashes)
-            at = np.flatnonzero(term >= 0)
-            order = np.argsort(term[at], kind="stable")
-            at, term = at[order], term[at][order]
-            terms, start = np.unique(term, return_index=True)
-            lists = [ids_of(rows).to_pylist(), first, terms, np.append(start, len(at)), at]
+            lists = [ids_of(rows).to_pylist(), *_postings(data, offsets, vocabulary)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v], type=pa.list_(pa.int64() if k == 0 else pa.int32())) for k, v in enumerate(lists)],
                 ["doc_ids", "first_word", "terms", "term_start", "positions"])
@@ -131,15 +136,20 @@ def _phrase_starts(test: TestSet, terms, term_start, positions):
     return window[keep], start[keep]
 
 
+def _phrases(test: TestSet, first, terms, term_start, positions):
+    """(window, start, document) of every exact phrase inside one document."""
+    window, start = _phrase_starts(test, terms, term_start, positions)
+    doc = np.searchsorted(first, start, side="right") - 1
+    keep = start + test.length[window] <= first[np.minimum(doc + 1, len(first) - 1)]
+    return window[keep], start[keep], doc[keep]
+
+
 def search(index: DataFrame, test: TestSet) -> DataFrame:
     """Per document: hit word ranges [hit_start, hit_end) and the items found."""
 
     def find(batches):
         for doc_ids, first, terms, term_start, positions in _rows_of(batches):
-            window, start = _phrase_starts(test, terms, term_start, positions)
-            doc = np.searchsorted(first, start, side="right") - 1
-            keep = start + test.length[window] <= first[np.minimum(doc + 1, len(first) - 1)]
-            window, start, doc = window[keep], start[keep], doc[keep]
+            window, start, doc = _phrases(test, first, terms, term_start, positions)
             delta = np.zeros(first[-1] + 2, dtype=np.int64)
             np.add.at(delta, start, 1)
             np.add.at(delta, start + test.length[window], -1)
@@ -205,6 +215,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
                                   "items_sha256 string, contaminated boolean")
 
 
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", size: int = WINDOW) -> DataFrame:
+    """The rows, with all their columns, in which no window of the test set occurs."""
+    for test in test_sets(benchmark, size=size):
+
+        def keep(batches, test=test):
+            for b in batches:
+                for rows, data, offsets in blocks([b], column=text_col):
+                    hit = np.zeros(rows.num_rows, dtype=bool)
+                    hit[_phrases(test, *_postings(data, offsets, test.vocabulary))[2]] = True
+                    yield rows.filter(pa.array(~hit))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs
+
+
 def search_near(index: DataFrame, test: TestSet, words: list[str], distance: int) -> DataFrame:
     """Documents and positions where all words stand within ``distance`` words.
 
