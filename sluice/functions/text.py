@@ -19,7 +19,7 @@ def number_text(c) -> Column:
     typed reader, so whole doubles are written as integers.
     """
     x = _col(c)
-    whole = x.cast("double") == F.floor(x.cast("double"))
+    whole = x == F.floor(x)  # in the column's own type: a wide decimal keeps its digits
     return F.coalesce(
         F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string")),
         F.lit(""),

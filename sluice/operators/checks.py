@@ -74,7 +74,9 @@ def fingerprint(df: DataFrame) -> DataFrame:
     partially aggregated scan per side, no rows shuffled.  Hashes are summed
     as decimals so the sum cannot overflow.
     """
-    h = F.xxhash64(*[F.col(c) for c in sorted(df.columns)]).cast("decimal(38,0)")
+    cols = [F.col(c) for c in sorted(df.columns)]
+    # the hash skips NULLs: their places are hashed too
+    h = F.xxhash64(*cols, F.concat(*[F.isnull(c).cast("int").cast("string") for c in cols])).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h).alias("hash_sum"))
 
 

@@ -1,11 +1,8 @@
 """Facts against partially covering dimensions: rollups, key checks, join audits.
 
-No dimension is broadcast on trust.  By default (``broadcast="auto"``) the
-join carries no hint: Catalyst broadcasts a side only when its size estimate
-is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans from the
-sizes measured at run time, so a dimension that grows past the bound falls
-back to a shuffle join by itself.  ``broadcast="checked"`` adds an explicit
-hint only after counting at most ``max_rows + 1`` rows of the dimension.
+No dimension is broadcast by hint: Catalyst broadcasts a side only when its
+size estimate is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+re-plans from the sizes measured at run time.
 """
 
 from __future__ import annotations
@@ -21,22 +18,6 @@ from sluice.functions.sqltext import ident, number, text
 UNMATCHED = "Unmatched"
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000, mode: str = "auto") -> DataFrame:
-    """The dimension side of a join, hinted for broadcast only when checked.
-
-    ``auto``: unchanged (size-based choice by Catalyst and AQE).
-    ``checked``: ``broadcast(df)`` when it has at most ``max_rows`` rows;
-    the count reads at most ``max_rows + 1`` rows.
-    ``never``: unchanged; callers may also lower the threshold.
-    """
-    if mode == "checked":
-        n = df.limit(max_rows + 1).count()
-        return F.broadcast(df) if n <= max_rows else df
-    if mode in ("auto", "never"):
-        return df
-    raise ValueError(f"unknown broadcast mode {mode}")
-
-
 def _literal(value) -> str:
     if value is None:
         return "NULL"
@@ -89,7 +70,7 @@ def dimension_key_check(dim: DataFrame, key: Sequence[str] | str) -> DataFrame:
 
 
 def measure_partials(df: DataFrame, key: str, measure: str) -> DataFrame:
-    """Per-key partial stats: rows, exact decimal sum, min, max of the measure.
+    """Per-key partial stats: rows, values, exact decimal sum, min, max of the measure.
 
     Pre-aggregating a fact before it meets a dimension shrinks the join input
     from one row per fact to one row per key; a hot key becomes one row.
@@ -97,14 +78,14 @@ def measure_partials(df: DataFrame, key: str, measure: str) -> DataFrame:
     m = ident(measure)
     return df.groupBy(key).agg(
         F.expr("count(1) AS _rows"),
+        F.expr(f"count({m}) AS _values"),
         F.expr(f"CAST(sum(CAST({m} AS DECIMAL(18,6))) AS DECIMAL(38,6)) AS _sum"),
         F.expr(f"min({m}) AS _min"),
         F.expr(f"max({m}) AS _max"))
 
 
 def dimension_rollup(partials: DataFrame, dim: DataFrame, key: str, dim_key: str, group: str,
-                     unmatched: str = UNMATCHED, digits: int = 2, dim_max_rows: int = 1_000_000,
-                     broadcast: str = "auto") -> DataFrame:
+                     unmatched: str = UNMATCHED, digits: int = 2) -> DataFrame:
     """Left join per-key partials to the dimension, roll up by the coalesced group.
 
     Output per group: distinct fact keys, rows, decimal mean, rounded min and
@@ -112,20 +93,18 @@ def dimension_rollup(partials: DataFrame, dim: DataFrame, key: str, dim_key: str
     ``partials`` may hold several rows per key (partials of a finer key with
     ``key`` attached); they are summed here.
     """
-    d = sized_broadcast(dim.select(F.col(dim_key).alias("_dk"), F.col(group).alias("_grp")), dim_max_rows,
-                        broadcast)
+    d = dim.select(F.col(dim_key).alias("_dk"), F.col(group).alias("_grp"))
     joined = partials.join(d, partials[key] == d["_dk"], "left")
     return (joined.groupBy(F.expr(f"coalesce(_grp, {text(unmatched)}) AS {ident(group)}"))
             .agg(F.expr(f"count(DISTINCT {ident(key)}) AS entities"),
                  F.expr("sum(_rows) AS observations"),
-                 F.expr(f"CAST(round(sum(_sum) / sum(_rows), {int(digits)}) AS DOUBLE) AS mean_value"),
+                 F.expr(f"CAST(round(sum(_sum) / sum(_values), {int(digits)}) AS DOUBLE) AS mean_value"),
                  F.expr("round(min(_min), 1) AS min_value"),
                  F.expr("round(max(_max), 1) AS max_value"))
             .orderBy(F.desc("observations"), group))
 
 
-def join_audit(fact: DataFrame, dim: DataFrame, key: str, dim_max_rows: int = 1_000_000,
-               broadcast: str = "auto") -> DataFrame:
+def join_audit(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Rows before and after a left join, unmatched rows and unmatched keys, in one row.
 
     Both sides are first reduced to counts per key (fact rows per key, matches
@@ -135,9 +114,10 @@ def join_audit(fact: DataFrame, dim: DataFrame, key: str, dim_max_rows: int = 1_
     """
     rows = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     matches = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_matches"))
-    j = rows.join(sized_broadcast(matches, dim_max_rows, broadcast), key, "left")
+    j = rows.join(matches, key, "left")
     miss = F.col("_matches").isNull()
-    return j.agg(F.sum("_rows").cast("bigint").alias("before_join"),
-                 F.sum(F.col("_rows") * F.coalesce(F.col("_matches"), F.lit(1))).cast("bigint").alias("after_join"),
-                 F.coalesce(F.sum(F.when(miss, F.col("_rows"))), F.lit(0)).cast("bigint").alias("unmatched_rows"),
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")  # noqa: E731 - 0 for no facts
+    return j.agg(total(F.col("_rows")).alias("before_join"),
+                 total(F.col("_rows") * F.coalesce(F.col("_matches"), F.lit(1))).alias("after_join"),
+                 total(F.when(miss, F.col("_rows"))).alias("unmatched_rows"),
                  F.count_if(miss & F.col(key).isNotNull()).alias("unmatched_keys"))

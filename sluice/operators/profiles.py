@@ -17,13 +17,13 @@ from sluice.functions.extremes import pos_of_max, pos_of_min
 from sluice.functions.sqltext import ident
 from sluice.functions.text import distinct_text_list
 from sluice.functions.time import half_open
-from sluice.operators.dimension import sized_broadcast
 
 MEAN = "_mean"
 
 
 def _round(sql: str, digits: int | None) -> str:
-    return sql if digits is None else f"round({sql}, {int(digits)})"
+    """Rounded through an exact decimal, so that a half does not hang on the last bit of a double."""
+    return sql if digits is None else f"CAST(round(CAST({sql} AS DECIMAL(18,6)), {int(digits)}) AS DOUBLE)"
 
 
 def hourly_profile(df: DataFrame, entity: str, ts: str, measure: str, start: str | None,
@@ -85,7 +85,7 @@ def distinct_positions(df: DataFrame, entity: str, position: Column, where: Colu
 
 def local_profile(fact: DataFrame, dim: DataFrame, key: str, district: str, offset: str, ts: str,
                   measure: str, season: Column, where: Column | None = None,
-                  digits: int = 2, dim_max_rows: int = 1_000_000, broadcast: str = "auto") -> DataFrame:
+                  digits: int = 2) -> DataFrame:
     """Three-level local-time profile over fact JOIN dimension (inner).
 
     1. mean per (district, entity, season, local hour);
@@ -104,8 +104,7 @@ def local_profile(fact: DataFrame, dim: DataFrame, key: str, district: str, offs
     per_hour = (rows.groupBy(F.col(key), season.alias("season"),
                              F.expr(f"CAST(hour({ident(ts)}) AS INT) AS _utc_hour"))
                 .agg(F.expr(f"sum({ident(measure)}) AS _sum"), F.expr(f"count({ident(measure)}) AS _n")))
-    joined = per_hour.join(sized_broadcast(dim.select(key, district, offset), dim_max_rows, broadcast),
-                           key, "inner")
+    joined = per_hour.join(dim.select(key, district, offset), key, "inner")
     level1 = joined.selectExpr(
         ident(district), ident(key), "season",
         f"CAST(pmod(_utc_hour + {ident(offset)}, 24) AS INT) AS hour_local",
@@ -113,9 +112,9 @@ def local_profile(fact: DataFrame, dim: DataFrame, key: str, district: str, offs
     level2 = cycle_extremes(level1, [district, key, "season"], "hour_local", digits=None)
     return (level2.groupBy(district, "season")
             .agg(F.expr("count(1) AS entities"),
-                 F.expr(f"round(avg(amplitude), {int(digits)}) AS mean_amplitude"),
-                 F.expr(f"round(min(amplitude), {int(digits)}) AS min_amplitude"),
-                 F.expr(f"round(max(amplitude), {int(digits)}) AS max_amplitude"),
+                 F.expr(f"{_round('avg(amplitude)', digits)} AS mean_amplitude"),
+                 F.expr(f"{_round('min(amplitude)', digits)} AS min_amplitude"),
+                 F.expr(f"{_round('max(amplitude)', digits)} AS max_amplitude"),
                  distinct_text_list("min_hour_local").alias("coldest_hours"),
                  distinct_text_list("max_hour_local").alias("warmest_hours"))
             .orderBy("season", F.desc("mean_amplitude"), district))

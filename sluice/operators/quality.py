@@ -88,14 +88,21 @@ def entity_coverage(df: DataFrame, group: Sequence[str], ts: str, measure: str,
             .orderBy(*group))
 
 
-def completeness(df: DataFrame, entity: str, ts: str, start: str, end: str) -> DataFrame:
-    """Per entity: hourly slots expected in ``[start, end)``, slots seen, slots missing."""
+def completeness(df: DataFrame, entity: str, ts: str, start: str, end: str,
+                 roster: DataFrame | None = None) -> DataFrame:
+    """Per entity: hourly slots expected in ``[start, end)``, slots seen, slots missing.
+
+    ``roster`` lists the entities to expect (column ``entity``); without it
+    they are all entities of the table, also those without a row in the period.
+    """
     # whole hours in the period; constant-folded by Catalyst
     expected = (f"CAST(floor((unix_timestamp(CAST({text(end)} AS TIMESTAMP)) - "
                 f"unix_timestamp(CAST({text(start)} AS TIMESTAMP))) / 3600) AS BIGINT)")
     seen = (df.where(half_open(df, ts, start, end))
             .groupBy(entity)
-            .agg(F.expr(f"CAST(count(DISTINCT date_trunc('hour', {ident(ts)})) AS BIGINT) AS actual")))
+            .agg(F.expr(f"CAST(count(DISTINCT date_trunc('hour', {ident(ts)})) AS BIGINT) AS _seen")))
+    expected_of = (df if roster is None else roster).select(entity).where(F.col(entity).isNotNull()).distinct()
+    seen = expected_of.join(seen, entity, "left").withColumn("actual", F.coalesce("_seen", F.lit(0)))
     return (seen.selectExpr(ident(entity), f"{expected} AS expected", "actual",
                             f"{expected} - actual AS missing")
             .orderBy(entity))

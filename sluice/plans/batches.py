@@ -4,32 +4,36 @@ The table is a Parquet dataset partitioned by a month (or day) index derived
 from the time column: the value a ``months(ts)`` / ``days(ts)`` partition
 transform would give.  Each load:
 
-1. writes its rows with dynamic partition overwrite, so re-running the same
-   batch replaces its partitions instead of doubling them;
-2. observes its row count on that write (no second scan);
-3. only then appends one ledger row (load number, parent, operation, rows,
-   files, partitions), so a failed load leaves no ledger entry.
-
-Batches must split on partition boundaries; a boundary inside a month would
-let the second batch's overwrite remove rows of the first.
+1. measures its batch first (rows, rows without a time, partitions; one scan of
+   the time column) and refuses rows without a time, which have no partition;
+2. writes clustered by partition, so the number of files follows the data and
+   not tasks x partitions (AQE splits a partition that is large);
+3. only then appends one ledger row, so a failed load leaves no ledger entry.
+
+``overwrite`` writes beside the table and switches, so a failed job leaves the
+old table; ``append`` adds rows; ``replace_partitions`` replaces the partitions
+the batch holds.  ``two_batch_load`` writes nothing unless both batches hold
+rows and together cover the input.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.time import day_index, month_index, ts_literal
-from sluice.operators.checks import check_rows
+from sluice.functions.time import day_index, month_index, month_range, ts_literal
+from sluice.operators.checks import assert_checks, check_rows
 from sluice.operators.dimension import local_rows
-from sluice.session import path_exists
+from sluice.session import path_exists, switch_into_place
 
 MONTH = "month_idx"
 TRANSFORMS = {"month": month_index, "day": day_index}
-LEDGER_SCHEMA = ("load_no int, parent_load_no int, operation string, added_records bigint, "
-                 "added_files bigint, partitions bigint, committed_at timestamp, summary map<string,string>")
+LEDGER_SCHEMA = ("load_no int, parent_load_no int, operation string, added_records bigint, added_files bigint, "
+                 "partitions bigint, total_records bigint, committed_at timestamp")
+OPERATIONS = ("overwrite", "append", "replace_partitions")
 
 
 @dataclass(frozen=True)
@@ -55,10 +59,13 @@ def split_batches(df: DataFrame, ts: str, boundary: str) -> tuple[DataFrame, Dat
 def batch_coverage(df: DataFrame, ts: str, boundary: str) -> DataFrame:
     """Both batches non-empty, and together exactly the input (NULL times would be lost)."""
     b = ts_literal(boundary, df.schema[ts].dataType)
-    c = df.agg(F.count(F.lit(1)).alias("total"),
-               F.count_if(F.col(ts) < b).alias("first"),
-               F.count_if(F.col(ts) >= b).alias("second"))
-    return check_rows(c, [
+    return coverage_checks(df.agg(F.count(F.lit(1)).alias("total"),
+                                  F.count_if(F.col(ts) < b).alias("first"),
+                                  F.count_if(F.col(ts) >= b).alias("second")))
+
+
+def coverage_checks(counts: DataFrame) -> DataFrame:
+    return check_rows(counts, [
         ("first_batch_not_empty", "1", "least(`first`, 1)"),
         ("second_batch_not_empty", "1", "least(`second`, 1)"),
         ("batches_cover_input", "total", "`first` + `second`"),
@@ -73,62 +80,59 @@ def _check_boundary(spark: SparkSession, boundary: str, transform: str) -> None:
 
 
 def ledger(spark: SparkSession, table: PartitionedTable) -> DataFrame:
-    """Ledger rows with ``total_records`` as a running sum of added rows.
-
-    The running sum counts every load since the first; after a later full
-    overwrite the table holds only that load's rows, which the entry's
-    ``summary['total-records']`` records.  The ledger holds one row per
-    load, so the unpartitioned window is tiny.
-    """
+    """One row per load; ``total_records`` is what the table held after it."""
     if path_exists(spark, table.ledger_path):
-        rows = spark.read.schema(LEDGER_SCHEMA).parquet(table.ledger_path)
-    else:  # no load yet
-        rows = spark.createDataFrame([], LEDGER_SCHEMA)
-    w = Window.orderBy("load_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn("total_records", F.sum("added_records").over(w)).orderBy("load_no")
+        return spark.read.schema(LEDGER_SCHEMA).parquet(table.ledger_path).orderBy("load_no")
+    return spark.createDataFrame([], LEDGER_SCHEMA)  # no load yet
+
+
+def _files(spark: SparkSession, table: PartitionedTable) -> int:
+    """Data files of the table, from the file column of a scan that reads no data column."""
+    if not path_exists(spark, table.path):
+        return 0
+    return spark.read.parquet(table.path).select("_metadata.file_path").distinct().count()
 
 
 def load_batch(batch: DataFrame, table: PartitionedTable, operation: str) -> dict:
     """Write one batch into the table, then record it in the ledger.
 
-    ``operation='overwrite'`` replaces the whole table (first load, like
-    CREATE OR REPLACE ... AS SELECT); ``'append'`` overwrites only the
-    partitions the batch holds.
+    ``added_files`` counts the files this load left in the table beyond those it
+    kept; ``partitions`` those the batch touches.
     """
+    if operation not in OPERATIONS:
+        raise ValueError(f"unknown operation {operation}")
     spark = batch.sparkSession
-    obs = Observation("load")
-    rows = (batch.withColumn(table.partition, TRANSFORMS[table.transform](table.ts))
-            .observe(obs, F.count(F.lit(1)).alias("rows"),
-                     F.min(table.partition).alias("lo"), F.max(table.partition).alias("hi")))
-    writer = rows.write.partitionBy(table.partition).option("compression", "snappy")
+    part = table.partition
+    rows = batch.withColumn(part, TRANSFORMS[table.transform](table.ts))
+    m = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(part).isNull()).alias("timeless"),
+                 F.count_distinct(part).alias("parts")).first()
+    if m["timeless"]:
+        raise ValueError(f"{m['timeless']} of {m['rows']} rows have no {table.ts} and so no partition")
+    before = 0
+    clustered = rows.hint("rebalance", part)
+    writer = clustered.write.partitionBy(part).option("compression", "snappy")
     if operation == "overwrite":
-        writer.mode("overwrite").parquet(table.path)
+        beside = f"{table.path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
+        writer.parquet(beside)
+        switch_into_place(spark, beside, table.path)
     elif operation == "append":
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table.path)
+        before = _files(spark, table)
+        writer.mode("append").parquet(table.path)
     else:
-        raise ValueError(f"unknown operation {operation}")
-    m = obs.get
-    files = partitions = 0
-    if m["rows"]:
-        # Files and partitions of this load, from the directory listing only
-        # (binaryFile with no content column reads no file).
-        written = (spark.read.format("binaryFile").load(table.path)
-                   .where(F.col(table.partition).cast("int").between(m["lo"], m["hi"]))
-                   .agg(F.count(F.lit(1)).alias("files"),
-                        F.count_distinct(table.partition).alias("parts")).first())
-        files, partitions = written["files"], written["parts"]
+        touched = rows.select(part).distinct()
+        if path_exists(spark, table.path):
+            kept = spark.read.parquet(table.path).select(F.col(part).cast("int").alias(part), "_metadata.file_path")
+            before = kept.join(touched, part, "left_anti").select("file_path").distinct().count()
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table.path)
+    files = _files(spark, table) - before
+    total = spark.read.schema(rows.schema).parquet(table.path).count()
     # History is kept across a full overwrite; the parent is the last load.
-    last = ledger(spark, table).agg(F.max("load_no").alias("last"),
-                                    F.max("total_records").alias("total")).first()
-    previous = last["last"]
-    total = (0 if operation == "overwrite" else (last["total"] or 0)) + m["rows"]
-    load_no = (previous or 0) + 1
-    summary = {"added-records": str(m["rows"]), "total-records": str(total),
-               "added-data-files": str(files), "changed-partition-count": str(partitions)}
-    entry = local_rows(spark, [(load_no, previous, operation, m["rows"], files, partitions, None, summary)],
+    last = ledger(spark, table).agg(F.max("load_no").alias("last")).first()["last"]
+    load_no = (last or 0) + 1
+    entry = local_rows(spark, [(load_no, last, operation, m["rows"], files, m["parts"], total, None)],
                        LEDGER_SCHEMA).withColumn("committed_at", F.current_timestamp())
     entry.write.mode("append").parquet(table.ledger_path)
-    return {"load_no": load_no, "rows": m["rows"], "files": files, "partitions": partitions}
+    return {"load_no": load_no, "rows": m["rows"], "files": files, "partitions": m["parts"], "total": total}
 
 
 def new_entries(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -141,13 +145,20 @@ def new_entries(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def two_batch_load(df: DataFrame, table: PartitionedTable, boundary: str) -> tuple[DataFrame, dict, dict]:
-    """First batch as overwrite, second as append; returns checks and both load records."""
+    """First batch as overwrite, second as append; returns checks and both load records.
+
+    Raises :class:`CheckFailed` before anything is written when a batch is empty
+    or a row is in neither; the checks after the loads compare with the input.
+    """
     spark = df.sparkSession
     _check_boundary(spark, boundary, table.transform)
+    b = ts_literal(boundary, df.schema[table.ts].dataType)
+    counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(table.ts) < b).alias("first"),
+                    F.count_if(F.col(table.ts) >= b).alias("second")).first()
+    assert_checks(coverage_checks(local_rows(spark, [tuple(counts)], "total bigint, first bigint, second bigint")))
     before = ledger(spark, table)
     first, second = split_batches(df, table.ts, boundary)
     r1 = load_batch(first, table, "overwrite")
-    after_first = spark.read.parquet(table.path).count()
     r2 = load_batch(second, table, "append")
     final = spark.read.parquet(table.path).agg(F.count(F.lit(1)).alias("rows"))
     added = new_entries(before, ledger(spark, table)).agg(F.count(F.lit(1)).alias("added"))
@@ -155,28 +166,30 @@ def two_batch_load(df: DataFrame, table: PartitionedTable, boundary: str) -> tup
               .unionByName(added.select(F.lit(None).cast("bigint").alias("rows"), "added"))
               .agg(F.max("rows").alias("rows"), F.max("added").alias("added")))
     checks = check_rows(folded, [
-        ("rows_after_first_load", F.lit(r1["rows"]), F.lit(after_first)),
-        ("rows_after_second_load", F.lit(r1["rows"] + r2["rows"]), F.col("rows")),
+        ("rows_after_first_load", F.lit(counts["first"]), F.lit(r1["total"])),
+        ("rows_after_second_load", F.lit(counts["total"]), F.col("rows")),
         ("ledger_entries_added", F.lit(2), F.col("added")),
     ])
     return checks, r1, r2
 
 
-def load_key_check(spark: SparkSession, path: str, key: list[str], expected_rows: int) -> DataFrame:
-    """Rows and distinct keys in the loaded table must both equal ``expected_rows``."""
-    c = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"),
-                                     F.count_distinct(*[F.col(k) for k in key]).alias("keys"))
-    return check_rows(c, [("rows_loaded", str(int(expected_rows)), "`rows`"),
-                          ("unique_keys_loaded", str(int(expected_rows)), "`keys`")])
+def load_key_check(spark: SparkSession, path: str, key: list[str], source: DataFrame) -> DataFrame:
+    """Rows and distinct keys in the loaded table must both equal the source's rows."""
+    c = (spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(*[F.col(k) for k in key]).alias("keys"))
+         .select("rows", "keys", F.lit(None).cast("bigint").alias("expected"))
+         .unionByName(source.agg(F.count(F.lit(1)).alias("expected"))
+                      .select(F.lit(None).cast("bigint").alias("rows"), F.lit(None).cast("bigint").alias("keys"), "expected"))
+         .agg(*[F.max(x).alias(x) for x in ("rows", "keys", "expected")]))
+    return check_rows(c, [("rows_loaded", "expected", "`rows`"), ("unique_keys_loaded", "expected", "`keys`")])
 
 
-def load_history(spark: SparkSession, table: PartitionedTable) -> DataFrame:
-    """The ledger read like snapshot metadata: map lookups into ``summary``, by commit order."""
-    return ledger(spark, table).select(
-        "load_no", "parent_load_no", "committed_at", "operation",
-        F.col("summary")["added-records"].cast("bigint").alias("added_records"),
-        F.col("summary")["total-records"].cast("bigint").alias("total_records"),
-        F.col("summary")["added-data-files"].cast("bigint").alias("added_files")).orderBy("committed_at", "load_no")
+def table_range(spark: SparkSession, table: PartitionedTable, start: str | None, end: str | None) -> DataFrame:
+    """Rows of ``[start, end)``; only the months it touches are read."""
+    if table.transform != "month":
+        raise ValueError("ranges prune month partitions")
+    df = spark.read.parquet(table.path)
+    df = df.withColumn(table.partition, F.col(table.partition).cast("int"))
+    return df.where(month_range(df, table.ts, table.partition, start, end))
 
 
 def partition_inventory(spark: SparkSession, path: str, partition: str = MONTH,

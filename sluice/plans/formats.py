@@ -25,8 +25,10 @@ def write_two_formats(df: DataFrame, csv_path: str, parquet_path: str,
     Returns that count.
     """
     obs = Observation("formats")
-    writer = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-              .write.mode("overwrite").option("compression", "snappy"))
+    rows = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partition_by:  # files follow the data, not tasks x partitions
+        rows = rows.hint("rebalance", *partition_by)
+    writer = rows.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(parquet_path)

@@ -30,7 +30,7 @@ DIRTY = """(SELECT event_id,
   FROM events)"""
 
 NATION_DIM = """(SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n
-  JOIN region r ON n.n_regionkey = r.r_regionkey WHERE n.n_regionkey <> 4)"""
+  JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 SQL: dict[str, str] = {}
 
@@ -38,8 +38,8 @@ SQL["seasonal_profile"] = f"""
 WITH h AS (
   SELECT event_type, {SEASON_HALF} AS season, CAST(hour(ts) AS INTEGER) AS hr, avg(value) AS m
   FROM events GROUP BY 1, 2, 3)
-SELECT event_type, season, round(min(m), 2) AS min_mean, round(max(m), 2) AS max_mean,
-       round(max(m) - min(m), 2) AS amplitude,
+SELECT event_type, season, CAST(round(CAST(min(m) AS DECIMAL(18,6)), 2) AS DOUBLE) AS min_mean, CAST(round(CAST(max(m) AS DECIMAL(18,6)), 2) AS DOUBLE) AS max_mean,
+       CAST(round(CAST(max(m) - min(m) AS DECIMAL(18,6)), 2) AS DOUBLE) AS amplitude,
        min_by(hr, row(m, hr)) AS min_hour, max_by(hr, row(m, -hr)) AS max_hour
 FROM h GROUP BY 1, 2"""
 
@@ -50,13 +50,13 @@ WITH h AS (
               WHEN month(o_orderdate) IN (6, 7, 8) THEN 'summer' END AS season,
          CAST(day(o_orderdate) AS INTEGER) AS dy, avg(o_totalprice) AS m
   FROM orders WHERE month(o_orderdate) IN (12, 1, 2, 6, 7, 8) GROUP BY 1, 2, 3)
-SELECT o_orderpriority, season, round(min(m), 2) AS min_mean, round(max(m), 2) AS max_mean,
-       round(max(m) - min(m), 2) AS amplitude,
+SELECT o_orderpriority, season, CAST(round(CAST(min(m) AS DECIMAL(18,6)), 2) AS DOUBLE) AS min_mean, CAST(round(CAST(max(m) AS DECIMAL(18,6)), 2) AS DOUBLE) AS max_mean,
+       CAST(round(CAST(max(m) - min(m) AS DECIMAL(18,6)), 2) AS DOUBLE) AS amplitude,
        min_by(dy, row(m, dy)) AS min_day, max_by(dy, row(m, -dy)) AS max_day
 FROM h GROUP BY 1, 2"""
 
 SQL["hourly_profile"] = """
-SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour_utc, round(avg(value), 3) AS mean_value,
+SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour_utc, CAST(round(CAST(avg(value) AS DECIMAL(18,6)), 3) AS DOUBLE) AS mean_value,
        count(*) AS observations
 FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22'
 GROUP BY 1, 2"""
@@ -70,8 +70,8 @@ pc AS (
   SELECT district, event_type, season, max(m) - min(m) AS amp,
          min_by(hl, row(m, hl)) AS lo, max_by(hl, row(m, -hl)) AS hi
   FROM lh GROUP BY 1, 2, 3)
-SELECT district, season, count(*) AS entities, round(avg(amp), 2) AS mean_amplitude,
-       round(min(amp), 2) AS min_amplitude, round(max(amp), 2) AS max_amplitude,
+SELECT district, season, count(*) AS entities, CAST(round(CAST(avg(amp) AS DECIMAL(18,6)), 2) AS DOUBLE) AS mean_amplitude,
+       CAST(round(CAST(min(amp) AS DECIMAL(18,6)), 2) AS DOUBLE) AS min_amplitude, CAST(round(CAST(max(amp) AS DECIMAL(18,6)), 2) AS DOUBLE) AS max_amplitude,
        array_to_string(list_sort(list(DISTINCT CAST(lo AS VARCHAR))), ',') AS coldest_hours,
        array_to_string(list_sort(list(DISTINCT CAST(hi AS VARCHAR))), ',') AS warmest_hours
 FROM pc GROUP BY 1, 2"""
@@ -84,7 +84,7 @@ FROM h GROUP BY 1"""
 SQL["distinct_text_list"] = """
 SELECT event_type,
        array_to_string(list_sort(list(DISTINCT CAST(CAST(hour(ts) AS INTEGER) AS VARCHAR))), ',') AS hours
-FROM events WHERE value > 100 GROUP BY 1"""
+FROM events WHERE value IS NOT NULL GROUP BY 1"""
 
 SQL["control_aggregate"] = """
 SELECT count(*) AS observations, count(DISTINCT event_type) AS entities,
@@ -136,11 +136,25 @@ LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 4) n ON c
 GROUP BY 1"""
 
 SQL["join_audit"] = f"""
-WITH source AS (SELECT event_type FROM events)
-SELECT (SELECT count(*) FROM source) AS before_join, count(*) AS after_join,
-       count_if(r.event_type IS NULL) AS unmatched_rows,
-       count(DISTINCT CASE WHEN r.event_type IS NULL THEN s.event_type END) AS unmatched_keys
-FROM source s LEFT JOIN {EVENT_DIM} r ON s.event_type = r.event_type"""
+WITH facts AS (SELECT event_type AS k, count(*) AS n FROM events GROUP BY 1),
+hits AS (SELECT event_type AS k, count(*) AS m FROM {EVENT_DIM} GROUP BY 1),
+per_key AS (SELECT facts.k, n, m FROM facts LEFT JOIN hits USING (k))
+SELECT CAST(sum(n) AS BIGINT) AS before_join, CAST(sum(n * coalesce(m, 1)) AS BIGINT) AS after_join,
+       CAST(sum(CASE WHEN m IS NULL THEN n ELSE 0 END) AS BIGINT) AS unmatched_rows,
+       count_if(m IS NULL AND k IS NOT NULL) AS unmatched_keys
+FROM per_key"""
+
+SQL["rollup_with_nulls"] = """
+WITH f AS (SELECT l_partkey, CASE WHEN l_quantity <= 30 THEN l_quantity END AS q FROM lineitem)
+SELECT coalesce(p_brand, 'Unmatched') AS p_brand, count(DISTINCT l_partkey) AS entities, count(*) AS observations,
+       CAST(round(avg(CAST(q AS DECIMAL(18,6))), 2) AS DOUBLE) AS mean_value, round(min(q), 1) AS min_value, round(max(q), 1) AS max_value
+FROM f LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1"""
+
+SQL["completeness_roster"] = """
+WITH seen AS (SELECT o_custkey, count(DISTINCT date_trunc('hour', o_orderdate)) AS actual FROM orders
+              WHERE o_orderdate >= TIMESTAMP '1996-03-01' AND o_orderdate < TIMESTAMP '1996-03-02' GROUP BY 1)
+SELECT c_custkey AS o_custkey, CAST(24 AS BIGINT) AS expected, coalesce(actual, 0) AS actual, 24 - coalesce(actual, 0) AS missing
+FROM customer LEFT JOIN seen ON c_custkey = o_custkey"""
 
 SQL["reject_reasons"] = f"SELECT event_id, event_type, ts, value, reject_reason FROM {LABELLED}"
 
@@ -200,14 +214,14 @@ SELECT l_orderkey, l_linenumber,
 FROM lineitem"""
 
 # ------------------------------------------------------------ file-based keys
-CSV_BANDS = """(SELECT event_id,
+CSV_BANDS = """(SELECT CASE WHEN value >= 6.0 AND value < 6.3 THEN NULL ELSE event_id END AS event_id,
     CASE WHEN value >= 4.0 AND value < 4.3 THEN NULL ELSE event_type END AS k,
     CASE WHEN value >= 1.0 AND value < 1.3 THEN NULL ELSE ts END AS ts,
     CASE WHEN value >= 5.0 AND value < 5.3 THEN CAST(ts AS DATE) + 1 ELSE CAST(ts AS DATE) END AS d,
     CASE WHEN value >= 2.0 AND value < 2.3 THEN NULL ELSE value END AS v,
     CASE WHEN value >= 3.0 AND value < 3.3 THEN NULL ELSE CAST(user_id AS INTEGER) END AS i,
     (value >= 1.0 AND value < 1.3) OR (value >= 2.0 AND value < 2.3) OR (value >= 3.0 AND value < 3.3)
-      AS corrupt
+      OR (value >= 6.0 AND value < 6.3) AS corrupt
   FROM events)"""
 
 CSV_REASON = """concat_ws('; ',
@@ -238,8 +252,50 @@ UNION ALL SELECT 'accepted_duplicate_keys', 0, d, d = 0
 FROM (SELECT count(*) AS d FROM (SELECT k, ts FROM {CSV_LABELLED} WHERE reject_reason = ''
                                  GROUP BY k, ts HAVING count(*) > 1))"""
 
+SQL["csv_histogram"] = f"""
+SELECT reject_reason, count(*) AS "rows" FROM {CSV_LABELLED} WHERE reject_reason <> '' GROUP BY 1"""
+
+SQL["csv_accepted"] = f"SELECT event_id, k, ts, d, v, i FROM {CSV_LABELLED} WHERE reject_reason = ''"
+
+SQL["csv_reconciliation"] = f"""
+WITH c AS (SELECT count(*) AS raw, count_if(reject_reason = '') AS acc, count_if(reject_reason <> '') AS rej
+           FROM {CSV_LABELLED})
+SELECT 'raw_not_empty' AS "check", CAST(1 AS BIGINT) AS expected, CAST(least(raw, 1) AS BIGINT) AS actual,
+       least(raw, 1) = 1 AS ok FROM c
+UNION ALL SELECT 'raw_equals_accepted_plus_rejected', raw, CAST(acc + rej AS BIGINT), raw = acc + rej FROM c"""
+
 SQL["contract_columns"] = """
-SELECT column_name, true AS in_file, true AS in_contract FROM (DESCRIBE events)"""
+SELECT column_name, column_name <> 'value' AS in_every_file, true AS in_some_file, true AS in_contract
+FROM (DESCRIBE events)
+UNION ALL SELECT 'amount', false, true, false"""
+
+SQL["json_incomplete_objects"] = """
+WITH o AS (SELECT event_type, CAST(ts AS DATE) AS d, hour(ts) AS h, count(*) AS n FROM events GROUP BY 1, 2, 3),
+c AS (SELECT CASE WHEN h IN (3, 6) THEN 'array missing' WHEN h = 4 THEN 'value arrays differ in length from time'
+                  WHEN h = 5 THEN 'object not parsed' ELSE 'rows' END AS outcome, n FROM o)
+SELECT outcome, CAST(sum(CASE WHEN outcome = 'rows' THEN n ELSE 1 END) AS BIGINT) AS n FROM c GROUP BY 1"""
+
+IDS_BY_DAY = """(SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, string_agg(CAST(event_id AS VARCHAR) || chr(10), '' ORDER BY event_id) AS body
+  FROM events GROUP BY 1)"""
+
+SQL["file_manifest"] = f"""
+SELECT day, CAST(strlen(body) AS BIGINT) AS length, sha256(body) AS sha256, 'hashed' AS status FROM {IDS_BY_DAY}"""
+
+SQL["storage_size"] = f"""
+SELECT 'daily' AS dataset, count(*) AS files, CAST(sum(strlen(body)) AS BIGINT) AS bytes,
+       round(sum(strlen(body)) / (1024 * 1024), 2) AS mib FROM {IDS_BY_DAY}"""
+
+SQL["size_ratio"] = f"""
+SELECT 'whole/half' AS ratio, round(sum(strlen(body)) / sum(CASE WHEN day < '2024-01-16' THEN strlen(body) END), 2) AS value
+FROM {IDS_BY_DAY}"""
+
+SQL["manifest_diff"] = """
+SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
+       CASE CAST(ts AS DATE) WHEN DATE '2024-01-05' THEN 'only_left' WHEN DATE '2024-01-06' THEN 'changed'
+                             WHEN DATE '2024-01-07' THEN 'only_right' ELSE 'same' END AS status
+FROM events"""
+
+SQL["manifest_verify"] = f"SELECT status, count(*) AS files FROM ({SQL['manifest_diff']}) GROUP BY 1"
 
 SQL["columnar_json_explode"] = """
 SELECT event_id, event_type, ts, user_id, value, CAST(ts AS DATE) AS obs_date FROM events"""
@@ -254,8 +310,6 @@ SQL["format_roundtrip"] = f"""
 SELECT 'csv_rows' AS "check", n AS expected, n AS actual, true AS ok FROM {ACCEPTED_COUNT}
 UNION ALL SELECT 'parquet_rows', n, n, true FROM {ACCEPTED_COUNT}"""
 
-SQL["schema_parity"] = "SELECT column_name, true AS same FROM (DESCRIBE events)"
-
 SQL["result_parity"] = """
 SELECT 'csv_minus_parquet' AS "check", CAST(0 AS BIGINT) AS expected, CAST(0 AS BIGINT) AS actual, true AS ok
 UNION ALL SELECT 'parquet_minus_csv', 0, 0, true"""
@@ -282,16 +336,49 @@ MONTH_IDX = "CAST((year(l_shipdate) - 1970) * 12 + month(l_shipdate) - 1 AS INTE
 
 SQL["load_ledger"] = f"""
 SELECT CAST(1 AS INTEGER) AS load_no, CAST(NULL AS INTEGER) AS parent_load_no, 'overwrite' AS operation,
-       count(*) AS added_records, count(*) AS total_records, count(DISTINCT {MONTH_IDX}) AS partitions
+       count(*) AS added_records, count(*) AS total_records, count(DISTINCT {MONTH_IDX}) AS added_files,
+       count(DISTINCT {MONTH_IDX}) AS partitions
 FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'
 UNION ALL
 SELECT 2, 1, 'append', count_if(l_shipdate >= TIMESTAMP '1998-01-01'), count(*),
+       count(DISTINCT CASE WHEN l_shipdate >= TIMESTAMP '1998-01-01' THEN {MONTH_IDX} END),
        count(DISTINCT CASE WHEN l_shipdate >= TIMESTAMP '1998-01-01' THEN {MONTH_IDX} END)
 FROM lineitem"""
 
-SQL["partition_inventory"] = f"""
+SQL["load_rejects_uncovered"] = """
+SELECT 'batches_cover_input' AS "check", count(*) AS expected, count_if(NOT (value >= 1.0 AND value < 1.3)) AS actual,
+       count_if(value >= 1.0 AND value < 1.3) = 0 AS ok FROM events
+UNION ALL SELECT 'refused', 1, 1, true
+UNION ALL SELECT 'tables_left', 0, 0, true"""
+
+SQL["late_append"] = f"""
 SELECT {MONTH_IDX} AS month_idx, count(*) AS record_count FROM lineitem GROUP BY 1"""
 
+SQL["ledger_after_rerun"] = f"""
+WITH c AS (SELECT count_if(l_linenumber <= 3) AS early, count_if(l_linenumber > 3) AS late, count(*) AS n,
+                  count_if(l_shipdate >= TIMESTAMP '1998-01-01') AS last,
+                  count(DISTINCT CASE WHEN l_linenumber <= 3 THEN {MONTH_IDX} END) AS pe,
+                  count(DISTINCT CASE WHEN l_linenumber > 3 THEN {MONTH_IDX} END) AS pl,
+                  count(DISTINCT CASE WHEN l_shipdate >= TIMESTAMP '1998-01-01' THEN {MONTH_IDX} END) AS pr FROM lineitem)
+SELECT CAST(1 AS INTEGER) AS load_no, 'overwrite' AS operation, early AS added_records, early AS total_records, pe AS partitions FROM c
+UNION ALL SELECT 2, 'append', late, n, pl FROM c
+UNION ALL SELECT 3, 'overwrite', early, early, pe FROM c
+UNION ALL SELECT 4, 'append', late, n, pl FROM c
+UNION ALL SELECT 5, 'replace_partitions', last, n, pr FROM c"""
+
+SQL["partition_inventory"] = f"""
+SELECT {MONTH_IDX} AS month_idx, count(*) AS record_count, CAST(1 AS BIGINT) AS file_count FROM lineitem GROUP BY 1"""
+
+SQL["hourly_from_table"] = """
+SELECT l_returnflag, CAST(hour(l_shipdate) AS INTEGER) AS hour_utc,
+       CAST(round(CAST(avg(l_quantity) AS DECIMAL(18,6)), 3) AS DOUBLE) AS mean_value, count(*) AS observations
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-02-01' AND l_shipdate < TIMESTAMP '1996-05-01' GROUP BY 1, 2"""
+
+SQL["lineitem_months_sql"] = """
+SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS ship_month, l_returnflag, count(*) AS lines,
+       CAST(round(avg(CAST(l_quantity AS DECIMAL(18,6))), 4) AS DOUBLE) AS mean_quantity
+FROM lineitem GROUP BY 1, 2"""
+
 SQL["load_key_check"] = """
 SELECT 'rows_loaded' AS "check", count(*) AS expected, count(*) AS actual, true AS ok FROM events
 UNION ALL SELECT 'unique_keys_loaded', count(*), count(DISTINCT event_id), count(*) = count(DISTINCT event_id)
@@ -299,7 +386,7 @@ FROM events"""
 
 SQL["partition_inventory_days"] = """
 SELECT CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS day_idx,
-       count(*) AS record_count FROM events GROUP BY 1"""
+       count(*) AS record_count, CAST(1 AS BIGINT) AS file_count FROM events GROUP BY 1"""
 
 SQL["federated_rollup"] = SQL["dimension_rollup"]
 
@@ -310,19 +397,19 @@ WITH h AS (
               WHEN month(o_orderdate) IN (6, 7, 8) THEN 'summer' END AS season,
          day(o_orderdate) AS dy, avg(o_totalprice) AS m
   FROM orders WHERE month(o_orderdate) IN (12, 1, 2, 6, 7, 8) GROUP BY 1, 2, 3),
-a AS (SELECT o_orderpriority, season, round(max(m) - min(m), 2) AS amplitude FROM h GROUP BY 1, 2)
+a AS (SELECT o_orderpriority, season, CAST(round(CAST(max(m) - min(m) AS DECIMAL(18,6)), 2) AS DOUBLE) AS amplitude FROM h GROUP BY 1, 2)
 SELECT o_orderpriority, max(CASE WHEN season = 'summer' THEN amplitude END) AS summer,
        max(CASE WHEN season = 'winter' THEN amplitude END) AS winter
 FROM a GROUP BY 1"""
 
+SQL["full_flow"] = SQL["seasonal_profile"].replace("FROM events", f"FROM {LABELLED} WHERE reject_reason = ''")
+
 SQL["stream_gate"] = SQL["accepted_rows"]
 
 SQL["content_parity"] = f"""
 SELECT 'csv_rows_equal_parquet' AS "check", n AS expected, n AS actual, true AS ok FROM {ACCEPTED_COUNT}
 UNION ALL SELECT 'csv_content_equals_parquet', 1, 1, true"""
 
-SQL["hourly_profile_sql"] = SQL["hourly_profile"]
-
 SQL["catalog_table"] = """
 SELECT count(*) AS observations, count(DISTINCT l_orderkey) AS entities,
        min(l_shipdate) AS first_observation, max(l_shipdate) AS last_observation
@@ -332,14 +419,3 @@ SQL["row_counts"] = f"""
 SELECT count(*) AS raw, count(ts) AS ts_parsed, count_if(reject_reason = '') AS accepted,
        count_if(reject_reason <> '') AS rejected
 FROM {CSV_LABELLED}"""
-
-SQL["load_history"] = """
-SELECT CAST(1 AS INTEGER) AS load_no, CAST(NULL AS INTEGER) AS parent_load_no, 'overwrite' AS operation,
-       count(*) AS added_records, count(*) AS total_records
-FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'
-UNION ALL
-SELECT 2, 1, 'append', count_if(l_shipdate >= TIMESTAMP '1998-01-01'), count(*)
-FROM lineitem"""
-
-SQL["seasonal_profile_sql"] = SQL["seasonal_profile"]
-SQL["local_profile_sql"] = SQL["local_profile"]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.contract import Contract, Period, RangeRule, SameDay
-from sluice.functions.time import half_of_month, half_open, months_in, season_of_month
+from sluice.functions.time import half_of_month, half_open, month_set_ranges, months_in, season_of_month
 from sluice.operators import dimension as dim_ops
 from sluice.operators import profiles, quality
 from sluice.sources.tables import table
@@ -51,6 +51,20 @@ def event_dimension(spark) -> DataFrame:
     return dim_ops.inline_dimension(spark, EVENT_DIMENSION_ROWS, EVENT_DIMENSION_SCHEMA)
 
 
+def season_rows(df: DataFrame, ts: str):
+    """Rows of the seasons' months: the exact filter, and time ranges that skip row groups.
+
+    The years come from the column's minimum and maximum, which Spark takes
+    from the Parquet statistics or one narrow scan.
+    """
+    span = df.agg(F.year(F.min(ts)).alias("first"), F.year(F.max(ts)).alias("last")).first()
+    exact = months_in(ts, SEASONS)
+    if span["first"] is None:
+        return exact
+    months = [m for ms in SEASONS.values() for m in ms]
+    return exact & month_set_ranges(ts, months, span["first"], span["last"])
+
+
 def events_contract(df: DataFrame) -> Contract:
     """Contract over the events table: value in 0..100, ts inside the period."""
     return Contract(
@@ -111,7 +125,7 @@ def seasonal_profile_orders(spark, d):
     o = table(spark, d, "orders")
     return profiles.seasonal_profile(
         o, "o_orderpriority", "o_totalprice", season_of_month("o_orderdate", SEASONS),
-        F.dayofmonth("o_orderdate"), where=months_in("o_orderdate", SEASONS), pos="day")
+        F.dayofmonth("o_orderdate"), where=season_rows(o, "o_orderdate"), pos="day")
 
 
 @register("hourly_profile")
@@ -132,7 +146,7 @@ def value_at_extreme(spark, d):
 
 @register("distinct_text_list")
 def distinct_text_list(spark, d):
-    return profiles.distinct_positions(events(spark, d), "event_type", F.hour("ts"), F.col("value") > 100)
+    return profiles.distinct_positions(events(spark, d), "event_type", F.hour("ts"), F.col("value").isNotNull())
 
 
 @register("control_aggregate")
@@ -168,6 +182,14 @@ def completeness(spark, d):
     return quality.completeness(events(spark, d), "event_type", "ts", *COMPLETENESS_PERIOD)
 
 
+@register("completeness_roster")
+def completeness_roster(spark, d):
+    """Customers expected to order on a day of 1996: those without any order show up with 0."""
+    o = table(spark, d, "orders")
+    return quality.completeness(o, "o_custkey", "o_orderdate", "1996-03-01", "1996-03-02",
+                                roster=table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey")))
+
+
 @register("duplicate_keys")
 def duplicate_keys(spark, d):
     return quality.duplicate_keys(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -175,11 +197,10 @@ def duplicate_keys(spark, d):
 
 # ---------------------------------------------------------------- dimensions
 def nation_dimension(spark, d) -> DataFrame:
-    """Nation names as districts, leaving out region 4 so coverage is partial."""
+    """Every nation with its region's name."""
     n = table(spark, d, "nation")
     r = table(spark, d, "region")
-    return (n.where(F.col("n_regionkey") != 4)
-            .join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"], "inner")
+    return (n.join(r, n["n_regionkey"] == r["r_regionkey"], "inner")
             .select("n_nationkey", "n_name", "r_name"))
 
 
@@ -217,6 +238,14 @@ def dimension_rollup(spark, d):
                                     "c_nationkey", "n_nationkey", "n_name")
 
 
+@register("rollup_with_nulls")
+def rollup_with_nulls(spark, d):
+    """Lineitem quantities per part brand, large ones unknown: the mean is over known values."""
+    li = table(spark, d, "lineitem").selectExpr("l_partkey", "CASE WHEN l_quantity <= 30 THEN l_quantity END AS quantity")
+    parts = table(spark, d, "part").select("p_partkey", "p_brand")
+    return dim_ops.dimension_rollup(dim_ops.measure_partials(li, "l_partkey", "quantity"), parts, "l_partkey", "p_partkey", "p_brand")
+
+
 @register("join_audit")
 def join_audit(spark, d):
     return dim_ops.join_audit(events(spark, d), event_dimension(spark), "event_type")

@@ -3,9 +3,9 @@
 Everything that writes files (format round trips, batch loads, manifests)
 writes below one shared root: the directory the cluster names in
 ``spark.checkpoint.dir``.  On a cluster that folder is on shared storage, so a
-lost executor or a restarted driver still finds what was written.  Only when
-the setting is missing (unit tests, local runs) do we pick a fresh local folder
-and register it as the checkpoint directory.
+lost executor or a restarted driver still finds what was written.  A session
+without the setting gets a folder of its own only in local mode, where driver
+and executors are one process; on a cluster it is an error.
 """
 
 from __future__ import annotations
@@ -24,10 +24,6 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Partition directory values such as '001' must stay strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # A malformed cell must mark its row corrupt even when a query does not
-    # select that column; with parser column pruning only selected columns are
-    # parsed and the verdict would depend on the projection.
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 
@@ -57,7 +53,7 @@ def apply_conf(spark: SparkSession, force: bool = False) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; set only where unset."""
+    """Shared folder named by ``spark.checkpoint.dir``; raises on a cluster without one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
@@ -65,9 +61,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="sluice-ckpt-")
-    sc.setCheckpointDir(local)
-    return (sc.getCheckpointDir() or local).rstrip("/")
+    if not sc.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -75,22 +72,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/sluice/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file system, path)`` of the Hadoop file system that owns ``path``."""
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), hpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, asked of the Hadoop file system that owns it.
-
-    Sessions without a JVM gateway (Spark Connect) fall back to listing the
-    path through the ``binaryFile`` source.
-    """
-    try:
-        sc = spark.sparkContext
-        jvm = sc._jvm
-    except Exception:  # noqa: BLE001 - no SparkContext on this client
-        jvm = None
-    if jvm is None:
-        try:
-            spark.read.format("binaryFile").load(path).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001
-            return False
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath))
+    fs, hpath = hadoop_path(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder: one listing call, no recursion."""
+    fs, hpath = hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hpath)]
+
+
+def switch_into_place(spark: SparkSession, written: str, target: str) -> None:
+    """Put a finished dataset where ``target`` is; the old one goes only then."""
+    fs, old = hadoop_path(spark, target)
+    _, new = hadoop_path(spark, written)
+    if fs.exists(old):
+        _, aside = hadoop_path(spark, f"{target.rstrip('/')}__old-{uuid.uuid4().hex[:12]}")
+        if not fs.rename(old, aside):
+            raise OSError(f"cannot set {target} aside")
+        if not fs.rename(new, old):
+            fs.rename(aside, old)
+            raise OSError(f"cannot move {written} to {target}")
+        fs.delete(aside, True)
+    elif not fs.rename(new, old):
+        raise OSError(f"cannot move {written} to {target}")

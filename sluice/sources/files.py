@@ -2,7 +2,8 @@
 
 Listing and hashing run on the executors through the ``binaryFile`` source:
 sizes come from file status only (no contents read); digests read each file
-in the task that owns it.  Nothing is gathered on the driver.
+in the task that owns it.  Spark lists the files on the driver, as for any
+file source, so these are for folders whose listing fits there.
 """
 
 from __future__ import annotations
@@ -51,27 +52,43 @@ def size_ratio(sizes: DataFrame, numerator: str, denominator: str) -> DataFrame:
                       F.round(F.col("n") / F.col("d"), 2).alias("value"))
 
 
-def file_manifest(spark: SparkSession, root: str, normalise_names: bool = False) -> DataFrame:
-    """``relative_path, length, sha256`` per file; each file is hashed in one task."""
+#: Larger files do not fit one binary cell and get a row without a digest.
+LARGEST_DIGEST = 2**31 - 64
+
+
+def file_manifest(spark: SparkSession, root: str, normalise_names: bool = False,
+                  largest: int = LARGEST_DIGEST) -> DataFrame:
+    """``relative_path, length, sha256, status`` per file; each file is hashed in one task.
+
+    ``status`` is ``hashed``, or ``too large`` for files over ``largest`` bytes,
+    whose content is not read; compare whole datasets by their rows instead.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     rel = relative_path(root)
     if normalise_names:
         rel = F.regexp_replace(rel, PART_TOKEN, "$1")
-    return files.select(rel.alias("relative_path"), "length", F.sha2(F.col("content"), 256).alias("sha256"))
+    # the length filters reach the source, which skips the other files' content
+    hashed = files.where(F.col("length") <= largest).select(
+        rel.alias("relative_path"), "length", F.sha2("content", 256).alias("sha256"), F.lit("hashed").alias("status"))
+    rest = files.where(F.col("length") > largest).select(
+        rel.alias("relative_path"), "length", F.lit(None).cast("string").alias("sha256"), F.lit("too large").alias("status"))
+    return hashed.unionByName(rest)
 
 
 def manifest_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Full outer join of two manifests on relative path.
 
     status: ``same`` (length and digest equal), ``changed``, ``only_left``,
-    ``only_right``.
+    ``only_right``, ``unknown`` (equal lengths, no digest).
     """
     l_ = left.select("relative_path", F.col("length").alias("l_len"), F.col("sha256").alias("l_sha"))
     r_ = right.select("relative_path", F.col("length").alias("r_len"), F.col("sha256").alias("r_sha"))
     j = l_.join(r_, "relative_path", "full_outer")
-    status = (F.when(F.col("r_sha").isNull(), F.lit("only_left"))
-              .when(F.col("l_sha").isNull(), F.lit("only_right"))
-              .when((F.col("l_len") == F.col("r_len")) & (F.col("l_sha") == F.col("r_sha")), F.lit("same"))
+    status = (F.when(F.col("r_len").isNull(), F.lit("only_left"))
+              .when(F.col("l_len").isNull(), F.lit("only_right"))
+              .when(F.col("l_len") != F.col("r_len"), F.lit("changed"))
+              .when(F.col("l_sha").isNull() | F.col("r_sha").isNull(), F.lit("unknown"))
+              .when(F.col("l_sha") == F.col("r_sha"), F.lit("same"))
               .otherwise(F.lit("changed")))
     return j.select("relative_path", status.alias("status"), "l_len", "r_len")
 

@@ -1,18 +1,18 @@
 """Raw zones laid out as ``root/<column>=<value>/...``: pick the latest load.
 
-The latest value is found from the directory listing alone: the
-``binaryFile`` source with only the partition column selected reads no file
-contents (``ReadSchema: struct<>``).  The data read then filters on a
-literal partition value, so only that directory is scanned.
+The latest value is found by listing one level of folders; the data read then
+opens only that partition's folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.session import child_names, path_exists
 from sluice.sources.csv import write_csv
 
 
@@ -22,27 +22,23 @@ class NoIngestion(LookupError):
 
 def latest_value(spark: SparkSession, root: str, column: str = "ingestion_date") -> str:
     """Greatest ``column=`` value under ``root``; raises :class:`NoIngestion` when none."""
-    try:
-        listing = spark.read.format("binaryFile").load(root)
-    except Exception as exc:  # missing root
-        raise NoIngestion(f"no {column}=* directories under {root}") from exc
-    if column not in listing.columns:
+    prefix = f"{column}="
+    names = child_names(spark, root) if path_exists(spark, root) else []
+    values = [unquote(n.removeprefix(prefix)) for n in names if n.startswith(prefix)]
+    if not values:
         raise NoIngestion(f"no {column}=* directories under {root}")
-    value = listing.agg(F.max(column).alias("v")).first()["v"]
-    if value is None:
-        raise NoIngestion(f"no {column}=* directories under {root}")
-    return value
+    return max(values)
 
 
 def read_latest(spark: SparkSession, root: str, read: Callable[[str], DataFrame],
                 column: str = "ingestion_date", value: str | None = None) -> DataFrame:
-    """Read ``root`` with ``read`` and keep only the latest (or given) partition.
+    """Read the latest (or given) partition of ``root``, with its value as a column.
 
-    ``read`` receives the root path and returns a DataFrame with partition
-    discovery (e.g. ``lambda p: read_permissive(spark, p, contract)``).
+    ``read`` receives the partition's own folder, so no other date is listed.
     """
     chosen = value or latest_value(spark, root, column)
-    return read(root).where(F.col(column) == F.lit(chosen))
+    folder = f"{root.rstrip('/')}/{column}={quote(chosen)}"
+    return read(folder).withColumn(column, F.lit(chosen))
 
 
 def land(df: DataFrame, root: str, value: str, column: str = "ingestion_date") -> str:

@@ -24,7 +24,7 @@ from sluice.operators import quality
 from sluice.operators.dimension import local_rows
 from sluice.plans.gate import VERDICT
 from sluice.session import path_exists
-from sluice.sources.csv import DATE_FORMAT, TIMESTAMP_FORMAT, TIMESTAMP_NTZ_FORMAT
+from sluice.sources.csv import DATE_FORMAT, TIMESTAMP_FORMAT, contract_reader, pin_verdict
 
 
 @dataclass
@@ -33,7 +33,11 @@ class GateStream:
     sink: str
 
     def batch_metrics(self) -> list[dict]:
-        """Observed counts of every finished micro-batch, in order."""
+        """Observed counts of the last finished micro-batches, in order.
+
+        Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them;
+        give ``ledger_path`` for a durable count of every batch.
+        """
         out = []
         for p in self.query.recentProgress:
             m = p.observedMetrics.get("gate") if p.observedMetrics else None
@@ -43,16 +47,11 @@ class GateStream:
 
 
 def read_stream(spark: SparkSession, landing: str, contract: Contract, max_files_per_trigger: int | None = None,
-                timestamp_format: str = TIMESTAMP_FORMAT, ntz_format: str = TIMESTAMP_NTZ_FORMAT,
-                date_format: str = DATE_FORMAT) -> DataFrame:
-    reader = (spark.readStream.schema(contract.read_schema())
-              .option("header", True).option("enforceSchema", False)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", contract.corrupt_column)
-              .option("nullValue", "").option("timestampFormat", timestamp_format)
-              .option("timestampNTZFormat", ntz_format).option("dateFormat", date_format))
+                timestamp_format: str = TIMESTAMP_FORMAT, date_format: str = DATE_FORMAT) -> DataFrame:
+    reader = contract_reader(spark.readStream, contract, timestamp_format, date_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(landing)
+    return pin_verdict(reader.csv(landing), contract)
 
 
 STREAM_LEDGER_SCHEMA = "batch_id bigint, raw bigint, accepted bigint, rejected bigint, committed_at timestamp"

@@ -1,9 +1,11 @@
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from sluice.operators.checks import CheckFailed
 from sluice.plans import batches
 
 
@@ -23,16 +25,56 @@ def test_two_batch_load_and_ledger(spark, workdir):
     assert [r["month_idx"] for r in inv] == [648, 649, 650, 651] and sum(r["record_count"] for r in inv) == 200
 
 
-def test_rerun_of_append_replaces(spark, workdir):
+def test_append_adds_and_replace_replaces(spark, workdir):
     t = batches.PartitionedTable(os.path.join(workdir, "t"), "ts", "month")
     df = make(spark)
     first, second = batches.split_batches(df, "ts", "2024-03-01")
     batches.load_batch(first, t, "overwrite")
     batches.load_batch(second, t, "append")
-    batches.load_batch(second, t, "append")
+    assert all(r["ok"] for r in batches.load_key_check(spark, t.path, ["id"], df).collect())
+    late = second.where("id % 10 = 2").withColumn("id", F.col("id") + 1000)
+    r = batches.load_batch(late, t, "append")  # rows of a month that is loaded already
+    assert spark.read.parquet(t.path).count() == 200 + late.count() == r["total"]
+    assert not all(x["ok"] for x in batches.load_key_check(spark, t.path, ["id"], df).collect())
+    r = batches.load_batch(second, t, "replace_partitions")
+    assert spark.read.parquet(t.path).count() == 200 == r["total"] and r["partitions"] == r["files"] == 2
+    led = batches.ledger(spark, t).collect()
+    assert [x["total_records"] for x in led] == [100, 200, 200 + late.count(), 200]
+
+
+def test_loads_refuse_rows_without_time(spark, workdir):
+    df = make(spark).union(spark.createDataFrame([(999, None)], "id long, ts timestamp"))
+    t = batches.PartitionedTable(os.path.join(workdir, "t"), "ts", "month")
+    with pytest.raises(CheckFailed):
+        batches.two_batch_load(df, t, "2024-03-01")
+    with pytest.raises(ValueError):
+        batches.load_batch(df, t, "append")
+    assert os.listdir(workdir) == []
+
+
+def test_failed_overwrite_keeps_the_table(spark, workdir):
+    t = batches.PartitionedTable(os.path.join(workdir, "t"), "ts", "month")
+    batches.load_batch(make(spark), t, "overwrite")
+    broken = make(spark).withColumn("id", F.when(F.col("id") == 150, F.raise_error(F.lit("bad row"))).otherwise(F.col("id")))
+    with pytest.raises(Exception):
+        batches.load_batch(broken, t, "overwrite")
     assert spark.read.parquet(t.path).count() == 200
-    keys = batches.load_key_check(spark, t.path, ["id"], 200).collect()
-    assert all(r["ok"] for r in keys)
+
+
+def test_files_follow_partitions_not_tasks(spark, workdir):
+    t = batches.PartitionedTable(os.path.join(workdir, "t"), "ts", "month")
+    r = batches.load_batch(make(spark).repartition(16), t, "overwrite")
+    assert r["files"] == r["partitions"] == 4
+
+
+def test_range_prunes_partitions(spark, workdir):
+    t = batches.PartitionedTable(os.path.join(workdir, "t"), "ts", "month")
+    batches.load_batch(make(spark), t, "overwrite")
+    part = batches.table_range(spark, t, "2024-02-10", "2024-03-05")
+    want = make(spark).where("ts >= '2024-02-10' AND ts < '2024-03-05'").count()
+    assert part.count() == want
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*month_idx", plan)
 
 
 def test_misaligned_boundary_refused(spark, workdir):
@@ -62,10 +104,10 @@ def test_failed_load_leaves_no_ledger_row(spark, workdir):
     assert spark.read.parquet(t.path).count() == first.count()
 
 
-def test_history_and_struct_inventory(spark, workdir):
+def test_ledger_and_struct_inventory(spark, workdir):
     t = batches.PartitionedTable(os.path.join(workdir, "t"), "ts", "month")
     batches.two_batch_load(make(spark), t, "2024-03-01")
-    hist = batches.load_history(spark, t).collect()
+    hist = batches.ledger(spark, t).collect()
     assert [(r["operation"], r["added_records"], r["total_records"]) for r in hist] == \
         [("overwrite", 100, 100), ("append", 100, 200)]
     assert hist[0]["committed_at"] <= hist[1]["committed_at"]

@@ -58,7 +58,7 @@ def test_end_to_end(spark, workdir):
     t = batches.PartitionedTable(os.path.join(workdir, "table"), "ts", "day")
     checks, r1, r2 = batches.two_batch_load(pq_df, t, "2024-01-16")
     assert_checks(checks)
-    assert_checks(batches.load_key_check(spark, t.path, ["event_id"], n))
+    assert_checks(batches.load_key_check(spark, t.path, ["event_id"], events))
     assert batches.ledger(spark, t).agg(F.max("total_records")).first()[0] == n
     # 6. answer the question from the loaded table
     loaded = spark.read.parquet(t.path)

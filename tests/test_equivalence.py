@@ -11,7 +11,7 @@ from sluice.functions.text import distinct_text_list
 from sluice.operators import dimension, profiles
 
 KEYS = ["a", "b", "c", "d", None]
-facts = st.lists(st.tuples(st.sampled_from(KEYS), st.integers(0, 47), st.integers(-50, 50)), min_size=1, max_size=60)
+facts = st.lists(st.tuples(st.sampled_from(KEYS), st.integers(0, 47), st.one_of(st.none(), st.integers(-50, 50))), min_size=1, max_size=60)
 dims = st.lists(st.tuples(st.sampled_from(KEYS[:4]), st.sampled_from(["X", "Y"]), st.integers(-3, 12)),
                 min_size=0, max_size=6)
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -19,7 +19,7 @@ SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(H
 
 def _facts(spark, rows):
     base = dt.datetime(2024, 1, 1)
-    return spark.createDataFrame([(k, base + dt.timedelta(hours=h), float(v)) for k, h, v in rows],
+    return spark.createDataFrame([(k, base + dt.timedelta(hours=h), None if v is None else float(v)) for k, h, v in rows],
                                  "k string, ts timestamp, v double")
 
 

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.contract import fixture_contract
+from fixtures import fixture_contract
 from sluice.operators import quality
 from sluice.plans import gate
 from sluice.sources.csv import read_permissive
@@ -129,3 +129,48 @@ def test_strict_gate_raises_on_duplicate_key(spark, workdir):
     ok = gate.run_gate(read_permissive(spark, src, c), c, os.path.join(workdir, "out2"))
     rows = {r["check"]: r["actual"] for r in ok.checks(spark, c).collect()}
     assert rows["accepted_duplicate_keys"] == 1
+
+
+def test_verdict_does_not_depend_on_the_projection(spark, workdir):
+    """A bad cell in a column without a rule, counted and collected."""
+    from pyspark.sql import types as T
+
+    from sluice.contract import Contract
+    c = Contract(fields=T.StructType([T.StructField("k", T.StringType()), T.StructField("lat", T.DoubleType())]), required=("k",))
+    write(workdir, "k,lat", ["a,1.5", "b,abc"])
+    lab = quality.label(read_permissive(spark, workdir, c), c)
+    assert quality.accepted(lab, c).count() == len(quality.accepted(lab, c).collect()) == 1
+    assert quality.rejected(lab).count() == len(quality.rejected(lab).collect()) == 1
+    assert [r["rows"] for r in quality.reject_histogram(lab).collect()] == [1]
+    assert lab.select("k", quality.REASON).where("k = 'b'").first()[quality.REASON] == "row not parsed"
+
+
+def test_csv_keeps_microseconds(spark, workdir):
+    import datetime as dt
+    import os
+
+    from sluice.sources.csv import read_failfast, write_csv
+    at = dt.datetime(2024, 1, 1, 2, 3, 4, 123456)
+    df = spark.createDataFrame([(at, at)], "a timestamp, b timestamp_ntz")
+    path = write_csv(df, os.path.join(workdir, "out"))
+    assert tuple(read_failfast(spark, path, df.schema).first()) == (at, at)
+
+
+def test_header_of_every_file(spark, workdir):
+    from sluice.sources.csv import header_mismatches
+    write(workdir, "x,y", ["1,2"], "a.csv")
+    write(workdir, "x,z", ["1,2"], "b.csv")
+    rows = {(r["file"][-5:], r["column_name"]): (r["in_file"], r["in_contract"]) for r in header_mismatches(spark, workdir, ["x", "y"]).collect()}
+    assert rows == {("a.csv", "x"): (True, True), ("a.csv", "y"): (True, True), ("b.csv", "x"): (True, True),
+                    ("b.csv", "y"): (False, True), ("b.csv", "z"): (True, False)}
+
+
+def test_files_too_large_for_a_digest_get_a_row(spark, workdir):
+    import os
+
+    from sluice.sources.files import file_manifest
+    for name, body in (("a", "xx"), ("b", "x" * 50)):
+        with open(os.path.join(workdir, name), "w") as fh:
+            fh.write(body)
+    got = {r["relative_path"]: (r["status"], r["sha256"] is None) for r in file_manifest(spark, workdir, largest=10).collect()}
+    assert got == {"a": ("hashed", False), "b": ("too large", True)}

@@ -80,15 +80,62 @@ def test_null_profile_empty_and_counts(spark):
     assert got == {"a": (1, 0.25), "b": (2, 0.5)}
 
 
-def test_checked_broadcast_hint_only_within_bound(spark):
-    from sluice.operators.dimension import inline_dimension, sized_broadcast
-    dim = inline_dimension(spark, [("a", 1), ("b", 2), ("c", 3)], "k string, v int")
-    hinted = sized_broadcast(dim, max_rows=3, mode="checked")
-    plain = sized_broadcast(dim, max_rows=2, mode="checked")
-    hinted_plan = hinted._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in hinted_plan or "broadcast" in hinted_plan.lower()
-    assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
-    assert sized_broadcast(dim) is dim
+def test_number_text_keeps_wide_decimals(spark):
+    from sluice.functions.text import number_text
+    df = spark.sql("SELECT CAST('12345678901234567.5' AS DECIMAL(20,2)) AS a, 2.0D AS b, CAST(NULL AS DOUBLE) AS c, 2.5D AS d")
+    assert tuple(df.select(*[number_text(x) for x in "abcd"]).first()) == ("12345678901234567.50", "2", "", "2.5")
+
+
+def test_fingerprint_tells_null_places_apart(spark):
+    from sluice.operators.checks import fingerprint
+    one, two = (spark.createDataFrame([r], "a int, b int") for r in ((1, None), (None, 1)))
+    assert fingerprint(one).first() != fingerprint(two).first()
+
+
+def test_rollup_mean_is_over_known_values(spark):
+    from sluice.operators.dimension import dimension_rollup, measure_partials
+    facts = spark.createDataFrame([("a", 10.0), ("a", None)], "k string, v double")
+    row = dimension_rollup(measure_partials(facts, "k", "v"), spark.createDataFrame([("a", "g")], "k string, g string"), "k", "k", "g").first()
+    assert (row["observations"], row["mean_value"]) == (2, 10.0)
+
+
+def test_audit_of_no_facts_is_all_zero(spark):
+    from sluice.operators.dimension import join_audit
+    none = spark.createDataFrame([], "k string")
+    assert tuple(join_audit(none, spark.createDataFrame([("a",)], "k string"), "k").first()) == (0, 0, 0, 0)
+
+
+def test_completeness_keeps_silent_entities(spark):
+    from sluice.operators.quality import completeness
+    rows = [("a", dt.datetime(2024, 1, 1, 5)), ("b", dt.datetime(2023, 1, 1))]
+    df = spark.createDataFrame(rows, "k string, ts timestamp")
+    got = [tuple(r) for r in completeness(df, "k", "ts", "2024-01-01", "2024-01-02").collect()]
+    assert got == [("a", 24, 1, 23), ("b", 24, 0, 24)]
+    roster = spark.createDataFrame([("a",), ("c",)], "k string")
+    assert [r["k"] for r in completeness(df, "k", "ts", "2024-01-01", "2024-01-02", roster).collect()] == ["a", "c"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    from sluice.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        checkpoint_root(Session())
 
 
 def test_season_pivot_sorts_missing_as_zero(spark):

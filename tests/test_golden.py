@@ -50,7 +50,7 @@ def test_counts(spark):
     assert [(r["added_records"], r["total_records"]) for r in ledger] == [(26486, 26486), (33514, 60000)]
 
 
-@pytest.mark.parametrize("name", ["reconciliation", "quality_gate", "format_roundtrip", "schema_parity",
+@pytest.mark.parametrize("name", ["reconciliation", "quality_gate", "csv_reconciliation", "format_roundtrip",
                                   "result_parity", "content_parity", "reject_sink_roundtrip", "two_batch_load",
                                   "batch_coverage", "load_key_check"])
 def test_checks_pass(spark, name):

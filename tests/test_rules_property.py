@@ -6,7 +6,7 @@ import math
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from sluice.contract import fixture_contract
+from fixtures import fixture_contract
 from sluice.operators import quality
 
 START, END = dt.datetime(2024, 1, 1), dt.datetime(2025, 1, 1)

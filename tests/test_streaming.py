@@ -1,6 +1,6 @@
 import os
 
-from sluice.contract import fixture_contract
+from fixtures import fixture_contract
 from sluice.streaming.gate_stream import accepted_from_sink, rejected_from_sink, start_gate_stream
 from test_fixture_csv import HEADER, LINES, write
 
