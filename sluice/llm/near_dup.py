@@ -6,11 +6,13 @@
 2. Improved consistent weighted sampling: per document ``BANDS * ROWS`` samples
    of its weighted shingles; equal samples have probability weighted Jaccard.
 3. Bands of samples are bucket keys.  A bucket's members are first compared
-   with its leader only, then with members of other components found so far, in
-   growing windows until no pair is left; pairs that agree in fewer than half
-   of their samples are not verified.
-4. Every candidate pair is verified by its exact weighted Jaccard similarity;
-   links are joined to components.
+   with its leader, then the heads of the components that meet in it, and at
+   last all members whose components still differ, in blocks of bounded size:
+   there a task holds both blocks' shingles, verifies in place and gives links
+   only.  Each pair is compared in the first band it shares; pairs that agree
+   in fewer than half of their samples are not verified.
+4. A link is a pair whose exact weighted Jaccard similarity reaches the
+   threshold; links are joined to components.
 
 Weights are term count times idf; idf lies between 1 (in all documents) and 1.5
 (in fewer than ``COMMON`` of them), so the weighted similarity stays close to
@@ -33,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (blocks, connected_components, id_and_text, ids_of,
-                     in_sorted, mix, prefix_hashes, range_hashes,
+from .common import (blocks, connected_components, drop_stored, id_and_text,
+                     ids_of, in_sorted, mix, prefix_hashes, range_hashes,
                      release_shuffles, split_words, store)
 
 SHINGLE = 5
@@ -43,6 +45,8 @@ BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
 #: Shingles in at least this share of the documents get an idf of their own.
 COMMON = 0.01
+#: Members of a bucket that are compared with each other or with as many others at once.
+MEMBERS = 1000
 _SUMMARY = 1 << 20
 _BIG_BLOCK = 6 << 20
 
@@ -253,55 +257,6 @@ def _leader_pairs(batches):
         key, lead, brief, total = keys[-1], led[-1], of[-1].copy(), size[-1]
 
 
-def _cross_pairs(low: int, high: int):
-    """Pairs of a bucket's members in different components, by rank of agreement.
-
-    Emits for each member its partners with smaller ids of ranks ``low`` to
-    ``high``, and a row (None, None) when a member has more.
-    """
-    def bucket(ids, comps, briefs, totals, out):
-        order = np.argsort(totals, kind="stable")
-        ids, comps, briefs, totals = ids[order], comps[order], briefs[order], totals[order]
-        reach = np.searchsorted(totals, totals * THRESHOLD * (1 - 1e-6))  # lighter ones that can still be similar
-        for i in range(len(ids)):
-            near = np.arange(reach[i], i)
-            near = near[comps[near] != comps[i]]
-            if not len(near):
-                continue
-            agree = _agree(briefs[near], briefs[i])
-            near, agree = near[agree * 2 >= SAMPLES], agree[agree * 2 >= SAMPLES]
-            rank = np.lexsort((ids[near], -agree))
-            for j in near[rank[low:high]].tolist():
-                out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-            if len(near) > high:
-                out.append((None, None))
-
-    def pairs(batches):
-        held = []
-        for b in batches:
-            table = [b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 4)]
-            table.append(np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(-1, SAMPLES))
-            held = [np.concatenate(x) for x in zip(held, table)] if held else table
-            keys = held[0]
-            if not len(keys):
-                continue
-            cuts = np.append(0, np.flatnonzero(keys[1:] != keys[:-1]) + 1)
-            yield from emit(held, cuts)
-            held = [x[cuts[-1]:] for x in held]
-        if held and len(held[0]):
-            yield from emit(held, np.array([0, len(held[0])]))
-
-    def emit(held, cuts):
-        out = []
-        for s, e in zip(cuts, cuts[1:]):
-            if e - s > 1:
-                bucket(held[1][s:e], held[2][s:e], held[4][s:e], held[3][s:e], out)
-        a, b = zip(*out) if out else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return pairs
-
-
 def weighted_jaccard(e1, w1, e2, w2) -> float:
     """Exact similarity of two sets sorted by element."""
     at = in_sorted(e1, e2)
@@ -331,6 +286,46 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(_verify, "a bigint, b bigint, similarity double")
 
 
+def _block_links(batches):
+    """Sorted by key and block pair: links between members of different components."""
+    held = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held = b if held is None else pa.concat_batches([held, b])
+        groups = [held.column(k).to_numpy() for k in range(3)]
+        change = np.flatnonzero(np.any([g[1:] != g[:-1] for g in groups], axis=0)) + 1
+        for at, end in zip(np.append(0, change), change):
+            yield _links_of(held.slice(at, end - at))
+        if len(change):
+            held = held.slice(change[-1])
+    if held is not None:
+        yield _links_of(held)
+
+
+def _links_of(group: pa.RecordBatch) -> pa.RecordBatch:
+    group = group.take(pa.array(np.argsort(group.column(6).to_numpy(), kind="stable")))
+    keys, low, high, ids, component, block, total = (group.column(k).to_numpy() for k in range(7))
+    brief = np.frombuffer(b"".join(group.column(7).to_pylist()), np.uint8).reshape(-1, SAMPLES)
+    bands = np.asarray(group.column(8).flatten()).reshape(-1, BANDS)
+    sets = [(np.frombuffer(e, np.uint32), np.frombuffer(w, np.float32)) for e, w in zip(group.column(9).to_pylist(), group.column(10).to_pylist())]
+    label = component.copy()
+    apart = low[0] != high[0]  # two blocks: pairs within one are another group's
+    lightest = np.searchsorted(total, total * THRESHOLD * (1 - 1e-6))
+    out = []
+    for i in range(len(ids)):
+        near = np.arange(lightest[i], i)
+        near = near[(label[near] != label[i]) & ((block[near] != block[i]) | (not apart))]
+        shared = bands[near] == bands[i]
+        near = near[(shared.argmax(axis=1) == np.argmax(bands[i] == keys[0])) & (2 * _agree(brief[near], brief[i]) >= SAMPLES)]
+        for j in near.tolist():
+            if label[j] != label[i] and weighted_jaccard(*sets[i], *sets[j]) >= THRESHOLD:
+                out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                label[label == label[j]] = label[i]
+    a, b = zip(*out) if out else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, copy_of (smallest id with the same words),
     class_id (smallest id reachable over links), kept (doc_id = class_id)."""
@@ -344,49 +339,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = store(ids.join(first, ["text_hash1", "text_hash2"]).select("doc_id", "copy_of"), "members")
     reps = member.filter("doc_id = copy_of").select("doc_id").distinct()
 
-    bands = (sets.filter(F.col("bands").isNotNull()).select("doc_id", "brief", "total", F.explode("bands").alias("key"))
+    keyed = (sets.filter(F.col("bands").isNotNull()).select("doc_id", "brief", "total", "bands", F.explode("bands").alias("key"))
              .join(reps, "doc_id", "left_semi"))
-    shared = bands.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x != y").select("key")
-    bands = store(bands.join(shared, "key").select("key", "doc_id", "brief", "total").distinct(), "bands")
+    shared = keyed.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x != y").select("key")
+    bands = store(keyed.join(shared, "key").select("key", "doc_id", "brief", "total", "bands").distinct(), "bands")
+    # only texts that share a band are ever verified
+    every = sets
+    sets = store(every.join(bands.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "elements", "weights")
+                 .dropDuplicates(["doc_id"]), "sets")
+    drop_stored(every)
+    release_shuffles(spark)
 
     # first its bucket's leader; a document goes to the leader it agrees with most
-    led = bands.repartition("key").sortWithinPartitions("key", "doc_id").mapInArrow(_leader_pairs, "a bigint, b bigint, agree bigint")
+    led = (bands.select("key", "doc_id", "brief", "total").repartition("key").sortWithinPartitions("key", "doc_id")
+           .mapInArrow(_leader_pairs, "a bigint, b bigint, agree bigint"))
     led = led.groupBy("b").agg(F.max(F.struct("agree", -F.col("a"))).alias("best")).select((-F.col("best.col2")).alias("a"), "b")
-    links = store(verified(led, sets), "links")
+    links = store(verified(led, sets).select("a", "b"), "links")
     release_shuffles(spark)
     component = connected_components(links)
 
     def in_components():
-        placed = bands.join(component.toDF("doc_id", "component"), "doc_id", "left").select(
-            "key", "doc_id", F.coalesce("component", "doc_id").alias("component"), "brief", "total")
-        spread = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("doc_id").alias("a"))
-        return placed, spread.filter("x != y").select("key", "a")
+        placed = bands.join(component.toDF("doc_id", "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        spread = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("doc_id").alias("a"),
+                                           F.count("*").alias("members"))
+        return placed, spread.filter("x != y").select("key", "a", "members")
 
     # then the heads of the components that meet in a bucket
     placed, leaders = in_components()
     heads = placed.groupBy("key", "component").agg(F.min("doc_id").alias("b")).join(leaders, "key").filter("a != b")
-    found = store(verified(heads.select("a", "b").distinct(), sets), "links")
+    found = store(verified(heads.select("a", "b").distinct(), sets).select("a", "b"), "links")
     if not found.isEmpty():
         links = links.unionByName(found)
         component = connected_components(links)
 
-    # then every pair of a bucket that no component holds yet
-    low, high = 0, 8
-    while True:
-        placed, leaders = in_components()
-        open_keys = leaders.select("key")
-        cross = (placed.join(open_keys, "key").repartition("key").sortWithinPartitions("key")
-                 .mapInArrow(_cross_pairs(low, high), "a bigint, b bigint").distinct())
-        cross = store(cross, "cross")
-        found = store(verified(cross.filter("a is not null"), sets), "links")
-        release_shuffles(spark)
-        more = not cross.filter("a is null").isEmpty()
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            component = connected_components(links)
-        if not more:
-            break
-        low, high = high, high * 8
+    # then every pair of a bucket whose components still differ, block by block
+    placed, leaders = in_components()
+    blocks_of = F.ceil(F.col("members") / MEMBERS)
+    open_rows = (placed.join(leaders.select("key", blocks_of.alias("n_blocks")), "key")
+                 .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("n_blocks")))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+                 .join(sets, "doc_id")
+                 .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "doc_id", "component",
+                         "block", "total", "brief", "bands", "elements", "weights"))
+    found = store(open_rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+                  .mapInArrow(_block_links, "a bigint, b bigint"), "links")
+    release_shuffles(spark)
+    if not found.isEmpty():
+        component = connected_components(links.unionByName(found))
 
     out = member.join(component.toDF("copy_of", "component"), "copy_of", "left").select(
         "doc_id", "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
