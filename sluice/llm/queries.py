@@ -81,4 +81,68 @@ REGISTRY = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_embedding_duplicates": op10_embedding_duplicates,
 }
-SQL: dict[str, str] = {}
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+def _escaped(column: str) -> str:
+    for old, new in chat.ESCAPES:
+        column = f"replace({column}, '{old}', '{new}')"
+    return column
+
+
+#: DuckDB SQL over the same tables, where SQL can express the result.
+SQL: dict[str, str] = {
+    "op1_suffix_dedup": """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+z AS (SELECT doc_id, b, octet_length(b) AS n FROM d),
+w AS (SELECT doc_id, s, md5(b[s + 1:s + 100]) AS h FROM (SELECT doc_id, b, unnest(range(0, greatest(n - 99, 0))) AS s FROM z)),
+r AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS k FROM w) WHERE k > 1),
+g AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS span
+      FROM (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS new FROM r)),
+p AS (SELECT doc_id, span, min(s) AS a, max(s) + 100 AS e FROM g GROUP BY doc_id, span),
+k AS (SELECT doc_id, span, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY span), 0) AS begin, a AS stop FROM p
+      UNION ALL SELECT z.doc_id, 1e9, coalesce(max(p.e), 0), any_value(z.n) FROM z LEFT JOIN p ON p.doc_id = z.doc_id GROUP BY z.doc_id),
+t AS (SELECT z.doc_id, string_agg(hex(z.b[k.begin + 1:k.stop]), '' ORDER BY k.span) AS kept
+      FROM z JOIN k ON k.doc_id = z.doc_id WHERE k.stop > k.begin GROUP BY z.doc_id),
+c AS (SELECT doc_id, sum(e - a) AS removed, count(*) AS spans FROM p GROUP BY doc_id)
+SELECT z.doc_id, CAST(z.n AS BIGINT) AS n_bytes, CAST(coalesce(c.removed, 0) AS BIGINT) AS n_removed, coalesce(c.spans, 0) AS n_spans,
+       sha256(unhex(coalesce(t.kept, ''))) AS kept_sha256
+FROM z LEFT JOIN c ON c.doc_id = z.doc_id LEFT JOIN t ON t.doc_id = z.doc_id""",
+    "op3_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+b AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(ws), 10) AS size, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS phrase
+       FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+dw AS (SELECT doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase
+       FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+             FROM d, (SELECT DISTINCT size FROM bw) WHERE len(ws) >= size)),
+h AS (SELECT DISTINCT doc_id, i, size, item_id FROM dw JOIN bw USING (size, phrase)),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM h) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY 1)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits ON hits.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id""",
+    "op8_chat_formatting": f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g AS (SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+             coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS learnt,
+             sum({len(chat.OPEN) + 1 + len(chat.CLOSE)} + length(replace({_escaped('role')}, chr(10), '&#10;')) + length({_escaped('text')})) AS chars
+      FROM c GROUP BY conv_id)
+SELECT conv_id, n AS n_turns, sha256(said) AS turns_sha256, CAST(length(learnt) AS BIGINT) AS loss_chars,
+       sha256(learnt) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM g""",
+    "op10_embedding_duplicates": """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+                     WHERE embedding IS NOT NULL AND len(embedding) > 0
+                       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                       AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+                   WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+n AS (SELECT a, count(*) AS links FROM l GROUP BY a), m AS (SELECT a, min(b) AS least_id FROM reach GROUP BY a)
+SELECT vec_id, coalesce(links, 0) AS n_links, least(vec_id, coalesce(least_id, vec_id)) AS component_id,
+       least(vec_id, coalesce(least_id, vec_id)) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.a = vec_id""",
+}
