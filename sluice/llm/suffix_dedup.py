@@ -19,8 +19,11 @@ windows may (common prefix between ``NAME`` and the context); a name of its own
 means that no window does.
 
 Level 2, induction: only first tuples of contexts that share their name go one
-level down, where each window left of the sample becomes a tuple of its own and
-is sorted the same way.
+level down.  They take their bytes along, meet again by name, and each window
+left of the sample is named and compared with the others of that name: a
+task holds the tuples of a few names.  A name with more than ``CROWD`` open
+tuples is not gathered; its windows become tuples that are sorted like those
+of level 1.
 
 Equal tuples within a block of documents are reduced to the first before the
 shuffle, so copies and hot passages do not travel.  Names are 64-bit hashes.
@@ -40,13 +43,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (blocks, concat_ranges, id_and_text, mix, prefix_hashes,
-                     range_hashes, release_shuffles, store)
+from .common import (blocks, concat_ranges, drop_stored, id_and_text, mix,
+                     prefix_hashes, range_hashes, release_shuffles, store)
 
 LENGTH = 100
 NAME = 40
 _REACH = LENGTH - NAME + 1  # names in a window
 _BLOCK = 1 << 20
+CROWD = 20_000
 _PLACE_BITS = 22
 _SEGMENT = 3 << 20
 
@@ -149,20 +153,28 @@ def sampled_suffixes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(sample, TUPLE_SCHEMA)
 
 
+OPEN_SCHEMA = "name bigint, doc_id bigint, start bigint, n int"
+
+
 def decide(tuples: DataFrame) -> DataFrame:
     """Sort tuples by name and context; compare each with its neighbours.
 
-    Gives covered ranges and the tuples that stay open (first of their context,
-    with another context under the same name).
+    Gives covered ranges (n >= LENGTH) and the tuples that stay open: first of
+    their context, with another context under the same name.
     """
 
+    def rows(name, doc, start, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.asarray(name, np.int64)), pa.array(np.asarray(doc, np.int64)),
+                                           pa.array(np.asarray(start, np.int64)), pa.array(np.asarray(n, np.int32))],
+                                          ["name", "doc_id", "start", "n"])
+
     def compare(batches):
         # the last context's first tuple waits for what follows under its name
         name = context = held = head = None
         seen_other = False
         for b in batches:
             covered = np.asarray(b.column(4)) >= LENGTH
-            done = b.filter(pa.array(covered)).select(["doc_id", "start", "n"])
+            done = b.filter(pa.array(covered)).select(["name", "doc_id", "start", "n"])
             if done.num_rows:
                 yield done
             b = b.filter(pa.array(~covered))
@@ -176,57 +188,99 @@ def decide(tuples: DataFrame) -> DataFrame:
             head_doc = np.where(place >= 0, doc[place], head[0] if head else 0)
             head_start = np.where(place >= 0, start[place], head[1] if head else 0)
             other = ~new_context & ((doc != head_doc) | (start != head_start))
-            out = [(doc[other], start[other], n[other] + LENGTH)]
+            yield rows(names[other], doc[other], start[other], n[other] + LENGTH)
             # a context's first tuple is open when its name has another context
             firsts = np.flatnonzero(new_context)
-            after = np.append(firsts[1:], m)
-            next_other = np.zeros(len(firsts), dtype=bool)
-            inner = after < m
-            next_other[inner] = ~new_name[after[inner]]
-            earlier = ~new_name[firsts]
-            if held is not None and len(firsts):
-                if seen_other or not new_name[firsts[0]]:
-                    out.append(tuple(np.array([v]) for v in held))
-                held = None
-            opened = firsts[:-1][(next_other | earlier)[:-1]]
-            out.append((doc[opened], start[opened], n[opened]))
             if len(firsts):
+                if held is not None and (seen_other or not new_name[firsts[0]]):
+                    yield rows(*([v] for v in held))
+                earlier = ~new_name[firsts]
+                later = np.append(~new_name[firsts[1:]], False)  # the last one waits
+                opened = firsts[:-1][(earlier | later)[:-1]]
+                yield rows(names[opened], doc[opened], start[opened], n[opened])
                 k = firsts[-1]
-                held, seen_other = (doc[k], start[k], n[k]), bool(earlier[-1])
+                held, seen_other = (names[k], doc[k], start[k], n[k]), bool(earlier[-1])
                 head = (doc[k], start[k])
             name, context = names[-1], contexts[-1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c).astype(np.int64)) for c in list(zip(*out))[:2]]
-                + [pa.array(np.concatenate([o[2] for o in out]).astype(np.int32))], ["doc_id", "start", "n"])
         if held is not None and seen_other:
-            yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64()), pa.array([held[2]], pa.int32())],
-                                             ["doc_id", "start", "n"])
+            yield rows(*([v] for v in held))
 
-    return (tuples.repartition("name").sortWithinPartitions("name", "context", "doc_id", "start")
-            .mapInArrow(compare, "doc_id bigint, start bigint, n int"))
+    return tuples.repartition("name").sortWithinPartitions("name", "context", "doc_id", "start").mapInArrow(compare, OPEN_SCHEMA)
 
 
-def windows_of(docs: DataFrame, opened: DataFrame) -> DataFrame:
-    """Level 2: a tuple for every window of the runs that are still open."""
-    runs = opened.groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
-    both = docs.join(runs, "doc_id").select("doc_id", "text", "starts", "ns")
+CONTEXT_SCHEMA = "name bigint, doc_id bigint, start bigint, text binary"
 
-    def induce(batches):
+
+def contexts_of(docs: DataFrame, opened: DataFrame) -> DataFrame:
+    """The bytes of every open run, cut out of its document."""
+    runs = opened.groupBy("doc_id").agg(F.collect_list(F.struct("name", "start", "n")).alias("runs"))
+    both = docs.join(runs, "doc_id").select("doc_id", "text", "runs.name", "runs.start", "runs.n")
+
+    def cut(batches):
         for rows, data, offsets in blocks(batches, _BLOCK):
-            ids = rows.column(0).to_numpy()
-            names, docs_, starts = [], [], []
-            for k in range(rows.num_rows):
-                text = data[offsets[k]:offsets[k + 1]]
-                at, n = (rows.column(c)[k].values.to_numpy().astype(np.int64) for c in (2, 3))
-                window = np.unique(concat_ranges(at, n + 1))
-                window = window[window + LENGTH <= len(text)]
-                names.append(range_hashes(prefix_hashes(text, _CODE), window, window + LENGTH))
-                docs_.append(np.full(len(window), ids[k]))
-                starts.append(window)
-            name, doc, start = np.concatenate(names), np.concatenate(docs_), np.concatenate(starts)
-            yield _reduce(name, np.zeros_like(name), doc, start, np.zeros(len(name), np.int64))
-
-    return both.mapInArrow(induce, TUPLE_SCHEMA)
+            raw = data.tobytes()
+            count = np.diff(np.asarray(rows.column(2).offsets))
+            name, start, n = (rows.column(c).flatten().to_numpy() for c in (2, 3, 4))
+            begin = np.repeat(offsets[:-1], count) + start
+            texts = [raw[a:a + b + LENGTH] for a, b in zip(begin.tolist(), n.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(name), rows.column(0).take(pa.array(np.repeat(np.arange(len(count)), count))),
+                                              pa.array(start), pa.array(texts, pa.binary())], ["name", "doc_id", "start", "text"])
+
+    return both.mapInArrow(cut, CONTEXT_SCHEMA)
+
+
+def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of all windows of the contexts, the context of each, its offset there."""
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    begin = np.cumsum(size) - size
+    sums = prefix_hashes(np.frombuffer(b"".join(texts), np.uint8), _CODE)
+    count = np.maximum(size - LENGTH + 1, 0)
+    at = concat_ranges(begin, count)
+    row = np.repeat(np.arange(len(texts)), count)
+    return range_hashes(sums, at, at + LENGTH), row, at - begin[row]
+
+
+def windows_of(contexts: DataFrame) -> DataFrame:
+    """A tuple for every window of the contexts."""
+
+    def induce(batches):
+        for b, _, _ in blocks(batches, _BLOCK, column="text"):
+            name, row, shift = _windows(b.column(3).to_pylist())
+            doc, start = (b.column(c).to_numpy()[row] for c in (1, 2))
+            yield _reduce(name, np.zeros_like(name), doc, start + shift, np.zeros(len(name), np.int64))
+
+    return contexts.mapInArrow(induce, TUPLE_SCHEMA)
+
+
+def compare_windows(contexts: DataFrame) -> DataFrame:
+    """Covered ranges among the windows of contexts, name by name."""
+
+    def compare(batches):
+        held = None
+        for b in batches:
+            held = b if held is None else pa.concat_batches([held, b])
+            names = held.column(0).to_numpy()
+            last = int(np.searchsorted(names, names[-1])) if len(names) else 0
+            if last and held.num_rows >= CROWD // 4:  # all names but the last are complete
+                yield covered(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None and held.num_rows:
+            yield covered(held)
+
+    def covered(b):
+        name, row, shift = _windows(b.column(3).to_pylist())
+        doc, start = (b.column(c).to_numpy()[row] for c in (1, 2))
+        start = start + shift
+        order = np.lexsort((start, doc, name))
+        name, doc, start = name[order], doc[order], start[order]
+        first = np.append(True, name[1:] != name[:-1])[:len(name)]
+        head = np.maximum.accumulate(np.where(first, np.arange(len(name)), 0))
+        other = ~first & ((doc != doc[head]) | (start != start[head]))
+        doc, start, n = _covered(doc[other], start[other], start[other] + LENGTH)
+        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(doc), np.int64)), pa.array(doc), pa.array(start), pa.array(n.astype(np.int32))],
+                                          ["name", "doc_id", "start", "n"])
+
+    return contexts.repartition("name").sortWithinPartitions("name").mapInArrow(compare, OPEN_SCHEMA)
 
 
 RESULT_SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -237,9 +291,16 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     first = store(decide(sampled_suffixes(docs)), "suffixes")
     release_shuffles(spark)
-    second = store(decide(windows_of(docs, first.filter(F.col("n") < LENGTH))).filter(F.col("n") >= LENGTH), "windows")
+    opened = first.filter(F.col("n") < LENGTH)
+    contexts = store(contexts_of(docs, opened), "contexts")
+    release_shuffles(spark)
+    crowded = opened.groupBy("name").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("name")
+    second = compare_windows(contexts.join(crowded, "name", "left_anti")).unionByName(
+        decide(windows_of(contexts.join(crowded, "name", "left_semi"))))
+    second = store(second.filter(F.col("n") >= LENGTH), "windows")
+    drop_stored(contexts)
     release_shuffles(spark)
-    return first.filter(F.col("n") >= LENGTH).unionByName(second)
+    return first.filter(F.col("n") >= LENGTH).unionByName(second).select("doc_id", "start", "n")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:
