@@ -4,7 +4,8 @@ Training reads a bounded, hashed sample of labelled documents (at most about
 ``POSITIVES`` + ``NEGATIVES``); scoring covers every whole text.  Features are a
 document's words and their first four and five bytes.  The loss is logistic
 with an L1 term, plus a penalty on score changes: where a labelled text has an
-identity term, swapping it for another of its group must not move the score.
+identity term, swapping it for another of its group, or for a neutral word,
+must not move the score.
 
 Defined cases: null or empty text gets the score of the intercept alone; null
 labels and labels without a document are not learnt from; a document labelled
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (blocks, concat_ranges, id_and_text, ids_of, in_sorted, mix,
-                     prefix_hashes, range_hashes, split_words, word_hashes, _BYTE_CODE, _IS_WORD)
+                     prefix_hashes, range_hashes, split_words, _BYTE_CODE, _IS_WORD)
 
 POSITIVES, NEGATIVES = 3000, 5000
 PREFIXES = (4, 5)
@@ -90,12 +91,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
 
 
-def identity_swaps() -> list[tuple[int, int]]:
-    """(feature hash of a term, of the next term of its group)."""
-    out = []
+def identity_swaps() -> dict[int, int]:
+    """Each feature of an identity term and that of the next term of its group.
+
+    A feature the next term lacks (it is shorter) is its own partner.
+    """
+    out = {}
     for group in IDENTITY_TERMS:
-        hashes = [int(word_hashes(t)[0]) for t in group]
-        out += zip(hashes, hashes[1:] + hashes[:1])
+        found = [features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0].tolist() for t in group]
+        for mine, next_ in zip(found, found[1:] + found[:1]):
+            out.update({a: next_[k] if k < len(next_) else a for k, a in enumerate(mine)})
     return out
 
 
@@ -158,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
         prior = positives / len(sample) if sample else 0.0
         return Model(nothing, np.zeros(0), float(np.clip(np.log((prior + 1e-9) / (1 - prior + 1e-9)), -20, 20)))
     swaps = identity_swaps()
-    terms = np.array([a for a, _ in swaps], dtype=np.uint64)
+    terms = np.array(sorted(swaps), dtype=np.uint64)
     names = np.union1d(_separating(sample), terms)
     y = np.array([s[0] for s in sample], dtype=float)
     weight = np.array([s[1] for s in sample])
@@ -168,20 +173,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     at = [a[a >= 0] for a in at]
     size = np.array([len(a) for a in at])
     column, row = np.concatenate(at), np.repeat(np.arange(len(at)), size)
-    # swaps in labelled texts: score change is the difference of two weights
+    # swaps in labelled texts: for another term of the group the score changes by
+    # the difference of two weights, for a neutral word by the weight itself
     partner = np.arange(len(names))
-    partner[np.searchsorted(names, terms)] = np.searchsorted(names, np.array([b for _, b in swaps], dtype=np.uint64))
-    swapped = np.bincount(column, weights=weight[row], minlength=len(names)) * (partner != np.arange(len(names)))
+    partner[np.searchsorted(names, terms)] = np.searchsorted(names, np.array([swaps[int(a)] for a in terms], dtype=np.uint64))
+    swapped = np.bincount(column, weights=weight[row], minlength=len(names)) * np.isin(names, terms)
 
     def gradient(w, b):
         margin = np.bincount(row, weights=w[column], minlength=len(at)) + b
         r = weight * (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - y)
         change = 2 * counterfactual * swapped * (w - w[partner])
-        return np.bincount(column, weights=r[row], minlength=len(names)) + change - np.bincount(partner, weights=change, minlength=len(names)), r.sum()
+        change = change - np.bincount(partner, weights=change, minlength=len(names)) + 2 * counterfactual * swapped * w
+        return np.bincount(column, weights=r[row], minlength=len(names)) + change, r.sum()
 
     # step sizes from each feature's own curvature bound
     load = np.bincount(column, weights=(weight * np.maximum(size, 1))[row], minlength=len(names)) / 4
-    rate = 1 / (load + 8 * counterfactual * (swapped + np.bincount(partner, weights=swapped, minlength=len(names))) + 1e-6)
+    rate = 1 / (load + 10 * counterfactual * (swapped + np.bincount(partner, weights=swapped, minlength=len(names))) + 1e-6)
     w, b, v, c, t = np.zeros(len(names)), 0.0, np.zeros(len(names)), 0.0, 1.0
     bias_rate = 4 / (size.max() + 1)
     for _ in range(steps):
