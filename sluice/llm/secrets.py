@@ -3,10 +3,14 @@ r"""Secret scan: fixed patterns plus assignment-aware lexing.
 Base spans, leftmost and non-overlapping per kind: ``assign`` (a named value),
 ``access`` (AKIA keys) and ``hex`` (long lower-case hex runs).  The lexer then
 reads the text as source code or configuration: every ``name = literal`` (also
-``:``, ``=>``, ``:=``, quoted names, ``"a" + "b"`` and names of earlier
-constants) becomes a name-literal pair; constants are propagated to a fixed
-point, and a literal counts as a secret (kind ``literal``) when a name it
-reaches is sensitive and its score is high enough.
+``:``, ``=>``, ``:=``, quoted names, ``"a" + "b"`` and names of constants)
+becomes a name-literal pair; constants are propagated to a fixed point, and a
+literal counts as a secret (kind ``literal``) when a name it reaches is
+sensitive and its score is high enough.  An unquoted value (.env, INI, YAML,
+properties) is a literal up to the next blank unless it names something the
+text assigns; calls and subscripts are code, and a short word of letters in one
+case is a word.  A YAML block scalar gives one literal a line.  A value that
+consists of placeholders is none, but the default in ``${NAME:-default}`` is.
 
 Offsets are code points, ends exclusive.  Defined cases: null or empty text has
 no spans; spans never cross documents; a constant defined twice keeps both
@@ -18,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,8 +45,25 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "sec
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _STRING = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'"
 _NAME = r"[A-Za-z_][A-Za-z0-9_.-]*"
-_BIND = re.compile(rf"(?:(?<![A-Za-z0-9_.\"'-])({_NAME})|[\"']({_NAME})[\"'])[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*(?=[\"'A-Za-z_])")
-_VALUE = re.compile(rf"(?:({_STRING})|({_NAME}))[ \t]*(\+)?[ \t]*")
+_BIND = re.compile(rf"(?:(?<![A-Za-z0-9_.\"'-])({_NAME})|[\"']({_NAME})[\"'])[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*(?=\S)")
+_QUOTED = re.compile(rf"[bBfFrRuU]{{0,2}}({_STRING})[ \t]*(\+)?[ \t]*")
+_PART_OF_SUM = re.compile(rf"({_NAME})(?:[ \t]*\+[ \t]*(?=[\"'])|[ \t]+\+[ \t]+(?=[A-Za-z_]))")
+_SUM_OF_NAMES = re.compile(rf"({_NAME})[ \t]*\+[ \t]*(?={_NAME})")
+_CALL = re.compile(r"[A-Za-z_][\w.]*(?:\([^\n]{0,500}\)|\[[^\n]{0,500}\])(?=[\s;,.)\]}]|\Z)", re.ASCII)
+# An unquoted value ends at a blank, before the next "; name=", and off a line of its own at a quote.
+_NEXT = rf"[;&,][\"']?{_NAME}[\"']?[=:]"
+_BARE_LINE = re.compile(rf"(?:(?!{_NEXT})\S)+")
+_BARE = re.compile(rf"(?:(?!{_NEXT})[^\s\"'`])+")
+_CHAINED = re.compile(rf"({_NAME})(?::=|=>|=|:)(?=[\"'])")
+_KEY = re.compile(rf"{_NAME}:")
+_LINE_LEAD = re.compile(r"[ \t]*(?:-[ \t]+)?(?:(?:export|set|setx|ENV|ARG)[ \t]+)?", re.ASCII)
+_SCALAR = re.compile(r"[|>][0-9+-]*[ \t]*(?:#[^\n]*)?\n")
+_HOLDER = r"\$\{[^{}]*\}|\$\([^()]*\)|\{\{[^{}]*\}\}|\{[A-Za-z_][\w.]*\}|<[^<>]*>|%\([^()]*\)[a-z]|%[A-Z_][A-Z0-9_]*%|\$[A-Z_][A-Z0-9_]*"
+_HOLDERS = re.compile(rf"(?:[:/@,.-]*(?:{_HOLDER}))+", re.ASCII)
+_NAMED = re.compile(rf"\$(?:\{{({_NAME})\}}|({_NAME}))")
+_DEFAULT = re.compile(r"\$\{[\w.]+:[-=]?([^{}\s]+)\}", re.ASCII)
+_WORD = re.compile(r"[A-Za-z_]?[a-z_]{1,14}|[A-Z_]{1,15}")
+_CLOSERS = {")": "(", "]": "[", "}": "{", ">": "<"}
 
 SCHEMA = ("doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, "
           "base_sha256 string, spans string")
@@ -55,7 +78,7 @@ def sensitivity(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """0 to 1: long, varied values without blanks look like secrets."""
-    if len(value) < 6 or re.search(r"[\s{}<>$%]", value) or value.lower() in ("password", "secret", "changeme", "example"):
+    if len(value) < 6 or re.search(r"\s", value) or _HOLDERS.fullmatch(value) or value.lower() in ("password", "secret", "changeme", "example"):
         return 0.0
     counts = Counter(value)
     entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
@@ -63,24 +86,94 @@ def literal_score(value: str) -> float:
     return min(1.0, entropy / 4 * (0.5 + 0.25 * classes))
 
 
+def bare_value(text: str, bind: re.Match, at: int, ends: dict) -> tuple[int, int]:
+    """Where the unquoted value at ``at`` starts and ends (alike: there is none).
+
+    ``ends`` keeps where the last run ended, which holds for every start inside it.
+    """
+    if text[at] in "\"'`" or text[at] in "#;" and text[at - 1] in " \t" or _CALL.match(text, at):
+        return at, at
+    lead = text.rfind("\n", 0, bind.start()) + 1
+    kind = _BARE_LINE if _LINE_LEAD.fullmatch(text, lead, bind.start()) else _BARE
+    if ends.get(kind, at) <= at:
+        value = kind.match(text, at)
+        ends[kind] = value.end() if value else at
+    end = ends[kind]
+    while end > at and (text[end - 1] in ",;" or text[end - 1] in _CLOSERS
+                        and text.count(text[end - 1], at, end) > text.count(_CLOSERS[text[end - 1]], at, end)):
+        end -= 1
+    return at, end
+
+
+def block_lines(text: str, bind: re.Match) -> list[tuple[int, int]]:
+    """The lines of the YAML block scalar that starts where ``bind`` ends."""
+    scalar = _SCALAR.match(text, bind.end())
+    if not scalar:
+        return []
+    lead = text.rfind("\n", 0, bind.start()) + 1
+    indent = len(text[lead:bind.start()]) - len(text[lead:bind.start()].lstrip(" \t-"))
+    out, at = [], scalar.end()
+    while at < len(text):
+        end = text.find("\n", at)
+        end = len(text) if end < 0 else end
+        line = text[at:end]
+        if line.strip():
+            start = at + len(line) - len(line.lstrip(" \t"))
+            if start - at <= indent:
+                break
+            out.append((start, at + len(line.rstrip())))
+        at = end + 1
+    return out
+
+
 def name_literal_pairs(text: str) -> tuple[dict[str, list], dict[str, set[str]]]:
-    """Literals (value, start, end) assigned to each name, and names each name reads."""
+    """Literals (start, end) assigned to each name, and names each name reads."""
     literals: dict[str, list] = {}
     reads: dict[str, set[str]] = {}
-    for bind in _BIND.finditer(text):
-        target, at, more = bind[1] or bind[2], bind.end(), True
-        while more and (value := _VALUE.match(text, at)):
-            if value[1]:
-                literals.setdefault(target, []).append((value[1][1:-1], value.start(1) + 1, value.end(1) - 1))
+    binds = list(_BIND.finditer(text))
+    names = {b[1] or b[2] for b in binds}
+    ends: dict = {}
+
+    def literal(target: str, start: int, end: int) -> None:
+        if named := _NAMED.fullmatch(text, start, end):
+            if (named[1] or named[2]) in names:
+                reads.setdefault(target, set()).add(named[1] or named[2])
+                return
+        if default := _DEFAULT.fullmatch(text, start, end):
+            start, end = default.span(1)
+        literals.setdefault(target, []).append((start, end))
+
+    for bind in binds:
+        target, at = bind[1] or bind[2], bind.end()
+        if lines := block_lines(text, bind):
+            for start, end in lines:
+                literal(target, start, end)
+            continue
+        while at < len(text):
+            if value := _QUOTED.match(text, at):
+                literal(target, value.start(1) + 1, value.end(1) - 1)
+                at = value.end()
+                if value[2]:
+                    continue
+            elif chained := _CHAINED.match(text, at):
+                reads.setdefault(target, set()).add(chained[1])
+            elif (part := _PART_OF_SUM.match(text, at)) or (part := _SUM_OF_NAMES.match(text, at)) and part[1] in names:
+                reads.setdefault(target, set()).add(part[1])
+                at = part.end()
+                continue
             else:
-                reads.setdefault(target, set()).add(value[2])
-            at, more = value.end(), value[3]
+                start, end = bare_value(text, bind, at, ends)
+                if text[start:end] in names:
+                    reads.setdefault(target, set()).add(text[start:end])
+                elif end > start and not (_WORD.fullmatch(text, start, end) or _KEY.fullmatch(text, start, end)):
+                    literal(target, start, end)
+            break
     return literals, reads
 
 
 def literal_spans(text: str, threshold: float = 0.5) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name, directly or as constants."""
-    if '"' not in text and "'" not in text:
+    if "=" not in text and ":" not in text:
         return []
     literals, reads = name_literal_pairs(text)
     if not literals:
@@ -93,8 +186,11 @@ def literal_spans(text: str, threshold: float = 0.5) -> list[tuple[int, int]]:
             if weight.get(source, 0.0) < weight[name]:
                 weight[source] = weight[name]
                 queue.append(source)
-    return sorted({(s, e) for n, found in literals.items() if weight[n]
-                   for value, s, e in found if weight[n] * literal_score(value) >= threshold})
+    found: dict[int, int] = {}
+    for start, end, w in sorted((s, e, weight[n]) for n, spans in literals.items() if weight[n] for s, e in spans):
+        if end not in found and w * literal_score(text[start:end]) >= threshold:  # else a longer literal ends here
+            found[end] = start
+    return sorted((s, e) for e, s in found.items())
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -109,8 +205,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def all_spans(text: str) -> list[tuple[int, int, int]]:
     """Base spans and literal spans that no base span covers, by start and kind."""
     base = base_spans(text)
+    reach = [0, *accumulate((e for _, _, e in base), max)]
     more = [(s, 3, e) for s, e in literal_spans(text)
-            if not any(b <= s and e <= f for b, _, f in base)]
+            if reach[bisect_right(base, s, key=lambda x: x[0])] < e]
     return sorted(base + more)
 
 

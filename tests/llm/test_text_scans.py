@@ -143,3 +143,31 @@ def test_redaction_keeps_the_rest(spark):
     text = {r["doc_id"]: r["text"] for r in masked.collect()}
     assert text[40] == '[REDACTED]"' and text[43] == 'const K = "[REDACTED]";\napi_password = K'
     assert text[1] is None and text[44] == dict(SECRETS)[44]
+
+
+def found_literals(text):
+    return [text[s:e] for s, k, e in secrets.all_spans(text) if k == 3]
+
+
+def test_unquoted_values_are_literals(spark):
+    for text, want in [
+            ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG+bPxRfi", ["wJalrXUtnFEMI/K7MDENG+bPxRfi"]),
+            ("db_pwd: hunter2Xy99zz", ["hunter2Xy99zz"]), ("x passphrase=Correct9Horse8 and more", ["Correct9Horse8"]),
+            ("db:\n  pwd: 9hunter-Xy99zz  # main\n  user: bob", ["9hunter-Xy99zz"]), ("[db]\nPWD = -aB3(x)9!\n", ["-aB3(x)9!"]),
+            ("export PASSPHRASE=it's9Xq%Lm\n", ["it's9Xq%Lm"]), ("Server=db1;Pwd=hunter2Xy99;Timeout=3", ["hunter2Xy99"]),
+            ("{pwd: hunter2Xy99, user: bob}", ["hunter2Xy99"]), ("K=Zq9rXv71LmPw\napi_password = K", ["Zq9rXv71LmPw"]),
+            ("K=Zq9rXv71LmPw\ndb_pwd=${K}", ["Zq9rXv71LmPw"]), ("db_pwd=${PW:-hunter2Xy99zz}", ["hunter2Xy99zz"]),
+            ("a:\n  privateKey: |\n    MIIEpAIBAAKCAQEA7\n    x9Qv3LmPw8Rt2Zk\n  user: bob7Xq9Zr4Lm", ["MIIEpAIBAAKCAQEA7", "x9Qv3LmPw8Rt2Zk"])]:
+        assert found_literals(text) == want, text
+    for text in ("pwd = os.getcwd()", "auth = Basic9Auth(user, pw)", "pwd: directory", "db_pwd=${DB_PWD}", "passphrase: <your-passphrase9>",
+                 "db_pwd=%(PG_PWD9)s", "db_pwd = # nothing9Here", "user = hunter2Xy99zz"):
+        assert found_literals(text) == [], text
+    row = secrets.scan_secrets(documents(spark, [(1, "db_pwd: hunter2Xy99zz")])).collect()[0]
+    assert row["spans"] == "literal:8:21"
+
+
+def test_symbols_do_not_clear_a_literal():
+    assert found_literals('password = "P@$$w0rd!2024"') == ["P@$$w0rd!2024"]
+    assert found_literals("pwd = 'a<b9{X}%q'") == ["a<b9{X}%q"]
+    assert found_literals('password = "${DB_PASSWORD}" + "<password>" + "{{ vault9Key }}"') == []
+    assert secrets.redact('password = "P@$$w0rd!2024"') == 'password = "[REDACTED]"'
