@@ -80,3 +80,32 @@ def test_piece_prefixes_by_recurrence(library):
     for piece in (b" internationalisation", "é€漢".encode(), b"aaaaaaaaaaa", b"zqxjk"):
         for n, count in enumerate(tokens.piece_prefix_counts(enc, piece)):
             assert count == (len(enc.piece(piece[:n])) if n else 0)
+
+
+LONG = [(70, text_of(70, 30) + " " + "q9Zx7" * 400), (71, "7" * 3000), (72, "=+*#" * 700), (73, "a" + " \n\t" * 500 + "b"),
+        (74, "новый текст漢字かな" * 60), (75, "漢字" * 300), (76, "🙂👩‍👩‍👧" * 80), (77, "we'll they've!!<|endoftext|> <|endoftext|>  x'" * 9),
+        (78, "\x1c\x85 tab\t  ² ½ don't \n\n  y" * 20), (79, "  <|endoftext|>"), (80, "hi   we'll"), (81, "a  \n\n \nb  c" * 15)]
+
+
+@pytest.fixture(scope="module")
+def every(library):
+    return {i: [len(ids(library, t[:n])) for n in range(min(len(t), 600) + 1)] for i, t in LONG}
+
+
+@pytest.mark.parametrize("budget", [0, 1, 2, 3, 7, 60])
+def test_cut_is_the_longest_prefix(spark, library, every, budget):
+    """Also inside one long run, in non-Latin texts and before special strings."""
+    rows = {r["doc_id"]: r for r in tokens.prefix_counts(documents(spark, LONG), budget).collect()}
+    for i, t in LONG:
+        fits = [n for n, count in enumerate(every[i]) if count <= budget]
+        assert rows[i]["cut_chars"] == fits[-1] or fits[-1] == 600 <= rows[i]["cut_chars"], (i, budget)
+        assert rows[i]["n_tokens"] == len(ids(library, t))
+
+
+def test_every_prefix_of_any_text(spark, library):
+    rows = {r["doc_id"]: r for r in tokens.prefix_counts(documents(spark, LONG), 5).collect()}
+    enc = tokens.Encoder()
+    for i, t in LONG:
+        ends, counts = tokens.read_steps(rows[i]["piece_chars"]), tokens.read_steps(rows[i]["piece_tokens"])
+        for n in {*range(0, min(len(t), 90)), *range(90, len(t), 211), len(t)}:
+            assert tokens.count_prefix(enc, t, ends, counts, n) == len(ids(library, t[:n])), (i, n)
