@@ -9,7 +9,9 @@ a distance.  The index is sharded by document, so nothing is shuffled by term
 and a frequent term or passage only lengthens the lists of its own blocks.
 
 The test set is collected in blocks of ``BENCH_BYTES`` text (its size is
-measured first); each block is one pass over the documents.
+measured first); each block is one pass over the documents.  With several
+blocks the documents are stored with a key for each row, by which the passes
+are put together.
 
 Defined cases: null or empty text has no words and no hits; a null item id
 counts as the item "null"; items without words have no window; repeated items
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -188,17 +191,23 @@ def _union_length(starts: list[int], ends: list[int]) -> int:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per document: n_words, n_hit, the items found and whether any word is hit."""
-    found = [search(store(build_index(docs, test.vocabulary), "postings"), test)
-             for test in test_sets(benchmark, size=size)]
-    out = found[0]
-    if len(found) > 1:
-        for more in found[1:]:
-            out = out.unionByName(more)
-        # Rows of a document differ between blocks of the test set only in their hits.
-        out = out.groupBy("doc_id", "n_words").agg(
+    tests = test_sets(benchmark, size=size)
+    test, more = next(tests), next(tests, None)
+    if more is None:
+        out = search(store(build_index(docs, test.vocabulary), "postings"), test)
+    else:
+        # Each row has a key of its own, the same in every pass: ids may repeat or be null.
+        rows = store(id_and_text(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+        keyed = rows.select(F.col("row").alias("doc_id"), "text")
+        found = None
+        for test in chain([test, more], tests):
+            hits = search(store(build_index(keyed, test.vocabulary), "postings"), test)
+            found = hits if found is None else found.unionByName(hits)
+        found = found.groupBy(F.col("doc_id").alias("row"), "n_words").agg(
             F.flatten(F.collect_list("hit_start")).alias("hit_start"),
             F.flatten(F.collect_list("hit_end")).alias("hit_end"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+        out = rows.select("row", "doc_id").join(found, "row").select("doc_id", "n_words", "hit_start", "hit_end", "items")
 
     def finish(batches):
         for b in batches:

@@ -48,6 +48,16 @@ def test_contamination_equals_brute_force(spark, monkeypatch, limit):
     assert found[20]["n_items"] == 2 and found[25]["n_hit"] == 0
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 60])
+def test_repeated_and_nameless_rows_stay_apart(spark, monkeypatch, limit):
+    """Every row has its own result, also with several blocks of test items."""
+    monkeypatch.setattr(decontaminate.test_sets, "__defaults__", ("item_id", "text", decontaminate.WINDOW, limit))
+    rows = AWKWARD + HITS + [HITS[0], (None, HITS[0][1]), (None, "q " * 27), (20, "q " * 27), (None, HITS[1][1]), (None, None), (None, "")]
+    found = decontaminate.contamination(documents(spark, rows, extra=True), spark.createDataFrame(BENCH, "item_id long, text string"))
+    assert found.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert sorted(str(tuple(r)) for r in found.collect()) == sorted(str((i, *brute_hits(t, windows_of(BENCH)))) for i, t in rows)
+
+
 def test_phrases_do_not_cross_documents(spark):
     half = text_of("b1", 10).split()
     rows = [(1, " ".join(half[:5])), (2, " ".join(half[5:]))]
