@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -231,3 +232,72 @@ def connected_components(edges: DataFrame) -> DataFrame:
             drop_stored(old)
         edges, labels = new_edges, new_labels
     return labels
+
+
+# --- running sums ----------------------------------------------------------
+
+def running(rows: DataFrame, group: str, order: list, terms: str | None = None, name: str = "running") -> DataFrame:
+    """``rows`` with ``rank`` (from 0, within the group) and, for 16-byte ``terms``, running sums ``sum1``, ``sum2`` modulo 2**64.
+
+    ``group`` is a bigint without nulls.  Rows are range-partitioned by group and
+    order, so a group of any size is spread over partitions; each partition runs
+    through its sorted rows once, and a group that began in earlier ones gets
+    their totals added.  At most one group enters a partition, so the driver sees
+    one row per partition.  The result is stored.
+    """
+    ranged = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    sums = ["sum1", "sum2"] if terms else []
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", part int, line bigint, rank bigint" + "".join(f", {s} bigint" for s in sums)
+    at, width = rows.columns.index(group), 1 + len(sums)
+
+    def scan(batches):
+        part, line, last, carry = TaskContext.get().partitionId(), 0, None, np.zeros(width, np.uint64)
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            keys = b.column(at).to_numpy()
+            values = np.ones((n, width), np.uint64)
+            if terms:
+                values[:, 1:] = np.frombuffer(b"".join(b.column(b.schema.get_field_index(terms)).to_pylist()), "<u8").reshape(n, 2)
+            new = np.append(last is None or keys[0] != last, keys[1:] != keys[:-1])
+            total = np.cumsum(values, axis=0, dtype=np.uint64)
+            start = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+            before = np.where((start > 0)[:, None], total[start - 1], np.uint64(0))
+            before[start < 0] = np.zeros(width, np.uint64) - carry  # the group began in an earlier batch
+            total = total - before
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.full(n, part, np.int32)), pa.array(line + np.arange(n)), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in (total - np.eye(1, width, dtype=np.uint64)).T)],
+                [*b.schema.names, "part", "line", "rank", *sums])
+            line, last, carry = line + n, keys[-1], total[-1].copy()
+
+    local = store(ranged.mapInArrow(scan, schema), name)
+    ends = (local.groupBy("part").agg(F.min_by(group, "line").alias("first"), F.max_by(F.struct(group, "rank", *sums), "line").alias("last"))
+            .orderBy("part").collect())  # a row per partition
+    entering, reached, so_far = {}, None, np.zeros(width, np.uint64)
+    for r in ends:
+        key, *totals = r["last"]
+        totals = np.array(totals, np.int64).view(np.uint64) + np.eye(1, width, dtype=np.uint64)[0]
+        if r["first"] == reached:
+            entering[r["part"]] = (reached, so_far)
+        so_far = totals + so_far if key == reached else totals
+        reached = key
+    if not entering:
+        return local.drop("part", "line")
+
+    def add(batches):
+        for b in batches:
+            columns = [b.column(k) for k in range(b.num_columns)]
+            keys, parts = columns[at].to_numpy(), b.column(b.schema.get_field_index("part")).to_numpy()
+            for part in np.unique(parts).tolist():
+                if part in entering:
+                    key, more = entering[part]
+                    hit = (parts == part) & (keys == key)
+                    for k, extra in zip(("rank", *sums), more):
+                        i = b.schema.get_field_index(k)
+                        columns[i] = pa.array(np.where(hit, columns[i].to_numpy().view(np.uint64) + extra, columns[i].to_numpy().view(np.uint64)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(columns, b.schema.names)
+
+    out = store(local.mapInArrow(add, schema), name).drop("part", "line")
+    drop_stored(local)
+    return out

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, near_dup, packing, secrets, suffix_dedup, tokens, toxicity, vector_dedup
+from . import (chat, decontaminate, licenses, line_dedup, near_dup, packing, prefix_trie, secrets, suffix_dedup,
+               tokens, toxicity, vector_dedup)
 
 TOKEN_LIMIT = 1024
 
@@ -69,6 +70,17 @@ def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.embedding_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, each rebuilt from its base."""
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that stand in three or more of them."""
+    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 REGISTRY = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
@@ -80,6 +92,8 @@ REGISTRY = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_embedding_duplicates": op10_embedding_duplicates,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_line_dedup": op13_line_dedup,
 }
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -145,4 +159,33 @@ n AS (SELECT a, count(*) AS links FROM l GROUP BY a), m AS (SELECT a, min(b) AS
 SELECT vec_id, coalesce(links, 0) AS n_links, least(vec_id, coalesce(least_id, vec_id)) AS component_id,
        least(vec_id, coalesce(least_id, vec_id)) = vec_id AS kept
 FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.a = vec_id""",
+    # crc32 bit by bit: divide by x eight times a byte, modulo the reflected polynomial 0xEDB88320
+    "op12_prefix_trie": r"""
+WITH t AS (SELECT conv_id, k, w, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) - 1 AS i
+           FROM (SELECT conv_id, turn, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS k,
+                        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT DISTINCT conv_id AS c, conv_id - conv_id % 20 AS base,
+             xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                 lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295) % 4 AS h FROM t),
+r AS (SELECT c, i, k, w FROM c JOIN t ON conv_id = base WHERE i < h UNION ALL SELECT c, i, k, w FROM c JOIN t ON conv_id = c WHERE i >= h),
+p AS (SELECT c, w, row_number() OVER (PARTITION BY c ORDER BY i) AS d, string_agg(k, '') OVER (PARTITION BY c ORDER BY i) AS path FROM r
+      UNION ALL SELECT c, 0, 0, '' FROM c),
+s AS (SELECT c, max(d) AS size FROM p GROUP BY c),
+n AS (SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(w) AS own,
+             coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = size), '') AS ends FROM p JOIN s USING (c) GROUP BY path, d),
+k AS (SELECT left(path, 32 * (d::INT - 1)) AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+g AS (SELECT left(path, 32 * lvl::INT) AS path, sum(own) AS saved, count_if(leaf) AS leaves
+      FROM (SELECT n.path, own, k.path IS NULL AS leaf, unnest(range(0, d + 1)) AS lvl FROM n LEFT JOIN k ON k.path = n.path) GROUP BY 1)
+SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, g.leaves::BIGINT AS n_leaves,
+       g.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN g ON g.path = n.path LEFT JOIN k ON k.path = n.path LEFT JOIN n AS up ON n.d > 0 AND up.path = left(n.path, 32 * (n.d::INT - 1))""",
+    "op13_line_dedup": """
+WITH l AS (SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line
+           FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+k AS (SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+b AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT doc_id, i, line, keeper IS NULL OR keeper = doc_id AS stays FROM k LEFT JOIN b USING (key))
+SELECT doc_id, count(*) AS n_lines, count_if(NOT stays)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256 FROM m GROUP BY doc_id""",
 }
