@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat, decontaminate, licenses, line_dedup, near_dup, packing, prefix_trie, secrets, suffix_dedup,
-               tokens, toxicity, vector_dedup)
+               tokens, toxicity, vector_codes, vector_dedup)
 
 TOKEN_LIMIT = 1024
 
@@ -70,6 +70,11 @@ def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.embedding_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings by codebooks learnt on all of them."""
+    return vector_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix trie of all conversations, each rebuilt from its base."""
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
@@ -92,6 +97,7 @@ REGISTRY = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_embedding_duplicates": op10_embedding_duplicates,
+    "op11_vector_codes": op11_vector_codes,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_line_dedup": op13_line_dedup,
 }
@@ -105,6 +111,27 @@ def _escaped(column: str) -> str:
     return column
 
 
+def _lloyd_sql(rounds: int) -> str:
+    """The rounds one after another; a distance and its index are one number, 16 * distance + index."""
+    near = lambda n, b: f"""
+a{n} AS MATERIALIZED (SELECT vec_id, p, (min(d * 16 + k) % 16)::BIGINT AS k, (min(d * 16 + k) // 16)::BIGINT AS d
+      FROM (SELECT x.vec_id, x.p, b.k, sum((x.x - b.m) * (x.x - b.m)) AS d FROM x JOIN {b} b ON b.p = x.p AND b.q = x.q GROUP BY ALL) GROUP BY vec_id, p)"""
+    steps = [f"""{near(n, f'b{n - 1}')},
+u{n} AS (SELECT p, k, q, sum(x)::BIGINT AS s, count(*) AS n FROM a{n} JOIN x USING (vec_id, p) GROUP BY ALL),
+b{n} AS MATERIALIZED (SELECT b.p, b.k, b.q, CASE WHEN u.n IS NULL THEN b.m ELSE (u.s - ((u.s % u.n) + u.n) % u.n) // u.n END AS m
+      FROM b{n - 1} b LEFT JOIN u{n} u ON u.p = b.p AND u.k = b.k AND u.q = b.q)""" for n in range(1, rounds + 1)]
+    return f"""
+WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda c: floor(4096 * c::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS MATERIALIZED (SELECT vec_id, (i - 1) // w AS p, (i - 1) % w AS q, v[i] AS x
+      FROM (SELECT vec_id, v, len(v) // 8 AS w, unnest(range(1, len(v) + 1)) AS i FROM e)),
+b0 AS MATERIALIZED (SELECT p, k, q, x AS m FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM e QUALIFY k < 16) USING (vec_id)),
+{",".join(steps)},{near(rounds + 1, f"b{rounds}")},
+c AS (SELECT vec_id, string_agg(printf('%02x', k), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds + 1} GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(m::VARCHAR, ',' ORDER BY p, k, q)) FROM b{rounds}) AS codebooks_sha256 FROM c JOIN e USING (vec_id)"""
+
+
 #: DuckDB SQL over the same tables, where SQL can express the result.
 SQL: dict[str, str] = {
     "op1_suffix_dedup": """
@@ -159,6 +186,7 @@ n AS (SELECT a, count(*) AS links FROM l GROUP BY a), m AS (SELECT a, min(b) AS
 SELECT vec_id, coalesce(links, 0) AS n_links, least(vec_id, coalesce(least_id, vec_id)) AS component_id,
        least(vec_id, coalesce(least_id, vec_id)) = vec_id AS kept
 FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.a = vec_id""",
+    "op11_vector_codes": _lloyd_sql(vector_codes.ROUNDS),
     # crc32 bit by bit: divide by x eight times a byte, modulo the reflected polynomial 0xEDB88320
     "op12_prefix_trie": r"""
 WITH t AS (SELECT conv_id, k, w, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) - 1 AS i
