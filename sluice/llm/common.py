@@ -7,6 +7,7 @@ holds.  One text is the smallest unit; a very long one forms its own block.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 2 << 20
+LONG_WORD = 64
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -56,7 +58,12 @@ def drop_stored(df: DataFrame) -> None:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's context cleaner remove shuffle files of finished steps."""
+    """Let Spark's context cleaner remove shuffle files of finished steps.
+
+    Spark deletes them only once the driver has collected the frames that own
+    them; between collections, by default half an hour apart, several steps'
+    files would pile up on the executors' disks.  Results do not depend on it.
+    """
     import gc
     gc.collect()
     spark.sparkContext._jvm.System.gc()
@@ -76,8 +83,9 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES,
             continue
         text = batch.column(batch.schema.get_field_index(column))
         if text.null_count:
-            text = pc.fill_null(text, "" if pa.types.is_string(text.type) else b"")
-        offsets = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset:text.offset + len(text) + 1].astype(np.int64)
+            text = pc.fill_null(text, "" if pa.types.is_string(text.type) or pa.types.is_large_string(text.type) else b"")
+        wide = pa.types.is_large_string(text.type) or pa.types.is_large_binary(text.type)
+        offsets = np.frombuffer(text.buffers()[1], dtype=np.int64 if wide else np.int32)[text.offset:text.offset + len(text) + 1].astype(np.int64)
         data = text.buffers()[2]
         data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
         row = 0
@@ -134,7 +142,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def prefix_hashes(data: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """S[i] = sum over j < i of code[data[j]] * base**j (mod 2**64)."""
+    """S[i] = sum over j < i of code[data[j]] * base**j (mod 2**64).
+
+    For ranges of a few hundred bytes only: modulo a power of two there are
+    strings of 2,048 bytes and more that collide whatever the base is.
+    """
     out = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(code[data] * _powers(len(data), _BASE), out=out[1:])
     return out
@@ -146,6 +158,32 @@ def range_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
+def _lanes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The first bytes of each range, at most eight, as one number (zero bytes follow)."""
+    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))[start]
+    return eight & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * np.minimum(size, 8).astype(np.uint64)))
+
+
+def word_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit codes of the words [start, end), A-Z as a-z.
+
+    Words hold no zero byte, so up to eight bytes are one number and its mixing is
+    one-to-one; longer words mix in eight bytes at a time, and those over
+    ``LONG_WORD`` bytes have a cryptographic digest.
+    """
+    lower = np.append(_LOWER[data], np.zeros(8, np.uint8))
+    size = end - start
+    codes = mix(_lanes(lower, start, size)) if len(start) else np.zeros(0, np.uint64)
+    for at in range(8, LONG_WORD, 8):
+        more = np.flatnonzero((size > at) & (size <= LONG_WORD))
+        if not len(more):
+            break
+        codes[more] = mix((codes[more] + np.uint64(at)) ^ _lanes(lower, start[more] + at, size[more] - at))
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        codes[k] = int.from_bytes(hashlib.blake2b(lower[start[k]:end[k]].tobytes(), digest_size=8).digest(), "little")
+    return codes
+
+
 def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes in order, each document's first word number, word starts."""
     n = len(data)
@@ -162,7 +200,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     begins[cut] = inside[cut]
     stops[cut - 1] = inside[cut - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    hashes = range_hashes(prefix_hashes(data, _BYTE_CODE), start, end)
+    hashes = word_codes(data, start, end)
     first[:] = np.searchsorted(start, offsets)
     return hashes, first, start
 

@@ -75,7 +75,7 @@ class TestSet:
 def test_sets(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
               size: int = WINDOW, limit: int = BENCH_BYTES):
     """The test set in blocks whose text is about ``limit`` bytes."""
-    items = benchmark.select(F.col(id_col).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("words"))
+    items = benchmark.select(F.col(id_col).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("words")).distinct()
     total = items.agg(F.sum(F.octet_length("words")).alias("b")).first()["b"] or 0
     n = -(-total // limit) or 1
     for k in range(n):
