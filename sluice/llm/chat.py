@@ -13,7 +13,8 @@ Defined cases: null text and null role are empty; events before the first
 ``message`` form a message of their own; events with equal sequence are ordered
 by message-opening first, then role and text; repeated rows are separate
 events; extra columns are ignored; an empty table gives no rows.  A rendered
-conversation is one string, so a single conversation is bounded by 2 GB.
+conversation is one string; read back it is held as four bytes a character, so
+a single conversation is bounded by 500 million characters.
 """
 
 from __future__ import annotations
@@ -85,11 +86,21 @@ def parse(formatted: Column) -> Column:
         unescape(F.substr(p, F.length(head(p)) + 2)).alias("text")))
 
 
+def masked(formatted: Column, loss_mask: Column) -> Column:
+    """All text under the mask.
+
+    Four bytes a code point make a span's place in the string a product, so
+    cutting all spans takes one pass over the conversation.
+    """
+    cut = lambda c, m: F.decode(F.substr(c["wide"], (m["start"] * 4 + 1).cast("int"), ((m["end"] - m["start"]) * 4).cast("int")), "UTF-32")
+    once = F.array(F.struct(F.encode(formatted, "UTF-32").alias("wide"), loss_mask.alias("mask")))
+    return F.get(F.transform(once, lambda c: F.array_join(F.transform(c["mask"], lambda m: cut(c, m)), "")), F.lit(0))
+
+
 def digest(conversations: DataFrame) -> DataFrame:
     """Counts and digests read back from formatted conversations."""
     back = conversations.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"),
-                                unescape(F.array_join(F.transform("loss_mask", lambda m: F.substr(
-                                    F.col("formatted"), (m["start"] + 1).cast("int"), (m["end"] - m["start"]).cast("int"))), "")).alias("learnt"))
+                                unescape(masked(F.col("formatted"), F.col("loss_mask"))).alias("learnt"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
                        F.sha2(said, 256).alias("turns_sha256"),
