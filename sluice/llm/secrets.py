@@ -14,7 +14,8 @@ consists of placeholders is none, but the default in ``${NAME:-default}`` is.
 
 Offsets are code points, ends exclusive.  Defined cases: null or empty text has
 no spans; spans never cross documents; a constant defined twice keeps both
-literals; repeated rows are scanned alike; an empty table gives no rows.
+literals; repeated rows are scanned alike; texts are scanned whole, each line once;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ _BIND = re.compile(rf"(?:(?<![A-Za-z0-9_.\"'-])({_NAME})|[\"']({_NAME})[\"'])[ \
 _QUOTED = re.compile(rf"[bBfFrRuU]{{0,2}}({_STRING})[ \t]*(\+)?[ \t]*")
 _PART_OF_SUM = re.compile(rf"({_NAME})(?:[ \t]*\+[ \t]*(?=[\"'])|[ \t]+\+[ \t]+(?=[A-Za-z_]))")
 _SUM_OF_NAMES = re.compile(rf"({_NAME})[ \t]*\+[ \t]*(?={_NAME})")
-_CALL = re.compile(r"[A-Za-z_][\w.]*(?:\([^\n]{0,500}\)|\[[^\n]{0,500}\])(?=[\s;,.)\]}]|\Z)", re.ASCII)
+_CALL = re.compile(r"[A-Za-z_][\w.]*([(\[])", re.ASCII)
+_CLOSED = re.compile(r"[)\]](?=[\s;,.)\]}]|\Z)")
 # An unquoted value ends at a blank, before the next "; name=", and off a line of its own at a quote.
 _NEXT = rf"[;&,][\"']?{_NAME}[\"']?[=:]"
 _BARE_LINE = re.compile(rf"(?:(?!{_NEXT})\S)+")
@@ -86,21 +88,44 @@ def literal_score(value: str) -> float:
     return min(1.0, entropy / 4 * (0.5 + 0.25 * classes))
 
 
+def _line(text: str, at: int, seen: dict) -> tuple[int, int, int, int]:
+    """The line that ``at`` lies in: start, end, and where its last closing ``)`` and ``]`` stand.
+
+    ``seen`` keeps the last line, so a line is read once however many names it assigns.
+    """
+    line = seen.get("line")
+    if not line or not line[0] <= at <= line[1]:
+        start, end = text.rfind("\n", 0, at) + 1, text.find("\n", at)
+        end = len(text) if end < 0 else end
+        last = {c[0]: c.start() for c in _CLOSED.finditer(text, start, end)}
+        line = seen["line"] = (start, end, last.get(")", -1), last.get("]", -1))
+    return line
+
+
 def bare_value(text: str, bind: re.Match, at: int, ends: dict) -> tuple[int, int]:
     """Where the unquoted value at ``at`` starts and ends (alike: there is none).
 
     ``ends`` keeps where the last run ended, which holds for every start inside it.
     """
-    if text[at] in "\"'`" or text[at] in "#;" and text[at - 1] in " \t" or _CALL.match(text, at):
+    if text[at] in "\"'`" or text[at] in "#;" and text[at - 1] in " \t":
+        return at, at
+    lead, _, *last = _line(text, bind.start(), ends)
+    call = _CALL.match(text, at)
+    if call and last[call[1] == "["] >= call.end():
         return at, at
-    lead = text.rfind("\n", 0, bind.start()) + 1
     kind = _BARE_LINE if _LINE_LEAD.fullmatch(text, lead, bind.start()) else _BARE
     if ends.get(kind, at) <= at:
         value = kind.match(text, at)
         ends[kind] = value.end() if value else at
     end = ends[kind]
-    while end > at and (text[end - 1] in ",;" or text[end - 1] in _CLOSERS
-                        and text.count(text[end - 1], at, end) > text.count(_CLOSERS[text[end - 1]], at, end)):
+    counts = None
+    while end > at and (text[end - 1] in ",;" or text[end - 1] in _CLOSERS):
+        closer = text[end - 1]
+        if closer in _CLOSERS:
+            counts = counts or {c: text.count(c, at, end) for pair in _CLOSERS.items() for c in pair}
+            if counts[closer] <= counts[_CLOSERS[closer]]:
+                break
+            counts[closer] -= 1
         end -= 1
     return at, end
 
@@ -132,6 +157,7 @@ def name_literal_pairs(text: str) -> tuple[dict[str, list], dict[str, set[str]]]
     reads: dict[str, set[str]] = {}
     binds = list(_BIND.finditer(text))
     names = {b[1] or b[2] for b in binds}
+    longest = max(map(len, names), default=0)
     ends: dict = {}
 
     def literal(target: str, start: int, end: int) -> None:
@@ -163,7 +189,7 @@ def name_literal_pairs(text: str) -> tuple[dict[str, list], dict[str, set[str]]]
                 continue
             else:
                 start, end = bare_value(text, bind, at, ends)
-                if text[start:end] in names:
+                if end - start <= longest and text[start:end] in names:
                     reads.setdefault(target, set()).add(text[start:end])
                 elif end > start and not (_WORD.fullmatch(text, start, end) or _KEY.fullmatch(text, start, end)):
                     literal(target, start, end)
