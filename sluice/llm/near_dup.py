@@ -1,8 +1,8 @@
 """Near-duplicate documents: consistent weighted sampling over TF-IDF shingles.
 
 1. Document frequencies of five-word shingles over all documents, exact for
-   every shingle in at least ``COMMON`` of them (a mergeable frequent-items
-   summary names the candidates, a second pass counts them).
+   every shingle in at least ``COMMON`` of them (bounded stretches of documents
+   name the candidates, a second pass counts them).
 2. Improved consistent weighted sampling: per document ``BANDS * ROWS`` samples
    of its weighted shingles; equal samples have probability weighted Jaccard.
 3. Bands of samples are bucket keys.  A bucket's members are first compared
@@ -16,28 +16,32 @@
 
 Weights are term count times idf; idf lies between 1 (in all documents) and 1.5
 (in fewer than ``COMMON`` of them), so the weighted similarity stays close to
-the plain one.  Texts with the same words are one class from the start and only
-its smallest id goes through steps 3 and 4.  At similarity 0.8 a pair shares a
+the plain one.  Texts with the same words are one node from the start and only
+its smallest row goes through steps 3 and 4.  At similarity 0.8 a pair shares a
 band with probability 0.998.
 
 Defined cases: a text of one to four words is one shingle; texts without words
 (null, empty, punctuation) are duplicates only of byte-equal texts; rows
 without an id are not compared and stand for themselves; repeated rows count as
-copies; an empty table gives no rows.
+copies; rows of one id with different texts are compared like any others; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.dimension import local_rows
+from sluice.operators.enrich import hot_keys, skew_join
+
 from .common import (blocks, connected_components, drop_stored, id_and_text,
-                     ids_of, in_sorted, mix, prefix_hashes, range_hashes,
-                     release_shuffles, split_words, store)
+                     ids_of, in_sorted, mix, release_shuffles, split_words, store)
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -47,13 +51,12 @@ SAMPLES = BANDS * ROWS
 COMMON = 0.01
 #: Members of a bucket that are compared with each other or with as many others at once.
 MEMBERS = 1000
-_SUMMARY = 1 << 20
+_STRETCH = 2 << 20
 _BIG_BLOCK = 6 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(77))
 _PLACE = _RNG.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SEEDS = _RNG.integers(1, 2**63, SAMPLES, dtype=np.uint64)
-_RAW_CODE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _gamma2_quantiles() -> np.ndarray:
@@ -106,27 +109,29 @@ def _merge(table, hashes, counts):
 def common_shingles(docs: DataFrame, n_docs: int) -> dict[int, int]:
     """Exact document counts of the shingles in at least ``COMMON`` of all documents.
 
-    A shingle with that share overall has at least half of it in enough tasks
-    to be named: tasks report shingles above half the share (by a frequent-items
-    summary whose error is added), and those whose reported counts reach half the
-    share overall are counted in a second pass.  As counts sum up to the number
-    of shingles, at most (2 / COMMON) * (shingles per document) are counted.
+    A task counts exactly over stretches of documents with some 2 million
+    shingles and reports those in at least half the share of a stretch.  What is
+    left out of a shingle's count is less than half the share, so one with the
+    whole share is reported with half of it, wherever its documents lie; these
+    are counted in a second pass.  As counts sum up to the number of shingles, at
+    most (2 / COMMON) * (shingles per document) are.
     """
     least = COMMON / 2
 
     def name(batches):
-        table, error, n = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), 0, 0
+        def report():
+            keep = table[1] >= least * n
+            return pa.RecordBatch.from_arrays([pa.array(table[0][keep].view(np.int64)), pa.array(table[1][keep])], ["shingle", "n"])
+
+        table, n = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), 0
         for rows, data, offsets in blocks(batches, _BIG_BLOCK):
             hashes, doc, _, _ = shingles(data, offsets)
             table = _merge(table, *_doc_counts(hashes, doc))
             n += rows.num_rows
-            if len(table[0]) > 2 * _SUMMARY:
-                cut = int(np.partition(table[1], -_SUMMARY)[-_SUMMARY])
-                keep = table[1] > cut
-                table, error = (table[0][keep], table[1][keep] - cut), error + cut
-        keep = table[1] + error >= least * n
-        found = table[0][keep].view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(table[1][keep] + error)], ["shingle", "n"])
+            if len(table[0]) > _STRETCH:
+                yield report()
+                table, n = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), 0
+        yield report()
 
     named = (docs.mapInArrow(name, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
              .filter(F.col("n") >= least * n_docs).select("shingle"))
@@ -182,12 +187,12 @@ def samples(elements: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np
     return out.view(np.uint32)
 
 
-SKETCH_SCHEMA = ("doc_id bigint, text_hash1 bigint, text_hash2 bigint, bands array<bigint>, brief binary, "
+SKETCH_SCHEMA = ("doc_id bigint, row binary, text_hash1 bigint, text_hash2 bigint, bands array<bigint>, brief binary, "
                  "total double, elements binary, weights binary")
 
 
 def sketches(docs: DataFrame, common: dict[int, int], n_docs: int) -> DataFrame:
-    """Per document: class hashes, band keys, one byte per sample, weighted shingles."""
+    """Per row of ``docs`` (doc_id, text, row): class hashes, band keys, one byte per sample, weighted shingles."""
     names = np.sort(np.array(list(common), dtype=np.int64).view(np.uint64))
     rates = np.array([idf(common[int(h)], n_docs) for h in names.view(np.int64)], dtype=np.float32)
     band_seed = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -206,8 +211,8 @@ def sketches(docs: DataFrame, common: dict[int, int], n_docs: int) -> DataFrame:
                 two[has] = np.add.reduceat(mix(words * np.uint64(0xCA4BCAA75EC3F625) ^ ranks), first[:-1][has])
             bare = np.setdiff1d(np.arange(n), has)
             if len(bare):
-                one[bare] = range_hashes(prefix_hashes(data, _RAW_CODE), offsets[bare], offsets[bare + 1])
-                two[bare] = np.diff(offsets)[bare].astype(np.uint64)
+                raw = [hashlib.blake2b(data[offsets[k]:offsets[k + 1]].tobytes(), digest_size=16).digest() for k in bare]
+                one[bare], two[bare] = np.frombuffer(b"".join(raw), np.uint64).reshape(-1, 2).T
             bands = [None] * n
             brief = [None] * n
             total = np.zeros(n)
@@ -224,9 +229,9 @@ def sketches(docs: DataFrame, common: dict[int, int], n_docs: int) -> DataFrame:
             h32 = (elements >> np.uint64(32)).astype(np.uint32)
             blob = lambda v: pa.array([v[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [ids_of(rows), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(bands, pa.list_(pa.int64())),
+                [ids_of(rows), ids_of(rows, "row"), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(bands, pa.list_(pa.int64())),
                  pa.array(brief, pa.binary()), pa.array(total), blob(h32), blob(weights)],
-                ["doc_id", "text_hash1", "text_hash2", "bands", "brief", "total", "elements", "weights"])
+                ["doc_id", "row", "text_hash1", "text_hash2", "bands", "brief", "total", "elements", "weights"])
 
     return docs.mapInArrow(sketch, SKETCH_SCHEMA)
 
@@ -326,33 +331,49 @@ def _links_of(group: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, copy_of (smallest id with the same words),
-    class_id (smallest id reachable over links), kept (doc_id = class_id)."""
+def row_digest(text: Column) -> Column:
+    """Tells rows of one id apart."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def classes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Rows with an id (doc_id, row, text_hash1, text_hash2) and their nodes.
+
+    A node stands for all rows with the same words: text_hash1, text_hash2,
+    copy_of (its smallest id), class_id and class_row (the smallest id, and its
+    row, that links reach).
+    """
     spark = docs.sparkSession
-    rows = id_and_text(docs, id_col, text_col)
-    named = rows.filter(F.col("doc_id").isNotNull())
+    named = id_and_text(docs, id_col, text_col).filter(F.col("doc_id").isNotNull()).withColumn("row", row_digest(F.col("text")))
     n_docs = named.count()
-    sets = store(sketches(named, common_shingles(named, n_docs), max(1, n_docs)), "sketches")
-    ids = sets.select("doc_id", "text_hash1", "text_hash2")
-    first = ids.groupBy("text_hash1", "text_hash2").agg(F.min("doc_id").alias("copy_of"))
-    member = store(ids.join(first, ["text_hash1", "text_hash2"]).select("doc_id", "copy_of"), "members")
-    reps = member.filter("doc_id = copy_of").select("doc_id").distinct()
-
-    keyed = (sets.filter(F.col("bands").isNotNull()).select("doc_id", "brief", "total", "bands", F.explode("bands").alias("key"))
-             .join(reps, "doc_id", "left_semi"))
+    every = store(sketches(named, common_shingles(named, n_docs), max(1, n_docs)), "sketches")
+    ids = store(every.select("doc_id", "row", "text_hash1", "text_hash2"), "members")
+    first = ids.groupBy("text_hash1", "text_hash2").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    nodes = store(first.select("text_hash1", "text_hash2", F.col("first.doc_id").alias("copy_of"), F.col("first.row").alias("row"),
+                               F.monotonically_increasing_id().alias("node")), "nodes")  # numbers hold once they are stored
+
+    sketched = every.filter(F.col("bands").isNotNull()).select("doc_id", "row", "brief", "total", "bands")
+    of_node = skew_join(sketched, nodes.select(F.col("copy_of").alias("doc_id"), "row", "node"), ["doc_id", "row"], "inner")
+    keyed = of_node.select(F.col("node").alias("doc_id"), "brief", "total", "bands", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x != y").select("key")
     bands = store(keyed.join(shared, "key").select("key", "doc_id", "brief", "total", "bands").distinct(), "bands")
     # only texts that share a band are ever verified
-    every = sets
-    sets = store(every.join(bands.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "elements", "weights")
+    wanted = nodes.join(bands.select(F.col("doc_id").alias("node")).distinct(), "node").select(F.col("copy_of").alias("doc_id"), "row", "node")
+    sets = store(every.select("doc_id", "row", "elements", "weights").join(wanted, ["doc_id", "row"]).select(F.col("node").alias("doc_id"), "elements", "weights")
                  .dropDuplicates(["doc_id"]), "sets")
     drop_stored(every)
     release_shuffles(spark)
 
-    # first its bucket's leader; a document goes to the leader it agrees with most
-    led = (bands.select("key", "doc_id", "brief", "total").repartition("key").sortWithinPartitions("key", "doc_id")
-           .mapInArrow(_leader_pairs, "a bigint, b bigint, agree bigint"))
+    # first its bucket's leader; a document goes to the leader it agrees with most.
+    # A crowded bucket is dealt out first, and its parts' leaders meet after that
+    hot = F.broadcast(local_rows(spark, hot_keys(bands, ["key"]), "hash bigint, parts bigint"))
+    dealt = (bands.select("key", "doc_id", "brief", "total").withColumn("hash", F.xxhash64("key")).join(hot, "hash", "left")
+             .withColumn("part", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("parts")))))
+    led_by = lambda rows, *by: (rows.select(F.xxhash64(*by).alias("key"), "doc_id", "brief", "total").repartition("key")
+                                .sortWithinPartitions("key", "doc_id").mapInArrow(_leader_pairs, "a bigint, b bigint, agree bigint"))
+    heads = (dealt.filter(F.col("part").isNotNull()).groupBy("key", "part").agg(F.min_by(F.struct("doc_id", "brief", "total"), "doc_id").alias("head"))
+             .select("key", "head.*"))
+    led = led_by(dealt, "key", "part").unionByName(led_by(heads, "key"))
     led = led.groupBy("b").agg(F.max(F.struct("agree", -F.col("a"))).alias("best")).select((-F.col("best.col2")).alias("a"), "b")
     links = store(verified(led, sets).select("a", "b"), "links")
     release_shuffles(spark)
@@ -387,19 +408,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not found.isEmpty():
         component = connected_components(links.unionByName(found))
 
-    out = member.join(component.toDF("copy_of", "component"), "copy_of", "left").select(
-        "doc_id", "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
-    out = out.withColumn("kept", F.col("doc_id") == F.col("class_id"))
-    unnamed = rows.filter(F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("copy_of"),
-                                                           F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"))
+    linked = store(nodes.join(component.toDF("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node")), "linked")
+    smallest = linked.groupBy("component").agg(F.min(F.struct("copy_of", "row")).alias("least")).select(
+        "component", F.col("least.copy_of").alias("class_id"), F.col("least.row").alias("class_row"))
+    out = skew_join(linked, smallest, ["component"], "inner").select("text_hash1", "text_hash2", "copy_of", "class_id", "class_row")
+    return ids, store(out, "classes")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, copy_of (smallest id with the same words),
+    class_id (smallest id reachable over links), kept (doc_id = class_id)."""
+    ids, classes = classes_of(docs, id_col, text_col)
+    out = skew_join(ids, classes.drop("class_row"), ["text_hash1", "text_hash2"], "inner")
+    out = out.select("doc_id", "copy_of", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    unnamed = id_and_text(docs, id_col, text_col).filter(F.col("doc_id").isNull()).select(
+        "doc_id", F.col("doc_id").alias("copy_of"), F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"))
     return out.unionByName(unnamed)
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, all columns, without near duplicates of a row with a smaller id.
+    """The rows, all columns, without near duplicates of a smaller row (by id, then by digest of the text).
 
-    Of rows with one id, one stays; rows without an id stay.
+    Every class keeps one row: of rows equal in id and text it is one of them;
+    rows of one id whose texts are no duplicates all stay, as do rows without an id.
     """
-    kept = near_duplicates(docs, id_col, text_col).filter("kept and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.filter(F.col(id_col).isNotNull()).join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return named.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    _, classes = classes_of(docs, id_col, text_col)
+    kept = classes.select(F.col("class_id").alias("__id"), F.col("class_row").alias("__row")).distinct()
+    marked = docs.filter(F.col(id_col).isNotNull()).withColumn("__id", F.col(id_col).cast("long")).withColumn(
+        "__row", row_digest(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    one = marked.join(kept, ["__id", "__row"], "left_semi").dropDuplicates(["__id", "__row"])
+    return one.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
