@@ -9,10 +9,16 @@ at exactly the threshold cosine from sampled ones, in random directions, fall
 into a visited cell with the probability ``TARGET``.  Vectors met there are
 verified by their cosine in double precision.
 
-A cell's vectors are packed into blocks of bounded size; every block of a
-cell's queries meets every block of its vectors, so a crowded cell spreads over
-many rows.  Equal vectors are one class whose members count as links without
-being compared.  Only counts and spanning links of a block leave it.
+Up to ``LINE`` cells that share the first half's code word and lie side by side in
+the second half form a line of the grid.  A query goes once to each line it
+visits, with the list of the cells it visits there, so its components (in their
+own type) travel a few times, not once per cell.  A line's vectors are packed into
+blocks of bounded size; every block of a line's queries meets every block of its
+vectors, so a crowded line spreads over many tasks.
+Equal vectors are one class whose members count as links without being
+compared.  A pair that one side finds counts for both: each vector travels with
+its own visits, so a query's task knows whether the other side finds the pair
+too.  Only counts and spanning links of a block leave it.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing and stand for themselves; vectors of different
@@ -28,14 +34,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, local_components, store
+from sluice.operators.enrich import skew_join
+
+from .common import concat_ranges, connected_components, drop_stored, local_components, store
 
 THRESHOLD = 0.95
 TARGET = 0.99
 SAMPLE = 16_384
 CELL_SIZE = 32  # vectors aimed at per cell
+LINE = 64  # cells in a line at most
 BLOCK = 1024  # vectors per packed block
-MOST_WORDS = 512  # code words per half at most
+MOST_WORDS = 4096  # code words per half at most, reached at CELL_SIZE * MOST_WORDS ** 2 = 537 million vectors
 
 
 def _kmeans(points: np.ndarray, k: int, rng, rounds: int = 12) -> np.ndarray:
@@ -63,6 +72,9 @@ class MultiIndex:
         self.half = unit.shape[1] // 2
         k = int(np.clip(round((n / CELL_SIZE) ** 0.5), 1, min(MOST_WORDS, len(unit))))
         self.words = [_kmeans(unit[:, :self.half], k, rng), _kmeans(unit[:, self.half:], k, rng)]
+        # the second half's words along their main direction, so that a line's cells lie side by side
+        middle = self.words[1] - self.words[1].mean(axis=0)
+        self.words[1] = self.words[1][np.argsort(middle @ np.linalg.svd(middle, full_matrices=False)[2][0], kind="stable")]
         # vectors at the threshold from sampled ones, in random directions
         base = unit[rng.choice(len(unit), min(len(unit), 2048), replace=False)]
         away = rng.normal(size=base.shape)
@@ -70,19 +82,20 @@ class MultiIndex:
         away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-300)
         other = threshold * base + (1 - threshold ** 2) ** 0.5 * away
         cell = self.cells(other)
-        ranks = [(d < d[c]).sum() for part in np.array_split(np.arange(len(base)), max(1, len(base) // 256))
-                 for d, c in zip(self.grid(base[part]), cell[part])]
+        one, two = (_distances(x, w) for x, w in zip((base[:, :self.half], base[:, self.half:]), self.words))
+        i, j = np.divmod(cell, k)
+        # how many cells are nearer: for each word of one half, words of the other below a bound
+        ranks = [np.searchsorted(np.sort(two[r]), one[r, i[r]] + two[r, j[r]] - one[r]).sum() for r in range(len(base))]
         self.visits = int(min(k * k, np.quantile(ranks, target) + 1))
 
-    def grid(self, unit: np.ndarray) -> np.ndarray:
-        """Summed distance of every vector to every cell."""
-        one, two = (_distances(x, w) for x, w in zip((unit[:, :self.half], unit[:, self.half:]), self.words))
-        return (one[:, :, None] + two[:, None, :]).reshape(len(unit), -1)
-
     def cells(self, unit: np.ndarray) -> np.ndarray:
         one, two = (_distances(x, w).argmin(axis=1) for x, w in zip((unit[:, :self.half], unit[:, self.half:]), self.words))
         return one * len(self.words[1]) + two
 
+    def line(self, cell: np.ndarray) -> np.ndarray:
+        k = len(self.words[1])
+        return cell // k * -(-k // LINE) + cell % k // LINE
+
     def visited(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(vector, cell) of the nearest cells of each vector, by multi-sequence.
 
@@ -92,9 +105,9 @@ class MultiIndex:
         one, two = (_distances(x, w) for x, w in zip((unit[:, :self.half], unit[:, self.half:]), self.words))
         a, b = np.argsort(one, axis=1, kind="stable"), np.argsort(two, axis=1, kind="stable")
         k = len(self.words[1])
-        i, j = np.divmod(np.arange(k * k), k)
-        front = (i + 1) * (j + 1) <= self.visits
-        i, j = i[front], j[front]
+        per_row = np.minimum(self.visits // (np.arange(min(k, self.visits)) + 1), k)
+        i = np.repeat(np.arange(len(per_row)), per_row)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
         total = np.take_along_axis(one, a, 1)[:, i] + np.take_along_axis(two, b, 1)[:, j]
         best = np.argpartition(total, min(self.visits, len(i)) - 1, axis=1)[:, :self.visits] if self.visits < len(i) else np.broadcast_to(np.arange(len(i)), total.shape)
         cell = np.take_along_axis(a, i[best], 1) * k + np.take_along_axis(b, j[best], 1)
@@ -111,25 +124,46 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _link_blocks(threshold: float):
-    """Rows of (vectors, weights) x (queries): link counts and spanning links."""
+    """Rows of (vectors) x (queries) of one line: link counts and spanning links."""
+
+    def side(b, column, r, dim):
+        """ids, members, home cells, visited cells and unit vectors of one block."""
+        rows = b.column(column)[r].values
+        ids, members, home = (rows.field(k).to_numpy() for k in (0, 1, 2))
+        cells = rows.field(3)
+        kind = np.float32 if len(rows) and len(rows.field(4)[0].as_py()) == 4 * dim else np.float64
+        x = np.frombuffer(b"".join(rows.field(4).to_pylist()), kind).reshape(-1, dim).astype(np.float64)
+        first = np.asarray(cells.offsets, np.int64)
+        return ids, members, home, (cells.values.to_numpy(), first), _unit(x)
+
+    def visited(visits, of, cells):
+        """Is the cell among those that the vector ``of`` visits?"""
+        values, first = visits
+        count = first[of + 1] - first[of]
+        pair = np.repeat(np.arange(len(of)), count)
+        hit = values[concat_ranges(first[of], count)] == cells[pair]
+        return np.bincount(pair, weights=hit, minlength=len(of)) > 0
 
     def link(batches):
         for b in batches:
             for r in range(b.num_rows):
-                ids, weights, queries = (b.column(k)[r].values.to_numpy() for k in (0, 1, 3))
-                x, q = (np.frombuffer(b"".join(b.column(k)[r].values.to_pylist()), np.float64).reshape(-1, b.column(5)[r].as_py()) for k in (2, 4))
+                dim = b.column(2)[r].as_py()
+                ids, weights, home, visits, x = side(b, 0, r, dim)
+                queries, more, from_, sought, q = side(b, 1, r, dim)
                 qi, xi = np.nonzero(q @ x.T >= threshold)
-                other = queries[qi] != ids[xi]
-                qi, xi = qi[other], xi[other]
+                there = (queries[qi] != ids[xi]) & visited(sought, qi, home[xi])
+                qi, xi = qi[there], xi[there]
                 if not len(qi):
                     continue
-                count = np.bincount(qi, weights=weights[xi], minlength=len(queries)).astype(np.int64)
+                back = ~visited(visits, xi, from_[qi])  # the other side does not find this pair
+                a, n = np.concatenate([queries[qi], ids[xi[back]]]), np.concatenate([weights[xi], more[qi[back]]])
+                who, at = np.unique(a, return_inverse=True)
+                count = np.bincount(at, weights=n).astype(np.int64)
                 nodes, least = local_components(queries[qi], ids[xi])
-                some = np.flatnonzero(count)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([queries[some], nodes])),
-                     pa.array(np.concatenate([count[some], np.zeros(len(nodes), np.int64)])),
-                     pa.array(np.concatenate([queries[some], least]))], ["id", "n", "reaches"])
+                    [pa.array(np.concatenate([who, nodes])),
+                     pa.array(np.concatenate([count, np.zeros(len(nodes), np.int64)])),
+                     pa.array(np.concatenate([who, least]))], ["id", "n", "reaches"])
 
     return link
 
@@ -159,31 +193,46 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
             sample = np.repeat(sample, 2, axis=1)
         index = MultiIndex(sample, n, threshold, target)
 
-        def assign(batches, queries, index=index, dim=dim):
+        def assign(batches, index=index, dim=dim):
+            """Every vector in its own line with all its visits, and as a query in each line it visits."""
+            line = index.line
             for b in batches:
                 for at in range(0, b.num_rows, 512):
                     part = b.slice(at, 512)
-                    unit = _unit(_matrix(part.column(2)))
+                    raw = _matrix(part.column(2))
+                    unit = _unit(raw)
                     wide = np.repeat(unit, 2, axis=1) / 2 ** 0.5 if dim == 1 else unit
-                    row, cell = index.visited(wide) if queries else (np.arange(len(unit)), index.cells(wide))
-                    blobs = pa.array([u.tobytes() for u in unit], pa.binary())
-                    take = pa.array(row)
-                    yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64)), part.column(0).take(take), part.column(1).take(take), blobs.take(take)],
-                                                     ["cell", "id", "members", "unit"])
-
-        def packed(queries, assign=assign, mine=mine):
-            placed = mine.select("rep", "members", "v").mapInArrow(lambda it: assign(it, queries), "cell bigint, id bigint, members bigint, unit binary")
-            placed = store(placed, "cells")
-            # cells with more vectors than a block are split by hash
-            sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-            placed = placed.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-            return placed.groupBy("cell", "block").agg(F.collect_list(F.struct("id", "members", "unit")).alias("rows"))
-
-        x, q = packed(False), packed(True)
-        meet = x.select("cell", F.col("rows.id").alias("ids"), F.col("rows.members").alias("weights"), F.col("rows.unit").alias("units")).join(
-            q.select("cell", F.col("rows.id").alias("queries"), F.col("rows.unit").alias("sought")), "cell")
-        found = store(meet.select("ids", "weights", "units", "queries", "sought", F.lit(dim).alias("dim"))
+                    n = len(unit)
+                    vector, cell = index.visited(wide)
+                    home = index.cells(wide)
+                    short = raw.astype(np.float32)
+                    exact = np.array_equal(short, raw)  # components that fit four bytes travel in four
+                    blobs = pa.array([u.tobytes() for u in (short if exact else raw)], pa.binary())
+                    order = np.lexsort((cell, vector))
+                    vector, cell = vector[order], cell[order]
+                    new = np.flatnonzero(np.append(True, (vector[1:] != vector[:-1]) | (line(cell[1:]) != line(cell[:-1]))))
+                    whole = np.flatnonzero(np.append(True, vector[1:] != vector[:-1]))
+                    starts = np.concatenate([whole, new])
+                    lengths = np.concatenate([np.diff(np.append(whole, len(cell))), np.diff(np.append(new, len(cell)))])
+                    who = pa.array(np.concatenate([np.arange(n), vector[new]]))
+                    cells = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(cell[concat_ranges(starts, lengths)].astype(np.int64)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate([line(home), line(cell[new])]).astype(np.int64)), pa.array(np.arange(len(starts)) >= n),
+                         part.column(0).take(who), part.column(1).take(who), pa.array(home.astype(np.int64)).take(who), cells, blobs.take(who)],
+                        ["line", "query", "id", "members", "home", "cells", "raw"])
+
+        placed = store(mine.select("rep", "members", "v").mapInArrow(
+            assign, "line bigint, query boolean, id bigint, members bigint, home bigint, cells array<bigint>, raw binary"), "cells")
+        # lines with more vectors than a block are split by hash
+        sizes = placed.groupBy("line", "query").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+        dealt = skew_join(placed, sizes, ["line", "query"], "inner").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        packed = store(dealt.groupBy("line", "query", "block").agg(F.collect_list(F.struct("id", "members", "home", "cells", "raw")).alias("rows")), "blocks")
+        meet = skew_join(packed.filter("query").select("line", F.col("rows").alias("sought")),
+                         packed.filter("not query").select("line", F.col("rows").alias("here")), ["line"], "inner")
+        found = store(meet.select("here", "sought", F.lit(dim).alias("dim"))
                       .mapInArrow(_link_blocks(threshold), "id bigint, n bigint, reaches bigint"), "links")
+        drop_stored(placed)
+        drop_stored(packed)
         n_links = found.groupBy("id").agg(F.sum("n").alias("n"))
         links = found.filter("id != reaches").select(F.col("id").alias("a"), F.col("reaches").alias("b"))
         edges = links if edges is None else edges.unionByName(links)
@@ -192,7 +241,7 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     unlinked = rows.filter(~F.col("usable")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if edges is None:
         return unlinked.withColumn("kept", F.lit(True))
-    component = connected_components(edges)
+    component = connected_components(edges.distinct())
     known = (classes.select("v", "rep", "members").join(counts.toDF("rep", "n"), "rep", "left").join(component.toDF("rep", "component"), "rep", "left")
              .select("v", (F.col("members") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")))
     out = good.join(known, "v").select("vec_id", "n_links", "component_id")
