@@ -20,10 +20,9 @@ def number_text(c) -> Column:
     """
     x = _col(c)
     whole = x == F.floor(x)  # in the column's own type: a wide decimal keeps its digits
-    return F.coalesce(
-        F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string")),
-        F.lit(""),
-    )
+    # 38 digits hold every decimal; a double beyond them keeps its own notation
+    digits = x.try_cast("decimal(38,0)").cast("string")
+    return F.coalesce(F.when(whole, F.coalesce(digits, x.cast("string"))).otherwise(x.cast("string")), F.lit(""))
 
 
 def distinct_text_list(c: str, sep: str = ",") -> Column:

@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 from sluice.functions.sqltext import ident, text
 
 
+#: Years that ``month_set_ranges`` spells out at most.
+MOST_YEARS = 64
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -106,8 +110,12 @@ def month_set_ranges(ts, months, first_year: int, last_year: int) -> Column:
     ``month()`` hides the column from Parquet pushdown; the same set written
     as an OR of half-open ranges on ``ts`` (consecutive months merged) can
     skip row groups by their min/max statistics.  Use it next to the exact
-    ``months_in`` filter, with the years the data may hold.
+    ``months_in`` filter, with the years the data may hold.  Over more than
+    ``MOST_YEARS`` years the ranges say nothing (always true), so that a stray year
+    does not make an endless expression.
     """
+    if last_year - first_year >= MOST_YEARS:
+        return F.lit(True)
     c = _col(ts)
     months = sorted(set(months))
     runs, start = [], None

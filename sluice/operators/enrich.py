@@ -3,8 +3,8 @@
 A join on a key deals all rows of a key to one task.  Here the key column is
 summarised first by a bounded, mergeable frequent-items sketch (one scan of the
 key columns alone).  Keys the sketch reports with more rows than an average
-partition holds are hot: their fact rows are dealt over as many salts as they
-fill partitions, and only their dimension rows are repeated, once per salt.  All
+partition holds are hot: their fact rows are dealt over ``FINER`` salts for every
+partition they fill, and only their dimension rows are repeated, once per salt.  All
 other keys keep salt 0 and are joined as usual, in the same shuffle.
 
 The sketch only places rows; the join compares the keys themselves, so its
@@ -26,6 +26,8 @@ from sluice.operators.dimension import local_rows
 #: Hot keys at most: with a share above 1 / MOST_HOT of the rows there cannot be more.
 MOST_HOT = 1000
 MATCHED = "matched"
+#: Salts per partition that a hot key fills: many small pieces spread more evenly than a few large ones.
+FINER = 8
 _HASH, _SALTS, _SALT = "__key_hash", "__key_salts", "__key_salt"
 
 
@@ -44,7 +46,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], pieces: int | None = None) -> l
     most = max(2, min(pieces, MOST_HOT))
     found = (df.select(_key_hash(df, keys, [df.schema[k].dataType for k in keys]).alias(_HASH))
              .agg(F.expr(f"approx_top_k({_HASH}, {most}, {16 * most}) AS top"), F.count(F.lit(1)).alias("n")).first())
-    return [(r["item"], -(-r["count"] * pieces // found["n"])) for r in found["top"] or []
+    return [(r["item"], -(-FINER * r["count"] * pieces // found["n"])) for r in found["top"] or []
             if r["count"] * most > found["n"] and r["count"] * pieces > found["n"]]
 
 
@@ -95,21 +97,20 @@ def enrich(facts: DataFrame, dim: DataFrame, key: str, dim_key: str | None = Non
                          F.coalesce(MATCHED, F.lit(False)).alias(MATCHED))
 
 
-def enrichment_audit(facts: DataFrame, enriched: DataFrame, row_key: Sequence[str], key: str) -> DataFrame:
-    """One row: rows before and after, unmatched rows and keys, rows that a repeated dimension key added.
+def enrichment_audit(facts: DataFrame, enriched: DataFrame, key: str) -> DataFrame:
+    """One row: rows before and after, unmatched rows and keys, rows that repeated dimension keys added.
 
-    ``row_key`` names a fact row, ``key`` is the join column.  Both tables are
-    reduced to counts; the join is not made again.
+    Both tables are reduced to counts (the unmatched keys are counted once each);
+    the join is not made again.
     """
     count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-    per_row = (enriched.groupBy(*row_key, key).agg(F.count(F.lit(1)).alias("_n"), F.bool_or(MATCHED).alias("_matched")))
-    after = per_row.select(F.lit(0).alias("_in"), "_n", "_matched", F.when(~F.col("_matched"), F.col(key)).alias("_miss"))
-    before = facts.agg(F.count(F.lit(1)).alias("_in")).select(
-        "_in", F.lit(None).cast("bigint").alias("_n"), F.lit(None).cast("boolean").alias("_matched"),
-        F.lit(None).cast(facts.schema[key].dataType).alias("_miss"))
-    return before.unionByName(after).agg(
-        count("_in").alias("rows_before"), count("_n").alias("rows_after"), F.count_if(~F.col("_matched")).alias("unmatched_rows"),
-        F.count_distinct("_miss").alias("unmatched_keys"), count(F.col("_n") - 1).alias("fan_out_rows"))
+    nothing = F.lit(None).cast("bigint")
+    after = enriched.groupBy(F.when(~F.col(MATCHED), F.col(key)).alias("_miss"), MATCHED).agg(F.count(F.lit(1)).alias("_out"))
+    sides = (facts.agg(F.count(F.lit(1)).alias("_in")).select("_in", nothing.alias("_out"), nothing.alias("_lost"), nothing.alias("_key"))
+             .unionByName(after.select(nothing.alias("_in"), "_out", F.when(~F.col(MATCHED), F.col("_out")).alias("_lost"),
+                                       F.when(F.col("_miss").isNotNull(), 1).cast("bigint").alias("_key"))))
+    return sides.agg(count("_in").alias("rows_before"), count("_out").alias("rows_after"), count("_lost").alias("unmatched_rows"),
+                     count("_key").alias("unmatched_keys")).withColumn("fan_out_rows", F.col("rows_after") - F.col("rows_before"))
 
 
 __all__ = ["enrich", "enrichment_audit", "hot_keys", "skew_join"]

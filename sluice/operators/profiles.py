@@ -104,6 +104,11 @@ def local_profile(fact: DataFrame, dim: DataFrame, key: str, district: str, offs
     per_hour = (rows.groupBy(F.col(key), season.alias("season"),
                              F.expr(f"CAST(hour({ident(ts)}) AS INT) AS _utc_hour"))
                 .agg(F.expr(f"sum({ident(measure)}) AS _sum"), F.expr(f"count({ident(measure)}) AS _n")))
+    return local_cycles(per_hour, dim, key, district, offset, digits)
+
+
+def local_cycles(per_hour: DataFrame, dim: DataFrame, key: str, district: str, offset: str, digits: int = 2) -> DataFrame:
+    """The levels of ``local_profile`` above sums and counts per (key, season, UTC hour)."""
     joined = per_hour.join(dim.select(key, district, offset), key, "inner")
     level1 = joined.selectExpr(
         ident(district), ident(key), "season",

@@ -98,11 +98,15 @@ def completeness(df: DataFrame, entity: str, ts: str, start: str, end: str,
     # whole hours in the period; constant-folded by Catalyst
     expected = (f"CAST(floor((unix_timestamp(CAST({text(end)} AS TIMESTAMP)) - "
                 f"unix_timestamp(CAST({text(start)} AS TIMESTAMP))) / 3600) AS BIGINT)")
-    seen = (df.where(half_open(df, ts, start, end))
-            .groupBy(entity)
-            .agg(F.expr(f"CAST(count(DISTINCT date_trunc('hour', {ident(ts)})) AS BIGINT) AS _seen")))
-    expected_of = (df if roster is None else roster).select(entity).where(F.col(entity).isNotNull()).distinct()
-    seen = expected_of.join(seen, entity, "left").withColumn("actual", F.coalesce("_seen", F.lit(0)))
+    hour = F.date_trunc("hour", F.col(ts))
+    if roster is None:  # one scan: entities of all rows, hours of the period's rows
+        inside = half_open(df, ts, start, end)
+        seen = (df.where(F.col(entity).isNotNull()).groupBy(entity)
+                .agg(F.count_distinct(F.when(inside, hour)).alias("actual")))
+    else:
+        found = df.where(half_open(df, ts, start, end)).groupBy(entity).agg(F.count_distinct(hour).alias("_seen"))
+        expected_of = roster.select(entity).where(F.col(entity).isNotNull()).distinct()
+        seen = expected_of.join(found, entity, "left").withColumn("actual", F.coalesce("_seen", F.lit(0)))
     return (seen.selectExpr(ident(entity), f"{expected} AS expected", "actual",
                             f"{expected} - actual AS missing")
             .orderBy(entity))

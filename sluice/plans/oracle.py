@@ -275,25 +275,39 @@ c AS (SELECT CASE WHEN h IN (3, 6) THEN 'array missing' WHEN h = 4 THEN 'value a
                   WHEN h = 5 THEN 'object not parsed' ELSE 'rows' END AS outcome, n FROM o)
 SELECT outcome, CAST(sum(CASE WHEN outcome = 'rows' THEN n ELSE 1 END) AS BIGINT) AS n FROM c GROUP BY 1"""
 
-IDS_BY_DAY = """(SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, string_agg(CAST(event_id AS VARCHAR) || chr(10), '' ORDER BY event_id) AS body
-  FROM events GROUP BY 1)"""
+def _files(where: str = "true") -> str:
+    """Event files: day and part, and the text of each."""
+    return f"""(SELECT CAST(ts AS DATE) || '/' || event_id % 4 AS day, string_agg(concat_ws(',', event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f'),
+    user_id, event_type, CAST(value AS DECIMAL(18,6)), props) || chr(10), '' ORDER BY event_id) AS body FROM events WHERE {where} GROUP BY 1)"""
+
 
 SQL["file_manifest"] = f"""
-SELECT day, CAST(strlen(body) AS BIGINT) AS length, sha256(body) AS sha256, 'hashed' AS status FROM {IDS_BY_DAY}"""
+SELECT day, CAST(strlen(body) AS BIGINT) AS length, sha256(body) AS sha256, 'hashed' AS status FROM {_files()}"""
 
 SQL["storage_size"] = f"""
 SELECT 'daily' AS dataset, count(*) AS files, CAST(sum(strlen(body)) AS BIGINT) AS bytes,
-       round(sum(strlen(body)) / (1024 * 1024), 2) AS mib FROM {IDS_BY_DAY}"""
+       round(sum(strlen(body)) / (1024 * 1024), 2) AS mib FROM {_files()}"""
 
 SQL["size_ratio"] = f"""
 SELECT 'whole/half' AS ratio, round(sum(strlen(body)) / sum(CASE WHEN day < '2024-01-16' THEN strlen(body) END), 2) AS value
-FROM {IDS_BY_DAY}"""
+FROM {_files()}"""
 
-SQL["manifest_diff"] = """
-SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
-       CASE CAST(ts AS DATE) WHEN DATE '2024-01-05' THEN 'only_left' WHEN DATE '2024-01-06' THEN 'changed'
-                             WHEN DATE '2024-01-07' THEN 'only_right' ELSE 'same' END AS status
-FROM events"""
+_DAY = "CAST(ts AS DATE)"
+SQL["manifest_diff"] = f"""
+SELECT day, CASE WHEN r.body IS NULL THEN 'only_left' WHEN l.body IS NULL THEN 'only_right' WHEN l.body = r.body THEN 'same' ELSE 'changed' END AS status
+FROM {_files(f"{_DAY} <> DATE '2024-01-07'")} l
+FULL JOIN {_files(f"{_DAY} <> DATE '2024-01-05' AND ({_DAY} <> DATE '2024-01-06' OR event_id % 8 < 4)")} r USING (day)"""
+
+SQL["manifest_streamed"] = SQL["file_manifest"]
+
+_RANGES = f"""(SELECT day, range_no, range_no * 1000 AS start, least(1000, strlen(body) - range_no * 1000) AS length,
+    sha256(substr(body, CAST(range_no AS INTEGER) * 1000 + 1, 1000)) AS sha256
+  FROM (SELECT day, body, unnest(range(0, (strlen(body) + 999) // 1000)) AS range_no FROM {_files()}))"""
+
+SQL["file_ranges"] = f"SELECT * FROM {_RANGES}"
+
+SQL["file_roots"] = f"""
+SELECT day, CAST(sum(length) AS BIGINT) AS length, count(*) AS ranges, sha256(string_agg(sha256, '' ORDER BY range_no)) AS root FROM {_RANGES} GROUP BY 1"""
 
 SQL["manifest_verify"] = f"SELECT status, count(*) AS files FROM ({SQL['manifest_diff']}) GROUP BY 1"
 
@@ -419,3 +433,45 @@ SQL["row_counts"] = f"""
 SELECT count(*) AS raw, count(ts) AS ts_parsed, count_if(reject_reason = '') AS accepted,
        count_if(reject_reason <> '') AS rejected
 FROM {CSV_LABELLED}"""
+
+SQL["enriched_events"] = f"""
+SELECT e.event_id, e.event_type, e.value, coalesce(d.district, 'Unmatched') AS district,
+       CAST((hour(e.ts) + d.utc_offset_hours) % 24 AS INTEGER) AS hour_local, d.event_type IS NOT NULL AS matched
+FROM events e LEFT JOIN {EVENT_DIM} d ON d.event_type = e.event_type"""
+
+HOT_LINES = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <= 17 THEN 1 WHEN l_quantity >= 49 THEN NULL ELSE l_suppkey END AS suppkey,
+    l_extendedprice FROM lineitem)"""
+PATCHY = """(SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_suppkey % 3 <> 0
+  UNION ALL SELECT s_suppkey, 'again ' || s_name, s_nationkey FROM supplier WHERE s_suppkey % 5 = 0)"""
+
+SQL["enriched_lines"] = f"""
+SELECT l.*, s_name, s_nationkey, s_suppkey IS NOT NULL AS matched FROM {HOT_LINES} l LEFT JOIN {PATCHY} s ON s_suppkey = suppkey"""
+
+SQL["enrichment_audit"] = f"""
+WITH e AS (SELECT l_orderkey, l_linenumber, suppkey, s_suppkey FROM {HOT_LINES} l LEFT JOIN {PATCHY} s ON s_suppkey = suppkey)
+SELECT (SELECT count(*) FROM lineitem) AS rows_before, count(*) AS rows_after, count_if(s_suppkey IS NULL)::BIGINT AS unmatched_rows,
+       count(DISTINCT CASE WHEN s_suppkey IS NULL THEN suppkey END) AS unmatched_keys, count(*) - (SELECT count(*) FROM lineitem) AS fan_out_rows
+FROM e"""
+
+_PLACE = "(l_orderkey * 8 + l_linenumber)"
+SQL["tree_differences"] = f"""
+WITH changed AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE {_PLACE} % 997 = 0 AND {_PLACE} % 991 <> 1)
+SELECT l_orderkey, l_linenumber, l_quantity, 'left' AS side, 1::BIGINT AS copies, 'missing' AS status FROM lineitem WHERE {_PLACE} % 991 = 1
+UNION ALL SELECT *, 'left', 1, 'changed' FROM changed
+UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1, 'right', 1, 'changed' FROM changed
+UNION ALL SELECT l_orderkey + 1000000000, l_linenumber, l_quantity, 'right', 1, 'extra' FROM lineitem WHERE {_PLACE} % 983 = 2"""
+
+# events as the third load leaves them: the last days again, without a third of the users, other values
+KEPT = """(SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts < TIMESTAMP '2024-01-20'
+  UNION ALL SELECT event_id, ts, user_id, event_type, CASE WHEN NOT GONE THEN value + 1.5 ELSE value END
+  FROM (SELECT e.*, CAST(ts AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE ts >= TIMESTAMP '2024-01-20' AND user_id % 3 <> 0) AS GONE
+        FROM events e WHERE ts >= TIMESTAMP '2024-01-20') WHERE GONE OR user_id % 3 <> 0)"""
+
+for _name, _key in [("kept_seasonal", "seasonal_profile"), ("kept_coverage", "entity_coverage"), ("kept_local", "local_profile")]:
+    SQL[_name] = SQL[_key].replace("FROM events", f"FROM {KEPT}")
+SQL["kept_hourly"] = f"""
+SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour_utc, CAST(round(CAST(avg(value) AS DECIMAL(18,6)), 3) AS DOUBLE) AS mean_value,
+       count(*) AS observations FROM {KEPT} GROUP BY 1, 2"""
+SQL["kept_state_check"] = f"""
+SELECT 'state_counts_the_table' AS "check", count(*) AS expected, count(*) AS actual, true AS ok FROM {KEPT}
+UNION ALL SELECT 'loads_without_their_state', 0, 0, true"""

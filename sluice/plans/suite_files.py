@@ -17,9 +17,9 @@ from sluice.operators import profiles, quality
 from sluice.plans import batches, formats, gate
 from sluice.plans.suite import (EVENT_PERIOD, HOURLY_RANGE, LOAD_BOUNDARY, SEASONS, SECOND_HALF_START,
                                 events, events_contract, labelled_events, orders_by_nation, register,
-                                rollup_dimension, season_rows)
-from sluice.functions.time import season_of_month
-from sluice.session import scratch_path
+                                rollup_dimension)
+from sluice.functions.time import months_in, season_of_month
+from sluice.session import path_exists, scratch_path
 from sluice.sources import columnar_json, files, ingestion
 from sluice.sources.csv import (DATE_FORMAT, TIMESTAMP_FORMAT, header_mismatches, read_failfast,
                                 read_permissive, write_csv)
@@ -31,9 +31,10 @@ _WRITTEN: dict[tuple[str, str, str], object] = {}
 
 def _once(spark, d, name: str, write):
     key = (spark.sparkContext.applicationId, d, name)
-    if key not in _WRITTEN:
-        _WRITTEN[key] = write()
-    return _WRITTEN[key]
+    if key not in _WRITTEN or not path_exists(spark, _WRITTEN[key][0]):
+        root = scratch_path(spark, name)
+        _WRITTEN[key] = (root, write(root))
+    return _WRITTEN[key][1]
 
 
 # ------------------------------------------------------------ dirty CSV file
@@ -83,7 +84,7 @@ def dirty_csv_lines(e: DataFrame) -> DataFrame:
 
 
 def _dirty_csv(spark, d) -> tuple[str, Contract]:
-    path = _once(spark, d, "dirty_csv", lambda: write_csv(dirty_csv_lines(events(spark, d)), scratch_path(spark, "dirty_csv")))
+    path = _once(spark, d, "dirty_csv", lambda root: write_csv(dirty_csv_lines(events(spark, d)), root))
     return path, csv_contract()
 
 
@@ -205,43 +206,45 @@ def latest_ingestion(spark, d):
 
 
 # ------------------------------------------------------------ file inventories
-def _daily_ids(spark, d, name: str, where=None) -> str:
-    """Event ids as text, one sorted file per day: sizes and digests follow from the rows."""
-    e = events(spark, d).select(F.to_date("ts").cast("string").alias("day"), F.col("event_id").cast("string").alias("value"))
+def _daily_rows(spark, d, name: str, where=None) -> str:
+    """Whole events as text, sorted, in four files a day: sizes and digests follow from the rows."""
+    e = events(spark, d).selectExpr(
+        "CAST(to_date(ts) AS STRING) AS day", "CAST(pmod(event_id, 4) AS INT) AS part", "event_id",
+        "concat_ws(',', event_id, date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS'), user_id, event_type, CAST(value AS DECIMAL(18,6)), props) AS value")
     e = e if where is None else e.where(where)
     path = scratch_path(spark, name)
-    (e.repartition("day").sortWithinPartitions("day", F.col("value").cast("bigint"))
-     .write.partitionBy("day").text(path))
+    (e.repartition("day", "part").sortWithinPartitions("day", "part", "event_id").drop("event_id")
+     .write.partitionBy("day", "part").text(path))
     return path
 
 
 def _by_day(files_: DataFrame) -> DataFrame:
-    return files_.withColumn("relative_path", F.regexp_extract("relative_path", r"day=([^/]+)/", 1))
+    return files_.withColumn("relative_path", F.regexp_replace(F.regexp_extract("relative_path", r"day=([^/]+/part=[0-9]+)/", 1), "part=", ""))
 
 
 @register("file_manifest")
 def file_manifest(spark, d):
-    rows = _by_day(files.file_manifest(spark, _daily_ids(spark, d, "manifest")))
+    rows = _by_day(files.file_manifest(spark, _daily_rows(spark, d, "manifest")))
     return rows.select(F.col("relative_path").alias("day"), "length", "sha256", "status")
 
 
 @register("storage_size")
 def storage_size(spark, d):
-    return files.storage_size(spark, _daily_ids(spark, d, "size"), "daily")
+    return files.storage_size(spark, _daily_rows(spark, d, "size"), "daily")
 
 
 @register("size_ratio")
 def size_ratio(spark, d):
     """Bytes of all days over bytes of the first half."""
-    whole = files.storage_size(spark, _daily_ids(spark, d, "whole"), "whole")
-    half = files.storage_size(spark, _daily_ids(spark, d, "half", F.col("day") < SECOND_HALF_START), "half")
+    whole = files.storage_size(spark, _daily_rows(spark, d, "whole"), "whole")
+    half = files.storage_size(spark, _daily_rows(spark, d, "half", F.col("day") < SECOND_HALF_START), "half")
     return files.size_ratio(whole.unionByName(half), "whole", "half")
 
 
 def _copies(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Manifests of a zone and of its copy with one day changed, one missing, one more."""
-    left = _daily_ids(spark, d, "zone", F.col("day") != "2024-01-07")
-    right = _daily_ids(spark, d, "copy", (F.col("day") != "2024-01-05") & ((F.col("day") != "2024-01-06") | (F.col("value").cast("bigint") % 2 == 0)))
+    """Manifests of a zone and of its copy: one day has lost rows, one is missing, one is more."""
+    left = _daily_rows(spark, d, "zone", F.col("day") != "2024-01-07")
+    right = _daily_rows(spark, d, "copy", (F.col("day") != "2024-01-05") & ((F.col("day") != "2024-01-06") | (F.col("event_id") % 8 < 4)))
     return _by_day(files.file_manifest(spark, left)), _by_day(files.file_manifest(spark, right))
 
 
@@ -265,8 +268,8 @@ def _two_formats(spark, d):
     lab, c = labelled_events(spark, d)
     acc = quality.accepted(lab, c)
 
-    def write():
-        paths = scratch_path(spark, "fmt_csv"), scratch_path(spark, "fmt_parquet")
+    def write(root):
+        paths = f"{root}/csv", f"{root}/parquet"
         return paths, formats.write_two_formats(acc, *paths, ["event_type"])
     paths, written = _once(spark, d, "two_formats", write)
     return written, *formats.read_formats(spark, *paths, acc.schema)
@@ -299,8 +302,8 @@ def reject_sink_roundtrip(spark, d):
 # ------------------------------------------------------------ batch loads
 def _lineitem_load(spark, d):
     """The two-batch load of lineitem."""
-    def load():
-        t = batches.PartitionedTable(scratch_path(spark, "lineitem_table"), "l_shipdate", "month")
+    def load(root):
+        t = batches.PartitionedTable(f"{root}/table", "l_shipdate", "month")
         return (t, *batches.two_batch_load(table(spark, d, "lineitem"), t, LOAD_BOUNDARY))
     return _once(spark, d, "lineitem_load", load)
 
@@ -327,7 +330,6 @@ def load_ledger(spark, d):
 def load_rejects_uncovered(spark, d):
     """Events whose time is sometimes unknown: the load refuses and leaves no table."""
     from sluice.operators.checks import CheckFailed, check_rows
-    from sluice.session import path_exists
     e = events(spark, d).selectExpr("event_id", "CASE WHEN value >= 1.0 AND value < 1.3 THEN NULL ELSE ts END AS ts", "value")
     t = batches.PartitionedTable(scratch_path(spark, "uncovered"), "ts", "day")
     try:
@@ -396,8 +398,8 @@ def lineitem_months_sql(spark, d):
 
 
 def _events_load(spark, d):
-    def load():
-        t = batches.PartitionedTable(scratch_path(spark, "events_table"), "ts", "day")
+    def load(root):
+        t = batches.PartitionedTable(f"{root}/table", "ts", "day")
         batches.two_batch_load(events(spark, d), t, SECOND_HALF_START)
         return t
     return _once(spark, d, "events_load", load)
@@ -430,7 +432,7 @@ def season_pivot(spark, d):
     o = table(spark, d, "orders")
     prof = profiles.seasonal_profile(
         o, "o_orderpriority", "o_totalprice", season_of_month("o_orderdate", SEASONS),
-        F.dayofmonth("o_orderdate"), where=season_rows(o, "o_orderdate"), pos="day")
+        F.dayofmonth("o_orderdate"), where=months_in("o_orderdate", SEASONS), pos="day")
     path = write_csv(prof.select("o_orderpriority", "season", "amplitude"), scratch_path(spark, "export"))
     back = (spark.read.schema("o_orderpriority string, season string, amplitude string")
             .option("header", True).csv(path)

@@ -10,9 +10,13 @@ from __future__ import annotations
 
 import re
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.operators.dimension import local_rows
+
 # Output files of one write share a job-unique token in their names
 # (part-00003-<uuid>-c000.csv); dropping it lets two writes of the same
 # plan be compared file by file.
@@ -31,9 +35,20 @@ def relative_path(root: str) -> Column:
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """``relative_path, length, modified`` for every visible file below ``root``."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root))
-    return files.select(relative_path(root).alias("relative_path"), "length",
-                        F.col("modificationTime").alias("modified"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.select(relative_path(root).alias("relative_path"), "length", F.col("modificationTime").alias("modified")).unionByName(
+        empty_files(spark, root).withColumn("modified", F.lit(None).cast("timestamp")))
+
+
+def empty_files(spark: SparkSession, root: str) -> DataFrame:
+    """``relative_path, length`` of files without a byte, which Spark lists but does not scan."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    names = [unquote(n) for n in files.inputFiles()]  # the driver's own listing
+    empty = []
+    if files.count() < len(names):
+        scanned = {_strip_scheme(r["path"]) for r in files.select("path").collect()}
+        empty = [(n,) for n in map(_strip_scheme, names) if n not in scanned]
+    return local_rows(spark, empty, "path string").select(relative_path(root).alias("relative_path"), F.lit(0).cast("bigint").alias("length"))
 
 
 def storage_size(spark: SparkSession, root: str, name: str | None = None) -> DataFrame:
@@ -52,27 +67,33 @@ def size_ratio(sizes: DataFrame, numerator: str, denominator: str) -> DataFrame:
                       F.round(F.col("n") / F.col("d"), 2).alias("value"))
 
 
-#: Larger files do not fit one binary cell and get a row without a digest.
-LARGEST_DIGEST = 2**31 - 64
+#: Files up to this size are hashed in one cell of the scan; larger ones piece by piece.
+LARGEST_DIGEST = 64 << 20
 
 
-def file_manifest(spark: SparkSession, root: str, normalise_names: bool = False,
-                  largest: int = LARGEST_DIGEST) -> DataFrame:
-    """``relative_path, length, sha256, status`` per file; each file is hashed in one task.
+def file_manifest(spark: SparkSession, root: str, normalise_names: bool = False, largest: int = LARGEST_DIGEST) -> DataFrame:
+    """``relative_path, length, sha256, status`` per file.
 
-    ``status`` is ``hashed``, or ``too large`` for files over ``largest`` bytes,
-    whose content is not read; compare whole datasets by their rows instead.
+    Files up to ``largest`` bytes are hashed where they are scanned; larger ones
+    are streamed in pieces (``digests.stream_digests``), to the same digest.
     """
+    from sluice.sources.digests import stream_digests
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     rel = relative_path(root)
     if normalise_names:
         rel = F.regexp_replace(rel, PART_TOKEN, "$1")
-    # the length filters reach the source, which skips the other files' content
+    # the length filter reaches the source, which skips the other files' content
     hashed = files.where(F.col("length") <= largest).select(
         rel.alias("relative_path"), "length", F.sha2("content", 256).alias("sha256"), F.lit("hashed").alias("status"))
-    rest = files.where(F.col("length") > largest).select(
-        rel.alias("relative_path"), "length", F.lit(None).cast("string").alias("sha256"), F.lit("too large").alias("status"))
-    return hashed.unionByName(rest)
+    empty = empty_files(spark, root).select("relative_path", "length", F.sha2(F.lit("").cast("binary"), 256).alias("sha256"), F.lit("hashed").alias("status"))
+    hashed = hashed.unionByName(empty)
+    large = files.where(F.col("length") > largest).select("path")
+    if large.isEmpty():
+        return hashed
+    streamed = stream_digests(spark, root, only=large)
+    if normalise_names:
+        streamed = streamed.withColumn("relative_path", F.regexp_replace("relative_path", PART_TOKEN, "$1"))
+    return hashed.unionByName(streamed.withColumn("status", F.lit("hashed")))
 
 
 def manifest_diff(left: DataFrame, right: DataFrame) -> DataFrame:

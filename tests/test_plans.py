@@ -22,15 +22,29 @@ def test_profiles_shuffle_partial_aggregates_only(spark):
             child = m.group(1)
             if "Project" in child:  # a renaming projection: what it projects must be aggregated
                 child = p[m.start(1):].split("\n")[1]
-            small = name in ("dimension_rollup",) and "Filter" in child or "customer" in child or "nation" in child
+            small = name == "dimension_rollup" and ("Filter" in child or "customer" in child or "nation" in child)
             assert "Aggregate" in child or small, (name, child)
         assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name
 
 
 def test_time_bounds_are_pushed(spark):
-    for name in ["hourly_profile", "completeness"]:
+    for name, ts in [("hourly_profile", "ts"), ("completeness_roster", "o_orderdate")]:
         p = plan(spark, name)
-        assert re.search(r"PushedFilters: \[IsNotNull\(ts\), GreaterThanOrEqual\(ts,", p), name
+        assert re.search(rf"PushedFilters: \[IsNotNull\({ts}\), GreaterThanOrEqual\({ts},", p), name
+
+
+def test_completeness_reads_its_table_once(spark):
+    assert plan(spark, "completeness").count("FileScan") == 1
+
+
+def test_season_filter_takes_no_job_and_any_year(spark):
+    from pyspark.sql import functions as F
+
+    from sluice.functions.time import month_set_ranges, months_in
+    rows = spark.createDataFrame([("2024-01-05",), ("9999-12-31",), ("0001-07-01",), ("2024-04-01",)], "d string").select(F.to_timestamp("d").alias("ts"))
+    seasons = {"winter": [12, 1, 2], "summer": [6, 7, 8]}
+    assert rows.where(months_in("ts", seasons)).count() == 3
+    assert rows.where(months_in("ts", seasons) & month_set_ranges("ts", [12, 1, 2, 6, 7, 8], 1, 9999)).count() == 3
 
 
 def test_column_pruning(spark):
