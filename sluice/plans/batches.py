@@ -19,15 +19,16 @@ rows and together cover the input.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.time import day_index, month_index, month_range, ts_literal
-from sluice.operators.checks import assert_checks, check_rows
+from sluice.functions.time import day_index, half_open, month_index, month_range, ts_literal
+from sluice.operators.checks import CheckFailed, assert_checks, check_rows
 from sluice.operators.dimension import local_rows
-from sluice.session import path_exists, switch_into_place
+from sluice.session import child_names, path_exists, switch_into_place
 
 MONTH = "month_idx"
 TRANSFORMS = {"month": month_index, "day": day_index}
@@ -86,11 +87,17 @@ def ledger(spark: SparkSession, table: PartitionedTable) -> DataFrame:
     return spark.createDataFrame([], LEDGER_SCHEMA)  # no load yet
 
 
-def _files(spark: SparkSession, table: PartitionedTable) -> int:
-    """Data files of the table, from the file column of a scan that reads no data column."""
-    if not path_exists(spark, table.path):
+def _files(spark: SparkSession, table: PartitionedTable, values: list[int]) -> int:
+    """Data files in the given partitions: one listing call for each, no scan."""
+    folders = [f"{table.path.rstrip('/')}/{table.partition}={v}" for v in values]
+    return sum(not name.startswith(("_", ".")) for f in folders if path_exists(spark, f) for name in child_names(spark, f))
+
+
+def _rows_in(spark: SparkSession, table: PartitionedTable, values: list[int]) -> int:
+    """Rows of the given partitions, from their files' footers."""
+    if not values or not path_exists(spark, table.path):
         return 0
-    return spark.read.parquet(table.path).select("_metadata.file_path").distinct().count()
+    return spark.read.parquet(table.path).where(F.col(table.partition).cast("int").isin(values)).count()
 
 
 def load_batch(batch: DataFrame, table: PartitionedTable, operation: str) -> dict:
@@ -105,10 +112,14 @@ def load_batch(batch: DataFrame, table: PartitionedTable, operation: str) -> dic
     part = table.partition
     rows = batch.withColumn(part, TRANSFORMS[table.transform](table.ts))
     m = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(part).isNull()).alias("timeless"),
-                 F.count_distinct(part).alias("parts")).first()
+                 F.array_sort(F.collect_set(part)).alias("values")).first()
+    values = m["values"]  # the partitions of the batch
     if m["timeless"]:
         raise ValueError(f"{m['timeless']} of {m['rows']} rows have no {table.ts} and so no partition")
-    before = 0
+    last = ledger(spark, table).orderBy(F.desc("load_no")).select("load_no", "total_records").first()
+    before, held, gone = 0, 0, 0
+    if operation != "overwrite" and path_exists(spark, table.path):
+        held = last["total_records"] if last else spark.read.parquet(table.path).count()
     clustered = rows.hint("rebalance", part)
     writer = clustered.write.partitionBy(part).option("compression", "snappy")
     if operation == "overwrite":
@@ -116,23 +127,21 @@ def load_batch(batch: DataFrame, table: PartitionedTable, operation: str) -> dic
         writer.parquet(beside)
         switch_into_place(spark, beside, table.path)
     elif operation == "append":
-        before = _files(spark, table)
+        before = _files(spark, table, values)
         writer.mode("append").parquet(table.path)
     else:
-        touched = rows.select(part).distinct()
-        if path_exists(spark, table.path):
-            kept = spark.read.parquet(table.path).select(F.col(part).cast("int").alias(part), "_metadata.file_path")
-            before = kept.join(touched, part, "left_anti").select("file_path").distinct().count()
+        gone = _rows_in(spark, table, values)
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table.path)
-    files = _files(spark, table) - before
-    total = spark.read.schema(rows.schema).parquet(table.path).count()
+    files = _files(spark, table, values) - before
+    # counted in the partitions the load touched; the rest is as the last load left it
+    total = held - gone + (_rows_in(spark, table, values) if operation != "append" else m["rows"])
     # History is kept across a full overwrite; the parent is the last load.
-    last = ledger(spark, table).agg(F.max("load_no").alias("last")).first()["last"]
-    load_no = (last or 0) + 1
-    entry = local_rows(spark, [(load_no, last, operation, m["rows"], files, m["parts"], total, None)],
+    parent = last["load_no"] if last else None
+    load_no = (parent or 0) + 1
+    entry = local_rows(spark, [(load_no, parent, operation, m["rows"], files, len(values), total, None)],
                        LEDGER_SCHEMA).withColumn("committed_at", F.current_timestamp())
     entry.write.mode("append").parquet(table.ledger_path)
-    return {"load_no": load_no, "rows": m["rows"], "files": files, "partitions": m["parts"], "total": total}
+    return {"load_no": load_no, "rows": m["rows"], "files": files, "partitions": len(values), "total": total}
 
 
 def new_entries(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -173,6 +182,59 @@ def two_batch_load(df: DataFrame, table: PartitionedTable, boundary: str) -> tup
     return checks, r1, r2
 
 
+@dataclass(frozen=True)
+class Batch:
+    """Rows of ``[start, end)``; a bound of None is open."""
+
+    name: str
+    start: str | None
+    end: str | None
+
+
+def sweep_batches(df: DataFrame, ts: str, bounds: Sequence[Batch]) -> DataFrame:
+    """Where any number of batches leaves a gap or overlaps: ``start, end, batches, finding, rows``.
+
+    The bounds are swept in order: between two neighbouring ones the same batches
+    hold.  Stretches with no batch are gaps, with two or more overlaps; rows are
+    counted by one aggregate over the table.  Rows without a time are a gap with no
+    bounds.  Bounds are compared as text, so all are written in one notation.
+    """
+    spark = df.sparkSession
+    kind = df.schema[ts].dataType
+    points = sorted({p for b in bounds for p in (b.start, b.end) if p is not None})
+    stretches = list(zip([None, *points], [*points, None]))
+
+    def holds(batch: Batch, start: str | None, end: str | None) -> bool:
+        after = batch.start is None or start is not None and start >= batch.start
+        return after and (batch.end is None or end is not None and end <= batch.end)
+
+    found = []
+    for k, (start, end) in enumerate(stretches):
+        names = [b.name for b in bounds if holds(b, start, end)]
+        if len(names) != 1:
+            found.append((k, start, end, ",".join(names), "gap" if not names else "overlap"))
+    found.append((len(stretches), None, None, "", "no time"))
+    places = F.array(*[ts_literal(p, kind) for p in points])  # as many as the batches have bounds
+    passed = F.size(F.filter(places, lambda p: p <= F.col(ts))) if points else F.lit(0)
+    place = F.when(F.col(ts).isNull(), len(stretches)).otherwise(passed)
+    rows = df.groupBy(place.alias("_k")).agg(F.count(F.lit(1)).alias("rows"))
+    return (local_rows(spark, found, "_k int, start string, end string, batches string, finding string").join(rows, "_k", "left")
+            .select("start", "end", "batches", "finding", F.coalesce("rows", F.lit(0)).alias("rows"))
+            .where("finding = 'overlap' OR rows > 0"))
+
+
+def load_batches(df: DataFrame, table: PartitionedTable, bounds: Sequence[Batch]) -> list[dict]:
+    """Load any number of batches, the first as overwrite; refused before anything is written
+    unless every row lies in exactly one batch."""
+    wrong = sweep_batches(df, table.ts, bounds).collect()
+    if wrong:
+        raise CheckFailed("; ".join(f"{r['finding']} {r['start']} to {r['end']} ({r['batches']}): {r['rows']} rows" for r in wrong))
+    out = []
+    for k, b in enumerate(bounds):
+        out.append(load_batch(df.where(half_open(df, table.ts, b.start, b.end)), table, "append" if k else "overwrite"))
+    return out
+
+
 def load_key_check(spark: SparkSession, path: str, key: list[str], source: DataFrame) -> DataFrame:
     """Rows and distinct keys in the loaded table must both equal the source's rows."""
     c = (spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(*[F.col(k) for k in key]).alias("keys"))

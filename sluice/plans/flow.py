@@ -6,12 +6,15 @@ starts, so a wrong count never reaches the table.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.contract import Contract
 from sluice.operators.checks import assert_checks
+from sluice.operators.quality import completeness
 from sluice.plans import batches, formats, gate
 from sluice.sources import ingestion
 from sluice.sources.csv import header_mismatches, read_permissive
@@ -19,10 +22,12 @@ from sluice.sources.csv import header_mismatches, read_permissive
 
 def run_flow(spark: SparkSession, raw_root: str, contract: Contract, work: str, ts: str, boundary: str,
              query: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = (),
-             transform: str = "day") -> DataFrame:
+             transform: str = "day", expected: tuple[str, str, str] | None = None) -> DataFrame:
     """``query`` over the table loaded from the latest raw partition of ``raw_root``.
 
-    Files go below ``work``: ``gate``, ``csv``, ``parquet`` and ``table``.
+    Files go below ``work``: ``gate``, ``csv``, ``parquet`` and ``table``.  With
+    ``expected`` (entity, start, end) the loaded table's hours are counted, and
+    entities that lack some are warned about; that alone stops nothing.
     """
     def read(path: str) -> DataFrame:
         wrong = header_mismatches(spark, path, contract.names).where("NOT (in_file AND in_contract)").limit(5).collect()
@@ -45,4 +50,12 @@ def run_flow(spark: SparkSession, raw_root: str, contract: Contract, work: str,
     checks, _, _ = batches.two_batch_load(parquet_df, table, boundary)
     assert_checks(checks)
     assert_checks(batches.load_key_check(spark, table.path, list(contract.key), parquet_df))
-    return query(spark.read.parquet(table.path))
+    loaded = spark.read.parquet(table.path)
+    if expected:
+        entity, start, end = expected
+        gaps = completeness(loaded, entity, ts, start, end).where("missing > 0")
+        n = gaps.agg(F.count(F.lit(1)).alias("entities"), F.coalesce(F.sum("missing"), F.lit(0)).alias("hours")).first()
+        if n["entities"]:
+            some = ", ".join(f"{r[entity]}: {r['missing']}" for r in gaps.limit(5).collect())
+            warnings.warn(f"{n['entities']} entities lack {n['hours']} hours in [{start}, {end}): {some}", stacklevel=2)
+    return query(loaded)

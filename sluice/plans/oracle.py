@@ -475,3 +475,38 @@ SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour_utc, CAST(round(CAST(avg(va
 SQL["kept_state_check"] = f"""
 SELECT 'state_counts_the_table' AS "check", count(*) AS expected, count(*) AS actual, true AS ok FROM {KEPT}
 UNION ALL SELECT 'loads_without_their_state', 0, 0, true"""
+
+SQL["managed_load"] = """
+SELECT CAST((year(l_shipdate) - 1970) * 12 + month(l_shipdate) - 1 AS INTEGER) AS month_idx, count(*) AS record_count FROM lineitem GROUP BY 1"""
+
+SQL["bucketed_duplicates"] = SQL["duplicate_keys"]
+SQL["duplicate_keys_filtered"] = SQL["duplicate_keys"]
+
+SQL["bucketed_join"] = """
+SELECT o_orderpriority, count(*) AS lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,6))) AS DECIMAL(38,6)) AS quantity
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey GROUP BY 1"""
+
+SQL["pruned_by_dimension"] = """
+SELECT count(*) AS observations, count(DISTINCT l_suppkey) AS entities, CAST(sum(CAST(l_quantity AS DECIMAL(18,6))) AS DECIMAL(38,6)) AS sum_value,
+       CAST(round(avg(CAST(l_quantity AS DECIMAL(18,6))), 6) AS DOUBLE) AS mean_value
+FROM lineitem WHERE date_trunc('month', l_shipdate) IN (SELECT date_trunc('month', o_orderdate) FROM orders WHERE year(o_orderdate) = 1995 AND month(o_orderdate) IN (6, 7, 8))"""
+
+SQL["distinct_keys_bitmap"] = """
+SELECT l_returnflag, count(*) AS "rows", count(DISTINCT l_orderkey) AS "keys" FROM lineitem GROUP BY 1"""
+
+SQL["distinct_keys_check"] = """
+SELECT 'orders' AS name, count(*) AS "rows", count(DISTINCT o_orderkey) AS "keys" FROM orders
+UNION ALL SELECT 'events', count(*), count(DISTINCT event_id) FROM events"""
+
+SQL["footer_stats"] = """
+SELECT count(*) AS "rows", count(l_orderkey) AS l_orderkey_count, min(l_orderkey) AS l_orderkey_min, max(l_orderkey) AS l_orderkey_max,
+       count(l_linenumber) AS l_linenumber_count, min(l_linenumber) AS l_linenumber_min, max(l_linenumber) AS l_linenumber_max FROM lineitem"""
+
+SQL["batch_sweep"] = """
+SELECT '1995-06-01' AS start, '1996-01-01' AS "end", 'b,c' AS batches, 'overlap' AS finding, count(*) AS "rows"
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-06-01' AND l_shipdate < TIMESTAMP '1996-01-01'
+UNION ALL SELECT '1997-01-01', '1997-03-01', '', 'gap', count(*) FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-03-01' HAVING count(*) > 0"""
+
+SQL["storage_prefixes"] = f"""
+SELECT 'day=' || split_part(day, '/', 1) AS prefix, count(*) AS files, CAST(sum(strlen(body)) AS BIGINT) AS bytes FROM {_files()} GROUP BY 1"""

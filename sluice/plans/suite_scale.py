@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.time import half_of_month
-from sluice.operators import difference, enrich
-from sluice.plans import batches, profile_state
-from sluice.plans.suite import event_dimension, events, register
+from sluice.functions.time import half_of_month, month_index
+from sluice.operators import difference, enrich, keys, profiles, quality
+from sluice.plans import batches, catalog, profile_state
+from sluice.plans.suite import LOAD_BOUNDARY, event_dimension, events, register
 from sluice.plans.suite_files import _by_day, _daily_rows, _once
 from sluice.session import scratch_path
 from sluice.sources import digests, files
@@ -146,3 +146,97 @@ def kept_state_check(spark, d):
     return profile_state.check_state(spark, _kept_profile(spark, d))
 
 
+
+
+# ----------------------------------------------------- loads through the catalog
+def _managed(spark, d) -> tuple[catalog.ManagedTable, catalog.ManagedTable]:
+    """Lineitem in two batches and orders, both bucketed by the order."""
+    def load(root):
+        database = f"sluice_{root[-12:]}"
+        catalog.create_database(spark, database, root)
+        lines = catalog.ManagedTable(database, "lineitem", "l_orderkey", ts="l_shipdate")
+        li = table(spark, d, "lineitem")
+        catalog.create_as_select(li.where(F.col("l_shipdate") < LOAD_BOUNDARY), lines)
+        catalog.insert_into(li.where(F.col("l_shipdate") >= LOAD_BOUNDARY), lines)
+        orders = catalog.ManagedTable(database, "orders", "o_orderkey")
+        catalog.create_as_select(table(spark, d, "orders"), orders)
+        return lines, orders
+    return _once(spark, d, "managed", load)
+
+
+@register("managed_load")
+def managed_load(spark, d):
+    """Lines per month of the managed table."""
+    lines, _ = _managed(spark, d)
+    return spark.table(lines.full_name).groupBy("month_idx").agg(F.count(F.lit(1)).alias("record_count")).orderBy("month_idx")
+
+
+@register("bucketed_duplicates")
+def bucketed_duplicates(spark, d):
+    """Repeated line keys, counted inside the buckets."""
+    lines, _ = _managed(spark, d)
+    return quality.duplicate_keys(spark.table(lines.full_name), ["l_orderkey", "l_linenumber"])
+
+
+@register("bucketed_join")
+def bucketed_join(spark, d):
+    """Lines and their orders, bucket by bucket, summed up per priority."""
+    lines, orders = _managed(spark, d)
+    li, o = spark.table(lines.full_name), spark.table(orders.full_name)
+    joined = li.hint("merge").join(o, li["l_orderkey"] == o["o_orderkey"], "left")
+    return joined.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("lines"), F.expr("CAST(sum(CAST(l_quantity AS DECIMAL(18,6))) AS DECIMAL(38,6)) AS quantity"))
+
+
+@register("pruned_by_dimension")
+def pruned_by_dimension(spark, d):
+    """Lines shipped in the summer months of 1995, from those months' partitions alone."""
+    lines, _ = _managed(spark, d)
+    months = (table(spark, d, "orders").groupBy(month_index("o_orderdate").alias("month_idx"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+              .agg(F.count(F.lit(1)).alias("orders")))
+    summer = months.where("year = 1995 AND month IN (6, 7, 8)")
+    rows = catalog.pruned_by(spark.table(lines.full_name), "month_idx", summer, "month_idx")
+    return profiles.control_aggregate(rows, "l_suppkey", "l_quantity")
+
+
+# ------------------------------------------------------------ keys and footers
+@register("distinct_keys_bitmap")
+def distinct_keys_bitmap(spark, d):
+    """Lines and orders per return flag, orders counted by bitmaps."""
+    return keys.distinct_by_bitmap(table(spark, d, "lineitem"), "l_orderkey", ["l_returnflag"])
+
+
+@register("distinct_keys_check")
+def distinct_keys_check(spark, d):
+    """Rows and keys of the managed table's orders, and of the events."""
+    _, orders = _managed(spark, d)
+    return (keys.distinct_keys(spark.table(orders.full_name), "o_orderkey").withColumn("name", F.lit("orders"))
+            .unionByName(keys.distinct_keys(events(spark, d), "event_id").withColumn("name", F.lit("events"))))
+
+
+@register("duplicate_keys_filtered")
+def duplicate_keys_filtered(spark, d):
+    """Repeated line keys, found by a filter first."""
+    return keys.duplicate_keys(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("footer_stats")
+def footer_stats(spark, d):
+    """Rows, and counts and extremes of two keys, from file footers."""
+    return keys.footer_stats(spark, f"{d.rstrip('/')}/lineitem.parquet", ["l_orderkey", "l_linenumber"])
+
+
+# ------------------------------------------------------------- batches, storage
+SWEPT = [batches.Batch("a", None, "1994-01-01"), batches.Batch("b", "1994-01-01", "1996-01-01"),
+         batches.Batch("c", "1995-06-01", "1997-01-01"), batches.Batch("d", "1997-03-01", None)]
+
+
+@register("batch_sweep")
+def batch_sweep(spark, d):
+    """Four batches of lineitem that overlap once and leave a gap once."""
+    return batches.sweep_batches(table(spark, d, "lineitem"), "l_shipdate", SWEPT)
+
+
+@register("storage_prefixes")
+def storage_prefixes(spark, d):
+    """Files and bytes of every day's folder."""
+    return files.prefix_sizes(spark, _daily_rows(spark, d, "prefixes"))

@@ -59,6 +59,14 @@ def storage_size(spark: SparkSession, root: str, name: str | None = None) -> Dat
                     F.round(F.col("bytes") / (1024 * 1024), 2).alias("mib")))
 
 
+def prefix_sizes(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
+    """``prefix, files, bytes`` for the first ``depth`` folders of every path below ``root``."""
+    folders = F.slice(F.split("relative_path", "/"), 1, depth)
+    prefix = F.array_join(F.when(F.size(F.split("relative_path", "/")) > depth, folders)
+                          .otherwise(F.slice(F.split("relative_path", "/"), F.lit(1), F.size(F.split("relative_path", "/")) - 1)), "/")
+    return listing(spark, root).groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
 def size_ratio(sizes: DataFrame, numerator: str, denominator: str) -> DataFrame:
     """Bytes of one dataset over another, from a union of ``storage_size`` rows."""
     agg = sizes.agg(F.sum(F.when(F.col("dataset") == numerator, F.col("bytes"))).alias("n"),

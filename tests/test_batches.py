@@ -113,3 +113,34 @@ def test_ledger_and_struct_inventory(spark, workdir):
     assert hist[0]["committed_at"] <= hist[1]["committed_at"]
     inv = batches.partition_inventory(spark, t.path, struct_name="observed_at_month").collect()
     assert inv[0]["partition"]["observed_at_month"] == 648 and inv[0]["file_count"] >= 1
+
+
+def test_sweep_names_gaps_and_overlaps(spark, workdir):
+    from sluice.operators.checks import CheckFailed
+    df = spark.createDataFrame([(1, "2024-01-15"), (2, "2024-02-10"), (3, "2024-03-05"), (4, "2024-04-01"), (5, None)], "id long, d string").withColumn(
+        "ts", F.to_timestamp("d")).drop("d")
+    known = df.where("ts IS NOT NULL")
+    B = batches.Batch
+    bad = [B("a", None, "2024-02-01"), B("b", "2024-02-01", "2024-03-01"), B("c", "2024-02-05", "2024-03-01"), B("d", "2024-03-10", None)]
+    found = [tuple(r) for r in batches.sweep_batches(df, "ts", bad).orderBy("start").collect()]
+    assert found == [(None, None, "", "no time", 1), ("2024-02-05", "2024-03-01", "b,c", "overlap", 1), ("2024-03-01", "2024-03-10", "", "gap", 1)]
+    t = batches.PartitionedTable(os.path.join(workdir, "t"), "ts", "month")
+    with pytest.raises(CheckFailed, match="overlap 2024-02-05 to 2024-03-01"):
+        batches.load_batches(known, t, bad)
+    assert not os.path.exists(t.path)
+    good = [B("a", None, "2024-02-01"), B("b", "2024-02-01", "2024-03-01"), B("c", "2024-03-01", "2024-04-01"), B("d", "2024-04-01", None)]
+    assert [r["total"] for r in batches.load_batches(known, t, good)] == [1, 2, 3, 4]
+    assert batches.sweep_batches(known, "ts", [B("all", None, None)]).count() == 0
+    assert [r["finding"] for r in batches.sweep_batches(known, "ts", []).collect()] == ["gap"]
+
+
+def test_totals_follow_the_table(spark, workdir):
+    """The ledger's totals come from touched partitions; they equal a count of the table."""
+    t = batches.PartitionedTable(os.path.join(workdir, "t"), "ts", "month")
+    df = make(spark)
+    for rows, operation in [(df, "overwrite"), (df.where("month(ts) = 3"), "append"), (df.where("month(ts) <= 3").limit(5), "replace_partitions"), (df.limit(7), "append"),
+                            (df.where("month(ts) = 2"), "overwrite")]:
+        done = batches.load_batch(rows, t, operation)
+        assert done["total"] == spark.read.parquet(t.path).count()
+    files = sum(f.endswith(".parquet") for _, _, fs in os.walk(t.path) for f in fs)
+    assert batches.load_batch(df.where("month(ts) = 2"), t, "append")["files"] + files == sum(f.endswith(".parquet") for _, _, fs in os.walk(t.path) for f in fs)

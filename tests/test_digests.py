@@ -62,3 +62,28 @@ def test_names_that_would_be_unpacked_are_refused(spark, workdir):
         f.write(b"no gzip")
     with pytest.raises(ValueError, match="compressed by name"):
         digests.stream_digests(spark, workdir)
+
+
+def test_sizes_follow_the_files(spark, workdir):
+    """Bytes of CSV over bytes of Parquet of the same rows, and objects per prefix, against the file system."""
+    from pyspark.sql import functions as F
+
+    from sluice.plans import formats
+    rows = spark.range(5000).select("id", (F.col("id") % 3).cast("string").alias("kind"), (F.col("id") / 7).alias("value"))
+    paths = f"{workdir}/csv", f"{workdir}/parquet"
+    formats.write_two_formats(rows, *paths, ["kind"])
+    on_disk = [sum(os.path.getsize(os.path.join(f, n)) for f, _, names in os.walk(p) for n in names if not n.startswith((".", "_"))) for p in paths]
+    sizes = [files.storage_size(spark, p, n) for p, n in zip(paths, ("csv", "parquet"))]
+    assert [s.first()["bytes"] for s in sizes] == on_disk
+    ratio = files.size_ratio(sizes[0].unionByName(sizes[1]), "csv", "parquet").first()
+    assert ratio["ratio"] == "csv/parquet" and ratio["value"] == round(on_disk[0] / on_disk[1], 2) > 1
+    prefixes = {r["prefix"]: (r["files"], r["bytes"]) for r in files.prefix_sizes(spark, paths[1]).collect()}
+    assert set(prefixes) == {"kind=0", "kind=1", "kind=2"} and sum(b for _, b in prefixes.values()) == on_disk[1]
+    deep = {r["prefix"] for r in files.prefix_sizes(spark, workdir, 2).collect()}
+    assert deep == {"csv", *(f"parquet/kind={k}" for k in range(3))}
+
+
+def test_an_empty_object_counts(spark, workdir):
+    zone(workdir)
+    assert files.storage_size(spark, workdir).first()["files"] == 9
+    assert {r["prefix"]: r["files"] for r in files.prefix_sizes(spark, workdir).collect()} == {"": 8, "sub": 1}

@@ -65,3 +65,22 @@ def test_end_to_end(spark, workdir):
     answer = profiles.seasonal_profile(loaded, "event_type", "value", half_of_month("ts"), F.hour("ts")).collect()
     direct = profiles.seasonal_profile(events, "event_type", "value", half_of_month("ts"), F.hour("ts")).collect()
     assert sorted(map(tuple, answer)) == sorted(map(tuple, direct))
+
+
+def test_flow_warns_of_missing_hours_and_goes_on(spark, workdir):
+    import warnings
+
+    from sluice.plans.flow import run_flow
+    events = table(spark, SF, "events").select("event_id", "ts", "event_type", "value")
+    contract = Contract(
+        fields=T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+                             T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())]),
+        key=("event_id",), required=("ts", "event_type", "value"), period=Period("ts", "2024-01-01", "2024-02-01"))
+    raw = os.path.join(workdir, "raw")
+    ingestion.land(events, raw, "2024-02-01")
+    with warnings.catch_warnings(record=True) as seen:
+        warnings.simplefilter("always")
+        answer = run_flow(spark, raw, contract, os.path.join(workdir, "flow"), "ts", "2024-01-16", lambda df: df.groupBy("event_type").count(),
+                          expected=("event_type", "2024-01-01", "2024-01-03"))
+        assert answer.agg(F.sum("count")).first()[0] == events.count()
+    assert any("entities lack" in str(w.message) for w in seen)
