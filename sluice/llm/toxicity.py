@@ -3,19 +3,22 @@
 Training reads a bounded, hashed sample of labelled documents (at most about
 ``POSITIVES`` + ``NEGATIVES``); scoring covers every whole text.  Features are a
 document's words and their first four and five bytes.  The loss is logistic
-with an L1 term, plus a penalty on score changes: where a labelled text has an
-identity term, swapping it for another of its group, or for a neutral word,
-must not move the score.
+with an L1 term, plus a penalty on score changes: of every sampled text that
+has identity terms two copies are made, one with each term swapped for the next
+of its group and one with each swapped for a neutral word, and the squared
+difference between a text's margin and each copy's is added to the loss.
 
 Defined cases: null or empty text gets the score of the intercept alone; null
 labels and labels without a document are not learnt from; a document labelled
 twice counts twice in training, is scored once per row; with no usable labels
-(or one class only) every score is the prior (0 without labels).  An empty
-table gives no rows.
+(or one class only) every score is the prior (0 without labels).  Texts of any
+length are scored whole; a score of exactly 0.5 counts as toxic.  An empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -24,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (blocks, concat_ranges, id_and_text, ids_of, in_sorted, mix,
-                     prefix_hashes, range_hashes, split_words, _BYTE_CODE, _IS_WORD)
+from .common import (LOWER_BYTES, blocks, id_and_text, ids_of, in_sorted, mix, prefix_hashes,
+                     range_hashes, split_words, _BYTE_CODE, _IS_WORD)
 
 POSITIVES, NEGATIVES = 3000, 5000
 PREFIXES = (4, 5)
@@ -91,52 +94,91 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
 
 
-def identity_swaps() -> dict[int, int]:
-    """Each feature of an identity term and that of the next term of its group.
+# Fixed value: the word that stands for any identity term.
+NEUTRAL = b"person"
+_NEXT = {a.encode(): b.encode() for group in IDENTITY_TERMS for a, b in zip(group, group[1:] + group[:1])}
+_TERM = re.compile(rb"(?<![0-9a-z\x80-\xff])(?:%s)(?![0-9a-z\x80-\xff])" % b"|".join(sorted(_NEXT, key=len, reverse=True)))
 
-    A feature the next term lacks (it is shorter) is its own partner.
-    """
-    out = {}
-    for group in IDENTITY_TERMS:
-        found = [features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0].tolist() for t in group]
-        for mine, next_ in zip(found, found[1:] + found[:1]):
-            out.update({a: next_[k] if k < len(next_) else a for k, a in enumerate(mine)})
-    return out
+
+def counterfactuals(text: bytes) -> tuple[bytes, bytes] | None:
+    """The text with its identity terms swapped for others and for a neutral word; None if it has none."""
+    lower = text.translate(LOWER_BYTES)
+    swapped, n = _TERM.subn(lambda m: _NEXT[m[0]], lower)
+    return (swapped, _TERM.sub(NEUTRAL, lower)) if n else None
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> list[tuple[float, float, np.ndarray]]:
-    """(label, weight, features) of a bounded hashed sample of labelled rows."""
+def _feature_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """The distinct features of each text."""
+    hashes, doc = features(data, offsets)
+    order = np.lexsort((hashes, doc))
+    hashes, doc = hashes[order], doc[order]
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+    hashes, doc = hashes[new], doc[new]
+    cut = np.searchsorted(doc, np.arange(len(offsets)))
+    return [hashes[a:b] for a, b in zip(cut, cut[1:])]
+
+
+def _sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> list[tuple]:
+    """(label, weight, features, features of each counterfactual copy) of a bounded hashed sample of labelled rows."""
     rows = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     rows = rows.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = {k: min(1.0, most / max(1, counts.get(k, 0))) for k, most in ((1, POSITIVES), (0, NEGATIVES))}
     place = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30))
     rows = rows.filter(place < F.when(F.col("label") == 1, int(share[1] * (1 << 30))).otherwise(int(share[0] * (1 << 30))))
-    # about POSITIVES + NEGATIVES rows by construction: a few hundred kilobytes
-    picked = id_and_text(docs).join(F.broadcast(rows), "doc_id").select("label", "text")
+    # one row per picked id and label, about POSITIVES + NEGATIVES by construction: a few hundred kilobytes
+    rows = rows.groupBy("doc_id", "label").agg(F.count("*").alias("times"))
+    picked = id_and_text(docs).join(F.broadcast(rows), "doc_id").select("label", "times", "text")
 
     def extract(batches):
         for part, data, offsets in blocks(batches):
-            hashes, doc = features(data, offsets)
-            order = np.lexsort((hashes, doc))
-            hashes, doc = hashes[order], doc[order]
-            new = np.ones(len(hashes), dtype=bool)
-            new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
-            hashes, doc = hashes[new], doc[new]
-            cut = np.searchsorted(doc, np.arange(len(offsets)))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([hashes[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["label", "features"])
+            raw = data.tobytes()
+            copies = [counterfactuals(raw[a:b]) for a, b in zip(offsets, offsets[1:])]
+            changed = [c for pair in copies if pair for c in pair]
+            sets = iter(_feature_sets(np.frombuffer(b"".join(changed), np.uint8), np.cumsum([0, *map(len, changed)])))
+            columns = [[f.tobytes() for f in _feature_sets(data, offsets)], *zip(*((next(sets).tobytes(), next(sets).tobytes()) if c else (None, None) for c in copies))]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, pa.binary()) for c in columns)],
+                                             ["label", "times", "features", "swapped", "neutral"])
 
     out = []
-    for r in picked.mapInArrow(extract, "label int, features binary").toLocalIterator(prefetchPartitions=True):
-        out.append((r["label"], 1 / share[r["label"]], np.frombuffer(bytes(r["features"]), np.uint64)))
+    read = lambda cell: np.frombuffer(bytes(cell), np.uint64)
+    for r in picked.mapInArrow(extract, "label int, times bigint, features binary, swapped binary, neutral binary").toLocalIterator(prefetchPartitions=True):
+        copies = [read(r[c]) for c in ("swapped", "neutral") if r[c] is not None]
+        out.append((r["label"], r["times"] / share[r["label"]], read(r["features"]), copies))
     return out
 
 
+def _term_features() -> np.ndarray:
+    """Features of all identity terms and of the neutral word."""
+    words = [*_NEXT, NEUTRAL]
+    return np.unique(features(np.frombuffer(b"".join(words), np.uint8), np.cumsum([0, *map(len, words)]))[0])
+
+
+def score_changes(names: np.ndarray, sample: list[tuple], weight: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What each counterfactual copy changes: (copy, feature, +1 or -1) and the copies' weights.
+
+    The change of a text's margin is the sum of sign * weight over its features
+    that the copy lacks (+1) and those that the copy alone has (-1).
+    """
+    row, column, sign, of = [], [], [], []
+    for (_, _, mine, copies), share in zip(sample, weight):
+        for other in copies:
+            gone, come = (in_sorted(names, np.setdiff1d(a, b, assume_unique=True)) for a, b in ((mine, other), (other, mine)))
+            gone, come = gone[gone >= 0], come[come >= 0]
+            column += (gone, come)
+            sign += (np.ones(len(gone)), -np.ones(len(come)))
+            row.append(np.full(len(gone) + len(come), len(of)))
+            of.append(share / len(copies))
+    cat = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+    return cat(row, np.int64), cat(column, np.int64), cat(sign, float), np.array(of)
+
+
 def _separating(sample) -> np.ndarray:
     """Features that stand in enough documents and tell the classes apart best."""
     seen, count = [], []
     for label in (1, 0):
-        parts = [f for y, _, f in sample if y == label]
+        parts = [f for y, _, f, _ in sample if y == label]
         h, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         seen.append(h)
         count.append(n)
@@ -145,7 +187,7 @@ def _separating(sample) -> np.ndarray:
     a, b = np.zeros(len(names)), np.zeros(len(names))
     a[np.searchsorted(names, seen[0])] = count[0]
     b[np.searchsorted(names, seen[1])] = count[1]
-    positives = sum(y for y, _, _ in sample)
+    positives = sum(s[0] for s in sample)
     pa_, pb = (a + 0.5) / (positives + 1), (b + 0.5) / (len(sample) - positives + 1)
     gain = np.abs(np.log(pa_ / pb)) * np.sqrt(a + b)
     keep = np.flatnonzero((a + b >= LEAST_DOCS) & (pa_ > pb))
@@ -157,38 +199,34 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
           l1: float = 0.0001, counterfactual: float = 1.0, steps: int = 400) -> Model:
     """Accelerated proximal gradient on logistic loss + L1 + counterfactual penalty."""
     sample = _sample(docs, labels, id_col, label_col)
-    positives = sum(y for y, _, _ in sample)
+    positives = sum(s[0] for s in sample)
     nothing = np.zeros(0, np.uint64)
     if not positives or positives == len(sample):
         prior = positives / len(sample) if sample else 0.0
         return Model(nothing, np.zeros(0), float(np.clip(np.log((prior + 1e-9) / (1 - prior + 1e-9)), -20, 20)))
-    swaps = identity_swaps()
-    terms = np.array(sorted(swaps), dtype=np.uint64)
-    names = np.union1d(_separating(sample), terms)
+    names = np.union1d(_separating(sample), _term_features())
     y = np.array([s[0] for s in sample], dtype=float)
     weight = np.array([s[1] for s in sample])
     weight = np.where(y == 1, POSITIVE_WEIGHT, 1.0) * weight
     weight = weight / weight.sum()
-    at = [in_sorted(names, f) for _, _, f in sample]
+    at = [in_sorted(names, f) for _, _, f, _ in sample]
     at = [a[a >= 0] for a in at]
     size = np.array([len(a) for a in at])
     column, row = np.concatenate(at), np.repeat(np.arange(len(at)), size)
-    # swaps in labelled texts: for another term of the group the score changes by
-    # the difference of two weights, for a neutral word by the weight itself
-    partner = np.arange(len(names))
-    partner[np.searchsorted(names, terms)] = np.searchsorted(names, np.array([swaps[int(a)] for a in terms], dtype=np.uint64))
-    swapped = np.bincount(column, weights=weight[row], minlength=len(names)) * np.isin(names, terms)
+    copy, moved, sign, of = score_changes(names, sample, weight)
 
     def gradient(w, b):
         margin = np.bincount(row, weights=w[column], minlength=len(at)) + b
         r = weight * (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - y)
-        change = 2 * counterfactual * swapped * (w - w[partner])
-        change = change - np.bincount(partner, weights=change, minlength=len(names)) + 2 * counterfactual * swapped * w
+        moves = np.bincount(copy, weights=sign * w[moved], minlength=len(of))
+        change = np.bincount(moved, weights=2 * counterfactual * sign * (of * moves)[copy], minlength=len(names))
         return np.bincount(column, weights=r[row], minlength=len(names)) + change, r.sum()
 
     # step sizes from each feature's own curvature bound
     load = np.bincount(column, weights=(weight * np.maximum(size, 1))[row], minlength=len(names)) / 4
-    rate = 1 / (load + 10 * counterfactual * (swapped + np.bincount(partner, weights=swapped, minlength=len(names))) + 1e-6)
+    width = np.bincount(copy, minlength=len(of))
+    load = load + 2 * counterfactual * np.bincount(moved, weights=(of * width)[copy], minlength=len(names))
+    rate = 1 / (load + 1e-6)
     w, b, v, c, t = np.zeros(len(names)), 0.0, np.zeros(len(names)), 0.0, 1.0
     bias_rate = 4 / (size.max() + 1)
     for _ in range(steps):

@@ -54,6 +54,47 @@ def test_penalty_draws_swapped_terms_together(spark):
     assert gap(toxicity.train(docs, table, counterfactual=5.0)) < 0.5 * gap(toxicity.train(docs, table, counterfactual=0.0))
 
 
+def test_whole_sentences_are_swapped():
+    swap = toxicity.counterfactuals
+    assert swap(b"Women and MEN, women!") == (b"men and women, men!", b"person and person, person!")
+    assert swap("womens é\u00e9men amen menu".encode()) is None and swap(b"") is None
+
+
+def margin(model, text):
+    """Plain version: every distinct word, and its first four and five bytes, once."""
+    import re
+    weights, found = dict(zip(model.names.tolist(), model.weights)), set()
+    for word in re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({k: k + 32 for k in range(65, 91)})):
+        one = np.frombuffer(word.encode(), np.uint8)
+        found |= set(toxicity.features(one, np.array([0, len(one)]))[0].tolist())
+    return model.intercept + sum(weights.get(f, 0.0) for f in found)
+
+
+def test_scores_and_changes_equal_a_plain_version(spark):
+    rows, labels = corpus()
+    docs, table = documents(spark, rows + AWKWARD), spark.createDataFrame(labels, "doc_id long, toxic int")
+    strong, weak = (toxicity.train(docs, table, counterfactual=c) for c in (20.0, 0.0))
+    got = {(r["doc_id"], r["score"]) for r in toxicity.score(docs, strong).collect()}
+    assert all(any(i == d and abs(s - 1 / (1 + np.exp(-margin(strong, t or "")))) < 1e-9 for d, s in got) for i, t in rows[:40] + AWKWARD)
+    # the penalty holds score changes of whole texts down, on texts it never saw as well
+    fresh = [f"women {text_of(k, 40, 500)} men" if k % 2 else f"women {text_of(k, 40, 500)}" for k in range(7000, 7040)]
+    change = lambda m: max(abs(margin(m, t) - margin(m, c.decode())) for t in fresh for c in toxicity.counterfactuals(t.encode()))
+    assert change(strong) < 0.25 * change(weak)
+
+
+def test_changes_are_differences_of_margins():
+    r = np.random.default_rng(2)
+    texts = [b"women and men met", b"old men said nothing", b"african women"]
+    sets = lambda items: toxicity._feature_sets(np.frombuffer(b"".join(items), np.uint8), np.cumsum([0, *map(len, items)]))
+    sample = [(1, 1.0, f, sets(list(toxicity.counterfactuals(t)))) for t, f in zip(texts, sets(texts))]
+    names = np.unique(np.concatenate([f for _, _, f, c in sample] + [x for _, _, _, c in sample for x in c]))
+    w = r.normal(size=len(names))
+    copy, moved, sign, of = toxicity.score_changes(names, sample, np.array([0.5, 0.25, 0.25]))
+    total = lambda f: w[np.searchsorted(names, f)].sum()
+    assert np.allclose(np.bincount(copy, sign * w[moved], len(of)), [total(f) - total(c) for _, _, f, copies in sample for c in copies])
+    assert of.tolist() == [0.25, 0.25, 0.125, 0.125, 0.125, 0.125]
+
+
 def test_held_out_fold_is_not_learnt_from(spark):
     rows, labels = corpus(200)
     docs = documents(spark, rows)
