@@ -51,10 +51,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], pieces: int | None = None) -> l
 
 
 def skew_join(facts: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left",
-              pieces: int | None = None) -> DataFrame:
+              pieces: int | None = None, hot: list[tuple[int, int]] | None = None) -> DataFrame:
     """Equi-join on columns of the same names; hot keys of ``facts`` are spread by salts.
 
-    ``how``: ``left``, ``inner``, ``left_semi`` or ``left_anti``.  The salt of a
+    ``hot``: what ``hot_keys`` says of the keys, where that is known already.  ``how``: ``left``, ``inner``, ``left_semi`` or ``left_anti``.  The salt of a
     fact row is a hash of its columns, so a task that runs again deals the same
     rows to the same place; equal rows share a salt.  NULL keys match nothing and
     are spread like any other hot key.
@@ -62,7 +62,7 @@ def skew_join(facts: DataFrame, other: DataFrame, keys: Sequence[str], how: str
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unknown join {how}")
     keys = list(keys)
-    hot = hot_keys(facts, keys, pieces)
+    hot = hot_keys(facts, keys, pieces) if hot is None else hot
     if not hot:
         return facts.join(other, keys, how)
     table = F.broadcast(local_rows(facts.sparkSession, hot, f"{_HASH} bigint, {_SALTS} bigint"))  # MOST_HOT rows at most
