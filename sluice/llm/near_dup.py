@@ -356,7 +356,8 @@ def classes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     of_node = skew_join(sketched, nodes.select(F.col("copy_of").alias("doc_id"), "row", "node"), ["doc_id", "row"], "inner")
     keyed = of_node.select(F.col("node").alias("doc_id"), "brief", "total", "bands", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x != y").select("key")
-    bands = store(keyed.join(shared, "key").select("key", "doc_id", "brief", "total", "bands").distinct(), "bands")
+    crowded = hot_keys(every.select(F.explode("bands").alias("key")), ["key"])  # copies count here, so keys of large classes too
+    bands = store(skew_join(keyed, shared, ["key"], "inner", hot=crowded).select("key", "doc_id", "brief", "total", "bands").distinct(), "bands")
     # only texts that share a band are ever verified
     wanted = nodes.join(bands.select(F.col("doc_id").alias("node")).distinct(), "node").select(F.col("copy_of").alias("doc_id"), "row", "node")
     sets = store(every.select("doc_id", "row", "elements", "weights").join(wanted, ["doc_id", "row"]).select(F.col("node").alias("doc_id"), "elements", "weights")
