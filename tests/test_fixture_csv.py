@@ -165,12 +165,13 @@ def test_header_of_every_file(spark, workdir):
                     ("b.csv", "y"): (False, True), ("b.csv", "z"): (True, False)}
 
 
-def test_files_too_large_for_a_digest_get_a_row(spark, workdir):
+def test_files_over_the_limit_are_hashed_in_pieces(spark, workdir):
+    import hashlib
     import os
 
     from sluice.sources.files import file_manifest
     for name, body in (("a", "xx"), ("b", "x" * 50)):
         with open(os.path.join(workdir, name), "w") as fh:
             fh.write(body)
-    got = {r["relative_path"]: (r["status"], r["sha256"] is None) for r in file_manifest(spark, workdir, largest=10).collect()}
-    assert got == {"a": ("hashed", False), "b": ("too large", True)}
+    got = {r["relative_path"]: (r["status"], r["sha256"]) for r in file_manifest(spark, workdir, largest=10).collect()}
+    assert got == {"a": ("hashed", hashlib.sha256(b"xx").hexdigest()), "b": ("hashed", hashlib.sha256(b"x" * 50).hexdigest())}
