@@ -12,9 +12,9 @@ verified by their cosine in double precision.
 Up to ``LINE`` cells that share the first half's code word and lie side by side in
 the second half form a line of the grid.  A query goes once to each line it
 visits, with the list of the cells it visits there, so its components (in their
-own type) travel a few times, not once per cell.  A line's vectors are packed into
-blocks of bounded size; every block of a line's queries meets every block of its
-vectors, so a crowded line spreads over many tasks.
+own type) travel a few times, not once per cell, and in one shuffle.  A task holds
+a line's vectors while its queries pass by; a crowded line's vectors are split
+into blocks and its queries into parts, and every block meets every part.
 Equal vectors are one class whose members count as links without being
 compared.  A pair that one side finds counts for both: each vector travels with
 its own visits, so a query's task knows whether the other side finds the pair
@@ -43,7 +43,8 @@ TARGET = 0.99
 SAMPLE = 16_384
 CELL_SIZE = 32  # vectors aimed at per cell
 LINE = 64  # cells in a line at most
-BLOCK = 1024  # vectors per packed block
+BLOCK = 4096  # vectors of a line that a task holds
+QUERIES = 16_384  # queries of a line that pass by them
 MOST_WORDS = 4096  # code words per half at most, reached at CELL_SIZE * MOST_WORDS ** 2 = 537 million vectors
 
 
@@ -123,47 +124,66 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _link_blocks(threshold: float):
-    """Rows of (vectors) x (queries) of one line: link counts and spanning links."""
-
-    def side(b, column, r, dim):
-        """ids, members, home cells, visited cells and unit vectors of one block."""
-        rows = b.column(column)[r].values
-        ids, members, home = (rows.field(k).to_numpy() for k in (0, 1, 2))
-        cells = rows.field(3)
-        kind = np.float32 if len(rows) and len(rows.field(4)[0].as_py()) == 4 * dim else np.float64
-        x = np.frombuffer(b"".join(rows.field(4).to_pylist()), kind).reshape(-1, dim).astype(np.float64)
-        first = np.asarray(cells.offsets, np.int64)
-        return ids, members, home, (cells.values.to_numpy(), first), _unit(x)
-
-    def visited(visits, of, cells):
-        """Is the cell among those that the vector ``of`` visits?"""
-        values, first = visits
-        count = first[of + 1] - first[of]
-        pair = np.repeat(np.arange(len(of)), count)
-        hit = values[concat_ranges(first[of], count)] == cells[pair]
-        return np.bincount(pair, weights=hit, minlength=len(of)) > 0
+def _side(rows: pa.RecordBatch, dim: int) -> tuple:
+    """ids, members, home cells, visited cells (with where each list starts) and unit vectors."""
+    column = lambda c: rows.column(rows.schema.get_field_index(c))
+    ids, members, home = (column(c).to_numpy() for c in ("id", "members", "home"))
+    cells = column("cells")
+    raw = [np.frombuffer(r, np.float32 if len(r) == 4 * dim else np.float64) for r in column("raw").to_pylist()]
+    first = np.asarray(cells.offsets, np.int64)
+    return ids, members, home, (cells.flatten().to_numpy(), first - first[0]), _unit(np.array(raw, np.float64).reshape(-1, dim))
+
+
+def _visits(visits: tuple, of: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Is the cell among those that the vector ``of`` visits?"""
+    values, first = visits
+    count = first[of + 1] - first[of]
+    pair = np.repeat(np.arange(len(of)), count)
+    hit = values[concat_ranges(first[of], count)] == cells[pair]
+    return np.bincount(pair, weights=hit, minlength=len(of)) > 0
+
+
+def _links(x: tuple, q: tuple, threshold: float) -> pa.RecordBatch | None:
+    """Link counts and spanning links among the vectors ``x`` and queries ``q`` of a line."""
+    ids, weights, home, visits, there = x
+    queries, more, from_, sought, here = q
+    qi, xi = np.nonzero(here @ there.T >= threshold)
+    met = (queries[qi] != ids[xi]) & _visits(sought, qi, home[xi])
+    qi, xi = qi[met], xi[met]
+    if not len(qi):
+        return None
+    back = ~_visits(visits, xi, from_[qi])  # the other side does not find this pair
+    who, at = np.unique(np.concatenate([queries[qi], ids[xi[back]]]), return_inverse=True)
+    count = np.bincount(at, weights=np.concatenate([weights[xi], more[qi[back]]])).astype(np.int64)
+    nodes, least = local_components(queries[qi], ids[xi])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([who, nodes])), pa.array(np.concatenate([count, np.zeros(len(nodes), np.int64)])),
+                                       pa.array(np.concatenate([who, least]))], ["id", "n", "reaches"])
+
+
+def _link_lines(threshold: float, dim: int):
+    """Rows sorted by (line, block, part), vectors first: a block's vectors are held, its queries pass by."""
 
     def link(batches):
+        at, held, x = None, [], None
         for b in batches:
-            for r in range(b.num_rows):
-                dim = b.column(2)[r].as_py()
-                ids, weights, home, visits, x = side(b, 0, r, dim)
-                queries, more, from_, sought, q = side(b, 1, r, dim)
-                qi, xi = np.nonzero(q @ x.T >= threshold)
-                there = (queries[qi] != ids[xi]) & visited(sought, qi, home[xi])
-                qi, xi = qi[there], xi[there]
-                if not len(qi):
+            if not b.num_rows:
+                continue
+            keys = [b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("line", "block", "part", "query")]
+            change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            for start, end in zip(np.append(0, change), np.append(change, b.num_rows)):
+                key, rows = tuple(k[start] for k in keys[:3]), b.slice(start, end - start)
+                if key != at:
+                    at, held, x = key, [], None
+                if not keys[3][start]:
+                    held.append(rows)
+                    continue
+                if not held:
                     continue
-                back = ~visited(visits, xi, from_[qi])  # the other side does not find this pair
-                a, n = np.concatenate([queries[qi], ids[xi[back]]]), np.concatenate([weights[xi], more[qi[back]]])
-                who, at = np.unique(a, return_inverse=True)
-                count = np.bincount(at, weights=n).astype(np.int64)
-                nodes, least = local_components(queries[qi], ids[xi])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([who, nodes])),
-                     pa.array(np.concatenate([count, np.zeros(len(nodes), np.int64)])),
-                     pa.array(np.concatenate([who, least]))], ["id", "n", "reaches"])
+                x = x or _side(pa.Table.from_batches(held).combine_chunks().to_batches()[0], dim)
+                for k in range(0, rows.num_rows, 1024):
+                    found = _links(x, _side(rows.slice(k, 1024), dim), threshold)
+                    if found is not None:
+                        yield found
 
     return link
 
@@ -223,16 +243,18 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
 
         placed = store(mine.select("rep", "members", "v").mapInArrow(
             assign, "line bigint, query boolean, id bigint, members bigint, home bigint, cells array<bigint>, raw binary"), "cells")
-        # lines with more vectors than a block are split by hash
-        sizes = placed.groupBy("line", "query").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-        dealt = skew_join(placed, sizes, ["line", "query"], "inner").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-        packed = store(dealt.groupBy("line", "query", "block").agg(F.collect_list(F.struct("id", "members", "home", "cells", "raw")).alias("rows")), "blocks")
-        meet = skew_join(packed.filter("query").select("line", F.col("rows").alias("sought")),
-                         packed.filter("not query").select("line", F.col("rows").alias("here")), ["line"], "inner")
-        found = store(meet.select("here", "sought", F.lit(dim).alias("dim"))
-                      .mapInArrow(_link_blocks(threshold), "id bigint, n bigint, reaches bigint"), "links")
+        # a crowded line's vectors are split into blocks, its queries into parts, by hash
+        count = lambda c, size: F.greatest(F.ceil(F.count_if(c) / F.lit(size)), F.lit(1).cast("bigint"))
+        sizes = placed.groupBy("line").agg(count(~F.col("query"), BLOCK).alias("blocks"), count(F.col("query"), QUERIES).alias("parts"))
+        own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+        every = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+        dealt = skew_join(placed, sizes, ["line"], "inner").select(
+            *placed.columns, F.when(F.col("query"), every("blocks")).otherwise(F.array(own("blocks"))).alias("_blocks"),
+            F.when(F.col("query"), F.array(own("parts"))).otherwise(every("parts")).alias("_parts"))
+        dealt = dealt.withColumn("block", F.explode("_blocks")).withColumn("part", F.explode("_parts")).drop("_blocks", "_parts")
+        found = store(dealt.repartition("line", "block", "part").sortWithinPartitions("line", "block", "part", "query")
+                      .mapInArrow(_link_lines(threshold, dim), "id bigint, n bigint, reaches bigint"), "links")
         drop_stored(placed)
-        drop_stored(packed)
         n_links = found.groupBy("id").agg(F.sum("n").alias("n"))
         links = found.filter("id != reaches").select(F.col("id").alias("a"), F.col("reaches").alias("b"))
         edges = links if edges is None else edges.unionByName(links)
