@@ -246,6 +246,7 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
         # a crowded line's vectors are split into blocks, its queries into parts, by hash
         count = lambda c, size: F.greatest(F.ceil(F.count_if(c) / F.lit(size)), F.lit(1).cast("bigint"))
         sizes = placed.groupBy("line").agg(count(~F.col("query"), BLOCK).alias("blocks"), count(F.col("query"), QUERIES).alias("parts"))
+        sizes = store(sizes, "sizes")  # so that its size is known: a small one is broadcast and the vectors stay where they are
         own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
         every = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
         dealt = skew_join(placed, sizes, ["line"], "inner").select(
