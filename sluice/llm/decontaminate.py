@@ -35,6 +35,8 @@ from .common import (blocks, concat_ranges, id_and_text, ids_of, in_sorted,
 
 WINDOW = 10
 BENCH_BYTES = 4 << 20
+#: Text behind an index row: its lists stay small objects for the JVM that stores them.
+INDEX_BYTES = 512 << 10
 
 INDEX_SCHEMA = ("doc_ids array<bigint>, first_word array<int>, terms array<int>, "
                 "term_start array<int>, positions array<int>")
@@ -98,7 +100,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     """Positional postings of the vocabulary's terms, one row per block of documents."""
 
     def index(batches):
-        for rows, data, offsets in blocks(batches):
+        for rows, data, offsets in blocks(batches, INDEX_BYTES):
             lists = [ids_of(rows).to_pylist(), *_postings(data, offsets, vocabulary)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v], type=pa.list_(pa.int64() if k == 0 else pa.int32())) for k, v in enumerate(lists)],
@@ -147,8 +149,8 @@ def _phrases(test: TestSet, first, terms, term_start, positions):
     return window[keep], start[keep], doc[keep]
 
 
-def search(index: DataFrame, test: TestSet) -> DataFrame:
-    """Per document: hit word ranges [hit_start, hit_end) and the items found."""
+def _find(test: TestSet):
+    """The search as a step over batches of index rows."""
 
     def find(batches):
         for doc_ids, first, terms, term_start, positions in _rows_of(batches):
@@ -178,7 +180,12 @@ def search(index: DataFrame, test: TestSet) -> DataFrame:
                 [doc_ids, pa.array(np.diff(first)), lists(starts), lists(ends), pa.array(items, pa.list_(pa.string()))],
                 ["doc_id", "n_words", "hit_start", "hit_end", "items"])
 
-    return index.mapInArrow(find, HIT_SCHEMA)
+    return find
+
+
+def search(index: DataFrame, test: TestSet) -> DataFrame:
+    """Per document: hit word ranges [hit_start, hit_end) and the items found."""
+    return index.mapInArrow(_find(test), HIT_SCHEMA)
 
 
 def _union_length(starts: list[int], ends: list[int]) -> int:
@@ -189,39 +196,42 @@ def _union_length(starts: list[int], ends: list[int]) -> int:
     return total
 
 
+SUMMARY_SCHEMA = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
+
+
+def _summary(batches):
+    for b in batches:
+        doc, words, starts, ends, items = (b.column(k) for k in range(5))
+        hits = [_union_length(s, e) for s, e in zip(starts.to_pylist(), ends.to_pylist())]
+        names = [sorted(x) for x in items.to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [doc, words, pa.array(hits, pa.int64()), pa.array([len(x) for x in names], pa.int64()),
+             pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]),
+             pa.array([h > 0 for h in hits])],
+            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per document: n_words, n_hit, the items found and whether any word is hit."""
     tests = test_sets(benchmark, size=size)
     test, more = next(tests), next(tests, None)
     if more is None:
-        out = search(store(build_index(docs, test.vocabulary), "postings"), test)
-    else:
-        # Each row has a key of its own, the same in every pass: ids may repeat or be null.
-        rows = store(id_and_text(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
-        keyed = rows.select(F.col("row").alias("doc_id"), "text")
-        found = None
-        for test in chain([test, more], tests):
-            hits = search(store(build_index(keyed, test.vocabulary), "postings"), test)
-            found = hits if found is None else found.unionByName(hits)
-        found = found.groupBy(F.col("doc_id").alias("row"), "n_words").agg(
-            F.flatten(F.collect_list("hit_start")).alias("hit_start"),
-            F.flatten(F.collect_list("hit_end")).alias("hit_end"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-        out = rows.select("row", "doc_id").join(found, "row").select("doc_id", "n_words", "hit_start", "hit_end", "items")
-
-    def finish(batches):
-        for b in batches:
-            doc, words, starts, ends, items = (b.column(k) for k in range(5))
-            hits = [_union_length(s, e) for s, e in zip(starts.to_pylist(), ends.to_pylist())]
-            names = [sorted(x) for x in items.to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [doc, words, pa.array(hits, pa.int64()), pa.array([len(x) for x in names], pa.int64()),
-                 pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]),
-                 pa.array([h > 0 for h in hits])],
-                ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-
-    return out.mapInArrow(finish, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, "
-                                  "items_sha256 string, contaminated boolean")
+        find = _find(test)
+        # found and summed up by one Python worker per task: two in a row hold twice the memory
+        return store(build_index(docs, test.vocabulary), "postings").mapInArrow(lambda batches: _summary(find(batches)), SUMMARY_SCHEMA)
+    # Each row has a key of its own, the same in every pass: ids may repeat or be null.
+    rows = store(id_and_text(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+    keyed = rows.select(F.col("row").alias("doc_id"), "text")
+    found = None
+    for test in chain([test, more], tests):
+        hits = search(store(build_index(keyed, test.vocabulary), "postings"), test)
+        found = hits if found is None else found.unionByName(hits)
+    found = found.groupBy(F.col("doc_id").alias("row"), "n_words").agg(
+        F.flatten(F.collect_list("hit_start")).alias("hit_start"),
+        F.flatten(F.collect_list("hit_end")).alias("hit_end"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    out = rows.select("row", "doc_id").join(found, "row").select("doc_id", "n_words", "hit_start", "hit_end", "items")
+    return out.mapInArrow(_summary, SUMMARY_SCHEMA)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", size: int = WINDOW) -> DataFrame:

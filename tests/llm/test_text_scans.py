@@ -80,6 +80,19 @@ def test_near_search(spark):
     assert sorted(r["doc_id"] for r in decontaminate.search_near(index, test, ["red", "green"], 3).collect()) == [1, 3]
 
 
+def test_index_rows_are_small_and_searched_in_one_pass(spark):
+    """An index row holds the lists of half a megabyte of text, and one worker a task searches and sums up."""
+    rows = [(i, text_of(i, 20_000)) for i in range(20)] + HITS
+    docs, bench = documents(spark, rows, partitions=1), spark.createDataFrame(BENCH, "item_id long, text string")
+    test = next(decontaminate.test_sets(bench))
+    index = decontaminate.build_index(docs, test.vocabulary).collect()
+    assert sorted(i for r in index for i in r["doc_ids"]) == [i for i, _ in rows]
+    assert len(index) >= sum(len(t) for _, t in rows) >> 19 and max(r["first_word"][-1] for r in index) < 1 << 18
+    found = decontaminate.contamination(docs, bench)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert all(tuple(r)[1:] == brute_hits(dict(rows)[r["doc_id"]], windows_of(BENCH)) for r in found.collect())
+
+
 def test_empty_tables(spark):
     none = documents(spark, [])
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
