@@ -1,7 +1,9 @@
 """Loads through the catalog: managed tables created as select, partitioned and bucketed.
 
 The first batch creates the table (schema, partitions and buckets come from the
-query), later ones are ``INSERT INTO``.  The catalog knows how the files are
+query), later ones are ``INSERT INTO``.  Writers sort what they write; each gets
+about ``WRITER_ROWS`` rows, so a larger batch has more writers and their sorts
+need not spill.  The catalog knows how the files are
 bucketed, so grouping by the bucket key, or joining two tables bucketed alike,
 needs no exchange.  A dimension that is filtered on its own columns prunes the
 table's partitions at run time.
@@ -17,6 +19,9 @@ from pyspark.sql import functions as F
 from sluice.functions.sqltext import ident, text
 from sluice.plans.batches import TRANSFORMS
 
+#: Rows that one writer sorts.
+WRITER_ROWS = 1 << 20
+
 
 @dataclass(frozen=True)
 class ManagedTable:
@@ -45,14 +50,22 @@ def create_database(spark: SparkSession, database: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident(database)} LOCATION {text(location)}")
 
 
+def deal(rows: DataFrame, table: ManagedTable) -> DataFrame:
+    """The rows dealt to writers: a bucket (of a partition) goes to one, or to several where it exceeds ``WRITER_ROWS``."""
+    parts = [table.partition] if table.partition else []
+    n, groups = rows.agg(F.count(F.lit(1)), F.count_distinct(*parts) if parts else F.lit(1)).first()
+    key = F.col(ident(table.key))
+    slices = -(-n // (WRITER_ROWS * table.buckets * max(1, groups))) or 1
+    return rows.repartition(max(table.buckets, -(-n // WRITER_ROWS)), F.pmod(F.hash(key), F.lit(table.buckets)), *parts,
+                            F.pmod(F.xxhash64(key), F.lit(slices)))
+
+
 def create_as_select(batch: DataFrame, table: ManagedTable) -> DataFrame:
     """The table made from its first batch; an older table of the name is replaced."""
     spark = batch.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {table.full_name}")
     rows = table.rows(batch)
-    # one writer per bucket (and partition), so the files of a bucket stay few
-    dealt = rows.repartition(table.buckets, table.key)
-    writer = dealt.write.format("parquet").bucketBy(table.buckets, table.key).sortBy(table.key)
+    writer = deal(rows, table).write.format("parquet").bucketBy(table.buckets, table.key).sortBy(table.key)
     if table.partition:
         writer = writer.partitionBy(table.partition)
     writer.saveAsTable(f"{table.database}.{table.name}")
@@ -64,7 +77,7 @@ def insert_into(batch: DataFrame, table: ManagedTable) -> DataFrame:
     spark = batch.sparkSession
     into = spark.table(table.full_name)
     view = f"{table.name}__batch"
-    table.rows(batch).repartition(table.buckets, table.key).createOrReplaceTempView(view)
+    deal(table.rows(batch), table).createOrReplaceTempView(view)
     columns = ", ".join(ident(c) for c in into.columns)
     try:
         spark.sql(f"INSERT INTO {table.full_name} SELECT {columns} FROM {ident(view)}")

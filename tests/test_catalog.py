@@ -44,6 +44,26 @@ def test_bucket_key_needs_no_exchange(spark, managed):
     assert quality.duplicate_keys(loaded.unionByName(loaded.where("v < 3")).drop("ts"), ["k", "v"]).count() == 3
 
 
+def test_large_batches_have_more_writers(spark, managed, monkeypatch):
+    """No writer sorts much more than its share, however few the buckets are; these still hold their keys."""
+    monkeypatch.setattr(catalog, "WRITER_ROWS", 50, raising=False)
+    rows, lines, orders = managed
+    catalog.create_as_select(rows.where("v < 1500"), lines)
+    catalog.insert_into(rows.where("v >= 1500"), lines)
+    catalog.create_as_select(spark.range(700).select(F.col("id").alias("k"), F.lit("x").alias("name")), orders)
+    for name, total in ((lines.full_name, 3000), (orders.full_name, 700)):
+        loaded = spark.table(name).withColumn("file", F.input_file_name())
+        writer = F.regexp_extract("file", r"part-(\d+-[0-9a-f-]{36})", 1)
+        sizes = [r["count"] for r in loaded.groupBy(writer).count().collect()]
+        assert sum(sizes) == total and max(sizes) <= 250
+        bucket = F.regexp_extract("file", r"_(\d+)\.c", 1).cast("int")
+        assert loaded.where(bucket != F.expr("pmod(hash(k), 4)")).count() == 0
+    loaded = spark.table(lines.full_name)
+    assert loaded.select(*rows.columns).exceptAll(rows).count() == 0
+    joined = loaded.hint("merge").join(spark.table(orders.full_name), "k")
+    assert joined.count() == 3000 and "Exchange" not in plan(joined)
+
+
 def test_a_filtered_dimension_prunes_partitions(spark, managed):
     rows, lines, _ = managed
     months = rows.groupBy(((F.year("ts") - 1970) * 12 + F.month("ts") - 1).cast("int").alias("m")).agg(F.min("ts").alias("since"))
