@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 BLOCK_BYTES = 2 << 20
 LONG_WORD = 64
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -41,10 +42,16 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared folder and read it back.
 
     Cuts the lineage durably: a lost executor costs at most the tasks it ran.
+    Spark removes the write's shuffle files as soon as it has ended.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

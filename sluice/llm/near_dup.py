@@ -1,8 +1,8 @@
 """Near-duplicate documents: consistent weighted sampling over TF-IDF shingles.
 
 1. Document frequencies of five-word shingles over all documents, exact for
-   every shingle in at least ``COMMON`` of them (bounded stretches of documents
-   name the candidates, a second pass counts them).
+   every shingle: documents are dealt to blocks, a block sends its distinct
+   shingles to the hash ranges that count them and gets a number for each back.
 2. Improved consistent weighted sampling: per document ``BANDS * ROWS`` samples
    of its weighted shingles; equal samples have probability weighted Jaccard.
 3. Bands of samples are bucket keys.  A bucket's members are first compared
@@ -14,16 +14,16 @@
 4. A link is a pair whose exact weighted Jaccard similarity reaches the
    threshold; links are joined to components.
 
-Weights are term count times idf; idf lies between 1 (in all documents) and 1.5
-(in fewer than ``COMMON`` of them), so the weighted similarity stays close to
-the plain one.  Texts with the same words are one node from the start and only
+Weights are term count times idf; idf falls with the logarithm of the document
+frequency from 1.5 (in one document) to 1 (in all), so the weighted similarity
+stays close to the plain one.  Texts with the same words are one node from the start and only
 its smallest row goes through steps 3 and 4.  At similarity 0.8 a pair shares a
 band with probability 0.998.
 
 Defined cases: a text of one to four words is one shingle; texts without words
 (null, empty, punctuation) are duplicates only of byte-equal texts; rows
 without an id are not compared and stand for themselves; repeated rows count as
-copies; rows of one id with different texts are compared like any others; an
+copies, and as one document in frequencies; rows of one id with different texts are compared like any others; an
 empty table gives no rows.
 """
 
@@ -47,12 +47,12 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
-#: Shingles in at least this share of the documents get an idf of their own.
+#: Share of the documents from which a shingle is called common.
 COMMON = 0.01
 #: Members of a bucket that are compared with each other or with as many others at once.
 MEMBERS = 1000
-_STRETCH = 2 << 20
-_BIG_BLOCK = 6 << 20
+#: Text behind a block of documents, and behind a range of shingle hashes.
+_BLOCK, _RANGE = 2 << 20, 16 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(77))
 _PLACE = _RNG.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -86,84 +86,69 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(out), doc, words, first
 
 
-def _doc_counts(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes and the number of documents each stands in."""
-    order = np.argsort(hashes, kind="stable")  # equal hashes stay in document order
-    h, d = hashes[order], doc[order]
-    new = np.ones(len(h), dtype=bool)
-    new[1:] = h[1:] != h[:-1]
-    fresh = new.copy()
-    fresh[1:] |= d[1:] != d[:-1]
-    starts = np.flatnonzero(new)
-    return h[starts], np.add.reduceat(fresh.astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
+def counted_sets(data: np.ndarray, offsets: np.ndarray):
+    """Each document's distinct shingle hashes in ascending order, their documents and term counts, word hashes, first words."""
+    hashes, doc, words, first = shingles(data, offsets)
+    key = doc.astype(np.uint64) << np.uint64(32) | hashes >> np.uint64(32)
+    key, index, count = np.unique(key, return_index=True, return_counts=True)
+    return hashes[index], (key >> np.uint64(32)).astype(np.int64), count, words, first
+
+
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    """Where a sorted array's values begin."""
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
 
 
-def _merge(table, hashes, counts):
-    h = np.concatenate([table[0], hashes])
-    order = np.argsort(h, kind="stable")
-    h, c = h[order], np.concatenate([table[1], counts])[order]
-    starts = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-    return h[starts], np.add.reduceat(c, starts) if len(starts) else c
+def _texts(table: pa.Table):
+    """A block of documents: (rows, bytes, offsets)."""
+    return next(blocks(table.combine_chunks().to_batches(), table.nbytes + 1))
 
 
-def common_shingles(docs: DataFrame, n_docs: int) -> dict[int, int]:
-    """Exact document counts of the shingles in at least ``COMMON`` of all documents.
+def in_blocks(docs: DataFrame, n_bytes: int) -> DataFrame:
+    """``docs`` (doc_id, text, row) dealt to blocks: block, doc_id, row, text, copies (equal rows are one).
 
-    A task counts exactly over stretches of documents with some 2 million
-    shingles and reports those in at least half the share of a stretch.  What is
-    left out of a shingle's count is less than half the share, so one with the
-    whole share is reported with half of it, wherever its documents lie; these
-    are counted in a second pass.  As counts sum up to the number of shingles, at
-    most (2 / COMMON) * (shingles per document) are.
+    A row's block depends on the row alone, so every pass finds the same blocks.
     """
-    least = COMMON / 2
-
-    def name(batches):
-        def report():
-            keep = table[1] >= least * n
-            return pa.RecordBatch.from_arrays([pa.array(table[0][keep].view(np.int64)), pa.array(table[1][keep])], ["shingle", "n"])
-
-        table, n = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), 0
-        for rows, data, offsets in blocks(batches, _BIG_BLOCK):
-            hashes, doc, _, _ = shingles(data, offsets)
-            table = _merge(table, *_doc_counts(hashes, doc))
-            n += rows.num_rows
-            if len(table[0]) > _STRETCH:
-                yield report()
-                table, n = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), 0
-        yield report()
-
-    named = (docs.mapInArrow(name, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-             .filter(F.col("n") >= least * n_docs).select("shingle"))
-    candidates = np.sort(np.array([r["shingle"] for r in named.collect()], dtype=np.int64).view(np.uint64))
-    if not len(candidates):
-        return {}
-
-    def count(batches):
-        for rows, data, offsets in blocks(batches):
-            hashes, doc, _, _ = shingles(data, offsets)
-            at = in_sorted(candidates, hashes)
-            h, c = _doc_counts(candidates[at[at >= 0]], doc[at >= 0])
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], ["shingle", "n"])
-
-    counted = docs.mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    return {r["shingle"]: r["n"] for r in counted.filter(F.col("n") >= COMMON * n_docs).collect()}
-
-
-def idf(n: float, n_docs: int) -> float:
-    """1 for a shingle in all documents, 1.5 from the share ``COMMON`` down."""
-    share = min(1.0, max(n / n_docs, COMMON))
-    return 1 + math.log(share) / math.log(COMMON) / 2
-
-
-def weighted_sets(data, offsets, common: np.ndarray, common_idf: np.ndarray):
-    """Per block: element hashes, documents and weights, sorted by document and hash."""
-    hashes, doc, words, first = shingles(data, offsets)
-    at = in_sorted(common, hashes)
-    rate = np.where(at >= 0, common_idf[at], np.float32(1.5)) if len(common) else np.full(len(hashes), 1.5, np.float32)
-    key = doc.astype(np.uint64) << np.uint64(32) | hashes >> np.uint64(32)
-    key, index, count = np.unique(key, return_index=True, return_counts=True)
-    return hashes[index], (key >> np.uint64(32)).astype(np.int64), (count * rate[index]).astype(np.float32), words, first
+    n = -(-n_bytes // _BLOCK) or 1
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "row"), F.lit(n))).repartition(-(-n // 8), "block")
+    return dealt.groupBy("block", "doc_id", "row").agg(F.any_value("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+
+
+def document_counts(dealt: DataFrame, n_bytes: int) -> DataFrame:
+    """Per block and hash range: the document counts (uint32) of the block's distinct shingles, by hash.
+
+    A block sends its documents' shingles in order of their hashes, cut at the
+    bounds of the ranges; a range holds all of a shingle's documents.  However
+    common a shingle is, a block sends it once for each of its documents and gets
+    one number back.
+    """
+    n = -(-n_bytes // _RANGE) or 1
+    bounds = np.array([-(-(k << 64) // n) for k in range(n)], dtype=np.uint64)
+
+    def send(table: pa.Table) -> pa.Table:
+        _, data, offsets = _texts(table)
+        hashes = np.sort(counted_sets(data, offsets)[0])
+        cut = np.append(np.searchsorted(hashes, bounds), len(hashes))
+        used = np.flatnonzero(np.diff(cut))
+        return pa.table([pa.array(np.full(len(used), table["block"][0].as_py())), pa.array(used),
+                         pa.array([hashes[cut[k]:cut[k + 1]].tobytes() for k in used], pa.binary())], ["block", "part", "hashes"])
+
+    def count(table: pa.Table) -> pa.Table:
+        sent = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["hashes"]]
+        every = np.sort(np.concatenate(sent))
+        at = _distinct(every)
+        times = np.diff(np.append(at, len(every)))
+        shared, times = every[at][times > 1], np.append(times[times > 1], 1).astype(np.uint32)  # -1, not shared: once
+        found = [times[in_sorted(shared, own[_distinct(own)])].tobytes() for own in sent]
+        return pa.table([table["block"], table["part"], pa.array(found, pa.binary())], ["block", "part", "counts"])
+
+    sent = dealt.select("block", "text").groupBy("block").applyInArrow(send, "block bigint, part bigint, hashes binary")
+    return sent.repartition(n, "part").groupBy("part").applyInArrow(count, "block bigint, part bigint, counts binary")
+
+
+def idf(n, n_docs: int):
+    """1.5 for a shingle in one document, 1 for one in all, between them by the logarithm of their number ``n``."""
+    return 1.5 - np.log(np.minimum(n, n_docs)) / math.log(max(2, n_docs)) / 2
 
 
 def samples(elements: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -187,53 +172,56 @@ def samples(elements: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np
     return out.view(np.uint32)
 
 
-SKETCH_SCHEMA = ("doc_id bigint, row binary, text_hash1 bigint, text_hash2 bigint, bands array<bigint>, brief binary, "
+SKETCH_SCHEMA = ("doc_id bigint, row binary, copies bigint, text_hash1 bigint, text_hash2 bigint, bands array<bigint>, brief binary, "
                  "total double, elements binary, weights binary")
 
 
-def sketches(docs: DataFrame, common: dict[int, int], n_docs: int) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text, row): class hashes, band keys, one byte per sample, weighted shingles."""
-    names = np.sort(np.array(list(common), dtype=np.int64).view(np.uint64))
-    rates = np.array([idf(common[int(h)], n_docs) for h in names.view(np.int64)], dtype=np.float32)
+def sketches(dealt: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
+    """Per row of ``dealt``: class hashes, band keys, one byte per sample, weighted shingles."""
     band_seed = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
-    def sketch(batches):
-        for rows, data, offsets in blocks(batches):
-            n = rows.num_rows
-            elements, doc, weights, words, first = weighted_sets(data, offsets, names, rates)
-            cut = np.searchsorted(doc, np.arange(n + 1))
-            has = np.flatnonzero(np.diff(cut))
-            # the class of a text: its word sequence, or its bytes without words
-            ranks = np.arange(len(words), dtype=np.uint64) - np.repeat(first[:-1], np.diff(first)).astype(np.uint64)
-            one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-            if len(has):
-                one[has] = np.add.reduceat(mix(words + ranks * np.uint64(0x9E3779B97F4A7C15)), first[:-1][has])
-                two[has] = np.add.reduceat(mix(words * np.uint64(0xCA4BCAA75EC3F625) ^ ranks), first[:-1][has])
-            bare = np.setdiff1d(np.arange(n), has)
-            if len(bare):
-                raw = [hashlib.blake2b(data[offsets[k]:offsets[k + 1]].tobytes(), digest_size=16).digest() for k in bare]
-                one[bare], two[bare] = np.frombuffer(b"".join(raw), np.uint64).reshape(-1, 2).T
-            bands = [None] * n
-            brief = [None] * n
-            total = np.zeros(n)
-            if len(has):
-                s = samples(elements, weights, cut[:-1][has])
-                keys = np.zeros((len(has), BANDS), dtype=np.uint64)
-                for r in range(ROWS):
-                    keys = mix(keys + s[:, r::ROWS].astype(np.uint64) + np.uint64(1))
-                keys = mix(keys ^ band_seed).view(np.int64)
-                short = (s * np.uint32(2654435761) >> np.uint32(24)).astype(np.uint8)
-                total[has] = np.add.reduceat(weights.astype(float), cut[:-1][has])
-                for k, d in enumerate(has.tolist()):
-                    bands[d], brief[d] = keys[k], short[k].tobytes()
-            h32 = (elements >> np.uint64(32)).astype(np.uint32)
-            blob = lambda v: pa.array([v[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [ids_of(rows), ids_of(rows, "row"), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(bands, pa.list_(pa.int64())),
-                 pa.array(brief, pa.binary()), pa.array(total), blob(h32), blob(weights)],
-                ["doc_id", "row", "text_hash1", "text_hash2", "bands", "brief", "total", "elements", "weights"])
-
-    return docs.mapInArrow(sketch, SKETCH_SCHEMA)
+    def sketch(table: pa.Table, answers: pa.Table) -> pa.Table:
+        rows, data, offsets = _texts(table)
+        n = rows.num_rows
+        elements, doc, count, words, first = counted_sets(data, offsets)
+        ordered = np.sort(elements)
+        by_part = np.argsort(answers["part"].to_numpy())
+        found = answers["counts"].to_pylist()
+        rate = idf(np.frombuffer(b"".join(found[k] for k in by_part), np.uint32), n_docs).astype(np.float32)
+        weights = (count * rate[in_sorted(ordered[_distinct(ordered)], elements)]).astype(np.float32)
+        cut = np.searchsorted(doc, np.arange(n + 1))
+        has = np.flatnonzero(np.diff(cut))
+        # the class of a text: its word sequence, or its bytes without words
+        ranks = np.arange(len(words), dtype=np.uint64) - np.repeat(first[:-1], np.diff(first)).astype(np.uint64)
+        one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        if len(has):
+            one[has] = np.add.reduceat(mix(words + ranks * np.uint64(0x9E3779B97F4A7C15)), first[:-1][has])
+            two[has] = np.add.reduceat(mix(words * np.uint64(0xCA4BCAA75EC3F625) ^ ranks), first[:-1][has])
+        bare = np.setdiff1d(np.arange(n), has)
+        if len(bare):
+            raw = [hashlib.blake2b(data[offsets[k]:offsets[k + 1]].tobytes(), digest_size=16).digest() for k in bare]
+            one[bare], two[bare] = np.frombuffer(b"".join(raw), np.uint64).reshape(-1, 2).T
+        bands = [None] * n
+        brief = [None] * n
+        total = np.zeros(n)
+        if len(has):
+            s = samples(elements, weights, cut[:-1][has])
+            keys = np.zeros((len(has), BANDS), dtype=np.uint64)
+            for r in range(ROWS):
+                keys = mix(keys + s[:, r::ROWS].astype(np.uint64) + np.uint64(1))
+            keys = mix(keys ^ band_seed).view(np.int64)
+            short = (s * np.uint32(2654435761) >> np.uint32(24)).astype(np.uint8)
+            total[has] = np.add.reduceat(weights.astype(float), cut[:-1][has])
+            for k, d in enumerate(has.tolist()):
+                bands[d], brief[d] = keys[k], short[k].tobytes()
+        h32 = (elements >> np.uint64(32)).astype(np.uint32)
+        blob = lambda v: pa.array([v[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())
+        return pa.table(
+            [ids_of(rows), ids_of(rows, "row"), ids_of(rows, "copies"), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(bands, pa.list_(pa.int64())),
+             pa.array(brief, pa.binary()), pa.array(total), blob(h32), blob(weights)],
+            ["doc_id", "row", "copies", "text_hash1", "text_hash2", "bands", "brief", "total", "elements", "weights"])
+
+    return dealt.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(sketch, SKETCH_SCHEMA)
 
 
 def _agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -345,9 +333,14 @@ def classes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     spark = docs.sparkSession
     named = id_and_text(docs, id_col, text_col).filter(F.col("doc_id").isNotNull()).withColumn("row", row_digest(F.col("text")))
-    n_docs = named.count()
-    every = store(sketches(named, common_shingles(named, n_docs), max(1, n_docs)), "sketches")
-    ids = store(every.select("doc_id", "row", "text_hash1", "text_hash2"), "members")
+    n_docs, n_bytes = named.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    dealt = in_blocks(named, n_bytes)
+    counts = store(document_counts(dealt, n_bytes), "counts")
+    release_shuffles(spark)
+    every = store(sketches(dealt, counts, n_docs), "sketches")
+    drop_stored(counts)
+    release_shuffles(spark)
+    ids = store(every.select("doc_id", "row", "text_hash1", "text_hash2", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy")).drop("copy"), "members")
     first = ids.groupBy("text_hash1", "text_hash2").agg(F.min(F.struct("doc_id", "row")).alias("first"))
     nodes = store(first.select("text_hash1", "text_hash2", F.col("first.doc_id").alias("copy_of"), F.col("first.row").alias("row"),
                                F.monotonically_increasing_id().alias("node")), "nodes")  # numbers hold once they are stored

@@ -150,6 +150,47 @@ def test_classes_equal_brute_force(spark):
     assert all(r["kept"] == (r["class_id"] == i) for i, r in got.items())
 
 
+def test_rare_shingles_have_their_own_idf(spark):
+    """A and B share 100 of 124 shingles (0.806), of which C holds all too: with idf 0.796, though C is no near copy."""
+    base = text_of("rare", 104, 10**6)
+    one, two, three = (f"{base} {text_of(f'tail{k}', n, 10**6)}" for k, n in ((1, 12), (2, 12), (3, 300)))
+    rows = [(1, one), (2, two), (3, three)] + [(10 + k, text_of(f"filler{k}", 6, 10**6)) for k in range(400)]
+    got = by_id(near_dup.near_duplicates(documents(spark, rows, extra=True, partitions=5)))
+    assert got[1]["class_id"] == 1 and got[2]["class_id"] == 2 and got[3]["class_id"] == 3
+    without = by_id(near_dup.near_duplicates(documents(spark, [x for x in rows if x[0] != 3], partitions=5)))
+    assert without[2]["class_id"] == 1
+
+
+@pytest.mark.parametrize("block,part", [(1 << 20, 16 << 20), (900, 1500)])
+def test_document_counts_equal_brute_force(spark, monkeypatch, block, part):
+    """Of every shingle, in one block and one range or in many; equal rows are one document."""
+    monkeypatch.setattr(near_dup, "_BLOCK", block)
+    monkeypatch.setattr(near_dup, "_RANGE", part)
+    rows = near_corpus() + [(3100, "one two three"), (3100, "one two three"), (3101, ""), (3102, "!!!")]
+    docs = near_dup.id_and_text(documents(spark, rows)).withColumn("row", near_dup.row_digest(near_dup.F.col("text")))
+    size = sum(len(t) for _, t in rows)
+    dealt = near_dup.in_blocks(docs, size)
+    texts, found = {}, {}
+    for r in dealt.collect():
+        texts.setdefault(r["block"], []).append(r["text"])
+        assert r["copies"] == (2 if r["doc_id"] == 3100 else 1)
+    for r in near_dup.document_counts(dealt, size).orderBy("part").collect():
+        found[r["block"]] = found.get(r["block"], b"") + r["counts"]
+    want = {}
+    for t in dict(rows).values():
+        for x in set(near_dup.shingles(*_bytes(t))[0].tolist()):
+            want[x] = want.get(x, 0) + 1
+    assert (len(texts) > 20) == (block == 900)
+    for b, held in texts.items():
+        own = sorted({x for t in held for x in near_dup.shingles(*_bytes(t))[0].tolist()})
+        assert np.frombuffer(found.get(b, b""), np.uint32).tolist() == [want[x] for x in own]
+
+
+def _bytes(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return data, np.array([0, len(data)])
+
+
 def test_near_duplicate_edge_rows(spark):
     docs = documents(spark, AWKWARD + [(11, "!!! ???"), (12, "!!! ??")], extra=True)
     got = near_dup.near_duplicates(docs).collect()
